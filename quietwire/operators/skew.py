@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,11 +33,13 @@ def salted_join(
 
     ``hot`` lists values of ``keys`` or of some of them. ``spread`` is a column of ``big`` that
     varies within a key. Only rows of ``small`` under a hot key are repeated, once per salt, so
-    each row of ``big`` still meets each match once.
+    each row of ``big`` still meets each match once. Null keys meet nothing and are spread too.
     """
     marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    no_match = reduce(or_, (F.col(key).isNull() for key in keys))
     left = big.join(marked, hot.columns, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0)
+        "_salt",
+        F.when(F.col("_hot") | no_match, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0),
     )
     right = small.join(marked, hot.columns, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# The default thresholds.
+# The default thresholds, limits and market hours.
 DEDUP_SIMILARITY = 0.75
 VOLUME_Z = 2.5
 RETURN_Z = 2.0
@@ -14,6 +14,8 @@ DIGEST_SIZE = 10
 LOOKBACK_DAYS = 7
 BACKFILL_WINDOW_DAYS = 90
 BACKFILL_COVERAGE = 0.6
+# A watchlist up to this long is sent along with the query; a longer one is joined.
+BROADCAST_WATCHLIST = 10_000
 MARKET_ZONE = "Asia/Jakarta"
 MARKET_CLOSE_HOUR = 17
 
