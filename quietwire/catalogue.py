@@ -370,7 +370,9 @@ _JSON_SQL = """concat('{"symbol":', to_json(symbol), ',"headline":', to_json(tit
     coalesce(items, ''), ']}}') AS payload FROM counts LEFT JOIN entries USING (run_date)"""
 )
 def digest_json(spark, folder):
-    return report.digest_documents(funnel.digest(*_inputs(spark, folder)), _counts(spark, folder), "schedule")
+    stages = _stages(spark, folder)
+    digest = funnel.digest_of(stages, news_items(spark, folder))
+    return report.digest_documents(digest, funnel.stage_counts(stages), "schedule")
 
 
 def _escaped_sql(column: str) -> str:
@@ -389,7 +391,8 @@ def _escaped_sql(column: str) -> str:
     '{report.DISCLAIMER}') AS message FROM counts LEFT JOIN entries USING (run_date)"""
 )
 def digest_message(spark, folder):
-    return report.digest_messages(funnel.digest(*_inputs(spark, folder)), _counts(spark, folder))
+    stages = _stages(spark, folder)
+    return report.digest_messages(funnel.digest_of(stages, news_items(spark, folder)), funnel.stage_counts(stages))
 
 
 @_query(

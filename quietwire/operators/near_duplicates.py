@@ -68,15 +68,19 @@ def near_duplicates(
     keyed, copies, vectors = _vectors(items, bucket, order, text, id_col, threshold)
     followers = _greedy(vectors, bucket, threshold, effort)
 
-    # Later copies take the leader of the first one. Only keys with copies need the lookup.
-    repeated = copies.where("copies > 1").select(*bucket, "key", F.col("first.id").alias("first_id"))
-    counts = copies.where("copies > 1")
+    led = followers.select(F.col("id").alias("first_id"), F.col("leader_id").alias("led_by"))
+    # Later copies take the leader of the first one. Only texts with copies need the lookup.
+    repeated = copies.where("copies > 1").select(*bucket, "key", F.col("first.id").alias("first_id"), "copies")
     firsts = salted_join(
-        keyed, repeated, [*bucket, "key"], hot_keys(counts, [*bucket, "key"], "copies"), F.col("id"), "left"
+        keyed,
+        repeated.drop("copies"),
+        [*bucket, "key"],
+        hot_keys(repeated, [*bucket, "key"], "copies"),
+        F.col("id"),
+        "left",
     ).select(*bucket, "id", F.coalesce("first_id", "id").alias("first_id"))
-    led = followers.select(F.col("id").alias("first_id"), F.col("leader_id").alias("led_by"))
-    per_first = stage(counts.groupBy(F.col("first.id").alias("first_id")).agg(F.sum("copies").alias("copies")), "firsts")
-    return salted_join(firsts, led, ["first_id"], hot_keys(per_first, ["first_id"], "copies"), F.col("id"), "left").select(
+    often = hot_keys(repeated, ["first_id"], "copies")
+    return salted_join(firsts, led, ["first_id"], often, F.col("id"), "left").select(
         *bucket, F.col("id").alias(id_col), F.coalesce("led_by", "first_id").alias("leader_id")
     )
 
@@ -124,7 +128,11 @@ def _vectors(items, bucket, order, text, id_col, threshold):
     # The text moves once, keyed by the unique id, and is cut into words where it arrives.
     texts = items.select(F.col(id_col).alias("id"), text.alias("text"))
     texts = stage(
-        firsts.join(texts, "id").withColumn("tokens", F.array_join(tokens(F.col("text")), " ")).drop("text"), "texts"
+        firsts.join(texts, "id")
+        .withColumn("tokens", F.array_join(tokens(F.col("text")), " "))
+        .drop("text")
+        .where("tokens <> ''"),
+        "texts",
     )
 
     terms = _term_counts(texts, bucket)
@@ -139,8 +147,12 @@ def _vectors(items, bucket, order, text, id_col, threshold):
         terms, vocabulary, [*bucket, "gram"], hot_keys(vocabulary, [*bucket, "gram"], "texts"), F.col("id"), "left"
     ).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.coalesce("df", "copies"))) + 1))
     shared = F.when(F.col("texts").isNotNull(), F.struct("texts", "gram", "w"))
+    square = F.col("w") * F.col("w")
     packed = weighted.groupBy(*bucket, "id").agg(
-        F.first("ord").alias("ord"), F.sum(F.col("w") * F.col("w")).alias("norm2"), F.collect_list(shared).alias("shared")
+        F.first("ord").alias("ord"),
+        F.sum(square).alias("norm2"),
+        F.sum(F.when(F.col("texts").isNotNull(), square)).alias("shared2"),
+        F.collect_list(shared).alias("shared"),
     )
     return keyed, copies, stage(_cut_prefix(packed, threshold).select(*bucket, "id", "ord", "vector", "prefix"), "vectors")
 
@@ -164,19 +176,17 @@ def _term_counts(texts: DataFrame, bucket: list[str]) -> DataFrame:
             (F.coalesce(F.get("starts", at + 1), F.size("grams") + 1) - start).alias("tf"),
         ),
     )
-    return starts.where(F.size("grams") > 0).select(*bucket, "n", "copies", "id", "ord", F.inline(runs))
+    return starts.select(*bucket, "n", "copies", "id", "ord", F.inline(runs))
 
 
 def _cut_prefix(packed: DataFrame, threshold: float) -> DataFrame:
     """Unit vector over the shared grams, and the rarest of them that a match must touch."""
     bound = F.lit(threshold * threshold * (1 - _SLACK)) * F.col("norm2")
-    ordered = packed.withColumn("shared", F.sort_array("shared")).withColumn(
-        "tail2", F.aggregate("shared", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"])
-    )
+    ordered = packed.where(F.col("shared2") >= bound).withColumn("shared", F.sort_array("shared"))
     # Keep grams while what is left, the current one included, could still reach the threshold.
     cut = F.aggregate(
         "shared",
-        F.struct(F.col("tail2").alias("left"), F.lit(0).alias("size")),
+        F.struct(F.col("shared2").alias("left"), F.lit(0).alias("size")),
         lambda acc, x: F.struct(
             (acc["left"] - x["w"] * x["w"]).alias("left"),
             (acc["size"] + F.when(acc["left"] >= bound, 1).otherwise(0)).alias("size"),
@@ -315,11 +325,11 @@ def _followers(pairs: DataFrame, bucket: list[str], effort: Effort) -> DataFrame
     """(b): the later ends that follow some leader, by the greedy rule on the similar pairs."""
     found, undecided = [], pairs.select(*bucket, "a", "b", "b_ord")
     while True:
-        sizes = stage(undecided.groupBy(*bucket).agg(F.count(F.lit(1)).alias("pairs")), "pair-counts")
+        sizes = undecided.groupBy(*bucket).agg(F.count(F.lit(1)).alias("pairs"))
         if sizes.where(F.col("pairs") > effort.pairs_in_one_row).isEmpty():
             found.append(_settle_in_rows(undecided, bucket))
             return stage(reduce(DataFrame.union, found), "followers")
-        sized = lookup_join(undecided, sizes, bucket, F.col("b"))
+        sized = lookup_join(undecided, stage(sizes, "pair-counts"), bucket, F.col("b"))
         found.append(_settle_in_rows(sized.where(F.col("pairs") <= effort.pairs_in_one_row), bucket))
         # One round for the buckets with many pairs: an item no earlier undecided item is similar
         # to leads, its neighbours follow, and both leave together with their pairs.

@@ -20,31 +20,51 @@ SALTS = 64
 BROADCAST_ROWS = 500_000
 
 
-def hot_keys(counts: DataFrame, keys: list[str], rows: str) -> DataFrame:
-    """The long keys above a 1/HOT_KEYS share, from exact per-key counts. At most HOT_KEYS rows."""
-    total = counts.agg(F.sum(rows)).first()[0] or 0
-    return counts.where(F.col(rows) > max(total / HOT_KEYS, HOT_ROWS)).select(*keys)
+def hot_keys(counts: DataFrame, keys: list[str], rows: str) -> DataFrame | None:
+    """The long keys above a 1/HOT_KEYS share, from exact per-key counts: at most HOT_KEYS rows.
+
+    None when no key is that long, so that the join needs no salting at all.
+    """
+    total, longest = counts.agg(F.sum(rows), F.max(rows)).first()
+    bound = max((total or 0) / HOT_KEYS, HOT_ROWS)
+    return counts.where(F.col(rows) > bound).select(*keys) if (longest or 0) > bound else None
 
 
 def salted_join(
-    big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, spread: Column, how: str = "inner"
+    big: DataFrame,
+    small: DataFrame,
+    keys: list[str],
+    hot: DataFrame | None,
+    spread: Column,
+    how: str = "inner",
+    null_keys: bool = False,
 ) -> DataFrame:
     """Equi-join whose hot keys are spread over SALTS partitions.
 
     ``hot`` lists values of ``keys`` or of some of them. ``spread`` is a column of ``big`` that
     varies within a key. Only rows of ``small`` under a hot key are repeated, once per salt, so
-    each row of ``big`` still meets each match once. Null keys meet nothing and are spread too.
+    each row of ``big`` still meets each match once. With ``null_keys`` the rows of ``big`` that
+    can meet nothing are spread as well.
     """
-    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    no_match = reduce(or_, (F.col(key).isNull() for key in keys))
-    left = big.join(marked, hot.columns, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot") | no_match, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0),
-    )
-    right = small.join(marked, hot.columns, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
-    )
-    return left.drop("_hot").join(right.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
+    left, right, split = big, small, []
+    if hot is not None:
+        marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+        left = big.join(marked, hot.columns, "left")
+        right = small.join(marked, hot.columns, "left")
+        split.append(F.coalesce("_hot", F.lit(False)))
+    if null_keys:
+        split.extend(F.col(key).isNull() for key in keys)
+    if not split:
+        return big.join(small, keys, how)
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    left = left.withColumn("_salt", F.when(reduce(or_, split), salt).otherwise(0)).drop("_hot")
+    if hot is None:
+        right = right.withColumn("_salt", F.lit(0))
+    else:
+        every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        salts = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))
+        right = right.withColumn("_salt", F.explode(salts)).drop("_hot")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def lookup_join(big: DataFrame, staged: DataFrame, keys: list[str], spread: Column, how: str = "inner") -> DataFrame:
@@ -56,7 +76,7 @@ def lookup_join(big: DataFrame, staged: DataFrame, keys: list[str], spread: Colu
     if staged.count() <= BROADCAST_ROWS:
         return big.join(F.broadcast(staged), keys, how)
     counts = stage(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
-    return salted_join(big, staged, keys, hot_keys(counts, keys, "_rows"), spread, how)
+    return salted_join(big, staged, keys, hot_keys(counts, keys, "_rows"), spread, how, null_keys=how == "left")
 
 
 def number_rows(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:

@@ -130,6 +130,14 @@ def digest(
     )
 
 
+def digest_of(stages: DataFrame, news: DataFrame) -> DataFrame:
+    """The digest of item stages that were worked out anyway. Only the sent items meet the texts."""
+    sent = stage(stages.where("sent").select("id", "run_date", "symbol", "rank", *_SCORES), "sent")
+    return lookup_join(news.select("id", "title", "url"), sent, ["id"], F.col("id")).select(
+        "run_date", "rank", "id", "symbol", F.col("title").alias("headline"), "url", *_SCORES, reason().alias("reason")
+    )
+
+
 def item_scores(stages: DataFrame) -> DataFrame:
     """The item_scores table. Clusters are numbered from 0 within a run date."""
     leaders = stages.where("deduped").select("run_date", "bucket", "published_at", F.col("id").alias("leader_id"))
