@@ -114,7 +114,8 @@ def grams(words: Column) -> Column:
 
 
 def article_text(title: Column, body: Column) -> Column:
-    return strip(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(body, F.lit(""))))
+    """Title and body. Blanks at the ends stay: they make no words."""
+    return F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(body, F.lit("")))
 
 
 def truncate(text: Column, size: int) -> Column:

@@ -12,6 +12,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A little text becomes many word pairs: keep all cores busy on small shuffles too.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     # Estimated sizes are far off after an explode. Joins are planned as shuffles, and turned
     # into broadcast or hash joins only on the sizes measured at the shuffle.
     "spark.sql.autoBroadcastJoinThreshold": "-1",

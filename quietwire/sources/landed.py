@@ -38,10 +38,10 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 
 def records(landing: DataFrame) -> DataFrame:
     """One row per record: ``record`` (map of texts) and its position in the landing table."""
-    trimmed = strip(F.col("payload"))
-    envelope = F.from_json(trimmed, "map<string,string>")
+    payload = F.col("payload")
+    envelope = F.from_json(payload, "struct<" + ",".join(f"{key}:string" for key in _ENVELOPE_KEYS) + ">")
     inner = F.coalesce(*(filled(envelope[key]) for key in _ENVELOPE_KEYS))
-    listed = F.when(F.startswith(trimmed, F.lit("[")), trimmed).otherwise(inner)
+    listed = F.when(F.rlike(payload, F.lit(r"^\s*\[")), payload).otherwise(inner)
     carried = [c for c in landing.columns if c != "payload"]
     return landing.select(*carried, F.posexplode(F.from_json(listed, _RECORDS)).alias("position", "record"))
 
