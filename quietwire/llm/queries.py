@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quietwire.llm import mixing, packing
+from quietwire.llm import mixing, ngram_join, packing, quality, sharding, substring_dedup, toxicity
 from quietwire.llm.common import read
 
 
@@ -16,16 +17,50 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    lexicon = toxicity.learn(docs, labels.where(~toxicity.held_out()))
+    scored = toxicity.score(docs, lexicon).withColumn("held_out", toxicity.held_out())
+    return scored.select("doc_id", "held_out", "score", "predicted", "total", "hits", "words")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join.join(read(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs).select("doc_id", "words", "removed_words", "removed", "text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer())
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    fitted_on = ~toxicity.held_out()
+    model = quality.learn(docs, labels.where(fitted_on & (F.col("quality") == 1)), docs.where(fitted_on))
+    scored = quality.score(docs, model).withColumn("held_out", toxicity.held_out())
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_packing": op7_packing,
+    "op9_sharding": op9_sharding,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
