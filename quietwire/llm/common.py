@@ -59,27 +59,41 @@ def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered up to a fixed number of words."""
-
-    def __init__(self, most: int = 300_000) -> None:
-        self.most = most
-        self.known: dict[bytes, int] = {}
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        from xxhash import xxh3_64_intdigest as digest
-
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        try:
-            found = [known[w] for w in words]
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = digest(w)
-            found = [known[w] for w in words]
-        return np.array(found, np.uint64)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
+_powers = np.ones(1, np.uint64)
+
+
+def _powers_to(length: int) -> np.ndarray:
+    global _powers
+    if length > len(_powers):
+        steps = np.full(max(length, 256), _BASE, np.uint64)
+        steps[0] = 1
+        _powers = np.cumprod(steps)
+    return _powers
+
+
+def hash_words(text: bytes, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash, first byte) of every word, all words at once; a block of bytes at a time for long texts."""
+    raw = np.frombuffer(text, np.uint8)
+    solid = ~_SPACE[raw]
+    edge = np.diff(solid, prepend=False, append=False)
+    bounds = np.flatnonzero(edge)
+    starts, lengths = bounds[::2], bounds[1::2] - bounds[::2]
+    out = np.zeros(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + block)))
+        size = lengths[a:b]
+        first = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(first, size)
+        signs = raw[starts[a] : starts[b - 1] + size[-1]][solid[starts[a] : starts[b - 1] + size[-1]]]
+        with np.errstate(over="ignore"):
+            values = _powers_to(int(size.max()))[place] * (signs.astype(np.uint64) + np.uint64(1))
+            out[a:b] = np.add.reduceat(values, first) + size.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+        a = b
+    return mix(out), starts
 
 
 def signed(values: np.ndarray) -> np.ndarray:
@@ -108,3 +122,18 @@ def numbered(df: DataFrame, order: list[Column], groups: list[str], position: st
     earlier = earlier.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = pieces.select(*by, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
     return placed.join(F.broadcast(starts) if few else starts, by).withColumn(position, F.col("_at") + F.col("_shift")).drop("_piece", "_at", "_shift")
+
+
+def salt(text: Column) -> Column:
+    """Tells rows with one id apart by their text, in 31 bits."""
+    return F.hash(text).bitwiseAND(0x7FFFFFFF)
+
+
+def rejoin(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """``docs`` with the columns that ``decided`` holds for (doc_id, _salt), where it holds any.
+
+    The side without texts is hashed, so texts are moved once and never sorted.
+    """
+    right = decided.select(F.col("doc_id").alias("_id"), F.col("_salt").alias("_of"), *(c for c in decided.columns if c not in ("doc_id", "_salt")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (salt(F.col("text")) == F.col("_of"))
+    return docs.join(right.hint("shuffle_hash"), same).drop("_id", "_of")

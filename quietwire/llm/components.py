@@ -1,41 +1,81 @@
-"""Connected components of a graph given as pairs, by alternating stars."""
+"""Connected components of a graph given as pairs."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quietwire.llm.common import in_batches
 from quietwire.session import stage
 
+# Pairs that a task works on at a time: two numbers each, so some tens of MB.
+TASK_PAIRS = 1_000_000
+
+
+def labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) within these pairs, for nodes that are not the least."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[a], root[b])
+        before = root.copy()
+        # Hang the roots of both ends under the lesser one, then shorten all paths.
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while True:
+            short = root[root]
+            if np.array_equal(short, root):
+                break
+            root = short
+        if np.array_equal(before, root):
+            break
+    moved = root != np.arange(len(nodes))
+    return nodes[moved], nodes[root[moved]]
 
-def _least_neighbour(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("least"))
+
+def _contracted(pairs: DataFrame) -> DataFrame:
+    """Every task replaces its pairs by stars around the least node of each of their components."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty = np.zeros(0, np.int64)
+        held = [(empty, empty)]
+        rows = 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            rows += batch.num_rows
+            if rows > 4 * TASK_PAIRS:
+                held = [labels(*(np.concatenate(c) for c in zip(*held)))]
+                rows = len(held[0][0])
+        node, least = labels(*(np.concatenate(c) for c in zip(*held)))
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(least)], ["a", "b"])
+
+    return in_batches(pairs.select("a", "b"), work, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the least node it is connected to.
 
-    Each round hangs the larger neighbours of every node under the least node around it, then the
-    smaller ones (large star, small star), until nothing moves; the number of rounds grows with the
-    logarithm of the longest path. Every round is aggregations and joins, written and read back.
+    Tasks of a fixed number of pairs contract what they hold. What fits one task is done with that.
+    More pairs are dealt by either end, again and again: each round brings a node's neighbours
+    together, joins their stars, and ends when no pair changes. Rounds grow with the logarithm of
+    the longest path, less what the tasks contract by themselves.
     """
-    edges = stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges-0")
-    if edges.isEmpty():
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    step = 0
+    edges, step = stage(links.select("a", "b").where("a <> b").distinct(), "edges-0"), 0
+    state = None
     while True:
         step += 1
+        tasks = -(-edges.count() // TASK_PAIRS)
+        if tasks <= 1:
+            edges = stage(_contracted(edges.coalesce(1)), f"edges-{step}")
+            break
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = _least_neighbour(both).select("a", F.least("a", "least").alias("least"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
-        large = stage(large, f"large-star-{step}")
-        least = _least_neighbour(large)
-        small = large.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        new = stage(small.union(least.select("a", F.col("least").alias("b"))).where("a <> b").distinct(), f"edges-{step}")
-        # Done when every node has one edge, to a node without any.
-        state = new.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
-        before = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
-        edges = new
+        edges = stage(_contracted(both.repartition(2 * tasks, "a")).distinct(), f"edges-{step}")
+        before, state = state, edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == before:
             break
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quietwire.llm.common import WORD, numbered
+from quietwire.llm.common import WORD, numbered, rejoin, salt
 from quietwire.session import stage
 
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -154,12 +154,12 @@ def _copies(counts: DataFrame, tilts: DataFrame, most: int) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
-    """doc_id, size, source_size, target, taken and copies of every document.
+def mix(docs: DataFrame, most: int = MOST, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source_size, target, taken and copies of every document, and the columns to ``carry``.
 
     Documents of one size are taken equally often, up to one copy more for those first by a hash of doc_id.
     """
-    sized = stage(docs.select("doc_id", _key(F.col("source")).alias("_source"), size_of(F.col("text")).alias("_size")), "sizes")
+    sized = stage(docs.select("doc_id", *carry, _key(F.col("source")).alias("_source"), size_of(F.col("text")).alias("_size")), "sizes")
     counts = stage(sized.groupBy("_source", "_size").agg(F.count(F.lit(1)).alias("_n")), "size-counts")
     wanted = targets(counts.groupBy("_source").agg(F.sum(F.col("_n") * F.col("_size")).alias("_words")), most)
     wanted = stage(wanted, "targets")
@@ -171,7 +171,7 @@ def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
         "classes",
     )
     # Which documents of a size get one copy more: numbered in the order of a hash, not of their ids.
-    order = [F.xxhash64("doc_id"), F.col("doc_id").asc_nulls_first()]
+    order = [F.xxhash64("doc_id"), F.col("doc_id").asc_nulls_first(), *map(F.col, carry)]
     ranked = numbered(sized, order, ["_source", "_size"], "_number", "numbered-sizes")
     each = F.floor(F.col("_copies") / F.col("_n"))
     more = (F.col("_number") < F.pmod("_copies", "_n")).cast("long")
@@ -185,5 +185,18 @@ def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
             F.col("_target").alias("target"),
             (F.col("copies") * F.col("_size")).alias("taken"),
             "copies",
+            *carry,
         )
     )
+
+
+def mixed(docs: DataFrame, most: int = MOST) -> DataFrame:
+    """The mix itself: all columns of ``docs``, every row as often as it is taken; empty ones stay once."""
+    rows = mix(docs.withColumn("_salt", salt(F.col("text"))), most, carry=("_salt",))
+    times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))
+    decided = rows.groupBy("doc_id", "_salt").agg(F.sum(times).alias("_times"), F.count(F.lit(1)).alias("_rows"))
+    met = rejoin(docs, stage(decided.where("_times > 0"), "copies"))
+    # Rows equal in id and text share what they are taken together.
+    again = met.where("_rows > 1").dropDuplicates(["doc_id", "text"])
+    every = met.where("_rows = 1").unionByName(again)
+    return every.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)

@@ -1,15 +1,16 @@
 """Exact n-gram Jaccard join with prefix filters under several global orders.
 
 Two sets that are similar enough share a token among the first few of each under ANY order of all
-tokens (the prefix). Order 0 sorts by how common a token's bucket is in the corpus, the rarest first,
-and generates candidates: documents that share a prefix token, of fitting lengths, with enough
+tokens (the prefix). Order 0 puts tokens known to be common last, the most common at the very end, and
+generates candidates: documents that share a prefix token, of fitting lengths, with enough
 tokens left after it. The other orders are hash orders. A candidate must share a prefix token under
 each of them too; what remains is verified by counting the intersection.
 
 * Equal sets are one node of the graph from the start, so copies cost nothing.
 * A token shared by more than a few nodes gives a star (each with the first) and a chain (each with
   the next), not all pairs. After these are verified, only pairs of such a group that lie in
-  different components are left to check, and all of them are. Links inside a component that are not
+  different components are left to check. A few of its members first meet all others, which joins
+  most components; then every pair still across components is checked. Links inside a component that are not
   needed for it may stay unverified; no component loses one.
 * Tasks make the stars and chains of their own rows first, so a token in a third of all documents
   sends a few rows per task.
@@ -31,19 +32,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quietwire.llm.common import LOWER, WordHashes, in_batches, mix, signed, text_bytes, words_of
+from quietwire.llm.common import LOWER, hash_words, in_batches, mix, rejoin, salt, signed, text_bytes
 from quietwire.llm.components import components
 from quietwire.operators.skew import lookup_join
 from quietwire.session import stage
 
 N = 5
 PERCENT = 80
-# Buckets in which tokens are counted for the first order: a fixed number, so a fixed broadcast.
-BUCKET_BITS = 18
+# Tokens that the first order knows to be common, the most common ones: a fixed number, so a fixed broadcast.
+COMMON = 1 << 18
+# Tokens a task counts at a time.
+COUNTED = 4_000_000
 # Further orders a candidate is checked under.
 ORDERS = 2
 # A token shared by up to this many nodes gives all their pairs, else a star and a chain.
 SMALL = 4
+# Before all pairs across components of a group are checked, PIVOTS of its members meet all others, LOOKS times.
+LOOKS = 2
+PIVOTS = 32
 # Bits that tell which nodes need their sets: a fixed broadcast. More nodes than that only send more.
 NEEDED_BITS = 22
 # Prefix rows a task sorts at a time.
@@ -64,13 +70,11 @@ class Shingles:
 
     def __init__(self, n: int) -> None:
         self.n = n
-        self.hashes = WordHashes()
 
     def of(self, text: bytes) -> np.ndarray:
-        words = words_of(text.translate(LOWER))
-        if not words:
-            return np.zeros(0, np.uint64)
-        h = self.hashes.of(words)
+        h, _ = hash_words(text.translate(LOWER))
+        if not len(h):
+            return h
         size = min(self.n, len(h))
         with np.errstate(over="ignore"):
             run = h[: len(h) - size + 1].copy()
@@ -92,20 +96,23 @@ def _own_first(node: int, seen: set) -> bool:
 
 
 def shingled(docs: DataFrame, n: int) -> DataFrame:
-    """Written once. kind 0: (doc_id, node, size); kind 1: (bucket as doc_id, null, tokens in it)."""
+    """Written once. kind 0: (doc_id, node, size, salt); kind 1: (token as node, uses as size) of tokens
+    that a task met more than once. Copies within a task count once."""
+    names = ["kind", "doc_id", "node", "size", "salt"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, seen = Shingles(n), set()
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
-        shift = np.uint64(64 - BUCKET_BITS)
-        kinds = [pa.int8(), pa.int64(), pa.int64(), pa.int64()]
+        fresh: list[np.ndarray] = []
+        held = 0
 
-        def out(kind: int, *columns) -> pa.RecordBatch:
-            arrays = [pa.array(np.full(len(columns[0]), kind, np.int8)), *(pa.array(c, k) for c, k in zip(columns, kinds[1:]))]
-            return pa.RecordBatch.from_arrays(arrays, ["kind", "doc_id", "node", "size"])
+        def common() -> pa.RecordBatch:
+            tokens, uses = np.unique(np.concatenate(fresh), return_counts=True)
+            tokens, uses = signed(tokens[uses > 1]), uses[uses > 1]
+            kind, none = np.ones(len(tokens), np.int8), pa.nulls(len(tokens), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(kind), none, pa.array(tokens), pa.array(uses), none], names)
 
         for batch in batches:
-            nodes, sizes, fresh = [], [], []
+            nodes, sizes = [], []
             for text in text_bytes(batch.column(1)):
                 tokens = make.of(text)
                 node = _node(tokens) if len(tokens) else None
@@ -113,21 +120,34 @@ def shingled(docs: DataFrame, n: int) -> DataFrame:
                 sizes.append(len(tokens))
                 if node is not None and _own_first(node, seen):
                     fresh.append(tokens)
-            if fresh:
-                counts += np.bincount((np.concatenate(fresh) >> shift).astype(np.int64), minlength=len(counts))
-            yield out(0, batch.column(0).to_pylist(), nodes, sizes)
-        used = np.flatnonzero(counts)
-        yield out(1, used, [None] * len(used), counts[used])
+                    held += len(tokens)
+            if held > COUNTED:
+                yield common()
+                fresh.clear()
+                held = 0
+            kind = pa.array(np.zeros(batch.num_rows, np.int8))
+            yield pa.RecordBatch.from_arrays([kind, batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), batch.column(2)], names)
+        if fresh:
+            yield common()
 
-    return stage(in_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), work, "kind tinyint, doc_id bigint, node bigint, size bigint"), "shingled")
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", salt(F.col("text")).cast("bigint"))
+    return stage(in_batches(rows, work, "kind tinyint, doc_id bigint, node bigint, size bigint, salt bigint"), "shingled")
 
 
-def _places(rows: DataFrame) -> np.ndarray:
-    """The rank of every bucket by how many tokens fall in it: 2^BUCKET_BITS numbers."""
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    for r in rows.where("kind = 1").groupBy("doc_id").agg(F.sum("size").alias("n")).toLocalIterator():
-        counts[r["doc_id"]] = r["n"]
-    return counts.astype(np.uint32) if counts.max(initial=0) < 1 << 32 else (counts >> 16).astype(np.uint32)
+def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The COMMON most used tokens, sorted, and how often each is known to be used. All others count as rare."""
+    used = rows.where("kind = 1").groupBy("node").agg(F.sum("size").alias("uses"))
+    found = [(r["node"], r["uses"]) for r in used.orderBy(F.desc("uses"), "node").limit(COMMON).toLocalIterator()]
+    tokens = np.array([f[0] for f in found], np.int64).astype(np.uint64)
+    by = np.argsort(tokens)
+    return tokens[by], np.array([f[1] for f in found], np.int64)[by]
+
+
+def _uses(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    if not len(common[0]):
+        return np.zeros(len(tokens), np.int64)
+    at = np.minimum(np.searchsorted(common[0], tokens), len(common[0]) - 1)
+    return np.where(common[0][at] == tokens, common[1][at], 0)
 
 
 class _Pairs:
@@ -192,26 +212,24 @@ def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return low[new], high[new]
 
 
-def _prefixes(docs: DataFrame, n: int, percent: int, ranks: np.ndarray) -> DataFrame:
+def _prefixes(docs: DataFrame, n: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """kind 0: prefix rows to meet those of other tasks; 1: pairs; 2: rows of large groups, kept for the second look."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, seen, pairs = Shingles(n), set(), _Pairs(percent)
-        shift = np.uint64(64 - BUCKET_BITS)
         held: list[tuple] = []
         rows = 0
 
         def block() -> Iterator[pa.RecordBatch]:
             token, size, place, node = _sorted_unique(*(np.concatenate(c) for c in zip(*held)))
             a, b, big = pairs.of(token, size, place, node)
-            big_only = big[a] & big[b]
-            low, high = _unique_pairs(node[a[big_only]], node[b[big_only]])
-            yield _out(1, None, low, high, None, None)
+            inner = big[a] & big[b]
+            low, high = _unique_pairs(node[a[inner]], node[b[inner]])
+            yield _out(1, signed(mix(low)), low, high, None, None)
             # Of a large group only the two ends go on: stars and chains across tasks hang on them.
             first = np.ones(len(token), bool)
             first[1:] = token[1:] != token[:-1]
-            last = np.roll(first, -1)
-            go = ~big | first | last
+            go = ~big | first | np.roll(first, -1)
             yield _out(0, token[go], node[go], None, size[go], place[go])
             yield _out(2, token[big], node[big], None, size[big], place[big])
 
@@ -221,8 +239,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, ranks: np.ndarray) -> DataF
                 if not len(tokens) or not _own_first(node := _node(tokens), seen):
                     continue
                 p = prefix_length(len(tokens), percent)
-                common = ranks[(tokens >> shift).astype(np.int64)]
-                order = np.lexsort((tokens, common))[:p]
+                order = np.lexsort((tokens, _uses(tokens, common)))[:p]
                 held.append((signed(tokens[order]), np.full(p, len(tokens), np.int64), np.arange(p), np.full(p, node, np.int64)))
                 rows += p
                 if rows >= BLOCK:
@@ -236,7 +253,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, ranks: np.ndarray) -> DataF
 
 
 def _meet(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (kind 1) and rows of large groups (kind 2) from prefix rows of all tasks."""
+    """Pairs (kind 1) and rows of large groups (kind 2): those of single tasks, and what prefix rows of all tasks give."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _Pairs(percent)
@@ -250,7 +267,11 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             yield _out(2, token[big], node[big], None, size[big], place[big])
 
         for batch in batches:
-            new = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 3)]
+            kind = batch.column(0).to_numpy()
+            if (kind > 0).any():
+                yield batch.filter(pa.array(kind > 0))
+            table = batch.filter(pa.array(kind == 0))
+            new = [table.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 4, 5, 2)]
             held = [np.concatenate(c) for c in zip(held, new)]
             token = held[0]
             if len(token) < BLOCK // 4:
@@ -264,7 +285,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             yield from emit(held)
 
     ordered = rows.repartition("token").sortWithinPartitions("token", "size", "node")
-    return in_batches(ordered.select("token", "size", "place", "node"), work, _ROWS)
+    return stage(in_batches(ordered, work, _ROWS), "met-prefixes")
 
 
 def _bitmap(nodes: DataFrame) -> np.ndarray:
@@ -292,7 +313,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
                     node = _node(tokens)
                     at = node & mask
                     if int(bits[at >> 5]) >> (at & 31) & 1 and _own_first(node, seen):
-                        found.append((node, tokens.tobytes()))
+                        found.append((node, shortened(tokens)))
             arrays = [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["node", "tokens"])
 
@@ -301,6 +322,17 @@ def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     return stage(wanted.dropDuplicates(["node"]), "sets")
 
 
+def shortened(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of sorted tokens: two sets of thousands take one token for another once in some ten million pairs."""
+    return tokens[:, None].view(np.uint8)[:, 2:].tobytes() if len(tokens) else b""
+
+
+def lengthened(raw: memoryview | bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64)[:, 0]
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int, orders: int = ORDERS) -> bool:
     """Whether two sorted sets are linked: first the prefixes under the other orders, then the count."""
     for seed in range(1, orders + 1):
@@ -312,73 +344,96 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int, orders: int = ORDERS) ->
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = _sets(docs, stage(nodes, "needed-nodes"), n)
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a")
     with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stay = [
-                similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
-                for x, y in zip(batch.column(2), batch.column(3))
-            ]
+            stay = [similar(lengthened(x.as_buffer()), lengthened(y.as_buffer()), percent) for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select([0, 1]).filter(pa.array(stay, pa.bool_()))
 
     return stage(in_batches(with_b.select("a", "b", "tokens_a", "tokens_b"), work, "a bigint, b bigint"), "links")
 
 
-def _across(open_rows: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Candidates of large groups whose nodes lie in different components."""
+def _mixed(open_rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of large groups whose nodes lie in more than one component, with their component."""
     placed = lookup_join(open_rows, roots, ["node"], F.col("token"), "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    left = stage(placed.join(mixed, "token", "left_semi"), "open-rows")
-    right = left.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "place", "root")))
-    ahead = (F.col("size") < F.col("size_b")) | ((F.col("size") == F.col("size_b")) & (F.col("node") < F.col("node_b")))
+    return stage(placed.join(mixed, "token", "left_semi"), "open-rows")
+
+
+def _across(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """Candidates of one token in different components: the shorter one of ``left`` or of ``right``."""
+    right = right.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "place", "root")))
     rest = F.least(F.col("size") - F.col("place"), F.col("size_b") - F.col("place_b"))
-    fits = (F.col("size") * 100 >= F.col("size_b") * percent) & (rest * (100 + percent) >= (F.col("size") + F.col("size_b")) * percent)
-    met = left.join(right, "token").where(ahead & (F.col("root") != F.col("root_b")) & fits)
+    close = F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * percent
+    fits = close & (rest * (100 + percent) >= (F.col("size") + F.col("size_b")) * percent)
+    met = left.join(right, "token").where((F.col("root") != F.col("root_b")) & fits)
     return met.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 
 def node_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node, size) of every document, and (node, root) of every node that is linked."""
+    """(doc_id, node, size, salt) of every document, and (node, root) of every node that is linked."""
     rows = shingled(docs, n)
-    own = stage(_prefixes(docs, n, percent, _places(rows)), "prefixes")
-    met = stage(_meet(own.where("kind = 0"), percent), "met-prefixes")
-    both = own.where("kind > 0").unionByName(met)
-    pairs = stage(both.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")).where("a <> b").distinct(), "pairs")
-    links = _verified(pairs, docs, n, percent)
+    met = _meet(_prefixes(docs, n, percent, _common(rows)), percent)
+    pairs = stage(met.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")).where("a <> b").distinct(), "pairs")
+    open_rows = stage(met.where("kind = 2").select("token", "node", "size", "place").distinct(), "large-groups")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(open_rows.select("node")).distinct()
+    sets = _sets(docs, stage(needed, "needed-nodes"), n)
+    links = _verified(pairs, sets, percent)
     roots = components(links)
-    open_rows = both.where("kind = 2").select("token", "node", "size", "place").distinct()
-    more = stage(_across(stage(open_rows, "large-groups"), roots, percent).join(pairs, ["a", "b"], "left_anti"), "pairs-across")
-    if not more.isEmpty():
-        found = _verified(more, docs, n, percent)
-        if not found.isEmpty():
-            roots = components(links.unionByName(found))
-    return rows.where("kind = 0").select("doc_id", "node", "size"), roots
+    checked = pairs
+    for look in range(LOOKS + 1):
+        left = _mixed(open_rows, roots)
+        if left.isEmpty():
+            break
+        right = left
+        if look < LOOKS:
+            # A few members of each group, the same in every group they share, meet all the others.
+            number = F.xxhash64("node", F.lit(look))
+            member = F.struct(number.alias("number"), *(F.col(c) for c in left.columns))
+            right = left.groupBy("token", F.pmod(number, F.lit(PIVOTS)).alias("of")).agg(F.min(member).alias("m")).select("m.*").drop("number")
+            right = right.select(*left.columns)
+        more = stage(_across(left, right, percent).join(checked, ["a", "b"], "left_anti"), "pairs-across")
+        if not more.isEmpty():
+            links = links.unionByName(_verified(more, sets, percent))
+            checked = checked.unionByName(more)
+            roots = components(links)
+    return rows.where("kind = 0").select("doc_id", "node", "size", "salt"), roots
 
 
 def least_row() -> Column:
     """Orders the rows of a component: ids first, nulls last, then nodes."""
-    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("node").alias("node"))
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("node").alias("node"), F.col("salt").alias("salt"))
 
 
 def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, and node and whether the row stands for its component."""
+    """doc_id, n_shingles, component_id, node, salt, and whether the row stands for its component."""
     rows, roots = node_components(docs, n, percent)
     nodes = rows.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min(least_row()).alias("least"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = nodes.groupBy("root").agg(F.sum("copies").alias("members"), F.min("least").alias("least")).where("members > 1")
     known = stage(nodes.join(groups.select("root", F.col("least").alias("first")), "root").select("node", "first"), "components")
+    names = ("doc_id", "node", "salt")
     joined = lookup_join(rows, known, ["node"], F.col("doc_id"), "left")
     return joined.select(
         "doc_id",
         F.col("size").alias("n_shingles"),
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
         "node",
-        (F.col("first").isNull() | (F.col("first.node") == F.col("node")) & F.col("first.doc_id").eqNullSafe(F.col("doc_id"))).alias("stands"),
+        "salt",
+        (F.col("first").isNull() | (F.struct(*(F.col(f"first.{c}") for c in names)).eqNullSafe(F.struct(*names)))).alias("stands"),
     )
+
+
+def representatives(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stand for their component, one for each; those without words all stay."""
+    kept = join(docs, n, percent).where("stands")
+    decided = kept.groupBy("doc_id", F.col("salt").alias("_salt")).agg(F.max(F.col("node").isNotNull()).alias("_linked"), F.count(F.lit(1)).alias("_rows"))
+    met = rejoin(docs, stage(decided, "representatives"))
+    again = F.col("_linked") & (F.col("_rows") > 1)
+    once = met.where(again).dropDuplicates(["doc_id", "text"])
+    return met.where(~again).unionByName(once).select(*docs.columns)

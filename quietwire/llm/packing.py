@@ -33,8 +33,9 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 # ASCII signs that never join a letter before them into one token.
 _TAIL = ".,!?;:*&$#%"
 _KEPT = re.compile("[\x1c-\x1f]")
-# Words a worker remembers; beyond that it starts anew.
-_REMEMBERED = 500_000
+# Words a worker remembers, and their parts without the signs after them; beyond that it starts anew.
+_REMEMBERED = 900_000
+_PARTS = 700_000
 
 
 class _Encoder:
@@ -81,6 +82,7 @@ class _Encoder:
             pass
         if len(known) > _REMEMBERED:
             known.clear()
+        if len(self.cores) > _PARTS:
             self.cores.clear()
         new = {w: self._split(w) for w in words if w not in known}
         parts = {p for pair in new.values() for p in pair if p and p not in self.cores}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quietwire.llm import mixing, ngram_join, packing, quality, sharding, substring_dedup, toxicity
+from quietwire.llm import chat, mixing, neighbours, ngram_join, packing, quality, sharding, substring_dedup, topk, toxicity
 from quietwire.llm.common import read
 
 
@@ -28,6 +28,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    model = chat.learn(rows.where((F.crc32(F.col("conv_id").cast("string")) % 5) != 0))
+    return chat.format_turns(rows.select("conv_id", "turn", "text"), model).drop("text")
+
+
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = ngram_join.join(read(spark, sf_dir, "documents"))
     return joined.select("doc_id", "n_shingles", "component_id")
@@ -42,6 +53,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer())
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
@@ -57,10 +73,31 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
+    "op3_chat": op3_chat,
+    "op4_neighbours": op4_neighbours,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_packing": op7_packing,
+    "op8_topk": op8_topk,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {}
+# Exact results that SQL can express; the other operators are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op8_topk": """
+        WITH whole AS (
+            SELECT DISTINCT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, d.vec_id,
+                   CAST(list_sum([q.v[i] * d.v[i] for i in range(1, len(q.v) + 1)]) AS BIGINT) AS score
+            FROM whole q JOIN whole d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v)
+            WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}

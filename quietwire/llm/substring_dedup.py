@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quietwire.llm.common import WordHashes, in_batches, mix, signed, text_bytes, words_of
+from quietwire.llm.common import hash_words, in_batches, mix, signed, text_bytes
 from quietwire.session import stage
 
 WINDOW = 8
@@ -69,7 +69,6 @@ def _chunks(docs: DataFrame) -> DataFrame:
     """kind 0: (digest, doc, at) to meet those of other tasks; kind 1: places known to be repeats."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         held: list[tuple] = []
         rows = 0
 
@@ -83,10 +82,9 @@ def _chunks(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids, salts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             for doc, salt, text in zip(ids.tolist(), salts.tolist(), text_bytes(batch.column(2))):
-                words = words_of(text)
-                if not words:
+                h, _ = hash_words(text)
+                if not len(h):
                     continue
-                h = known.of(words)
                 starts = cuts(h)
                 n = len(starts)
                 held.append((signed(digests(h, starts)), np.full(n, doc, np.int64), (salt << 32) + np.arange(n)))
@@ -135,27 +133,24 @@ def _repeats(rows: DataFrame) -> DataFrame:
     return in_batches(ordered, work, "doc bigint, at bigint")
 
 
-def _spans(text: bytes, places: np.ndarray, hashes: WordHashes, least: int) -> tuple[list[tuple[int, int]], int, int]:
+def _spans(text: bytes, places: np.ndarray, least: int) -> tuple[list[tuple[int, int]], int, int]:
     """(byte ranges to cut out, words cut, words) given the numbers of the chunks that are repeats."""
-    words = words_of(text)
     if not len(places):
-        return [], 0, len(words)
-    starts = cuts(hashes.of(words))
+        return [], 0, len(text.split())
+    hashes, begins = hash_words(text)
+    starts, n = cuts(hashes), len(hashes)
     marked = np.zeros(len(starts) + 2, bool)
     inner = places + 1
     marked[inner] = True  # each digest is of a chunk and the next one
     marked[np.minimum(inner + 1, len(starts))] = True
     edges = np.flatnonzero(marked[1:] != marked[:-1])
-    limits = np.concatenate([starts, [len(words)]])
-    raw = np.frombuffer(text, np.uint8)
-    solid = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
-    begins = np.flatnonzero(solid & ~np.concatenate([[False], solid[:-1]]))
+    limits = np.concatenate([starts, [n]])
     out, gone = [], 0
     for a, b in zip(limits[edges[::2]].tolist(), limits[edges[1::2]].tolist()):
         if b - a >= least:
-            out.append((int(begins[a]), int(begins[b]) if b < len(words) else len(text)))
+            out.append((int(begins[a]), int(begins[b]) if b < n else len(text)))
             gone += b - a
-    return out, gone, len(words)
+    return out, gone, n
 
 
 def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -175,14 +170,13 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     range_type = pa.struct([("start", pa.int64()), ("length", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             texts, words, gone, ranges = [], [], [], []
             for value, marked in zip(batch.column(text_at), batch.column(places_at)):
                 text = value.as_py()
                 raw = (text or "").encode()
                 marked = marked.as_py()
-                spans, removed, n = _spans(raw, np.array(marked or [], np.int64), hashes, least_words)
+                spans, removed, n = _spans(raw, np.array(marked or [], np.int64), least_words)
                 if spans:
                     bounds = [0, *(x for s in spans for x in s), len(raw)]
                     text = b"".join(raw[a:b] for a, b in zip(bounds[::2], bounds[1::2])).decode()
