@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quietwire.llm.common import LOWER, hash_words, in_batches, mix, rejoin, salt, signed, text_bytes
 from quietwire.llm.components import components
-from quietwire.operators.skew import lookup_join
+from quietwire.operators.skew import BROADCAST_ROWS, lookup_join
 from quietwire.session import stage
 
 N = 5
@@ -48,8 +48,10 @@ ORDERS = 2
 # A token shared by up to this many nodes gives all their pairs, else a star and a chain.
 SMALL = 4
 # Before all pairs across components of a group are checked, PIVOTS of its members meet all others, LOOKS times.
-LOOKS = 2
-PIVOTS = 32
+LOOKS = 3
+PIVOTS = 8
+# Tokens a node carries along to tell where it meets another one first.
+FIRSTS = 32
 # Bits that tell which nodes need their sets: a fixed broadcast. More nodes than that only send more.
 NEEDED_BITS = 22
 # Prefix rows a task sorts at a time.
@@ -192,15 +194,13 @@ def _sorted_unique(token, size, place, node):
     return token[new], size[new], place[new], node[new]
 
 
-_ROWS = "kind tinyint, token bigint, node bigint, other bigint, size int, place int"
+# kind 0 and 2: a prefix row, info = size and place; kind 1: a pair (node, info), token spreads it.
+_ROWS = "kind tinyint, token bigint, node bigint, info bigint"
 
 
-def _out(kind: int, token, node, other, size, place) -> pa.RecordBatch:
-    n = len(node)
-    arrays = [pa.array(np.full(n, kind, np.int8))]
-    arrays += [pa.array(np.zeros(n, np.int64) if c is None else c) for c in (token, node, other)]
-    arrays += [pa.array(np.zeros(n, np.int32) if c is None else c.astype(np.int32)) for c in (size, place)]
-    return pa.RecordBatch.from_arrays(arrays, ["kind", "token", "node", "other", "size", "place"])
+def _out(kind: int, token: np.ndarray, node: np.ndarray, info: np.ndarray) -> pa.RecordBatch:
+    arrays = [pa.array(np.full(len(node), kind, np.int8)), *map(pa.array, (token, node, info))]
+    return pa.RecordBatch.from_arrays(arrays, ["kind", "token", "node", "info"])
 
 
 def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,13 +225,14 @@ def _prefixes(docs: DataFrame, n: int, percent: int, common: tuple[np.ndarray, n
             a, b, big = pairs.of(token, size, place, node)
             inner = big[a] & big[b]
             low, high = _unique_pairs(node[a[inner]], node[b[inner]])
-            yield _out(1, signed(mix(low)), low, high, None, None)
+            yield _out(1, signed(mix(low)), low, high)
             # Of a large group only the two ends go on: stars and chains across tasks hang on them.
             first = np.ones(len(token), bool)
             first[1:] = token[1:] != token[:-1]
             go = ~big | first | np.roll(first, -1)
-            yield _out(0, token[go], node[go], None, size[go], place[go])
-            yield _out(2, token[big], node[big], None, size[big], place[big])
+            info = size << 32 | place
+            yield _out(0, token[go], node[go], info[go])
+            yield _out(2, token[big], node[big], info[big])
 
         for batch in batches:
             for text in text_bytes(batch.column(0)):
@@ -263,15 +264,16 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             token, size, place, node = _sorted_unique(*columns)
             a, b, big = pairs.of(token, size, place, node)
             low, high = _unique_pairs(node[a], node[b])
-            yield _out(1, None, low, high, None, None)
-            yield _out(2, token[big], node[big], None, size[big], place[big])
+            yield _out(1, low, low, high)
+            yield _out(2, token[big], node[big], (size << 32 | place)[big])
 
         for batch in batches:
             kind = batch.column(0).to_numpy()
             if (kind > 0).any():
                 yield batch.filter(pa.array(kind > 0))
             table = batch.filter(pa.array(kind == 0))
-            new = [table.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 4, 5, 2)]
+            token, node, info = (table.column(i).to_numpy() for i in (1, 2, 3))
+            new = [token, info >> 32, info & 0xFFFFFFFF, node]
             held = [np.concatenate(c) for c in zip(held, new)]
             token = held[0]
             if len(token) < BLOCK // 4:
@@ -284,7 +286,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
         if len(held[0]):
             yield from emit(held)
 
-    ordered = rows.repartition("token").sortWithinPartitions("token", "size", "node")
+    ordered = rows.repartition("token").sortWithinPartitions("token")
     return stage(in_batches(ordered, work, _ROWS), "met-prefixes")
 
 
@@ -345,9 +347,12 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int, orders: int = ORDERS) ->
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
-    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a")
-    with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b")
+    """The pairs (a, b) whose sets are similar. A counted number of pairs goes to the sets, more are dealt by node."""
+    few = F.broadcast if pairs.count() <= BROADCAST_ROWS else (lambda df: df)
+    sets_a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a"))
+    sets_b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b"))
+    sets_b = sets_b.join(few(pairs.select("b").distinct()), "b", "left_semi")
+    with_b = sets_a.join(few(pairs), "a").join(sets_b, "b")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -362,15 +367,20 @@ def _mixed(open_rows: DataFrame, roots: DataFrame) -> DataFrame:
     placed = lookup_join(open_rows, roots, ["node"], F.col("token"), "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    return stage(placed.join(mixed, "token", "left_semi"), "open-rows")
+    rows = stage(placed.join(mixed, "token", "left_semi"), "mixed-rows")
+    firsts = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("token")), 1, FIRSTS).alias("firsts"))
+    return stage(rows.join(firsts, "node"), "open-rows")
 
 
-def _across(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Candidates of one token in different components: the shorter one of ``left`` or of ``right``."""
-    right = right.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "place", "root")))
+def _across(left: DataFrame, right: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Candidates that share a token and lie in different components. Where ``every`` row of a token is
+    on both sides, nodes with several tokens in common meet at the first they know of, mostly once."""
+    right = right.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "place", "root", "firsts")))
+    earlier = F.array_min(F.array_intersect("firsts", "firsts_b")) < F.col("token")
     rest = F.least(F.col("size") - F.col("place"), F.col("size_b") - F.col("place_b"))
     close = F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * percent
     fits = close & (rest * (100 + percent) >= (F.col("size") + F.col("size_b")) * percent)
+    fits = fits & ~F.coalesce(earlier, F.lit(False)) & (F.col("node") < F.col("node_b")) if every else fits
     met = left.join(right, "token").where((F.col("root") != F.col("root_b")) & fits)
     return met.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
@@ -379,8 +389,9 @@ def node_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tupl
     """(doc_id, node, size, salt) of every document, and (node, root) of every node that is linked."""
     rows = shingled(docs, n)
     met = _meet(_prefixes(docs, n, percent, _common(rows)), percent)
-    pairs = stage(met.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")).where("a <> b").distinct(), "pairs")
-    open_rows = stage(met.where("kind = 2").select("token", "node", "size", "place").distinct(), "large-groups")
+    pairs = stage(met.where("kind = 1").select(F.col("node").alias("a"), F.col("info").alias("b")).where("a <> b").distinct(), "pairs")
+    large = met.where("kind = 2").select("token", "node", F.expr("shiftright(info, 32)").alias("size"), F.col("info").bitwiseAND(F.lit(0xFFFFFFFF)).alias("place"))
+    open_rows = stage(large.distinct(), "large-groups")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(open_rows.select("node")).distinct()
     sets = _sets(docs, stage(needed, "needed-nodes"), n)
     links = _verified(pairs, sets, percent)
@@ -397,7 +408,7 @@ def node_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tupl
             member = F.struct(number.alias("number"), *(F.col(c) for c in left.columns))
             right = left.groupBy("token", F.pmod(number, F.lit(PIVOTS)).alias("of")).agg(F.min(member).alias("m")).select("m.*").drop("number")
             right = right.select(*left.columns)
-        more = stage(_across(left, right, percent).join(checked, ["a", "b"], "left_anti"), "pairs-across")
+        more = stage(_across(left, right, percent, every=look == LOOKS).join(checked, ["a", "b"], "left_anti"), "pairs-across")
         if not more.isEmpty():
             links = links.unionByName(_verified(more, sets, percent))
             checked = checked.unionByName(more)
