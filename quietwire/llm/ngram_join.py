@@ -40,7 +40,7 @@ from quietwire.session import stage
 N = 5
 PERCENT = 80
 # Tokens that the first order knows to be common, the most common ones: a fixed number, so a fixed broadcast.
-COMMON = 1 << 18
+COMMON = 1 << 21
 # Tokens a task counts at a time.
 COUNTED = 4_000_000
 # Further orders a candidate is checked under.
@@ -137,12 +137,23 @@ def shingled(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The COMMON most used tokens, sorted, and how often each is known to be used. All others count as rare."""
-    used = rows.where("kind = 1").groupBy("node").agg(F.sum("size").alias("uses"))
-    found = [(r["node"], r["uses"]) for r in used.orderBy(F.desc("uses"), "node").limit(COMMON).toLocalIterator()]
-    tokens = np.array([f[0] for f in found], np.int64).astype(np.uint64)
+    """The most used tokens, at most COMMON of them, sorted, and how often each is known to be used.
+
+    All that are used as often as a level are taken or none, so few numbers tell where to stop.
+    """
+    used = stage(rows.where("kind = 1").groupBy("node").agg(F.sum("size").alias("uses")), "token-uses")
+    level = F.when(F.col("uses") < 64, F.col("uses")).otherwise(F.pow(2, F.floor(F.log2("uses"))).cast("long"))
+    levels = used.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, total = 1 << 62, 0
+    for r in sorted(levels, key=lambda r: -r["level"]):
+        total += r["n"]
+        if total > COMMON:
+            break
+        least = r["level"]
+    found = used.where(level >= least).toArrow()
+    tokens = found.column("node").to_numpy().astype(np.uint64)
     by = np.argsort(tokens)
-    return tokens[by], np.array([f[1] for f in found], np.int64)[by]
+    return tokens[by], found.column("uses").to_numpy()[by].astype(np.int32)
 
 
 def _uses(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
