@@ -26,14 +26,26 @@ def number(raw: Column) -> Column:
     return F.when(F.rlike(text, F.lit(_NUMBER)), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
 
-def stable_id(record: Column) -> Column:
-    """The record's own id, else a hash of title, source and url. ``record`` maps key to text."""
+def _own_id(record: Column, raw: Column, key: str) -> Column:
+    """An id the record brings along. Zero, false and empty values count as none."""
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(raw), f"$.{key}", "variant"))
+    text = filled(record[key])
+    zero = (kind != "STRING") & (text.try_cast("double") == 0)
+    return (
+        F.when((kind == "BOOLEAN") & (text == "true"), F.lit("True"))
+        .when((kind == "BOOLEAN") | F.coalesce(zero, F.lit(False)), F.lit(None).cast("string"))
+        .otherwise(text)
+    )
+
+
+def stable_id(record: Column, raw: Column) -> Column:
+    """The record's own id, else a hash of title, source and url. ``record`` maps key to text, ``raw`` is its JSON."""
 
     def part(key: str) -> Column:
         # A key that is there without a value hashes as the word None, a missing key as nothing.
         return F.when(F.map_contains_key(record, key), F.coalesce(record[key], F.lit("None"))).otherwise("")
 
-    own = [filled(record[key]) for key in ("id", "article_id", "uuid")]
+    own = [_own_id(record, raw, key) for key in ("id", "article_id", "uuid")]
     return F.coalesce(*own, F.sha1(F.concat_ws("|", part("title"), part("source"), part("url"))))
 
 

@@ -1,8 +1,9 @@
-"""Landed JSON payloads -> cleaned rows. Rejected records go to a quarantine, not away.
+"""Landed JSON payloads -> cleaned rows. Whatever is rejected goes to a quarantine with its text, not away.
 
-A landing table has one row per payload: ``payload`` (text), ``ordinal`` (a number that grows
-in the order the payloads arrived) and, for prices, ``symbol`` (the one that was asked for).
-A payload is a bare list of records or an envelope holding the list. Reading a folder of pages
+A landing table has one row per payload: ``payload`` (text), ``ordinal`` (anything that grows in the
+order the payloads arrived) and, for prices, ``symbol`` (the one that was asked for). A payload is a
+bare list of records or an envelope holding the list. Every record is parsed on its own, so a broken
+one costs no other. A payload without a readable list is quarantined whole. Reading a folder of pages
 puts the pages together.
 """
 
@@ -18,32 +19,62 @@ from quietwire.functions.values import filled, normalise_symbol, number, stable_
 from quietwire.settings import BROADCAST_WATCHLIST, LOOKBACK_DAYS
 
 # Every value of a record as text; nested values keep their JSON form.
-_RECORDS = "array<map<string,string>>"
+_RECORD = "map<string,string>"
 _ENVELOPE_KEYS = ("results", "data")
 
 
 @dataclass(frozen=True)
 class Cleaned:
+    """``rows`` are good, ``quarantine`` (ordinal, position, raw, reason) is everything left out, and
+    ``notes`` (the same columns) are values that had to be dropped from rows that were kept."""
+
     rows: DataFrame
     quarantine: DataFrame
+    notes: DataFrame
+
+
+def arrival() -> Column:
+    """When a file landed: by time, then by the last number in its name, then by its full path."""
+    name = F.col("_metadata.file_name")
+    last = F.regexp_extract(name, r"(\d{1,18})\D*$", 1)
+    return F.struct(
+        F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.coalesce(last.try_cast("bigint"), F.lit(-1)).alias("number"),
+        F.col("_metadata.file_path").alias("path"),
+    ).alias("ordinal")
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of JSON files, one payload per file, in file name order."""
-    return (
-        spark.read.text(path, wholetext=True)
-        .select(F.col("value").alias("payload"), F.col("_metadata.file_name").alias("ordinal"))
-    )
+    """A folder of JSON files, one payload per file, in the order they landed."""
+    return spark.read.text(path, wholetext=True).select(F.col("value").alias("payload"), arrival())
 
 
 def records(landing: DataFrame) -> DataFrame:
-    """One row per record: ``record`` (map of texts) and its position in the landing table."""
-    payload = F.col("payload")
+    """One row per record: ``raw`` text, ``record`` (map of texts, null if it is none), ``position``.
+
+    A payload without a readable list gives one row, with its whole text as ``raw`` and no position.
+    """
+    payload = F.regexp_replace(F.col("payload"), "^\ufeff", "")
     envelope = F.from_json(payload, "struct<" + ",".join(f"{key}:string" for key in _ENVELOPE_KEYS) + ">")
     inner = F.coalesce(*(filled(envelope[key]) for key in _ENVELOPE_KEYS))
     listed = F.when(F.rlike(payload, F.lit(r"^\s*\[")), payload).otherwise(inner)
+    elements = F.from_json(listed, "array<string>")
     carried = [c for c in landing.columns if c != "payload"]
-    return landing.select(*carried, F.posexplode(F.from_json(listed, _RECORDS)).alias("position", "record"))
+    split = landing.select(*carried, payload.alias("_payload"), elements.alias("_elements"))
+    split = split.where(F.coalesce(F.size("_elements") != 0, F.lit(True)))  # an empty list holds nothing to keep
+    rows = split.select(*carried, "_payload", F.posexplode_outer("_elements").alias("position", "_element"))
+    raw = F.when(F.col("position").isNull(), F.col("_payload")).otherwise(F.coalesce("_element", F.lit("null")))
+    return rows.select(*carried, "position", raw.alias("raw"), F.from_json("_element", _RECORD).alias("record"))
+
+
+def _rejects(parsed: DataFrame, reasons: dict[str, Column]) -> DataFrame:
+    """The rows that fail any of the conditions, under the first one they fail."""
+    found = F.coalesce(*(F.when(condition, name) for name, condition in reasons.items()))
+    return parsed.select("ordinal", "position", "raw", found.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def _unreadable() -> dict[str, Column]:
+    return {"no list": F.col("position").isNull(), "no record": F.col("record").isNull()}
 
 
 def last_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -54,7 +85,11 @@ def last_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def price_rows(landing: DataFrame) -> Cleaned:
-    """daily_close rows. The symbol of the record (or its ticker) wins over the one asked for."""
+    """daily_close rows. The symbol of the record (or its ticker) wins over the one asked for.
+
+    A close that does not fit its column rejects the record; a volume or market value that does not
+    is left out and noted. Fractions of a volume are rounded.
+    """
     record = F.col("record")
     asked = F.col("symbol") if "symbol" in landing.columns else F.lit(None).cast("string")
     parsed = records(landing).select(
@@ -62,23 +97,26 @@ def price_rows(landing: DataFrame) -> Cleaned:
             filled(normalise_symbol(record["symbol"])), filled(normalise_symbol(record["ticker"])), normalise_symbol(asked)
         ).alias("symbol"),
         filled(record["date"]).try_cast("date").alias("trade_date"),
-        number(record["close"]).cast("decimal(20,4)").alias("close"),
-        number(record["volume"]).cast("bigint").alias("volume"),
-        number(record["market_cap"]).cast("decimal(24,2)").alias("market_cap"),
+        number(record["close"]).try_cast("decimal(20,4)").alias("close"),
+        F.rint(number(record["volume"])).try_cast("bigint").alias("volume"),
+        number(record["market_cap"]).try_cast("decimal(24,2)").alias("market_cap"),
         "ordinal",
         "position",
         "record",
+        "raw",
     )
-    whole = F.col("symbol").isNotNull() & F.col("trade_date").isNotNull() & F.col("close").isNotNull()
-    rows = last_per_key(parsed.where(whole).drop("record"), ["symbol", "trade_date"], ["ordinal", "position"])
-    return Cleaned(rows.drop("ordinal", "position"), parsed.where(~whole).select("ordinal", "position", "record"))
+    rejects = _unreadable() | {f"no {c}": F.col(c).isNull() for c in ("symbol", "trade_date", "close")}
+    whole = F.col("symbol").isNotNull() & F.col("trade_date").isNotNull() & F.col("close").isNotNull() & record.isNotNull()
+    rows = last_per_key(parsed.where(whole).drop("record", "raw"), ["symbol", "trade_date"], ["ordinal", "position"])
+    lost = {f"{c} out of range": number(record[c]).isNotNull() & F.col(c).isNull() for c in ("volume", "market_cap")}
+    return Cleaned(rows.drop("ordinal", "position"), _rejects(parsed, rejects), _rejects(parsed.where(whole), lost))
 
 
 def news_rows(landing: DataFrame, watchlist: DataFrame) -> Cleaned:
     """news_items rows, one per id: the last record seen."""
     record = F.col("record")
     parsed = records(landing).select(
-        stable_id(record).alias("id"),
+        stable_id(record, F.col("raw")).alias("id"),
         F.from_json(record["symbols"], "array<string>").alias("symbols"),
         record["timestamp"].try_cast("timestamp").alias("published_at"),
         strip(record["title"]).alias("title"),
@@ -88,11 +126,14 @@ def news_rows(landing: DataFrame, watchlist: DataFrame) -> Cleaned:
         "ordinal",
         "position",
         "record",
+        "raw",
     )
-    whole = F.coalesce(F.col("title") != "", F.lit(False)) & F.col("published_at").isNotNull()
-    rows = last_per_key(parsed.where(whole).drop("record"), ["id"], ["ordinal", "position"])
+    titled = F.coalesce(F.col("title") != "", F.lit(False))
+    whole = titled & F.col("published_at").isNotNull() & record.isNotNull()
+    rows = last_per_key(parsed.where(whole).drop("record", "raw"), ["id"], ["ordinal", "position"])
     rows = primary_symbol(rows, watchlist).select("id", "symbol", "published_at", "title", "body", "source", "url")
-    return Cleaned(rows, parsed.where(~whole).select("ordinal", "position", "record"))
+    rejects = _unreadable() | {"no title": ~titled, "no timestamp": F.col("published_at").isNull()}
+    return Cleaned(rows, _rejects(parsed, rejects), _rejects(parsed.where(F.lit(False)), {"none": F.lit(False)}))
 
 
 def primary_symbol(rows: DataFrame, watchlist: DataFrame) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quietwire.schema import DAILY_CLOSE, NEWS_ITEMS
-from quietwire.sources.landed import news_rows, price_rows
+from quietwire.sources.landed import arrival, news_rows, price_rows
 from quietwire.sources.tables import upsert_partitions
 
 PRICES = T.StructType([*DAILY_CLOSE.fields, T.StructField("year", T.IntegerType())])
+# A backlog is taken in in batches of this size.
+BATCH_BYTES = 256 << 30
 NEWS = T.StructType([*NEWS_ITEMS.fields, T.StructField("published_date", T.DateType())])
 
 
@@ -24,8 +26,9 @@ def _take_in(spark: SparkSession, landing: str, checkpoint: str, write: Callable
     files = (
         spark.readStream.format("text")
         .option("wholetext", "true")
+        .option("maxBytesPerTrigger", str(BATCH_BYTES))
         .load(landing)
-        .select(F.col("value").alias("payload"), F.col("_metadata.file_name").alias("ordinal"))
+        .select(F.col("value").alias("payload"), arrival())
     )
     query = (
         files.writeStream.foreachBatch(lambda batch, _: write(batch))
@@ -42,7 +45,7 @@ def take_in_prices(spark: SparkSession, landing: str, table: str, checkpoint: st
     def write(batch: DataFrame) -> None:
         rows = price_rows(batch).rows.withColumn("fetched_at", F.current_timestamp())
         rows = rows.withColumn("year", F.year("trade_date"))
-        upsert_partitions(batch.sparkSession, table, PRICES, rows, ["symbol", "trade_date"], "year")
+        upsert_partitions(batch.sparkSession, table, PRICES, rows, ["symbol", "trade_date"], "year", follows=True)
 
     _take_in(spark, landing, checkpoint, write)
 
