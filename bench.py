@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from quietwire.catalogue import QUERIES  # noqa: E402
+from quietwire.session import release  # noqa: E402
 
 HEADLINE = (
     "baseline_rolling",
@@ -46,6 +47,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        release(spark)
     total = round(sum(seconds.values()), 3)
     scale = Path(folder).name.removeprefix("sf")
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": scale}))

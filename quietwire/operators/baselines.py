@@ -39,8 +39,8 @@ def baselines(prices: DataFrame, window: int = BASELINE_WINDOW) -> DataFrame:
     )
 
 
-def baselines_since(prices: DataFrame, since: date, window: int = BASELINE_WINDOW) -> DataFrame:
-    """Same rows as ``baselines`` from ``since`` on, from just the history those rows need.
+def history_since(prices: DataFrame, since: date, window: int = BASELINE_WINDOW) -> DataFrame:
+    """The rows from ``since`` on and the history their baselines need.
 
     That is ``window`` rows per symbol for the frame and one more for the oldest return. The
     row-number filter lets each task drop all but the newest rows before the shuffle.
@@ -52,8 +52,12 @@ def baselines_since(prices: DataFrame, since: date, window: int = BASELINE_WINDO
         .where(F.col("_age") <= window + 1)
         .drop("_age")
     )
-    recent = prices.where(F.col("trade_date") >= F.lit(since))
-    return baselines(earlier.unionByName(recent), window).where(F.col("trade_date") >= F.lit(since))
+    return earlier.unionByName(prices.where(F.col("trade_date") >= F.lit(since)))
+
+
+def baselines_since(prices: DataFrame, since: date, window: int = BASELINE_WINDOW) -> DataFrame:
+    """Same rows as ``baselines`` from ``since`` on, from just the history those rows need."""
+    return baselines(history_since(prices, since, window), window).where(F.col("trade_date") >= F.lit(since))
 
 
 def next_day_label(priced: DataFrame) -> DataFrame:

@@ -8,26 +8,27 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quietwire.session import stage
+from quietwire.session import size_of, stage
 
-# At most HOT_KEYS keys can each hold more than 1/HOT_KEYS of the rows, so the list of hot
-# keys is small enough to broadcast whatever the data.
-HOT_KEYS = 1000
-# A key is only worth splitting once it is this long.
+# A key with more rows is split into parts of this many, whatever the size of the data.
 HOT_ROWS = 200_000
-SALTS = 64
-# A lookup side up to this many (narrow) rows is broadcast; beyond it the join is shuffled.
+# A list of hot keys up to this long is broadcast; a longer one is joined.
+HOT_KEYS = 100_000
+# A lookup side up to this many rows and bytes of files is broadcast; beyond it the join is shuffled.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def hot_keys(counts: DataFrame, keys: list[str], rows: str) -> DataFrame | None:
-    """The long keys above a 1/HOT_KEYS share, from exact per-key counts: at most HOT_KEYS rows.
+    """The keys with more than HOT_ROWS rows and ``_salts``, the parts each is split into.
 
     None when no key is that long, so that the join needs no salting at all.
     """
-    total, longest = counts.agg(F.sum(rows), F.max(rows)).first()
-    bound = max((total or 0) / HOT_KEYS, HOT_ROWS)
-    return counts.where(F.col(rows) > bound).select(*keys) if (longest or 0) > bound else None
+    hot = counts.where(F.col(rows) > HOT_ROWS).select(*keys, F.ceil(F.col(rows) / HOT_ROWS).cast("int").alias("_salts"))
+    if hot.isEmpty():
+        return None
+    hot = stage(hot, "hot-keys")
+    return F.broadcast(hot) if hot.count() <= HOT_KEYS else hot
 
 
 def salted_join(
@@ -39,41 +40,39 @@ def salted_join(
     how: str = "inner",
     null_keys: bool = False,
 ) -> DataFrame:
-    """Equi-join whose hot keys are spread over SALTS partitions.
+    """Equi-join whose hot keys are spread over parts of at most about HOT_ROWS rows.
 
-    ``hot`` lists values of ``keys`` or of some of them. ``spread`` is a column of ``big`` that
-    varies within a key. Only rows of ``small`` under a hot key are repeated, once per salt, so
-    each row of ``big`` still meets each match once. With ``null_keys`` the rows of ``big`` that
-    can meet nothing are spread as well.
+    ``hot`` lists values of ``keys`` or of some of them, with ``_salts``. ``spread`` is a column of
+    ``big`` that varies within a key. Only rows of ``small`` under a hot key are repeated, once per
+    salt, so each row of ``big`` still meets each match once. With ``null_keys`` the rows of ``big``
+    that can meet nothing are spread as well.
     """
-    left, right, split = big, small, []
+    left, right = big, small
+    salts = F.lit(1)
     if hot is not None:
-        marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        left = big.join(marked, hot.columns, "left")
-        right = small.join(marked, hot.columns, "left")
-        split.append(F.coalesce("_hot", F.lit(False)))
+        by = [c for c in hot.columns if c != "_salts"]
+        left, right = big.join(hot, by, "left"), small.join(hot, by, "left")
+        salts = F.coalesce("_salts", F.lit(1))
     if null_keys:
-        split.extend(F.col(key).isNull() for key in keys)
-    if not split:
+        # They meet nothing, so any spread will do.
+        salts = F.when(reduce(or_, (F.col(key).isNull() for key in keys)), F.lit(1 << 20)).otherwise(salts)
+    elif hot is None:
         return big.join(small, keys, how)
-    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
-    left = left.withColumn("_salt", F.when(reduce(or_, split), salt).otherwise(0)).drop("_hot")
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_salts")
     if hot is None:
         right = right.withColumn("_salt", F.lit(0))
     else:
-        every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        salts = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))
-        right = right.withColumn("_salt", F.explode(salts)).drop("_hot")
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def lookup_join(big: DataFrame, staged: DataFrame, keys: list[str], spread: Column, how: str = "inner") -> DataFrame:
     """Attach the single row that ``staged`` (a staged table, unique on ``keys``) holds per key.
 
-    Its row count is read from the file footers. A small one is broadcast and ``big`` is not
-    moved at all; a larger one is shuffled, with the hot keys of ``big`` salted.
+    Its row count is read from the file footers, its bytes from the files. A small one is broadcast
+    and ``big`` is not moved at all; a larger one is shuffled, with the hot keys of ``big`` salted.
     """
-    if staged.count() <= BROADCAST_ROWS:
+    if staged.count() <= BROADCAST_ROWS and size_of(staged) <= BROADCAST_BYTES:
         return big.join(F.broadcast(staged), keys, how)
     counts = stage(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
     return salted_join(big, staged, keys, hot_keys(counts, keys, "_rows"), spread, how, null_keys=how == "left")

@@ -21,25 +21,46 @@ _SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
+# Shuffled bytes that a task should get at most; AQE merges what is smaller.
+TASK_BYTES = 256 << 20
 
-def configure(spark: SparkSession) -> SparkSession:
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Sets what the jobs need. With ``input_bytes`` exchanges start with enough partitions for that
+    much data, so that 100 TB are not dealt into the few hundred of a default session."""
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
+    if input_bytes:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(least, -(-input_bytes // TASK_BYTES))))
     return spark
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, as Catalyst knows them without a job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests, local runs) gets a temporary folder, once.
+    Only a local session (tests, single runs) may name none and gets a temporary folder, once. On a
+    cluster the driver's own disk is no substitute, so that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="quietwire-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/quietwire/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -47,7 +68,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     what Catalyst needs to choose between a broadcast and a shuffled join.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/quietwire/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
+
+def release(spark: SparkSession) -> None:
+    """Removes everything this application has staged. For when its results are written; after a
+    failure the tables stay, as they tell what happened."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quietwire.operators.skew import BROADCAST_ROWS
 from quietwire.session import stage
 
 
@@ -46,6 +47,24 @@ def upsert(
     return old.join(new, keys, "full_outer").select(*(merged(c) for c in target.columns))
 
 
+def in_partitions(table: DataFrame, partition: str, values: list) -> DataFrame:
+    """The rows of these partitions. The values are literals, so no other folder is opened."""
+    column, known = F.col(partition), [v for v in values if v is not None]
+    wanted = column.isin(known) if known else F.lit(False)
+    return table.where(wanted | column.isNull()) if len(known) < len(values) else table.where(wanted)
+
+
+def _touched(target: DataFrame, incoming: DataFrame, rows: int, keys: list[str], partition: str, follows: bool) -> list:
+    """The partitions that an upsert changes: one value each."""
+    parts = incoming.select(partition)
+    if not follows:
+        # Stored rows may lie elsewhere. Only their keys are looked through; a short list of new ones goes to them.
+        new = incoming.select(*keys)
+        stored = target.select(*dict.fromkeys([*keys, partition]))
+        parts = parts.union(stored.join(F.broadcast(new) if rows <= BROADCAST_ROWS else new, keys, "left_semi").select(partition))
+    return [r[0] for r in parts.distinct().collect()]
+
+
 def upsert_partitions(
     spark: SparkSession,
     path: str,
@@ -55,23 +74,22 @@ def upsert_partitions(
     partition: str,
     insert_only: bool = False,
     keep: tuple[str, ...] = ("fetched_at",),
+    follows: bool = False,
 ) -> int:
-    """Upsert into a partitioned table, rewriting only the partitions that hold touched rows.
+    """Upsert into a partitioned table, reading and rewriting only the partitions that hold touched rows.
 
     ``partition`` is a column of the table that is set on insert and never changes, so no row
-    moves; nor do the ``keep`` columns. The new partitions are staged first: a rerun after a
-    failure gives the same table. Returns the number of incoming rows.
+    moves; nor do the ``keep`` columns. Where it ``follows`` from the keys (the year of a date),
+    the incoming rows name all partitions; else the stored keys are looked through first. The new
+    partitions are staged first: a rerun after a failure gives the same table. Returns the number
+    of incoming rows.
     """
     incoming = stage(incoming, "incoming")
     rows = incoming.count()
     if rows == 0:
         return 0
     target = read_table(spark, path, schema)
-    # dict.fromkeys: the partition may be one of the keys.
-    columns = list(dict.fromkeys([*keys, partition]))
-    held = target.select(*columns).join(incoming.select(*keys), keys, "left_semi").select(partition)
-    parts = stage(incoming.select(partition).union(held).distinct(), "touched-partitions")
-    current = target.join(parts, partition, "left_semi")
+    current = in_partitions(target, partition, _touched(target, incoming, rows, keys, partition, follows))
     stays = [c for c in incoming.columns if c not in (*keys, partition, *keep)]
     after = stage(upsert(current, incoming, keys, update=stays, insert_only=insert_only), "upserted")
     after.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
