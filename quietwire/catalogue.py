@@ -17,13 +17,13 @@ from quietwire.functions.text import article_text
 from quietwire.operators.baselines import baselines, baselines_since
 from quietwire.operators.coverage import backfill_gaps
 from quietwire.operators.market_calendar import is_trading_day, last_closed_session
-from quietwire.operators.near_duplicates import near_duplicate_pairs, near_duplicates
+from quietwire.operators.near_duplicates import near_duplicate_followers, near_duplicates
 from quietwire.operators.surprise import reason
 from quietwire.operators.watchlist import mark_watched
 from quietwire.plans import evaluate, funnel, report
 from quietwire.schema import STAGES
 from quietwire.session import configure
-from quietwire.settings import HOLIDAYS
+from quietwire.settings import HOLIDAYS, Thresholds
 from quietwire.sources.landed import last_per_key, lookback, news_rows, price_rows
 from quietwire.sources.tables import upsert
 
@@ -135,7 +135,7 @@ raw_w AS (
 norms AS (SELECT bucket, id, sqrt(SUM(w * w)) AS norm FROM raw_w GROUP BY ALL),
 unit AS (SELECT bucket, id, ord, g, w / norm AS w FROM raw_w JOIN norms USING (bucket, id) WHERE df > 1),
 similar_docs AS (
-  SELECT a.bucket, a.id AS a, a.ord AS a_ord, b.id AS b, b.ord AS b_ord
+  SELECT a.bucket, a.id AS a, a.ord AS a_ord, b.id AS b, b.ord AS b_ord, SUM(a.w * b.w) AS similarity
   FROM unit a JOIN unit b ON a.bucket = b.bucket AND a.g = b.g AND a.ord < b.ord
   GROUP BY ALL HAVING SUM(a.w * b.w) >= 0.75),
 later AS (SELECT bucket, b AS id, b_ord, list(a) AS near FROM similar_docs GROUP BY ALL),
@@ -259,6 +259,34 @@ def surprise_scores(spark, folder):
     )
 
 
+@_query(
+    f"""WITH {_WIDE_PRICES_SQL}, {_BASELINES_SQL} SELECT symbol, CAST(trade_date AS VARCHAR) AS run_date,
+    round((volume - vol_mean_30d) / NULLIF(vol_std_30d, 0), 6) AS volume_z,
+    round((daily_return - ret_mean_30d) / NULLIF(ret_std_30d, 0), 6) AS return_z FROM baselines"""
+)
+def surprise_live(spark, folder):
+    """Scores without a least number of observations, as a live run gives them."""
+    limits = Thresholds(min_obs=0)
+    cells = funnel.scored_cells(daily_close(spark, folder, None), watchlist(spark), limits)
+    return _rounded(cells.select("symbol", "run_date", "volume_z", "return_z"), "volume_z", "return_z")
+
+
+@_query(
+    f"""WITH {_NEWS_SQL}, linked AS (SELECT id, CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 'javascript:' || url
+    WHEN CAST(id AS BIGINT) % 7 = 0 THEN replace(url, 'https', 'http') WHEN CAST(id AS BIGINT) % 11 = 0 THEN NULL ELSE url END AS url FROM news)
+    SELECT id, coalesce(regexp_matches(url, '^https?://'), false) AS is_link FROM linked"""
+)
+def link_schemes(spark, folder):
+    number, url = F.col("id").cast("bigint"), F.col("url")
+    changed = (
+        F.when(number % 5 == 0, F.concat(F.lit("javascript:"), url))
+        .when(number % 7 == 0, F.replace(url, F.lit("https"), F.lit("http")))
+        .when(number % 11 == 0, F.lit(None))
+        .otherwise(url)
+    )
+    return news_items(spark, folder).select("id", report.is_link(changed).alias("is_link"))
+
+
 @_query(
     f"WITH {_PRICES_SQL}, {_BASELINES_SQL}, {_NEWS_SQL} SELECT n.id, n.symbol, {_REASON_SQL} AS reason "
     "FROM news n JOIN cells c ON c.symbol = n.symbol AND c.trade_date = n.run_date "
@@ -299,19 +327,13 @@ def dedup_kept(spark, folder):
     return dedup_groups(spark, folder).where("id = leader_id").drop("leader_id")
 
 
-_FIRST_COPY_SQL = (
-    "SELECT lang AS bucket, min(doc_id) AS ord FROM documents "
-    "GROUP BY lang, trim(regexp_replace(lower(text), '[\\x00-/:-@\\[-^`{-\\x7F]+', ' ', 'g'))"
-)
-
-
 @_query(
-    f"WITH RECURSIVE {_dedup_sql(_LANG_DOCS_SQL)}, firsts AS ({_FIRST_COPY_SQL}) "
-    "SELECT s.bucket AS lang, a AS earlier, b AS later FROM similar_docs s "
-    "JOIN firsts x ON x.bucket = s.bucket AND x.ord = a_ord JOIN firsts y ON y.bucket = s.bucket AND y.ord = b_ord"
+    f"""WITH RECURSIVE {_dedup_sql(_LANG_DOCS_SQL)}
+    SELECT l.bucket AS lang, l.id AS member, leader_id AS leader, round(s.similarity, 6) AS similarity
+    FROM led l JOIN similar_docs s ON s.bucket = l.bucket AND s.a = leader_id AND s.b = l.id WHERE l.id <> leader_id"""
 )
 def dedup_edges(spark, folder):
-    return _by_language(near_duplicate_pairs)(spark, folder).drop("similarity")
+    return _rounded(_by_language(near_duplicate_followers)(spark, folder), "similarity")
 
 
 # ---------------------------------------------------------------- funnel and digest
@@ -336,6 +358,44 @@ def digest_topk(spark, folder):
     return _rounded(funnel.digest(*_inputs(spark, folder)), "volume_z", "return_z")
 
 
+# A second world of twenty symbols, all of them watched, with a few items per symbol and day.
+_WIDE_SYMBOLS = 20
+_WIDE_FUNNEL_SQL = (
+    _FUNNEL_SQL.replace("l_suppkey % 4", f"l_suppkey % {_WIDE_SYMBOLS}")
+    .replace("CASE lang WHEN 'en' THEN 'S0' WHEN 'de' THEN 'S1' WHEN 'fr' THEN 'S2' ELSE 'S3' END", f"concat('S', doc_id // 20 % {_WIDE_SYMBOLS})")
+    .replace("symbol IN ('S0', 'S1', 'S2')", "true")
+)
+
+
+def _wide_digest(spark, folder):
+    news = _table(spark, folder, "documents").select(*_news_columns())
+    symbol = F.concat(F.lit("S"), F.floor(F.col("id").cast("bigint") / 20) % _WIDE_SYMBOLS)
+    nothing = watchlist(spark).where("symbol IS NULL")
+    return funnel.digest(news.withColumn("symbol", symbol), daily_close(spark, folder, _WIDE_SYMBOLS), nothing)
+
+
+@_query(
+    f"{_WIDE_FUNNEL_SQL} SELECT {_text('run_date')}, rank, id, symbol, title AS headline, url, {_Z_SQL}, reason FROM shown WHERE sent"
+)
+def digest_wide(spark, folder):
+    return _rounded(_wide_digest(spark, folder), "volume_z", "return_z")
+
+
+@_query(
+    f"""{_WIDE_FUNNEL_SQL} SELECT {_text('run_date')}, symbol, MIN(rank) AS first_rank, COUNT(*) AS headlines,
+    string_agg(title, ' | ' ORDER BY rank) AS titles, round(arg_min(volume_z, rank), 6) AS volume_z,
+    round(arg_min(return_z, rank), 6) AS return_z FROM shown WHERE sent GROUP BY run_date, symbol"""
+)
+def digest_wide_by_symbol(spark, folder):
+    grouped = report.digest_by_symbol(_wide_digest(spark, folder))
+    return _rounded(grouped.withColumn("titles", F.array_join("titles", " | ")), "volume_z", "return_z")
+
+
+@_query(f"WITH {_NEWS_SQL} SELECT {_text('run_date')}, COUNT(*) AS items FROM news WHERE NOT ({_TRADING_SQL}) GROUP BY run_date")
+def left_out_days(spark, folder):
+    return funnel.left_out(news_items(spark, folder))
+
+
 @_query(f"{_FUNNEL_SQL} SELECT {_text('run_date')}, raw, deduped, surprising, watchlist, sent FROM counts")
 def stage_counts(spark, folder):
     return _counts(spark, folder)
@@ -359,8 +419,8 @@ def item_scores(spark, folder):
 
 
 _JSON_SQL = """concat('{"symbol":', to_json(symbol), ',"headline":', to_json(title), ',"url":', to_json(url),
-  ',"volume_z":', coalesce(CAST(nullif(round(volume_z, 2), 0) AS VARCHAR), 'null'),
-  ',"return_z":', coalesce(CAST(nullif(round(return_z, 2), 0) AS VARCHAR), 'null'), ',"reason":', to_json(reason), '}')"""
+  ',"volume_z":', coalesce(CASE WHEN volume_z <> 0 THEN CAST(round(volume_z, 2) AS VARCHAR) END, 'null'),
+  ',"return_z":', coalesce(CASE WHEN return_z <> 0 THEN CAST(round(return_z, 2) AS VARCHAR) END, 'null'), ',"reason":', to_json(reason), '}')"""
 
 
 @_query(
@@ -451,7 +511,7 @@ def next_day_label(spark, folder):
     COUNT_IF(abs(next_move) >= 3) / COUNT(*) AS miss_rate FROM stages WHERE NOT sent AND next_move IS NOT NULL"""
 )
 def miss_rate(spark, folder):
-    return evaluate.miss_rate(_stages(spark, folder), daily_close(spark, folder))
+    return evaluate.miss_rate(_stages(spark, folder))
 
 
 @_query(
@@ -464,7 +524,7 @@ def miss_rate(spark, folder):
     SELECT vol_t, ret_t, AVG(least(passing, 10)) AS avg_digest_size, CAST(SUM(missed) AS BIGINT) AS misses FROM daily GROUP BY ALL"""
 )
 def threshold_sweep(spark, folder):
-    return evaluate.threshold_sweep(_stages(spark, folder), daily_close(spark, folder), VOLUME_GRID, RETURN_GRID)
+    return evaluate.threshold_sweep(_stages(spark, folder), VOLUME_GRID, RETURN_GRID)
 
 
 # ---------------------------------------------------------------- landed records
@@ -505,6 +565,65 @@ def _landed_prices(spark, folder):
     return first.union(late).select("symbol", F.col("month").alias("ordinal"), "payload")
 
 
+_MALFORMED_SQL = f"""WITH {_WIDE_PRICES_SQL},
+landed AS (
+  SELECT *, year(trade_date) * 12 + month(trade_date) AS m, day(trade_date) AS d FROM prices),
+placed AS (
+  SELECT *, symbol || '/' || m AS ordinal,
+         CAST(row_number() OVER (PARTITION BY symbol, m ORDER BY trade_date) - CASE WHEN m % 5 = 2 THEN 0 ELSE 1 END AS INT) AS position
+  FROM landed),
+pages AS (SELECT DISTINCT ordinal, m FROM placed)
+"""
+
+
+@_query(
+    f"""{_MALFORMED_SQL} SELECT 'row' AS kind, symbol, {_text('trade_date')}, close,
+    CASE WHEN d = 7 THEN NULL WHEN d = 5 THEN volume + 1 ELSE volume END AS volume,
+    CAST(NULL AS VARCHAR) AS ordinal, CAST(NULL AS INT) AS position, CAST(NULL AS VARCHAR) AS reason
+    FROM placed WHERE m % 11 <> 0 AND d <> 13
+    UNION ALL SELECT 'quarantine', NULL, NULL, NULL, NULL, ordinal, position, 'no close' FROM placed WHERE m % 11 <> 0 AND d = 13
+    UNION ALL SELECT 'quarantine', NULL, NULL, NULL, NULL, ordinal, 0, 'no record' FROM pages WHERE m % 11 <> 0 AND m % 5 = 2
+    UNION ALL SELECT 'quarantine', NULL, NULL, NULL, NULL, ordinal, NULL, 'no list' FROM pages WHERE m % 11 = 0
+    UNION ALL SELECT 'note', NULL, NULL, NULL, NULL, ordinal, position, 'volume out of range' FROM placed WHERE m % 11 <> 0 AND d = 7"""
+)
+def ingest_malformed(spark, folder):
+    """Truncated pages, elements that are no records, byte order marks, numbers that do not fit, fractions."""
+    cleaned = price_rows(_malformed_prices(spark, folder))
+    rows = cleaned.rows.select(F.lit("row").alias("kind"), "symbol", "trade_date", "close", "volume")
+    for kind, left_out in (("quarantine", cleaned.quarantine), ("note", cleaned.notes)):
+        rows = rows.unionByName(left_out.select(F.lit(kind).alias("kind"), "ordinal", "position", "reason"), allowMissingColumns=True)
+    return rows
+
+
+def _malformed_prices(spark, folder):
+    prices = daily_close(spark, folder, None).withColumn("m", F.year("trade_date") * 12 + F.month("trade_date"))
+    day, month = F.dayofmonth("trade_date"), F.col("m")
+    record = F.struct(
+        F.col("trade_date").cast("string").alias("date"),
+        F.when(day == 13, "1e30").otherwise(F.col("close").cast("string")).alias("close"),
+        F.when(day == 7, F.lit(1e30)).when(day == 5, F.col("volume") + 0.75).otherwise(F.col("volume").cast("double")).alias("volume"),
+    )
+    listed = F.to_json(F.sort_array(F.collect_list(record)))
+    page = F.when(month % 5 == 2, F.concat(F.lit("[5,"), F.substr(listed, F.lit(2)))).otherwise(listed)
+    page = F.when(month % 11 == 0, F.substr(page, F.lit(1), F.length(page) - 3)).otherwise(page)
+    page = F.when(month % 3 == 1, F.concat(F.lit("\ufeff"), page)).otherwise(page)
+    pages = prices.groupBy("symbol", "m").agg(page.alias("payload"))
+    return pages.select("symbol", F.concat_ws("/", "symbol", "m").alias("ordinal"), "payload")
+
+
+@_query(
+    f"WITH {_WIDE_PRICES_SQL} SELECT 'T' || symbol AS symbol, {_text('trade_date')}, close, volume, CAST(NULL AS DOUBLE) AS market_cap FROM prices"
+)
+def ingest_ticker(spark, folder):
+    """Records under ``data`` that name their symbol as ``ticker``."""
+    ticker = F.concat(F.lit("t"), F.lower("symbol"), F.lit(".JK")).alias("ticker")
+    record = F.struct(ticker, F.col("trade_date").cast("string").alias("date"), F.col("close").cast("string").alias("close"), "volume")
+    prices = daily_close(spark, folder, None)
+    pages = prices.groupBy("symbol", F.year("trade_date").alias("ordinal")).agg(F.to_json(F.collect_list(record)).alias("listed"))
+    landing = pages.select("symbol", "ordinal", F.concat(F.lit('{"data":'), "listed", F.lit("}")).alias("payload"))
+    return price_rows(landing).rows
+
+
 @_query(
     f"""WITH {_NEWS_SQL}, landed AS (SELECT *, '  ' || title || ' ' AS raw_title FROM news WHERE CAST(id AS BIGINT) % 10 <> 3)
     SELECT sha1(concat(raw_title, '|', url, '|')) AS id,

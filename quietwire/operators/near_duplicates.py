@@ -85,7 +85,7 @@ def near_duplicates(
     )
 
 
-def near_duplicate_pairs(
+def near_duplicate_followers(
     items: DataFrame,
     *,
     bucket: list[str],
@@ -93,14 +93,29 @@ def near_duplicate_pairs(
     text: Column,
     id_col: str = "id",
     threshold: float = DEDUP_SIMILARITY,
+    effort: Effort = Effort(),
 ) -> DataFrame:
-    """(bucket..., earlier, later): pairs of items with different tokens that reach the threshold.
+    """(bucket..., member, leader, similarity): one row for each item that is not kept, copies included.
 
-    Copies are represented by their first item, so a group of n copies adds no n*n pairs.
+    A group of n items gives n - 1 rows, however similar its members are to each other.
     """
-    _, _, vectors = _vectors(items, bucket, order, text, id_col, threshold)
-    return similar_pairs(vectors, vectors, bucket, threshold).select(
-        *bucket, F.col("a").alias("earlier"), F.col("b").alias("later"), "similarity"
+    keyed, copies, vectors = _vectors(items, bucket, order, text, id_col, threshold)
+    led = _greedy(vectors, bucket, threshold, effort).where("id <> leader_id")
+    heads = vectors.select(F.col("id").alias("a"), F.col("ord").alias("a_ord"))
+    tails = vectors.select(*bucket, F.col("id").alias("b"), F.col("ord").alias("b_ord"))
+    pairs = led.select(F.col("leader_id").alias("a"), F.col("id").alias("b")).join(heads, "a").join(tails, "b")
+    pairs = stage(pairs, "led-pairs")
+    scored = stage(_similarities(pairs, vectors, vectors, bucket).select(F.col("b").alias("first_id"), "a", "similarity"), "led")
+    # Later copies follow the leader of the first one, or the first one itself.
+    repeated = copies.select(*bucket, "key", F.col("first.id").alias("first_id"), "copies")
+    firsts = salted_join(keyed, repeated.drop("copies"), [*bucket, "key"], hot_keys(repeated, [*bucket, "key"], "copies"), F.col("id"))
+    found = lookup_join(firsts.select(*bucket, "id", "first_id"), scored, ["first_id"], F.col("id"), "left")
+    own = F.col("a").isNull()
+    return found.where(~own | (F.col("id") != F.col("first_id"))).select(
+        *bucket,
+        F.col("id").alias("member"),
+        F.when(own, F.col("first_id")).otherwise(F.col("a")).alias("leader"),
+        F.when(own, F.lit(1.0)).otherwise(F.col("similarity")).alias("similarity"),
     )
 
 
@@ -222,6 +237,12 @@ def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshol
         .distinct(),
         "candidates",
     )
+    return _similarities(candidates, heads, rest, bucket).where(F.col("similarity") >= threshold)
+
+
+def _similarities(candidates: DataFrame, heads: DataFrame, rest: DataFrame, bucket: list[str]) -> DataFrame:
+    """Adds the similarity to pairs (bucket..., a, a_ord, b, b_ord)."""
+    pair = ["a", "a_ord", "b", "b_ord"]
     # One head may be a candidate for many later items; never the other way round by much.
     busy = hot_keys(candidates.groupBy("a").agg(F.count(F.lit(1)).alias("rows")), ["a"], "rows")
     vectors_b = rest.select(F.col("id").alias("b"), F.col("vector").alias("vector_b"))
@@ -237,7 +258,6 @@ def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshol
         salted_join(weights_b, weights_a, ["a", "gram"], busy, F.col("b"))
         .groupBy(*bucket, *pair)
         .agg(F.sum(F.col("w_a") * F.col("w_b")).alias("similarity"))
-        .where(F.col("similarity") >= threshold)
     )
 
 

@@ -26,23 +26,18 @@ def labelled_days(prices: DataFrame, limits: Thresholds = Thresholds()) -> DataF
     )
 
 
-def miss_rate(stages: DataFrame, prices: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
+def miss_rate(stages: DataFrame) -> DataFrame:
     """Of the suppressed items with a known next move, the share before a material one.
 
-    Items are counted per (run_date, symbol) before they meet the labels.
+    The move to the next day came along with the scores, so no price is read again.
     """
-    cells = stages.where("NOT sent").groupBy("run_date", "symbol").agg(F.count(F.lit(1)).alias("items"))
-    labels = labelled_days(prices, limits).where("material IS NOT NULL").select("symbol", "run_date", "material")
-    labelled = cells.join(labels, ["symbol", "run_date"])
-    missed = F.coalesce(F.sum(F.when(F.col("material"), F.col("items"))), F.lit(0))
-    return labelled.agg(
-        F.coalesce(F.sum("items"), F.lit(0)).alias("suppressed"), missed.alias("missed")
-    ).withColumn("miss_rate", F.try_divide(F.col("missed").cast("double"), F.col("suppressed").cast("double")))
+    labelled = stages.where("NOT sent AND next_move IS NOT NULL")
+    counts = labelled.agg(F.count(F.lit(1)).alias("suppressed"), F.count_if(F.abs("next_move") >= MATERIAL).alias("missed"))
+    return counts.withColumn("miss_rate", F.try_divide(F.col("missed").cast("double"), F.col("suppressed").cast("double")))
 
 
 def threshold_sweep(
     stages: DataFrame,
-    prices: DataFrame,
     volume_thresholds: Iterable[float],
     return_thresholds: Iterable[float],
     limits: Thresholds = Thresholds(),
@@ -59,15 +54,12 @@ def threshold_sweep(
             for r in return_thresholds
         )
     )
-    cells = (
-        stages.groupBy("run_date", "symbol")
-        .agg(
-            F.count_if("deduped").alias("kept"),
-            F.max("volume_z").alias("volume_z"),
-            F.max("return_z").alias("return_z"),
-            F.max("watched").alias("watched"),
-        )
-        .join(labelled_days(prices, limits).select("symbol", "run_date", "material"), ["symbol", "run_date"], "left")
+    cells = stages.groupBy("run_date", "symbol").agg(
+        F.count_if("deduped").alias("kept"),
+        F.max("volume_z").alias("volume_z"),
+        F.max("return_z").alias("return_z"),
+        F.max("watched").alias("watched"),
+        (F.abs(F.max("next_move")) >= MATERIAL).alias("material"),
     )
     passes = is_surprising(F.col("vol_t"), F.col("ret_t")) & F.col("watched")
     per_day = (

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quietwire.functions.text import article_text
-from quietwire.operators.baselines import baselines
+from quietwire.operators.baselines import baselines, next_day_label
 from quietwire.operators.market_calendar import is_trading_day
 from quietwire.operators.near_duplicates import near_duplicates
 from quietwire.operators.skew import lookup_join, number_rows
@@ -26,12 +26,12 @@ _SCORES = ["volume_z", "return_z"]
 
 
 def scored_cells(prices: DataFrame, watchlist: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
-    """Staged: symbol, run_date, volume_z, return_z, surprising, watched."""
-    scored = score(baselines(prices, limits.window), limits.min_obs).withColumn(
+    """Staged: symbol, run_date, volume_z, return_z, next_move, surprising, watched."""
+    scored = score(next_day_label(baselines(prices, limits.window)), limits.min_obs).withColumn(
         "surprising", is_surprising(limits.volume_z, limits.return_z)
     )
     cells = mark_watched(scored.withColumnRenamed("trade_date", "run_date"), watchlist)
-    return stage(cells.select("symbol", "run_date", *_SCORES, "surprising", "watched"), "cells")
+    return stage(cells.select("symbol", "run_date", *_SCORES, "next_move", "surprising", "watched"), "cells")
 
 
 def daily_news(news: DataFrame, holidays: Iterable[str] | None = HOLIDAYS) -> DataFrame:
@@ -40,6 +40,12 @@ def daily_news(news: DataFrame, holidays: Iterable[str] | None = HOLIDAYS) -> Da
     return dated if holidays is None else dated.where(is_trading_day(F.col("run_date"), holidays))
 
 
+def left_out(news: DataFrame, holidays: Iterable[str] = HOLIDAYS) -> DataFrame:
+    """(run_date, items) of days without a run, so that what the funnel never sees is counted."""
+    dated = daily_news(news, None)
+    return dated.where(~is_trading_day(F.col("run_date"), holidays)).groupBy("run_date").agg(F.count(F.lit(1)).alias("items"))
+
+
 def score_news(items: DataFrame, cells: DataFrame) -> DataFrame:
     """Left join on (symbol, run_date): items without a priced day have no scores."""
     scored = lookup_join(items, cells, ["symbol", "run_date"], F.col("id"), "left")
@@ -114,10 +120,13 @@ def digest(
     Same items as the full funnel, but buckets in which nothing can pass are dropped before
     any text is read: whole buckets pass or fail, so the filters commute with deduplication.
     """
-    cells = scored_cells(prices, watchlist, limits).where("surprising AND watched").drop("surprising", "watched")
+    cells = scored_cells(prices, watchlist, limits).where("surprising AND watched").drop("next_move", "surprising", "watched")
     cells = stage(cells, "passing-cells")
     buckets = stage(with_bucket(cells).select("run_date", "bucket").distinct(), "passing-buckets")
-    items = lookup_join(with_bucket(daily_news(news, holidays)), buckets, ["run_date", "bucket"], F.col("id"))
+    # What is left is small and used three times: texts are read once.
+    columns = ["id", "symbol", "run_date", "bucket", "published_at", "title", "body", "url"]
+    items = with_bucket(daily_news(news, holidays)).select(*columns)
+    items = stage(lookup_join(items, buckets, ["run_date", "bucket"], F.col("id")), "passing-items")
     leaders = dedup_news(items, limits).where("id = leader_id").select("id")
     kept = lookup_join(
         items.select("id", "run_date", "symbol", "published_at", "title", "url").join(leaders, "id", "left_semi"),

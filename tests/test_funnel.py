@@ -31,17 +31,19 @@ def test_zscore(spark, value, mean, std, z):
 
 
 def test_scoring(spark):
-    row = _score(spark, "x", "BBCA", 5_000_000, 1_000_000.0, 500_000.0, 0.01, 0.0, 0.02, 30)
-    assert (row.volume_z, row.return_z, row.hit) == (8.0, 0.5, True)
+    row = _score(spark, "p", "Q1", 740, 500.0, 80.0, -0.03, 0.01, 0.02, 25)
+    assert (row.volume_z, row.return_z, row.hit) == (3.0, -2.0, True)
 
 
 def test_quiet_day(spark):
-    assert not _score(spark, "y", "TLKM", 1_020_000, 1_000_000.0, 500_000.0, 0.001, 0.0, 0.02, 30).hit
+    row = _score(spark, "q", "Q2", 480, 500.0, 80.0, 0.02, 0.01, 0.02, 25)
+    assert (row.volume_z, row.return_z, row.hit) == (-0.25, 0.5, False)
 
 
-def test_thin_baseline(spark):
-    row = _score(spark, "z", "NEWCO", 9_000_000, 100.0, 1.0, None, None, None, 3)
-    assert (row.volume_z, row.return_z, row.hit) == (None, None, False)
+@pytest.mark.parametrize("n_obs,scored", [(0, False), (9, False), (10, True), (30, True)])
+def test_thin_baselines_are_not_scored(spark, n_obs, scored):
+    row = _score(spark, "r", "Q3", 9_999, 10.0, 2.0, 0.5, 0.0, 0.1, n_obs)
+    assert (row.volume_z is not None, row.return_z is not None, row.hit) == (scored, scored, scored)
 
 
 def test_thresholds_are_inclusive_and_named(spark):
@@ -57,10 +59,10 @@ def _watch(spark, *symbols):
 
 
 def test_watchlist_ignores_case_and_empty_means_all(spark):
-    items = _watch(spark, "BBCA", "TLKM", "GOTO")
-    kept = mark_watched(items, _watch(spark, "BBCA", "goto")).where("watched").collect()
-    assert {r.symbol for r in kept} == {"BBCA", "GOTO"}
-    assert mark_watched(items, _watch(spark)).where("watched").count() == 3
+    items = _watch(spark, "Q1", "q2", "Q3", "Q4", None)
+    kept = mark_watched(items, _watch(spark, "q1", "Q2", "Q9")).where("watched").collect()
+    assert {r.symbol for r in kept} == {"Q1", "q2"}
+    assert mark_watched(items, _watch(spark)).where("watched").count() == 5
 
 
 def _prices(spark, closes, volumes=None, start=date(2026, 1, 1), symbol="A"):
@@ -130,55 +132,55 @@ def test_row_numbers_without_a_window(spark):
 
 @pytest.fixture(scope="module")
 def world(spark):
-    """Two watched symbols and one other over 40 days; a spike on one day; routine news."""
+    """Two watched symbols and one other over 45 days; one watched symbol trades heavily on the last."""
+    start = date(2026, 8, 1)
     frames = []
-    for symbol, spike in (("BBCA", 9_000), ("TLKM", 1_010), ("XXXX", 9_000)):
-        volumes = [1_000 + (i * 7) % 20 for i in range(40)]
-        volumes[39] = spike
-        frames.append(_prices(spark, [100 + i % 3 for i in range(40)], volumes, date(2026, 8, 6), symbol))
+    for symbol, last in (("Q1", 7_700), ("Q2", 2_013), ("Q9", 8_800)):
+        volumes = [2_000 + (i * 11) % 26 for i in range(44)] + [last]
+        frames.append(_prices(spark, [60 + (i * 3) % 5 for i in range(45)], volumes, start, symbol))
     prices = frames[0].union(frames[1]).union(frames[2]).cache()
     day = "2026-09-14"
+    kinds = ("shipping", "lending", "mining", "retail")
     rows = [
-        (str(i), ("BBCA", "TLKM")[i % 2], f"{day} {i % 24:02d}:00:00", f"Routine market update number {i}", f"http://x/{i}")
-        for i in range(50)
+        (f"r{i}", f"Q{1 + i % 2}", f"{day} {(i * 5) % 24:02d}:15:00", f"{kinds[i % 4]} note {i} for subscribers", f"http://n/{i}")
+        for i in range(36)
     ]
     rows += [
-        ("spike", "BBCA", f"{day} 10:30:00", "BBCA halted after unusual <trading> activity", "http://x/s?a=1&b=2"),
-        ("other", "XXXX", f"{day} 10:30:00", "Unwatched stock jumps", None),
-        ("macro", None, f"{day} 10:30:00", "Central bank keeps its rate", None),
-        ("sunday", "BBCA", "2026-09-13 10:00:00", "Weekend piece", None),
+        ("heavy", "Q1", f"{day} 11:20:00", "Q1 pauses <deal> talks & buyers queue", "http://n/h?p=1&q=2"),
+        ("apart", "Q9", f"{day} 11:20:00", "Q9 moves without a watcher", None),
+        ("wide", None, f"{day} 11:20:00", "rain expected across the islands", None),
+        ("before", "Q1", "2026-09-13 12:00:00", "a Sunday column", None),
     ]
     news = spark.createDataFrame(rows, "id string, symbol string, at string, title string, url string").select(
         "id", "symbol", F.to_timestamp("at").alias("published_at"), "title", F.lit(None).cast("string").alias("body"), "url"
     )
-    watch = _watch(spark, "bbca", "TLKM")
+    watch = _watch(spark, "q1", "Q2")
     return news, prices, watch, funnel.item_stages(news, prices, watch)
 
 
-def test_funnel_counts_never_grow(world):
+def test_every_stage_is_part_of_the_one_before(world):
     news, prices, watch, stages = world
-    counts = funnel.stage_counts(stages).collect()
-    assert len(counts) == 1
-    c = counts[0]
-    assert c.raw == 53 and c.raw > c.deduped >= c.surprising >= c.watchlist >= c.sent > 0
+    (c,) = funnel.stage_counts(stages).collect()
+    assert c.raw == 39
+    assert c.raw >= c.deduped > c.surprising > c.watchlist >= c.sent > 0
     passed = {r.id: r.passed_stage for r in stages.collect()}
-    assert passed["spike"] == "sent" and passed["other"] == "surprising" and passed["macro"] == "deduped"
-    assert "sunday" not in passed
+    assert (passed["heavy"], passed["apart"], passed["wide"]) == ("sent", "surprising", "deduped")
+    assert "before" not in passed
 
 
 def test_digest_equals_the_sent_stage(world):
     news, prices, watch, stages = world
     pruned = funnel.digest(news, prices, watch).orderBy("rank").collect()
     assert pruned == funnel.digest_of(stages, news).orderBy("rank").collect()
-    assert "spike" in {r.id for r in pruned}
+    assert "heavy" in {r.id for r in pruned}
 
 
 def test_rank_orders_by_absolute_strength(spark):
     rows = spark.createDataFrame(
-        [("a", 2.6, None), ("b", 9.1, None), ("c", None, -5.0)], "id string, volume_z double, return_z double"
+        [("k", -3.1, 0.4), ("l", None, 7.7), ("m", 4.2, -8.5), ("n", None, None)], "id string, volume_z double, return_z double"
     ).withColumn("run_date", F.lit("2026-09-14")).withColumn("published_at", F.lit("x"))
     top = funnel._top(rows, Thresholds(digest_size=2)).orderBy("rank").collect()
-    assert [r.id for r in top] == ["b", "c"]
+    assert [r.id for r in top] == ["m", "l"]
 
 
 def test_message_and_document(world):
@@ -187,11 +189,11 @@ def test_message_and_document(world):
     digest = funnel.digest_of(stages, news)
     message = report.digest_messages(digest, counts).first().message
     sent, raw = counts.first().sent, counts.first().raw
-    assert message.startswith("<b>IDX digest — 2026-09-14</b>\n\n<b>BBCA</b> · <i>volume +")
-    assert '<a href="http://x/s?a=1&amp;b=2">BBCA halted after unusual &lt;trading&gt; activity</a>\n\n' in message
+    assert message.startswith("<b>IDX digest — 2026-09-14</b>\n\n<b>Q1</b> · <i>volume +")
+    assert '<a href="http://n/h?p=1&amp;q=2">Q1 pauses &lt;deal&gt; talks &amp; buyers queue</a>\n\n' in message
     assert message.endswith(f"<i>{sent} of {raw} items ({1 - sent / raw:.1%} filtered)</i>\n{report.DISCLAIMER}")
     document = report.digest_documents(digest, counts).first().payload
-    assert document.startswith('{"run_date":"2026-09-14","status":"success","trigger":null,"stages":{"raw":53,')
+    assert document.startswith('{"run_date":"2026-09-14","status":"success","trigger":null,"stages":{"raw":39,')
     empty = report.digest_messages(digest.where("false"), counts.withColumn("raw", F.lit(12345))).first().message
     assert empty == (
         "<b>IDX digest — 2026-09-14</b>\n\nNothing crossed threshold today.\n<i>Scanned 12,345 items.</i>\n" + report.DISCLAIMER
@@ -212,12 +214,12 @@ def test_item_scores_number_clusters_from_zero(world):
     scores = funnel.item_scores(world[3]).collect()
     groups = {r.dedup_group for r in scores}
     assert groups == set(range(len(groups)))
-    assert len(scores) == 53
+    assert len(scores) == 39
 
 
 def test_sweep_at_the_defaults_matches_the_funnel(world):
     news, prices, watch, stages = world
-    row = evaluate.threshold_sweep(stages, prices, [2.5], [2.0]).first()
+    row = evaluate.threshold_sweep(stages, [2.5], [2.0]).first()
     assert row.avg_digest_size == funnel.stage_counts(stages).first().sent
 
 

@@ -27,42 +27,38 @@ def _kept(led):
     return {i for i, leader in led.items() if i == leader}
 
 
+_HARBOUR = "harbour authority opens second container berth to larger ships"
+
+
 def test_near_duplicates_collapse_and_others_do_not(spark):
     led = _dedup(_news(spark, [
-        ("1", None, "BBCA reports record quarterly profit", "2026-09-14T01:00"),
-        ("2", None, "BBCA reports record quarterly profits", "2026-09-14T02:00"),
-        ("3", None, "BBCA posts record quarterly profit figures", "2026-09-14T03:00"),
-        ("4", None, "TLKM announces new data centre investment", "2026-09-14T04:00"),
-    ]), 0.55)
-    assert len(_kept(led)) < 4
-    assert led["4"] != led["1"]
+        ("n7", None, _HARBOUR, "2025-03-03T06:10"),
+        ("n8", None, f"{_HARBOUR} today", "2025-03-03T07:45"),
+        ("n9", None, f"update {_HARBOUR}", "2025-03-03T08:00"),
+        ("other", None, "regulator fines two brokers over late filings", "2025-03-03T08:05"),
+    ]), 0.6)
+    assert led == {"n7": "n7", "n8": "n7", "n9": "n7", "other": "other"}
 
 
 def test_earliest_is_kept(spark):
-    led = _dedup(_news(spark, [
-        ("late", None, "Same headline text here", "2026-09-14T09:00"),
-        ("early", None, "Same headline text here", "2026-09-14T01:00"),
-    ]), 0.5)
-    assert led == {"late": "early", "early": "early"}
+    rows = [(f"copy{hour}", None, _HARBOUR, f"2025-03-04T{hour:02}:30") for hour in (21, 5, 13)]
+    assert set(_dedup(_news(spark, rows), 0.9).values()) == {"copy5"}
 
 
-def test_single_item_is_its_own_cluster(spark):
-    assert _dedup(_news(spark, [("1", "A", "Only one", "2026-09-14T01:00")])) == {"1": "1"}
+def test_lone_item_leads_itself(spark):
+    assert _dedup(_news(spark, [("solo", "Q7", "quarry resumes work", "2025-03-05T12:00")])) == {"solo": "solo"}
 
 
 def test_symbols_are_never_mixed(spark):
-    title = "halted pending material announcement"
-    rows = [(s, s, title, f"2026-09-14T10:0{i}") for i, s in enumerate(("GOTO", "MDKA", "ADRO"))]
-    assert len(_kept(_dedup(_news(spark, rows), 0.5))) == 3
+    rows = [(f"{s}-{i}", s, _HARBOUR, f"2025-03-06T0{i}:00") for i, s in enumerate(("Q1", "Q2", "Q1", "Q3", "Q2"))]
+    led = _dedup(_news(spark, rows), 0.6)
+    assert _kept(led) == {"Q1-0", "Q2-1", "Q3-3"}
+    assert (led["Q1-2"], led["Q2-4"]) == ("Q1-0", "Q2-1")
 
 
-def test_same_symbol_still_collapses(spark):
-    led = _dedup(_news(spark, [
-        ("a", "BBCA", "BBCA reports record quarterly profit", "2026-09-14T01:00"),
-        ("b", "bbca", "BBCA reports record quarterly profits", "2026-09-14T02:00"),
-        ("c", "BBCA", "BBCA posts record quarterly profit figures", "2026-09-14T03:00"),
-    ]), 0.55)
-    assert len(_kept(led)) < 3
+def test_spelling_of_a_symbol_does_not_split_it(spark):
+    rows = [(s, s, _HARBOUR, f"2025-03-07T0{i}:00") for i, s in enumerate(("Harb", "HARB", "harb"))]
+    assert set(_dedup(_news(spark, rows), 0.6).values()) == {"Harb"}
 
 
 def test_items_without_words_are_kept(spark):
@@ -114,8 +110,7 @@ _SPREAD = nd.Effort(pairs_in_one_row=1)
 def test_equals_brute_force(spark, monkeypatch, effort):
     if effort is not _ONE_PASS:
         # Treat every key as hot, and never broadcast a lookup.
-        monkeypatch.setattr(skew, "HOT_ROWS", 1)
-        monkeypatch.setattr(skew, "SALTS", 3)
+        monkeypatch.setattr(skew, "HOT_ROWS", 2)
         monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
     rows = _corpus(7)
     items = spark.createDataFrame(rows, "bucket string, at string, id string, text string")
@@ -132,3 +127,13 @@ def test_greedy_is_not_connected_components(spark):
     found = nd.near_duplicates(items, bucket=["bucket"], order=["at"], text=F.col("text"), threshold=0.4)
     led = {r["id"]: r["leader_id"] for r in found.collect()}
     assert led == cluster(rows, 0.4) == {"a": "a", "b": "a", "c": "c"}
+
+
+def test_followers_name_their_leader_once(spark):
+    rows = _corpus(11)
+    items = spark.createDataFrame(rows, "bucket string, at string, id string, text string")
+    led = {i: leader for i, leader in cluster(rows, 0.75).items() if i != leader}
+    found = nd.near_duplicate_followers(items, bucket=["bucket"], order=["at"], text=F.col("text")).collect()
+    assert {r.member: r.leader for r in found} == led
+    assert len(found) == len(led)
+    assert all(0.75 <= r.similarity <= 1.0 + 1e-9 for r in found)
