@@ -50,7 +50,7 @@ SMALL = 4
 # Before all pairs across components of a group are checked, PIVOTS of its members meet all others, LOOKS times.
 LOOKS = 3
 PIVOTS = 8
-# Tokens a node carries along to tell where it meets another one first.
+# First tokens in the order that a node carries along, to tell where it meets another one first.
 FIRSTS = 32
 # Bits that tell which nodes need their sets: a fixed broadcast. More nodes than that only send more.
 NEEDED_BITS = 22
@@ -174,8 +174,9 @@ class _Pairs:
         left = np.minimum(n_a - at_a, n_b - at_b)
         return (100 * n_a >= self.percent * n_b) & (left * (100 + self.percent) >= self.percent * (n_a + n_b))
 
-    def of(self, token, size, place, node) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(a, b) positions of candidates, and which rows are in groups too large for all pairs."""
+    def of(self, token, size, place, node, large) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(a, b) positions of candidates, and which rows are in groups too large for all pairs: by what
+        is here, or because a row is marked as one of a ``large`` group elsewhere."""
         empty = np.zeros(0, np.int64)
         if not len(token):
             return empty, empty, np.zeros(0, bool)
@@ -183,7 +184,7 @@ class _Pairs:
         group = np.cumsum(first) - 1
         starts = np.flatnonzero(first)
         count = np.diff(np.concatenate([starts, [len(token)]]))[group]
-        big = count > SMALL
+        big = (count > SMALL) | np.logical_or.reduceat(large, starts)[group]
         a, b = [], []
         for off in range(1, SMALL):
             left = np.flatnonzero((group[:-off] == group[off:]) & (~big[off:] | (off == 1))) if len(token) > off else empty
@@ -197,15 +198,19 @@ class _Pairs:
         return a[fit], b[fit], big
 
 
-def _sorted_unique(token, size, place, node):
-    by = np.lexsort((node, size, token))
-    token, size, place, node = token[by], size[by], place[by], node[by]
+def _sorted_unique(token, size, place, node, large):
+    by = np.lexsort((~large, node, size, token))
+    token, size, place, node, large = token[by], size[by], place[by], node[by], large[by]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-    return token[new], size[new], place[new], node[new]
+    return token[new], size[new], place[new], node[new], large[new]
 
 
-# kind 0 and 2: a prefix row, info = size and place; kind 1: a pair (node, info), token spreads it.
+def _info(size: np.ndarray, place: np.ndarray, large: np.ndarray) -> np.ndarray:
+    return size << 32 | large.astype(np.int64) << 31 | place
+
+
+# kind 0 and 2: a prefix row, info = size, mark of a large group, place; kind 1: a pair (node, info), token spreads it.
 _ROWS = "kind tinyint, token bigint, node bigint, info bigint"
 
 
@@ -232,16 +237,17 @@ def _prefixes(docs: DataFrame, n: int, percent: int, common: tuple[np.ndarray, n
         rows = 0
 
         def block() -> Iterator[pa.RecordBatch]:
-            token, size, place, node = _sorted_unique(*(np.concatenate(c) for c in zip(*held)))
-            a, b, big = pairs.of(token, size, place, node)
+            token, size, place, node, large = _sorted_unique(*(np.concatenate(c) for c in zip(*held)))
+            a, b, big = pairs.of(token, size, place, node, large)
             inner = big[a] & big[b]
             low, high = _unique_pairs(node[a[inner]], node[b[inner]])
             yield _out(1, signed(mix(low)), low, high)
-            # Of a large group only the two ends go on: stars and chains across tasks hang on them.
+            # Of a large group only the two ends go on, marked: stars and chains across tasks hang on
+            # them, and whatever meets them is in a large group as well.
             first = np.ones(len(token), bool)
             first[1:] = token[1:] != token[:-1]
             go = ~big | first | np.roll(first, -1)
-            info = size << 32 | place
+            info = _info(size, place, big)
             yield _out(0, token[go], node[go], info[go])
             yield _out(2, token[big], node[big], info[big])
 
@@ -252,7 +258,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, common: tuple[np.ndarray, n
                     continue
                 p = prefix_length(len(tokens), percent)
                 order = np.lexsort((tokens, _uses(tokens, common)))[:p]
-                held.append((signed(tokens[order]), np.full(p, len(tokens), np.int64), np.arange(p), np.full(p, node, np.int64)))
+                held.append((signed(tokens[order]), np.full(p, len(tokens), np.int64), np.arange(p), np.full(p, node, np.int64), np.zeros(p, bool)))
                 rows += p
                 if rows >= BLOCK:
                     yield from block()
@@ -269,14 +275,14 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _Pairs(percent)
-        held: list[np.ndarray] = [np.zeros(0, np.int64) for _ in range(4)]
+        held: list[np.ndarray] = [np.zeros(0, np.int64) for _ in range(4)] + [np.zeros(0, bool)]
 
         def emit(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            token, size, place, node = _sorted_unique(*columns)
-            a, b, big = pairs.of(token, size, place, node)
+            token, size, place, node, large = _sorted_unique(*columns)
+            a, b, big = pairs.of(token, size, place, node, large)
             low, high = _unique_pairs(node[a], node[b])
             yield _out(1, low, low, high)
-            yield _out(2, token[big], node[big], (size << 32 | place)[big])
+            yield _out(2, token[big], node[big], _info(size, place, big)[big])
 
         for batch in batches:
             kind = batch.column(0).to_numpy()
@@ -284,7 +290,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
                 yield batch.filter(pa.array(kind > 0))
             table = batch.filter(pa.array(kind == 0))
             token, node, info = (table.column(i).to_numpy() for i in (1, 2, 3))
-            new = [token, info >> 32, info & 0xFFFFFFFF, node]
+            new = [token, info >> 32, info & 0x7FFFFFFF, node, (info >> 31 & 1).astype(bool)]
             held = [np.concatenate(c) for c in zip(held, new)]
             token = held[0]
             if len(token) < BLOCK // 4:
@@ -379,19 +385,21 @@ def _mixed(open_rows: DataFrame, roots: DataFrame) -> DataFrame:
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
     rows = stage(placed.join(mixed, "token", "left_semi"), "mixed-rows")
-    firsts = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("token")), 1, FIRSTS).alias("firsts"))
+    in_order = F.slice(F.sort_array(F.collect_set(F.struct("place", "token"))), 1, FIRSTS)
+    firsts = rows.groupBy("node").agg(F.transform(in_order, lambda x: x["token"]).alias("firsts"))
     return stage(rows.join(firsts, "node"), "open-rows")
 
 
 def _across(left: DataFrame, right: DataFrame, percent: int, every: bool) -> DataFrame:
     """Candidates that share a token and lie in different components. Where ``every`` row of a token is
-    on both sides, nodes with several tokens in common meet at the first they know of, mostly once."""
+    on both sides, nodes with several tokens in common meet at the first in the order, mostly once;
+    that is also the token at which what is left after it tells whether they can be similar."""
     right = right.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "place", "root", "firsts")))
-    earlier = F.array_min(F.array_intersect("firsts", "firsts_b")) < F.col("token")
+    first = F.get(F.array_intersect("firsts", "firsts_b"), F.lit(0))
     rest = F.least(F.col("size") - F.col("place"), F.col("size_b") - F.col("place_b"))
     close = F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * percent
     fits = close & (rest * (100 + percent) >= (F.col("size") + F.col("size_b")) * percent)
-    fits = fits & ~F.coalesce(earlier, F.lit(False)) & (F.col("node") < F.col("node_b")) if every else fits
+    fits = fits & F.coalesce(first == F.col("token"), F.lit(True)) & (F.col("node") < F.col("node_b")) if every else fits
     met = left.join(right, "token").where((F.col("root") != F.col("root_b")) & fits)
     return met.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
@@ -401,7 +409,7 @@ def node_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tupl
     rows = shingled(docs, n)
     met = _meet(_prefixes(docs, n, percent, _common(rows)), percent)
     pairs = stage(met.where("kind = 1").select(F.col("node").alias("a"), F.col("info").alias("b")).where("a <> b").distinct(), "pairs")
-    large = met.where("kind = 2").select("token", "node", F.expr("shiftright(info, 32)").alias("size"), F.col("info").bitwiseAND(F.lit(0xFFFFFFFF)).alias("place"))
+    large = met.where("kind = 2").select("token", "node", F.expr("shiftright(info, 32)").alias("size"), F.col("info").bitwiseAND(F.lit(0x7FFFFFFF)).alias("place"))
     open_rows = stage(large.distinct(), "large-groups")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(open_rows.select("node")).distinct()
     sets = _sets(docs, stage(needed, "needed-nodes"), n)

@@ -52,14 +52,14 @@ def test_targets_limits_and_reruns(spark, seed):
     want = targets(words)
     assert Counter((r.doc_id, r["size"]) for r in got) == Counter((i, size(t)) for i, t, _ in rows)
     assert all(0 <= r.taken <= 3 * r["size"] and r.taken == r.copies * r["size"] for r in got)
-    taken, seen = Counter(), {}
-    by_source = {round(v, 6): s for s, v in want.items()}
+    by_size = {n: s for s, n in words.items()}
+    assert len(by_size) == len(words)
+    taken = Counter()
     for r in got:
-        s = by_source[round(r.target, 6)]
+        s = by_size[r.source_size]
+        assert r.target == pytest.approx(want[s])
         taken[s] += r.taken
-        seen[s] = r.source_size
     for s, target in want.items():
-        assert seen[s] == words[s]
         assert abs(taken[s] - target) <= max(10, 0.01 * target), (s, taken[s], target)
     again = mixing.mix(docs_of(spark, rows).repartition(3)).collect()
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
