@@ -84,6 +84,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 # Exact results that SQL can express; the other operators are tested against brute force.
 ORACLES: dict[str, str] = {
+    "op5_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 5 THEN [array_to_string(t, ' ')]
+                ELSE [array_to_string(t[i:i + 4], ' ') for i in range(1, len(t) - 3)] END) AS g
+            FROM words
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)
+        ), edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other),
+        least_of AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id
+        FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
+    """,
     "op8_topk": """
         WITH whole AS (
             SELECT DISTINCT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
