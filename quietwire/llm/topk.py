@@ -38,71 +38,65 @@ def build(points: np.ndarray) -> dict:
 
 
 def _index(points: np.ndarray, most: float) -> dict:
-    """Postings of every (component, sign): documents by falling entry. Transposed, so a posting is contiguous."""
-    exact = len(points[0]) * np.abs(points).max(initial=0) * most < 2**62
-    columns = points.T.astype(np.int64) if exact else np.vectorize(int, otypes=[object])(points.T)
-    postings = {}
-    for j, column in enumerate(columns):
-        for sign in (1, -1):
-            docs = np.flatnonzero(column * sign > 0)
-            docs = docs[np.argsort(-(column[docs] * sign), kind="stable")]
-            postings[j, sign] = docs, column[docs]
-    return {"columns": columns, "postings": postings, "exact": exact}
+    """Postings of every (component, sign): a mask of their documents, the largest entry, and the SEEDS largest ones."""
+    exact = _fits(points, most)
+    columns = np.ascontiguousarray(points.T.astype(np.int64)) if exact else np.vectorize(int, otypes=[object])(points.T)
+    zero = columns[:, :1] * 0
+    order = np.argsort(points.T, axis=1, kind="stable")
+    return {
+        "columns": columns,
+        "exact": exact,
+        "gain": {1: (columns > 0).astype(bool), -1: (columns < 0).astype(bool)},
+        "largest": {1: np.maximum(columns.max(axis=1), zero[:, 0]), -1: np.minimum(columns.min(axis=1), zero[:, 0])},
+        "head": {1: order[:, ::-1][:, :SEEDS], -1: order[:, :SEEDS]},
+    }
+
+
+def _fits(points: np.ndarray, most: float) -> bool:
+    """Whether no sum of products can leave 64 bits."""
+    return points.shape[1] * np.abs(points).max(initial=0) * most < 2**62
 
 
 def _kth(scores: np.ndarray, k: int):
     """The k-th best score, or None while there are fewer."""
-    return np.sort(scores)[-k] if len(scores) >= k else None
+    return np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else None
 
 
 def one(shard: dict, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(documents, scores) of those that are or tie with the k best, of many ties the least ids."""
-    columns, postings = shard["columns"], shard["postings"]
+    columns, largest = shard["columns"], shard["largest"]
     n = columns.shape[1]
-    weights = [int(w) for w in query]
-    terms = []
-    for j, w in enumerate(weights):
-        docs, entries = postings[j, 1 if w > 0 else -1]
-        if w and len(docs):
-            terms.append((w * int(entries[0]), j))
-    terms.sort(reverse=True)
-    gains = np.array([b for b, _ in terms], object if not shard["exact"] else np.int64)
-    left = np.concatenate([np.cumsum(gains[::-1])[::-1], np.zeros(1, gains.dtype)])  # what the terms from i on can add
+    w = query.astype(np.int64) if shard["exact"] else np.array([int(x) for x in query], object)
+    up = (w > 0).astype(bool)
+    gains = np.where(up, w * largest[1], w * largest[-1])
+    terms = np.argsort(-gains, kind="stable")
+    terms = terms[gains[terms] > 0]
+    left = np.append(np.cumsum(gains[terms][::-1])[::-1], gains[:1] * 0)  # what the terms from i on can add
     # A first bar: the full scores of the documents at the head of the largest terms.
-    heads = [postings[j, 1 if weights[j] > 0 else -1][0][:SEEDS] for _, j in terms[:4]]
+    heads = [shard["head"][1 if up[j] else -1][j] for j in terms[:4]]
     seeds = np.unique(np.concatenate(heads)) if heads else np.arange(min(n, SEEDS))
-    full = np.array(weights, columns.dtype) @ columns[:, seeds] if len(seeds) else np.zeros(0, columns.dtype)
-    bar = _kth(full, k)
-    essential = len(terms) if bar is None else int(np.searchsorted(-left[:-1], -bar, side="right"))
+    bar = _kth(w @ columns[:, seeds], k)
+    essential = len(terms) if bar is None else int((left[:-1] >= bar).sum())
+    # A document outside the essential postings stays below the bar, unless the bar asks for no gain at all.
+    met = np.full(n, bar is None or bar <= 0)
     have = np.zeros(n, columns.dtype)
-    if bar is None or bar <= 0:
-        met = np.ones(n, bool)  # a document without any gain could still get in
-    else:
-        met = np.zeros(n, bool)
-    for _, j in terms[:essential]:
-        docs, entries = postings[j, 1 if weights[j] > 0 else -1]
-        have[docs] += weights[j] * entries
-        met[docs] = True
+    for j in terms[:essential]:
+        have += w[j] * columns[j]
+        met |= shard["gain"][1 if up[j] else -1][j]
+    if bar is not None:
+        met &= (have + left[essential] >= bar).astype(bool)
     alive = np.flatnonzero(met)
     have = have[alive]
-    # Losses in the traversed components first, they need no bound; then the other terms, largest first.
-    rest = [(j, -1, 0) for _, j in terms[:essential]]
-    rest += [(j, 0, i + 1) for i, (_, j) in list(enumerate(terms))[essential:]]
-    gained = {j for _, j in terms}
-    rest += [(j, -1, len(terms)) for j, w in enumerate(weights) if w and j not in gained]
-    at = essential
-    for step, (j, side, after) in enumerate(rest):
-        entry = columns[j, alive]
-        if side:  # only entries of the other sign, which lose
-            entry = np.where(entry * (1 if weights[j] > 0 else -1) < 0, entry, 0)
-        have = have + weights[j] * entry
-        at = max(at, after) if not side else at
+    # The other terms, largest first, while a document can still reach the bar; then components that only lose.
+    silent = np.flatnonzero((w != 0) & (gains == 0))
+    for step, j in enumerate([*terms[essential:], *silent]):
+        have = have + w[j] * columns[j, alive]
         if bar is not None and step % 4 == 3:
-            stay = have + left[at] >= bar
+            stay = (have + left[min(essential + step + 1, len(terms))] >= bar).astype(bool)
             alive, have = alive[stay], have[stay]
     bar = _kth(have, k)
     if bar is not None:
-        stay = have >= bar
+        stay = (have >= bar).astype(bool)
         # Documents are in the order of their least ids: of those at the bar, the first k are enough.
         stay[np.flatnonzero(have == bar)[k:]] = False
         alive, have = alive[stay], have[stay]
@@ -112,7 +106,7 @@ def one(shard: dict, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]
 def _searcher(k: int):
     def search(shard: dict, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         most = float(np.abs(at).max(initial=0))
-        if "postings" not in shard or (shard["exact"] and not _index_fits(shard, most)):
+        if "columns" not in shard or (shard["exact"] and not _fits(shard["points"], most)):
             shard |= _index(shard["points"], most)
         out = []
         for place, query in enumerate(at):
@@ -125,11 +119,6 @@ def _searcher(k: int):
     return search
 
 
-def _index_fits(shard: dict, most: float) -> bool:
-    points = shard["points"]
-    return points.shape[1] * np.abs(points).max(initial=0) * most < 2**62
-
-
 def search(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = vectors.SHARD_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest scores of each query row among all rows but its own.
 
