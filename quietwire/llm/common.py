@@ -45,11 +45,6 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Splitting bytes uses exactly the six ASCII white space characters of WORD."""
-    return text.split()
-
-
 def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijection on 64-bit values that leaves no pattern (multiply, fold, twice)."""
     with np.errstate(over="ignore"):
