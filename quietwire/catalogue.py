@@ -13,7 +13,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quietwire.functions.text import article_text
 from quietwire.operators.baselines import baselines, baselines_since
 from quietwire.operators.coverage import backfill_gaps
 from quietwire.operators.market_calendar import is_trading_day, last_closed_session
