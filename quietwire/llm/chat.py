@@ -10,6 +10,10 @@ summed up as a small table, the best score from every state before it to every s
 A pass over the tables of a conversation settles the states at the cuts, and every segment then
 finds its own best path between them. The result is that of one pass over all lines.
 
+Raw transcripts are cut into turns first. Their lines have two states per role: a turn of it begins,
+or goes on. Blank lines are part of the line after them, which sees how many they are. Lines from a
+beginning to the next one are joined into one turn, and the turns then get their roles like given ones.
+
 Null and empty texts are lines without marker of length 0, rendered as empty turns. Conversations
 with a null id are one conversation. Lines with equal or null turn numbers keep some fixed order by
 text. Repeated rows are lines of their own. An empty table gives no rows. A role column is never
@@ -19,12 +23,12 @@ looked at when roles are recovered.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quietwire.llm.common import in_batches, numbered
@@ -36,6 +40,8 @@ SEGMENT = 256
 TRAIN_CONVERSATIONS = 5_000
 # What a count starts from.
 SMOOTHING = 0.5
+# Probability of what cannot be: a turn goes on that has not begun.
+_NEVER = 1e-12
 
 # Names speakers are marked with.
 MARKERS = {
@@ -80,48 +86,74 @@ class Model:
         return sum(table[:, seen[:, i]].T for i, table in enumerate(self.emit))
 
 
-def default_model() -> Model:
-    """For transcripts without any known roles: markers decide, turns alternate, questions are asked."""
-    move = np.array([[0.05, 0.9, 0.05], [0.01, 0.14, 0.85], [0.01, 0.79, 0.2]])
+def line_features(text: str) -> tuple[int, int, int, int]:
+    """Like ``features``, for a line of a transcript and the blank lines before it, which take the place of the lines held."""
+    line = text.lstrip()
+    marker, size, _, end = features(line)
+    return marker, size, min(text[: len(text) - len(line)].count("\n"), 3), end
+
+
+def _marker_table() -> np.ndarray:
+    """How often each role is marked, and with which name, where nothing else is known."""
     marker = np.full((3, SIZES[0]), 0.01)
     marker[:, 0] = 0.5
     marker[np.arange(3), np.arange(3) + 1] = 0.48
+    return marker
+
+
+# Of lines that go on with a turn: hardly any looks like a marker.
+_ON_MARKER = np.array([0.97, 0.01, 0.01, 0.01])
+
+
+def default_model() -> Model:
+    """For transcripts without any known roles: markers decide, turns alternate, questions are asked."""
+    move = np.array([[0.05, 0.9, 0.05], [0.01, 0.14, 0.85], [0.01, 0.79, 0.2]])
     ends = np.array([[0.2, 0.05, 0.6, 0.1, 0.05], [0.25, 0.4, 0.25, 0.05, 0.05], [0.2, 0.05, 0.6, 0.1, 0.05]])
     flat = [np.full((3, n), 1 / n) for n in SIZES[1:3]]
-    return Model(np.log([0.3, 0.6, 0.1]), np.log(move), tuple(np.log(x) for x in (marker, *flat, ends)))
+    return Model(np.log([0.3, 0.6, 0.1]), np.log(move), tuple(np.log(x) for x in (_marker_table(), *flat, ends)))
+
+
+def default_line_model() -> Model:
+    """Of transcript lines (a turn begins, or goes on): unmarked lines go on with the turn before them."""
+    turns = default_model()
+    goes_on = 0.7
+    move = np.tile(np.concatenate([np.exp(turns.move) * (1 - goes_on), np.eye(len(ROLES)) * goes_on + _NEVER], axis=1), (2, 1))
+    start = np.concatenate([np.exp(turns.start), np.full(len(ROLES), _NEVER)])
+    marker = np.concatenate([_marker_table(), np.tile(_ON_MARKER, (len(ROLES), 1))])
+    blank = np.repeat([[0.5, 0.3, 0.1, 0.1], [0.8, 0.12, 0.04, 0.04]], len(ROLES), axis=0)
+    length, ends = (np.tile(np.exp(turns.emit[i]), (2, 1)) for i in (1, 3))
+    return Model(np.log(start), np.log(move), tuple(np.log(x) for x in (marker, length, blank, ends)))
 
 
 def _key(conv_id: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), conv_id.cast("string")), F.lit(""))
 
 
-def _seen(rows: DataFrame, keep: list[str], schema: str) -> DataFrame:
+def _seen(rows: DataFrame, keep: list[str], schema: str, see: Callable[[str], tuple[int, ...]] = features) -> DataFrame:
     """``keep`` columns and the features of each text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([features(t.as_py() or "") for t in batch.column(len(keep))], np.int32).reshape(-1, 4)
+            found = np.array([see(t.as_py() or "") for t in batch.column(len(keep))], np.int32).reshape(-1, 4)
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(found[:, i]) for i in range(4)]
             yield pa.RecordBatch.from_arrays(arrays, [*keep, "f0", "f1", "f2", "f3"])
 
     return in_batches(rows.select(*keep, "text"), work, f"{schema}, f0 int, f1 int, f2 int, f3 int")
 
 
-def learn(rows: DataFrame, most: int = TRAIN_CONVERSATIONS) -> Model:
-    """Counts start, transitions and features on at most ``most`` conversations with known roles.
-
-    Counting is one aggregation each; a handful of numbers reaches the driver.
-    """
+def _known(rows: DataFrame, most: int) -> DataFrame:
+    """Turns with known roles, as _key, turn, text and _state, of at most ``most`` conversations."""
     drawn = rows.where(F.col("conv_id").isNotNull()).select("conv_id").distinct().orderBy(F.xxhash64("conv_id"), "conv_id").limit(most)
     known = rows.where(F.col("role").isin(*ROLES)).join(F.broadcast(drawn), "conv_id")
     known = known.withColumn("_state", F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")) - 1)
-    known = known.withColumn("_key", _key(F.col("conv_id")))
-    order = [F.col("turn").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    lines = numbered(known.select("_key", "turn", "_state", "text"), order, ["_key"], "position", "known-lines")
-    lines = stage(_seen(lines, ["_key", "position", "_state"], "_key string, position bigint, _state bigint"), "known-features")
-    s = len(ROLES)
-    start, move = np.full(s, SMOOTHING), np.full((s, s), SMOOTHING)
-    emit = [np.full((s, n), SMOOTHING) for n in SIZES]
+    return known.select(_key(F.col("conv_id")).alias("_key"), "turn", "text", "_state")
+
+
+def _counted(lines: DataFrame, start: np.ndarray, move: np.ndarray, emit: list[np.ndarray]) -> Model:
+    """Adds the counts of ``lines`` (_key, position, _state, features) to what counting starts from.
+
+    Counting is one aggregation each; a handful of numbers reaches the driver.
+    """
     for r in lines.where("position = 0").groupBy("_state").count().collect():
         start[r["_state"]] += r["count"]
     after = lines.select("_key", (F.col("position") - 1).alias("position"), F.col("_state").alias("_next"))
@@ -134,6 +166,34 @@ def learn(rows: DataFrame, most: int = TRAIN_CONVERSATIONS) -> Model:
     return Model(logs(start), logs(move), tuple(map(logs, emit)))
 
 
+def learn(rows: DataFrame, most: int = TRAIN_CONVERSATIONS) -> Model:
+    """Counts start, transitions and features on at most ``most`` conversations with known roles."""
+    order = [F.col("turn").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    lines = numbered(_known(rows, most), order, ["_key"], "position", "known-lines")
+    lines = stage(_seen(lines, ["_key", "position", "_state"], "_key string, position bigint, _state bigint"), "known-features")
+    s = len(ROLES)
+    # Marks of speakers say what they say also where the conversations counted on have none.
+    emit = [_marker_table() * SIZES[0] * SMOOTHING, *(np.full((s, n), SMOOTHING) for n in SIZES[1:])]
+    return _counted(lines, np.full(s, SMOOTHING), np.full((s, s), SMOOTHING), emit)
+
+
+def learn_lines(rows: DataFrame, most: int = TRAIN_CONVERSATIONS) -> Model:
+    """The same for the lines of transcripts, counted on known conversations joined as ``joined_lines`` does."""
+    s = len(ROLES)
+    known = joined_lines(_known(rows, most), ["_key", "_state"], "_key string, _state bigint")
+    known = known.withColumn("_state", F.col("_state") + F.when(F.col("begins"), 0).otherwise(s))
+    lines = numbered(known, [F.col("turn")], ["_key"], "position", "known-transcripts")
+    seen = _seen(lines, ["_key", "position", "_state"], "_key string, position bigint, _state bigint", line_features)
+    begin, on = np.full((s, s), SMOOTHING), np.eye(s) * SMOOTHING + _NEVER
+    marker = np.concatenate([_marker_table(), np.tile(_ON_MARKER, (s, 1))]) * SIZES[0] * SMOOTHING
+    return _counted(
+        stage(seen, "known-line-features"),
+        np.repeat([SMOOTHING, _NEVER], s),
+        np.tile(np.concatenate([begin, on], axis=1), (2, 1)),
+        [marker, *(np.full((2 * s, n), SMOOTHING) for n in SIZES[1:])],
+    )
+
+
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
     """The columns of each run of rows with equal first ``keys`` columns, across batches."""
     held: list[list[np.ndarray]] = []
@@ -197,15 +257,18 @@ def _cuts(tables: list[np.ndarray]) -> list[int]:
     return states[::-1]
 
 
-def decode(rows: DataFrame, model: Model) -> DataFrame:
-    """Adds position and role to rows with conv_id, turn and text."""
+def _decoded(rows: DataFrame, model: Model, see: Callable[[str], tuple[int, ...]]) -> DataFrame:
+    """Adds position, role, _key, _segment and _from to rows with conv_id, turn and text.
+
+    _from is the position at which the row's turn begins, -1 where that is in an earlier segment.
+    """
     keyed = rows.withColumn("_key", _key(F.col("conv_id")))
     order = [F.col("turn").asc_nulls_first(), F.col("text").asc_nulls_first()]
     lines = stage(
         numbered(keyed, order, ["_key"], "position", "lines").withColumn("_segment", F.floor(F.col("position") / SEGMENT)),
         "numbered-lines",
     )
-    seen = stage(_seen(lines, ["_key", "_segment", "position"], "_key string, _segment bigint, position bigint"), "features")
+    seen = stage(_seen(lines, ["_key", "_segment", "position"], "_key string, _segment bigint, position bigint", see), "features")
     ordered = seen.repartition("_key", "_segment").sortWithinPartitions("_key", "_segment", "position")
 
     def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +278,7 @@ def decode(rows: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["_key", "_segment", "best"])
 
     tables = stage(in_batches(ordered, sum_up, "_key string, _segment bigint, best array<double>"), "segments")
-    s = len(ROLES)
+    s = len(model.start)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, segment, best in _groups(batches, 1):
@@ -231,11 +294,17 @@ def decode(rows: DataFrame, model: Model) -> DataFrame:
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, _, position, before, last, *f in _groups(batches, 2):
             states = path_of(model.lines(np.stack(f, axis=1)), model, int(before[0]), int(last[0]))
-            arrays = [pa.array(key, pa.string()), pa.array(position), pa.array([ROLES[x] for x in states])]
-            yield pa.RecordBatch.from_arrays(arrays, ["_key", "position", "found"])
+            begun = np.maximum.accumulate(np.where(states < len(ROLES), position, -1))
+            arrays = [pa.array(key, pa.string()), pa.array(position), pa.array([ROLES[x % len(ROLES)] for x in states]), pa.array(begun)]
+            yield pa.RecordBatch.from_arrays(arrays, ["_key", "position", "found", "_from"])
+
+    found = in_batches(bound, trace, "_key string, position bigint, found string, _from bigint")
+    return lines.join(found, ["_key", "position"])
 
-    found = in_batches(bound, trace, "_key string, position bigint, found string")
-    return lines.drop("_segment").join(found, ["_key", "position"]).drop("_key")
+
+def decode(rows: DataFrame, model: Model) -> DataFrame:
+    """Adds position and role to rows with conv_id, turn and text."""
+    return _decoded(rows, model, features).drop("_key", "_segment", "_from")
 
 
 def _rendered(texts: DataFrame, schema: str, columns: list[str]) -> DataFrame:
@@ -264,3 +333,66 @@ def transcript_lines(transcripts: DataFrame) -> DataFrame:
     """(conv_id, turn, text): the lines of raw transcripts (conv_id, text), blank ones left out."""
     split = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("turn", "line")
     return transcripts.select("conv_id", split).where(F.trim("line") != "").select("conv_id", F.col("turn").cast("bigint"), F.col("line").alias("text"))
+
+
+def joined_lines(rows: DataFrame, keep: list[str], schema: str) -> DataFrame:
+    """The lines of the transcripts that ``rows`` (_key, turn, text and ``keep`` columns) make when joined in order, a
+    blank line between two: ``keep``, turn, begins and text.
+
+    turn orders the lines: the row's place in its transcript, times 2**32, plus the line's number in the row. Blank lines
+    are put before the next line of their row. begins tells the first line of a row; it is for counting only.
+    """
+    order = [F.col("turn").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    places = numbered(rows, order, ["_key"], "_place", "joined-turns")
+    n = len(keep)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, turn, begins, out = [], [], [], []
+            for i, (place, text) in enumerate(zip(batch.column(n).to_pylist(), batch.column(n + 1))):
+                blank = [""] if place else []
+                first = True
+                for number, line in enumerate((text.as_py() or "").split("\n")):
+                    if not line.strip():
+                        blank.append(line)
+                        continue
+                    row.append(i)
+                    turn.append((place << 32) + number)
+                    begins.append(first)
+                    out.append("\n".join([*blank, line]))
+                    blank, first = [], False
+            arrays = [batch.column(i).take(pa.array(row, pa.int64())) for i in range(n)]
+            arrays += [pa.array(turn, pa.int64()), pa.array(begins, pa.bool_()), pa.array(out, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, [*keep, "turn", "begins", "text"])
+
+    return in_batches(places.select(*keep, "_place", "text"), work, f"{schema}, turn bigint, begins boolean, text string")
+
+
+def recover_turns(lines: DataFrame, line_model: Model) -> DataFrame:
+    """(conv_id, turn, text): the turns that the lines of transcripts (conv_id, turn, text) make; turn is that of the first line."""
+    found = stage(_decoded(lines.select("conv_id", "turn", "text"), line_model, line_features), "transcript-states")
+    # What is open at the end of a segment goes on in the next ones: a row per segment.
+    last = found.groupBy("_key", "_segment").agg(F.max("_from").alias("_last"))
+    before = Window.partitionBy("_key").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    open_turns = last.select("_key", "_segment", F.max("_last").over(before).alias("_open"))
+    placed = found.join(open_turns, ["_key", "_segment"]).withColumn("_from", F.greatest("_from", "_open"))
+    turns = placed.groupBy("_key", "conv_id", "_from").agg(F.sort_array(F.collect_list(F.struct("position", "turn", "text"))).alias("_lines"))
+    text = F.regexp_replace(F.array_join("_lines.text", "\n"), r"^\s+|\s+$", "")
+    return turns.select("conv_id", F.col("_lines")[0]["turn"].alias("turn"), text.alias("text"))
+
+
+def format_transcripts(transcripts: DataFrame, line_model: Model, model: Model) -> DataFrame:
+    """``format_turns`` of the turns of raw transcripts (conv_id, text). Rows of one conv_id are parts of one transcript."""
+    rows = transcripts.select(F.col("conv_id").cast("bigint"), "text").withColumn("_key", _key(F.col("conv_id")))
+    lines = joined_lines(rows.withColumn("turn", F.lit(0)), ["conv_id"], "conv_id bigint")
+    return format_turns(recover_turns(lines, line_model), model)
+
+
+def format_joined(rows: DataFrame, line_model: Model, model: Model) -> DataFrame:
+    """``format_turns`` of the turns found in the transcripts that ``rows`` (conv_id, turn, text) make when joined.
+
+    turn is the place of the row in which a found turn begins. Where rows begin and end is not told to the model.
+    """
+    rows = rows.select(F.col("conv_id").cast("bigint"), "turn", "text").withColumn("_key", _key(F.col("conv_id")))
+    turns = recover_turns(joined_lines(rows, ["conv_id"], "conv_id bigint"), line_model)
+    return format_turns(turns, model).withColumn("turn", F.shiftright("turn", 32))

@@ -30,8 +30,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations")
-    model = chat.learn(rows.where((F.crc32(F.col("conv_id").cast("string")) % 5) != 0))
-    return chat.format_turns(rows.select("conv_id", "turn", "text"), model).drop("text")
+    counted_on = rows.where((F.crc32(F.col("conv_id").cast("string")) % 5) != 0)
+    model, texts = chat.learn(counted_on), rows.select("conv_id", "turn", "text")
+    given = chat.format_turns(texts, model).drop("text").withColumn("form", F.lit("turns"))
+    joined = chat.format_joined(texts, chat.learn_lines(counted_on), model).drop("text").withColumn("form", F.lit("transcript"))
+    return given.unionByName(joined)
 
 
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

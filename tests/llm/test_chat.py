@@ -105,3 +105,23 @@ def test_nulls_ties_and_no_rows(spark):
     assert sorted(r.position for r in out if r.conv_id == 1) == [0, 1, 2, 3]
     nothing = rows_of(spark, rows).where("false")
     assert chat.format_turns(nothing, chat.learn(nothing)).count() == 0
+
+
+@pytest.mark.parametrize("segment", [256, 3])
+def test_lines_of_a_turn_are_joined(spark, monkeypatch, segment):
+    monkeypatch.setattr(chat, "SEGMENT", segment)
+    raw = "System: be kind\n\nUser: hello there\nand more\n\nand a third\nfourth\nfifth\nAssistant: hi.\nHuman: bye\nBot: bye.\n\n"
+    transcripts = spark.createDataFrame([(1, raw), (2, None), (3, ""), (None, "Q: why\nso?")], "conv_id bigint, text string")
+    out = chat.format_transcripts(transcripts, chat.default_line_model(), chat.default_model()).orderBy("conv_id", "position").collect()
+    want = [(None, "user", "why\nso?"), (1, "system", "be kind"), (1, "user", "hello there\nand more\n\nand a third\nfourth\nfifth")]
+    want += [(1, "assistant", "hi."), (1, "user", "bye"), (1, "assistant", "bye.")]
+    assert [(r.conv_id, r.found, r.rendered) for r in out] == [(c, role, f"<|{role}|>\n{x}\n<|end|>\n") for c, role, x in want]
+
+
+def test_turns_are_found_again_in_joined_conversations(spark):
+    rows = conversations(6, 120)
+    known = rows_of(spark, rows).where("conv_id % 2 = 0")
+    out = chat.format_joined(lines_of(spark, rows).repartition(3), chat.learn_lines(known), chat.learn(known)).collect()
+    want = {(c, t): (r, x.strip()) for c, t, r, x in rows}
+    same = sum(want.get((r.conv_id, r.turn)) == (r.found, r.text) for r in out)
+    assert len(out) == len(rows) and same >= 0.97 * len(rows)
