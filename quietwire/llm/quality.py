@@ -10,9 +10,10 @@ the bracket being what the unlabelled negatives cost. Whenever a step takes the
 the step is reversed, which is what keeps it from fitting the positives in the unlabelled text. The
 share of positives in unlabelled text (the prior) is estimated first: where positives are dense and a
 first classifier surest, unlabelled text is all positive, so the ratio of the two densities there is it.
+The densities are counted over all positives and all unlabelled rows, in bins of the score.
 
-At most POSITIVES and UNLABELLED texts are fitted on, drawn by a hash of their id. Scores cover all
-documents and whole texts. Null and empty texts have the shape of an empty text and get its score.
+At most POSITIVES and UNLABELLED texts are fitted on, drawn by a hash of their id, one row of each id.
+Scores and the prior cover all documents and whole texts. Null and empty texts have the shape of an empty text and get its score.
 Repeated rows get the same score. Without positives every score is the default prior. Other columns
 of ``docs`` are not looked at.
 """
@@ -20,13 +21,13 @@ of ``docs`` are not looked at.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quietwire.llm.common import in_batches
@@ -41,6 +42,9 @@ MARGIN = 0.03
 # Cuts of each feature for its step functions, as shares of the sample.
 CUTS = (0.02, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.98)
 
+# Scores of the first classifiers are counted in bins this wide, up to BINS on both sides of 0.
+BIN, BINS = 1 / 128, 4096
+
 FEATURES = (
     "words", "length", "word_length", "spread", "longest", "upper", "capitals", "digits", "signs", "odd_ends", "bare_signs",
     "variety", "commonest", "stutter", "short", "sentences", "lines", "line_length", "same_lines", "entropy", "foreign", "links",
@@ -131,37 +135,46 @@ def _descend(gradient, weights: np.ndarray, rounds: int, rate: float) -> np.ndar
     return weights
 
 
-def estimate_prior(p: np.ndarray, u: np.ndarray, least: float = 0.4) -> float:
+def estimate_prior(p: np.ndarray, u: np.ndarray, least: float = 0.4, of_p: np.ndarray | None = None, of_u: np.ndarray | None = None) -> float:
     """Share of positives in ``u`` from scores: the least ratio of unlabelled to positive mass above a threshold.
 
-    Only thresholds with at least ``least`` of the positives above them count, as others are noise.
+    ``of_p`` and ``of_u`` tell how many rows have each score, if not one. Only thresholds with at
+    least ``least`` of the positives above them count, as others are noise.
     """
-    levels = np.quantile(p, np.linspace(0, 1 - least, 60))
-    above_p = np.array([(p >= t).mean() for t in levels])
-    above_u = np.array([(u >= t).mean() for t in levels])
+    of_p, of_u = (np.ones(len(x)) if n is None else np.asarray(n, float) for x, n in ((p, of_p), (u, of_u)))
+    by = np.argsort(p)
+    mass = np.cumsum(of_p[by])
+    shares = np.linspace(0, 1 - least, 60)
+    levels = p[by][np.minimum(np.searchsorted(mass, shares * mass[-1]), len(p) - 1)]
+    above_p = np.array([of_p[p >= t].sum() for t in levels]) / of_p.sum()
+    above_u = np.array([of_u[u >= t].sum() for t in levels]) / of_u.sum()
     return float(np.clip((above_u / np.maximum(above_p, 1e-9)).min(), 0.05, 0.98))
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 400, rate: float = 0.03, penalty: float = 1e-4) -> Model:
-    if min(len(positive), len(unlabelled)) < 2:
+Sample = tuple[np.ndarray, np.ndarray]
+Judges = list[np.ndarray]
+
+
+def train(
+    positive: Sample, unlabelled: Sample, prior_of: Callable[[np.ndarray, Judges], float], rounds: int = 400, rate: float = 0.03, penalty: float = 1e-4
+) -> Model:
+    """From the features and halves (0 or 1) of sampled rows; ``prior_of`` counts with cuts and the classifier for each half."""
+    if min(len(positive[0]), len(unlabelled[0])) < 2:
         return Model()
-    cuts = np.quantile(np.concatenate([positive, unlabelled]), CUTS, axis=0).T
-    # Rows come in the order of their ids; halves must not follow it.
-    mixed = np.random.default_rng(len(unlabelled))
-    p, u = _steps(mixed.permutation(positive), cuts), _steps(mixed.permutation(unlabelled), cuts)
+    cuts = np.quantile(np.concatenate([positive[0], unlabelled[0]]), CUTS, axis=0).T
+    p, u = _steps(positive[0], cuts), _steps(unlabelled[0], cuts)
     start = np.zeros(p.shape[1])
 
-    # Each half of the sample is judged by a classifier of the other half: on its own rows it would be too sure.
-    ratios = []
+    # Each half is judged by a classifier of the other half: on its own rows it would be too sure.
+    judges = []
     for half in (0, 1):
-        a, b = p[half::2], u[half::2]
+        a, b = (x[halves != half] if (halves != half).any() else x for x, halves in ((p, positive[1]), (u, unlabelled[1])))
 
         def apart(w: np.ndarray, a: np.ndarray = a, b: np.ndarray = b) -> np.ndarray:
             return a.T @ _slope(a @ w) / len(a) - b.T @ _slope(-(b @ w)) / len(b) + 10 * penalty * w
 
-        first = _descend(apart, start, rounds // 2, rate)
-        ratios.append(estimate_prior(p[1 - half :: 2] @ first, u[1 - half :: 2] @ first))
-    prior = max(sum(ratios) / 2 - MARGIN, 0.05)
+        judges.append(_descend(apart, start, rounds // 2, rate))
+    prior = max(prior_of(cuts, judges) - MARGIN, 0.05)
 
     def risk(w: np.ndarray) -> np.ndarray:
         zp, zu = p @ w, u @ w
@@ -185,17 +198,53 @@ def _shapes(texts: DataFrame) -> DataFrame:
     return in_batches(texts.select(F.col("doc_id").cast("bigint"), "text"), work, "doc_id bigint, shape array<double>")
 
 
-def _sample(docs: DataFrame, ids: DataFrame, most: int) -> np.ndarray:
-    """Features of at most ``most`` documents, drawn by a hash of their id."""
-    drawn = ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = _shapes(docs.join(F.broadcast(stage(drawn, "drawn-ids")), "doc_id")).limit(2 * most).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["shape"]))
-    return np.array([r["shape"] for r in rows], float).reshape(len(rows), len(FEATURES))
+def _half(doc_id: Column) -> Column:
+    return F.xxhash64(doc_id, F.lit(1)).bitwiseAND(F.lit(1)).cast("int")
+
+
+def _sample(docs: DataFrame, ids: DataFrame, most: int) -> Sample:
+    """Features and halves of at most ``most`` documents, drawn by a hash of their id; of rows with one id, one."""
+    ids = ids.select(F.col("doc_id").cast("bigint").alias("doc_id")).where(F.col("doc_id").isNotNull())
+    drawn = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    texts = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).join(F.broadcast(stage(drawn, "drawn-ids")), "doc_id")
+    rows = _shapes(texts).groupBy("doc_id").agg(F.min("shape").alias("shape")).withColumn("half", _half(F.col("doc_id"))).collect()
+    rows.sort(key=lambda r: r["doc_id"])
+    return np.array([r["shape"] for r in rows], float).reshape(len(rows), len(FEATURES)), np.array([r["half"] for r in rows], int)
+
+
+def _prior(docs: DataFrame, positives: DataFrame, unlabelled: DataFrame, cuts: np.ndarray, judges: Judges) -> float:
+    """The share of positives among all rows that ``unlabelled`` names, from counts of rows by bin of the score."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = np.stack(judges, axis=1)
+        for batch in batches:
+            x = np.array([shape(t.as_py() or "") for t in batch.column(2)], float).reshape(batch.num_rows, len(FEATURES))
+            half = batch.column(1).to_numpy(zero_copy_only=False)
+            z = (_steps(x, cuts) @ weights)[np.arange(batch.num_rows), half]
+            bins = np.clip(np.floor(z / BIN), -BINS, BINS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bins)], ["doc_id", "half", "bin"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(F.col("doc_id").isNotNull())
+    judged = in_batches(texts.select("doc_id", _half(F.col("doc_id")).alias("half"), "text"), work, "doc_id bigint, half int, bin int")
+    # Repeated rows are counted before they meet the names.
+    judged = stage(judged.groupBy("doc_id", "half", "bin").agg(F.count(F.lit(1)).alias("n")), "judged")
+    counts = []
+    for names in (positives, unlabelled):
+        names = names.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+        counted = judged.join(names, "doc_id", "left_semi").groupBy("half", "bin").agg(F.sum("n").alias("n"))
+        counts.append(np.array([tuple(r) for r in counted.collect()], float).reshape(-1, 3))  # two rows a bin at most
+    ratios = []
+    for half in (0, 1):
+        p, u = (c[c[:, 0] == half] for c in counts)
+        if len(p) and len(u):
+            ratios.append(estimate_prior(p[:, 1], u[:, 1], of_p=p[:, 2], of_u=u[:, 2]))
+    return sum(ratios) / len(ratios) if ratios else DEFAULT_PRIOR
 
 
 def learn(docs: DataFrame, positives: DataFrame, unlabelled: DataFrame, most: tuple[int, int] = (POSITIVES, UNLABELLED)) -> Model:
     """``positives`` and ``unlabelled`` name documents by doc_id."""
-    return train(_sample(docs, positives, most[0]), _sample(docs, unlabelled, most[1]))
+    samples = _sample(docs, positives, most[0]), _sample(docs, unlabelled, most[1])
+    return train(*samples, lambda cuts, judges: _prior(docs, positives, unlabelled, cuts, judges))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:

@@ -124,3 +124,27 @@ def test_prior_of_a_known_mixture():
     rng = np.random.default_rng(4)
     p, u = rng.normal(1, 1, 4000), np.concatenate([rng.normal(1, 1, 4200), rng.normal(-4, 1, 1800)])
     assert abs(quality.estimate_prior(p, u) - 0.7) < 0.05
+
+
+def test_prior_counts_all_unlabelled_rows_and_not_the_sample(spark):
+    rows, good = shape_corpus(3)
+    docs, labels = docs_of(spark, rows), labels_of(spark, good, "quality").where("quality = 1")
+    # Ten more rows of each bad text under one id, which is drawn once at most.
+    bad = {i for i, g in good if not g}
+    more = docs_of(spark, rows + [r for r in rows if r[0] in bad for _ in range(10)])
+    few, many = (quality.learn(d, labels, d, (200, 200)).prior for d in (docs, more))
+    share = (len(rows) - len(bad)) / (len(rows) + 10 * len(bad))
+    assert many < few - 0.1 and abs(many + quality.MARGIN - share) < 0.1
+
+
+def test_a_repeated_id_gives_one_sampled_row(spark):
+    docs = docs_of(spark, [(1, f"text {n}") for n in range(50)] + [(2, "another one")])
+    x, _ = quality._sample(docs.repartition(5), docs, 10)
+    assert len(x) == 2
+
+
+def test_prior_of_counted_scores():
+    rng = np.random.default_rng(5)
+    p, u = rng.normal(1, 1, 4000), np.concatenate([rng.normal(1, 1, 4200), rng.normal(-4, 1, 1800)])
+    (a, n), (b, m) = (np.unique(np.floor(x * 100), return_counts=True) for x in (p, u))
+    assert abs(quality.estimate_prior(a, b, of_p=n, of_u=m) - 0.7) < 0.05
