@@ -34,7 +34,7 @@ LONGEST = 5
 LEAST_USES = 100
 REPORTED = 2000
 # Words that a task counts at a time.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 # Places of the bitmap of frequent fingerprints; 2^26 are 8 MB for every worker, whatever the input.
 BITS = 26
 
@@ -62,31 +62,31 @@ class Block:
         raw = np.frombuffer(spaced, np.uint8)
         solid = raw != 32
         edge = np.flatnonzero(np.diff(solid, prepend=False, append=False))
-        self.starts, ends = edge[::2], edge[1::2]
-        self.mask = np.uint64(mask)
+        starts = edge[::2]
         # Exact numbers of the different words, and a hash of each.
-        offsets = np.concatenate([[0], np.cumsum(ends - self.starts)]).astype(np.int64)
-        data = pa.py_buffer(raw[solid])
-        words = pa.Array.from_buffers(pa.large_binary(), len(self.starts), [None, pa.py_buffer(offsets), data]).dictionary_encode()
+        offsets = pa.py_buffer(np.concatenate([[0], np.cumsum(edge[1::2] - starts)]).astype(np.int64))
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(raw[solid])]).dictionary_encode()
+        del solid, edge, offsets
         self.words = words.indices.to_numpy()
         hashes, _ = hash_words(b" ".join(words.dictionary.to_pylist()))
         # A break between two words lies in front of the second.
         breaks = np.flatnonzero(_IS_BREAK[np.frombuffer(joined, np.uint8)])
-        self.piece = np.searchsorted(breaks, self.starts)
+        self.piece = np.searchsorted(breaks, starts).astype(np.int32)
         lengths = np.array([len(t) + 1 for t in texts], np.int64)
-        self.doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(self.starts, np.concatenate([[0], np.cumsum(lengths)]))))
+        first = np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)])).astype(np.int32)
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(first))
         names, lang = np.unique(np.array(langs, object), return_inverse=True)
-        self.lang = lang[self.doc]
+        self.lang = lang.astype(np.int32)[self.doc]
+        self.first = first
+        self.mask = np.uint64(mask)
         seeds = np.array([int.from_bytes(_digest(x), "little") for x in names], np.uint64)
         self.seed = seeds[self.lang]
         self.names = names
-        n = len(self.starts)
+        n = len(starts)
         self._back = _powers(pow(_FACTOR, -1, 1 << 64), n)
         with np.errstate(over="ignore"):
             sums = np.cumsum(hashes[self.words] * _powers(_FACTOR, n)) if n else np.zeros(0, np.uint64)
         self._sums = np.concatenate([np.zeros(1, np.uint64), sums])
-        first = np.searchsorted(self.doc, np.arange(len(texts)))
-        self.at = np.arange(n) - first[self.doc]
 
     def within(self, n: int) -> np.ndarray:
         """Whether the n words from each on lie in one piece; as long as there are such places."""
@@ -131,8 +131,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], mask: int, size: int) -> Iterator
             others.append(next(rest, None))
             held += len(text) // 6 + 1
             if held >= size:
-                yield Block(texts, langs, mask), others
-                texts, langs, others, held = [], [], [], 0
+                block, texts, langs, held = Block(texts, langs, mask), [], [], 0
+                yield block, others
+                block, others = None, []
     if texts:
         yield Block(texts, langs, mask), others
 
@@ -173,6 +174,8 @@ def _counts(rows: DataFrame, words: np.ndarray | None, mask: int, size: int) ->
             found, n = np.unique(every, return_counts=True)
             prints = pa.array([None] * len(lang) + signed(found).tolist() if lang else signed(found), pa.int64())
             uses = pa.array(np.concatenate([*uses, n]).astype(np.int64))
+            # One block at a time is held.
+            del block, every
             yield pa.RecordBatch.from_arrays([prints, uses, pa.array(lang + [None] * len(found), pa.string())], ["print", "uses", "lang"])
 
     return in_batches(rows.select("text", "lang"), work, "print bigint, uses bigint, lang string")
@@ -196,9 +199,10 @@ def _places(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int,
                     fit = fit[:-1] & paired[n - 2 :]
                 for first, uses in block.groups(n, np.flatnonzero(fit), prints):
                     of = block.doc[first]
-                    arrays = [signed(prints[first]), np.full(len(first), n, np.int8), uses, doc[of], salt[of], block.at[first]]
+                    arrays = [signed(prints[first]), np.full(len(first), n, np.int8), uses, doc[of], salt[of], first - block.first[of]]
                     types = [pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
                     yield pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in zip(arrays, types)], names)
+            del block
 
     return in_batches(rows.select("text", "lang", "doc", "salt"), work, "print bigint, n tinyint, uses bigint, doc bigint, salt int, at int")
 

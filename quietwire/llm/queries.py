@@ -216,11 +216,13 @@ ORACLES: dict[str, str] = {
             SELECT lang, k, unnest([array_to_string(t[i:i + k - 1], ' ') for i in range(1, len(t) - k + 2)]) AS phrase
             FROM words, range(1, 6) AS lengths(k) WHERE len(t) >= k
         ), uses AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
-        cuts AS (
+        parts AS (
+            SELECT c.*, i, array_to_string(string_split(phrase, ' ')[1:i], ' ') AS head, array_to_string(string_split(phrase, ' ')[i + 1:], ' ') AS tail
+            FROM uses c, range(1, 5) AS places(i) WHERE i < c.k
+        ), cuts AS (
             SELECT c.lang, c.phrase, c.k, c.a, i, x.a AS l, y.a AS r, n, CAST((1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
-            FROM uses c, range(1, 5) AS places(i), uses x, uses y, sizes s
-            WHERE i < c.k AND s.lang = c.lang AND x.lang = c.lang AND y.lang = c.lang
-              AND x.phrase = array_to_string(string_split(c.phrase, ' ')[1:i], ' ') AND y.phrase = array_to_string(string_split(c.phrase, ' ')[i + 1:], ' ')
+            FROM parts c JOIN uses x ON x.lang = c.lang AND x.phrase = head JOIN uses y ON y.lang = c.lang AND y.phrase = tail
+                JOIN sizes s ON s.lang = c.lang
         ), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
         ranked AS (
             SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best b
