@@ -25,9 +25,6 @@ from quietwire.llm.common import prepare
 from quietwire.operators.skew import hot_keys, salted_join
 from quietwire.session import stage
 
-# Digests of a bucket at most, at about 50 bytes each.
-BUCKET_ROWS = 2_000_000
-
 
 def digest(text: Column) -> Column:
     """SHA-256 of the text's UTF-8, as 32 bytes."""
@@ -70,9 +67,10 @@ class DigestIndex:
         return self.spark.table(self.table)
 
     def _groups(self, rows: DataFrame) -> DataFrame:
-        """(digest, largest id, rows), laid out like the index."""
+        """(digest, largest id, rows), laid out like the index. Written first: a join would else be moved below
+        the grouping and meet all rows of a digest."""
         groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("rows"))
-        return groups.repartition(self.buckets, "digest")
+        return stage(groups, "digest-groups").repartition(self.buckets, "digest")
 
     def load(self, rows: DataFrame, name: str) -> None:
         """Appends the texts of ``rows`` (doc_id, digest) that the index does not hold yet."""

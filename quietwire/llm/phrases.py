@@ -5,17 +5,17 @@ tabs. Prefix polynomials over the words of a block give the fingerprint of every
 counted per language (null: ``und``).
 
 1. Words, then pairs of frequent words, are counted by fingerprint; a bitmap of fixed size says which are frequent.
-2. N-grams of 1 to 5 words without an infrequent pair are counted by block: (fingerprint, uses, place of the
-   block's first occurrence). Within a block they are told apart by the words themselves.
-3. Fingerprints with enough uses keep their places. Each place is looked up in its text, and the uses are
-   added up by the phrase found there. So two phrases with one fingerprint stay apart, and only
-   frequent phrases ever become text.
+2. N-grams of 1 to 5 words without an infrequent pair are counted by block and told apart by the words themselves
+   there. Each adds (fingerprint, check, uses, a document that holds it); the shuffle adds up the uses.
+3. Of fingerprints with enough uses the document is looked up. The phrase is what its text holds under that fingerprint
+   and check. So only frequent phrases ever become text.
 
-Bitmaps and fingerprints only let too much through, never too little, so counts are exact whatever their size.
+Bitmaps and the first counts only let too much through, never too little. Phrases of different blocks are told apart by 64 bits
+of fingerprint and 24 of an independent check.
 
 Scores are exact: products are decimals of 38 digits, enough for corpora of up to 10^15 words. Null and
 empty texts have no words. Rows equal in all of id, text and language count each. Null ids are ids
-like others. Empty tables give no rows. Other columns are ignored.
+like any other. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quietwire.llm.common import LOWER, hash_words, in_batches, mix, prepare, signed, text_bytes
+from quietwire.operators.skew import lookup_join
 from quietwire.session import stage
 
 LONGEST = 5
@@ -43,7 +44,9 @@ _SPACED = bytes(32 if i in _BREAKS or i == 9 else i for i in range(256))
 _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[list(_BREAKS)] = True
 _FACTOR = 0x9FB21C651E98DF25
-_LAST = (1 << 63) - 1
+_CHECK_FACTOR = 0xD1342543DE82EF95
+# Enough bits for counts that only prune; the rest of a row then compresses well.
+_SHORT = np.uint64((1 << 40) - 1)
 
 
 def _powers(factor: int, n: int) -> np.ndarray:
@@ -68,6 +71,7 @@ class Block:
         words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(raw[solid])]).dictionary_encode()
         del solid, edge, offsets
         self.words = words.indices.to_numpy()
+        self._dictionary = words.dictionary
         hashes, _ = hash_words(b" ".join(words.dictionary.to_pylist()))
         # A break between two words lies in front of the second.
         breaks = np.flatnonzero(_IS_BREAK[np.frombuffer(joined, np.uint8)])
@@ -84,9 +88,26 @@ class Block:
         self.names = names
         n = len(starts)
         self._back = _powers(pow(_FACTOR, -1, 1 << 64), n)
+        self._sums = self._prefix(hashes, _FACTOR)
+        self._hashes = hashes
+        self._checks: np.ndarray | None = None
+
+    def _prefix(self, hashes: np.ndarray, factor: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            sums = np.cumsum(hashes[self.words] * _powers(factor, len(self.words)), dtype=np.uint64)
+        return np.concatenate([np.zeros(1, np.uint64), sums])
+
+    def tags(self, n: int, at: np.ndarray) -> np.ndarray:
+        """24 bits of a second fingerprint, and n."""
+        if self._checks is None:
+            self._checks = self._prefix(mix(self._hashes, 7), _CHECK_FACTOR)
+            self._checks_back = _powers(pow(_CHECK_FACTOR, -1, 1 << 64), len(self.words))
         with np.errstate(over="ignore"):
-            sums = np.cumsum(hashes[self.words] * _powers(_FACTOR, n)) if n else np.zeros(0, np.uint64)
-        self._sums = np.concatenate([np.zeros(1, np.uint64), sums])
+            gram = (self._checks[at + n] - self._checks[at]) * self._checks_back[at]
+        return ((mix(gram + self.seed[at], 8) >> np.uint64(40)).astype(np.int64) << 3 | n).astype(np.int32)
+
+    def phrase(self, n: int, at: int) -> str:
+        return b" ".join(self._dictionary[i].as_py() for i in self.words[at : at + n]).decode()
 
     def within(self, n: int) -> np.ndarray:
         """Whether the n words from each on lie in one piece; as long as there are such places."""
@@ -143,9 +164,8 @@ def _has(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _bitmap(counts: DataFrame, least: int, bits: int) -> np.ndarray:
-    """The places of all fingerprints with at least ``least`` uses; the driver gets 2^bits / 64 numbers at most."""
-    frequent = counts.groupBy("print").agg(F.sum("uses").alias("uses")).where(F.col("uses") >= least)
+def _bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
+    """The places of all fingerprints of ``frequent``; the driver gets 2^bits / 64 numbers at most."""
     place = F.col("print").bitwiseAND(F.lit((1 << bits) - 1))
     packed = frequent.groupBy(F.shiftright(place, 6).cast("int").alias("at")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
@@ -171,7 +191,7 @@ def _counts(rows: DataFrame, words: np.ndarray | None, mask: int, size: int) ->
             else:
                 known = _has(words, block.fingerprints(1))
                 every = block.fingerprints(2)[block.within(2) & known[:-1] & known[1:]]
-            found, n = np.unique(every, return_counts=True)
+            found, n = np.unique(every & _SHORT, return_counts=True)
             prints = pa.array([None] * len(lang) + signed(found).tolist() if lang else signed(found), pa.int64())
             uses = pa.array(np.concatenate([*uses, n]).astype(np.int64))
             # One block at a time is held.
@@ -181,13 +201,13 @@ def _counts(rows: DataFrame, words: np.ndarray | None, mask: int, size: int) ->
     return in_batches(rows.select("text", "lang"), work, "print bigint, uses bigint, lang string")
 
 
-def _places(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int, mask: int, size: int) -> DataFrame:
-    """(print, n, uses, doc, salt, at) by block, of n-grams without an infrequent word or pair."""
-    names = ["print", "n", "uses", "doc", "salt", "at"]
+def _grams(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int, mask: int, size: int) -> DataFrame:
+    """(print, tag, uses, doc) by block, of n-grams without an infrequent word or pair."""
+    names = ["print", "tag", "uses", "doc"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, others in _blocks(batches, mask, size):
-            doc, salt = (np.array(x, np.int64) for x in zip(*others))
+            doc = np.array([x for (x,) in others], np.int64)
             paired = np.zeros(0, bool)
             for n in range(1, longest + 1):
                 prints = block.fingerprints(n)
@@ -198,59 +218,63 @@ def _places(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int,
                 else:
                     fit = fit[:-1] & paired[n - 2 :]
                 for first, uses in block.groups(n, np.flatnonzero(fit), prints):
-                    of = block.doc[first]
-                    arrays = [signed(prints[first]), np.full(len(first), n, np.int8), uses, doc[of], salt[of], first - block.first[of]]
-                    types = [pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-                    yield pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in zip(arrays, types)], names)
+                    arrays = [signed(prints[first]), block.tags(n, first), uses, doc[block.doc[first]]]
+                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names)
             del block
 
-    return in_batches(rows.select("text", "lang", "doc", "salt"), work, "print bigint, n tinyint, uses bigint, doc bigint, salt int, at int")
+    return in_batches(rows.select("text", "lang", "doc"), work, "print bigint, tag int, uses bigint, doc bigint")
 
 
-def _looked_up(rows: DataFrame, places: DataFrame) -> DataFrame:
-    """(lang, n, phrase, uses) of every place (doc, salt, n, at, uses), as the text has it."""
-    wanted = places.repartition("doc", "salt").groupBy("doc", "salt", "n", "at").agg(F.sum("uses").alias("uses"))
-    wanted = wanted.groupBy("doc", "salt").agg(F.collect_list(F.struct("n", "at", "uses")).alias("wanted"))
-    # The side without texts is hashed, so texts are moved once and never sorted.
-    met = rows.join(wanted.hint("shuffle_hash"), ["doc", "salt"]).select("text", "lang", "doc", "salt", "wanted")
-    names = ["lang", "n", "phrase", "uses", "doc", "salt", "at"]
+def _looked_up(rows: DataFrame, frequent: DataFrame, mask: int) -> DataFrame:
+    """(lang, phrase, n, uses) of every (print, tag, uses, doc), as the text of the document has it."""
+    wanted = stage(frequent.groupBy("doc").agg(F.collect_list(F.struct("tag", "print", "uses")).alias("wanted")), "wanted")
+    # A short list goes to the texts; a long one is shuffled with them.
+    met = lookup_join(rows, wanted, ["doc"], F.hash("text")).select("text", "lang", "wanted")
+    names = ["lang", "phrase", "n", "uses", "print", "tag"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            langs, doc, salt = (batch.column(i).to_pylist() for i in (1, 2, 3))
-            wanted = batch.column(4)
-            ends = wanted.value_lengths().to_numpy().cumsum().tolist()
-            cells = list(zip(*(wanted.flatten().field(k).to_pylist() for k in range(3))))
-            for i, text in enumerate(text_bytes(batch.column(0))):
-                words = [w for w in text.translate(LOWER).translate(_SPACED).split(b" ") if w]
-                for n, at, uses in cells[ends[i - 1] if i else 0 : ends[i]]:
-                    out.append((langs[i], n, b" ".join(words[at : at + n]).decode(), uses, doc[i], salt[i], at))
-            columns = list(zip(*out)) or [()] * 7
-            types = [pa.string(), pa.int8(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            langs, out = batch.column(1).to_pylist(), []
+            block = Block(list(text_bytes(batch.column(0))), langs, mask)
+            ends = np.concatenate([[0], batch.column(2).value_lengths().to_numpy().cumsum()])
+            tags, prints, uses = (batch.column(2).flatten().field(k).to_numpy() for k in range(3))
+            size = tags & 7
+            for n in np.unique(size).tolist():
+                here, within = signed(block.fingerprints(n)), block.within(n)
+                for i in range(batch.num_rows):
+                    cells = ends[i] + np.flatnonzero(size[ends[i] : ends[i + 1]] == n)
+                    at = block.first[i] + np.flatnonzero(within[block.first[i] : block.first[i + 1]])
+                    at = at[np.isin(here[at], prints[cells])]
+                    if len(at):
+                        places = dict(zip(zip(here[at].tolist(), block.tags(n, at).tolist()), at.tolist()))
+                        for p, tag, u in zip(prints[cells].tolist(), tags[cells].tolist(), uses[cells].tolist()):
+                            if (p, tag) in places:
+                                out.append((langs[i], block.phrase(n, places[p, tag]), n, u, p, tag))
+            types = [pa.string(), pa.string(), pa.int8(), pa.int64(), pa.int64(), pa.int32()]
+            columns = zip(*out) if out else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    found = in_batches(met, work, "lang string, n tinyint, phrase string, uses bigint, doc bigint, salt int, at int")
-    # A row that the table repeats is looked up as often; its places count once.
-    once = found.repartition("lang", "phrase").groupBy("lang", "phrase", "n", "doc", "salt", "at").agg(F.max("uses").alias("uses"))
-    return once.groupBy("lang", "phrase", "n").agg(F.sum("uses").alias("uses"))
+    found = in_batches(met, work, "lang string, phrase string, n tinyint, uses bigint, print bigint, tag int")
+    # A row that the table repeats is looked up as often.
+    return found.dropDuplicates(["print", "tag"]).drop("print", "tag")
 
 
 def counted(docs: DataFrame, least: int = LEAST_USES, longest: int = LONGEST, bits: int = BITS, mask: int = (1 << 64) - 1, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, n, uses) of all n-grams with ``least`` uses, (lang, words)), both written."""
     prepare(docs.sparkSession)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
-    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST))
-    rows = docs.select("text", lang.alias("lang"), doc.alias("doc"), F.hash("text", lang).alias("salt"))
-    words = stage(_counts(rows, None, mask, block), "word-counts")
-    totals = stage(words.where("print is null").groupBy("lang").agg(F.sum("uses").alias("words")), "words")
-    known = _bitmap(words.where("print is not null").drop("lang"), least, bits)
-    pairs = _bitmap(_counts(rows, known, mask, block).drop("lang"), least, bits)
-    places = stage(_places(rows, known, pairs, longest, mask, block), "places")
-    frequent = places.groupBy("print").agg(F.sum("uses").alias("all_uses")).where(F.col("all_uses") >= least).select("print")
-    kept = places.join(frequent, "print", "left_semi").drop("print")
-    phrases = _looked_up(rows, stage(kept, "frequent-places")).where(F.col("uses") >= least)
-    return stage(phrases, "phrases"), totals
+    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
+    rows = docs.select("text", lang.alias("lang"), doc.alias("doc"))
+    often = F.col("uses") >= least
+    words = _counts(rows, None, mask, block).groupBy("lang", "print").agg(F.sum("uses").alias("uses"))
+    words = stage(words.where(F.col("lang").isNotNull() | often), "words")
+    known = _bitmap(words.where("lang is null"), bits)
+    pairs = _counts(rows, known, mask, block).groupBy("print").agg(F.sum("uses").alias("uses"))
+    pairs = _bitmap(pairs.where(often), bits)
+    grams = _grams(rows, known, pairs, longest, mask, block)
+    frequent = grams.groupBy("print", "tag").agg(F.sum("uses").alias("uses"), F.min("doc").alias("doc")).where(often)
+    phrases = stage(_looked_up(rows, stage(frequent, "frequent"), mask), "phrases")
+    return phrases, words.where("lang is not null").select("lang", F.col("uses").alias("words"))
 
 
 def _part(phrase: str, first: str, last: str) -> Column:
