@@ -9,22 +9,33 @@ How the work is spread:
 
 * Items that differ in ASCII spacing, punctuation or case only have equal vectors, so the later
   ones always follow the first. They are folded into one (keeping their count for ``n``, ``df``).
+* Texts are cut into grams once. A dictionary numbers the grams that several texts share, the rarest
+  first, and a text becomes two packed arrays, sorted by number: numbers and weights.
 * Pairs are found by prefix filtering (Bayardo et al., WWW 2007): per item only the rarest
-  grams are joined, up to the point where the remaining tail is shorter than the threshold.
+  grams are joined, up to the point where the remaining tail is shorter than the threshold. Where two
+  items meet, the product of what is left of both bounds their cosine.
+* A pair is verified by merging its two arrays; no gram becomes a row again.
 * The greedy pass runs on the similar pairs, not on items. When a bucket has too many
   candidate pairs, only the head of its order is settled first, the rest is compared with
   the leaders found there, and only what is still open goes on. A large group of near
   copies so meets its leader once instead of forming all pairs (prefix rounds as in
   Blelloch, Fineman, Shun, SPAA 2012).
+* The pairs of a bucket are folded in order in one pass that remembers the followers, however long
+  the chains among them. A bucket with more pairs than a fold may hold is worked off from both
+  sides: its first pairs are folded, and wherever an item has no earlier open neighbour it leads.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quietwire.functions.text import copy_key, grams, tokens
 from quietwire.operators.skew import hot_keys, lookup_join, number_rows, salted_join
@@ -42,8 +53,8 @@ class Effort:
     pairs_per_item: int = 64
     # Items a round always takes from the head of an overfull bucket.
     head: int = 1024
-    # Similar pairs of one bucket that a single row may settle.
-    pairs_in_one_row: int = 2000
+    # Similar pairs of one bucket that a single fold may settle; it holds the ids of their followers.
+    pairs_in_one_fold: int = 2_000_000
 
 
 # Cosines are sums of rounded products; prefixes are cut a little late to stay on the safe side.
@@ -140,44 +151,37 @@ def _vectors(items, bucket, order, text, id_col, threshold):
     firsts = lookup_join(copies, sizes.drop("texts"), bucket, F.col("key")).select(
         *bucket, "n", "copies", F.col("first").alias("ord"), F.col("first.id").alias("id")
     )
-    # The text moves once, keyed by the unique id, and is cut into words where it arrives.
+    # The text moves once, keyed by the unique id, and is cut into words and grams where it arrives.
     texts = items.select(F.col(id_col).alias("id"), text.alias("text"))
-    texts = stage(
-        firsts.join(texts, "id")
-        .withColumn("tokens", F.array_join(tokens(F.col("text")), " "))
-        .drop("text")
-        .where("tokens <> ''"),
-        "texts",
-    )
+    texts = firsts.join(texts, "id").withColumn("tokens", tokens(F.col("text"))).drop("text").where(F.size("tokens") > 0)
+    texts = stage(_with_terms(texts).select(*bucket, "n", "copies", "id", "ord", "terms"), "texts")
 
-    terms = _term_counts(texts, bucket)
+    terms = texts.select(*bucket, "n", "copies", "id", F.inline("terms"))
     vocabulary = stage(
         terms.groupBy(*bucket, "gram")
         .agg(F.sum("copies").alias("df"), F.count(F.lit(1)).alias("texts"))
         .where("texts > 1"),
         "vocabulary",
     )
+    # Numbers tell buckets apart as well, and sort the rarest grams first.
+    numbered = number_rows(vocabulary, [], ["texts", *bucket, "gram"], "code").drop("texts")
     # A gram outside the vocabulary occurs in one text only: it adds length, never a match.
     weighted = salted_join(
-        terms, vocabulary, [*bucket, "gram"], hot_keys(vocabulary, [*bucket, "gram"], "texts"), F.col("id"), "left"
-    ).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.coalesce("df", "copies"))) + 1))
-    shared = F.when(F.col("texts").isNotNull(), F.struct("texts", "gram", "w"))
+        terms, numbered, [*bucket, "gram"], hot_keys(vocabulary, [*bucket, "gram"], "texts"), F.col("id"), "left"
+    ).select("id", "code", (F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.coalesce("df", "copies"))) + 1)).alias("w"))
     square = F.col("w") * F.col("w")
-    packed = weighted.groupBy(*bucket, "id").agg(
-        F.first("ord").alias("ord"),
+    packed = weighted.groupBy("id").agg(
         F.sum(square).alias("norm2"),
-        F.sum(F.when(F.col("texts").isNotNull(), square)).alias("shared2"),
-        F.collect_list(shared).alias("shared"),
+        F.sum(F.when(F.col("code").isNotNull(), square)).alias("shared2"),
+        F.collect_list(F.when(F.col("code").isNotNull(), F.struct("code", "w"))).alias("shared"),
     )
-    return keyed, copies, stage(_cut_prefix(packed, threshold).select(*bucket, "id", "ord", "vector", "prefix"), "vectors")
+    cut = _cut_prefix(packed, threshold).join(texts.select(*bucket, "id", "ord"), "id")
+    return keyed, copies, stage(cut.select(*bucket, "id", "ord", "codes", "weights", "prefix"), "vectors")
 
 
-def _term_counts(texts: DataFrame, bucket: list[str]) -> DataFrame:
-    """One row per (text, gram) with its count, made row by row: no shuffle."""
-    sorted_grams = texts.select(
-        *bucket, "n", "copies", "id", "ord", F.sort_array(grams(F.split("tokens", " "))).alias("grams")
-    )
-    starts = sorted_grams.withColumn(
+def _with_terms(texts: DataFrame) -> DataFrame:
+    """Adds ``terms``, the (gram, count) of each text, made row by row: no shuffle."""
+    starts = texts.withColumn("grams", F.sort_array(grams(F.col("tokens")))).withColumn(
         "starts",
         F.filter(
             F.sequence(F.lit(1), F.size("grams")),
@@ -191,48 +195,54 @@ def _term_counts(texts: DataFrame, bucket: list[str]) -> DataFrame:
             (F.coalesce(F.get("starts", at + 1), F.size("grams") + 1) - start).alias("tf"),
         ),
     )
-    return starts.select(*bucket, "n", "copies", "id", "ord", F.inline(runs))
+    return starts.withColumn("terms", runs)
 
 
 def _cut_prefix(packed: DataFrame, threshold: float) -> DataFrame:
-    """Unit vector over the shared grams, and the rarest of them that a match must touch."""
+    """Unit vector over the shared grams as two arrays, and the rarest of them that a match must touch, each
+    with the squared length of the vector from there on."""
     bound = F.lit(threshold * threshold * (1 - _SLACK)) * F.col("norm2")
     ordered = packed.where(F.col("shared2") >= bound).withColumn("shared", F.sort_array("shared"))
     # Keep grams while what is left, the current one included, could still reach the threshold.
+    none = F.array().cast("array<double>")
     cut = F.aggregate(
         "shared",
-        F.struct(F.col("shared2").alias("left"), F.lit(0).alias("size")),
+        F.struct(F.col("shared2").alias("left"), none.alias("lefts")),
         lambda acc, x: F.struct(
             (acc["left"] - x["w"] * x["w"]).alias("left"),
-            (acc["size"] + F.when(acc["left"] >= bound, 1).otherwise(0)).alias("size"),
+            F.when(acc["left"] >= bound, F.concat(acc["lefts"], F.array(acc["left"]))).otherwise(acc["lefts"]).alias("lefts"),
         ),
-        lambda acc: acc["size"],
+        lambda acc: acc["lefts"],
     )
-    scale = F.sqrt("norm2")
+    first = F.slice("shared", F.lit(1), F.size("lefts"))
+    prefix = F.zip_with(first, "lefts", lambda x, left: F.struct(x["code"].alias("code"), (left / F.col("norm2")).alias("left")))
     return (
-        ordered.withColumn("prefix_size", cut)
-        .where("prefix_size > 0")
-        .withColumn("prefix", F.transform(F.slice("shared", F.lit(1), F.col("prefix_size")), lambda x: x["gram"]))
-        .withColumn(
-            "vector",
-            F.transform("shared", lambda x: F.struct(x["gram"].alias("gram"), (x["w"] / scale).alias("w"))),
+        ordered.withColumn("lefts", cut)
+        .where(F.size("lefts") > 0)
+        .select(
+            "id",
+            F.transform("shared", lambda x: x["code"]).alias("codes"),
+            F.transform("shared", lambda x: x["w"] / F.sqrt("norm2")).alias("weights"),
+            prefix.alias("prefix"),
         )
     )
 
 
 def _postings(vectors: DataFrame, bucket: list[str], end: str) -> DataFrame:
     return vectors.select(
-        *bucket, F.col("id").alias(end), F.col("ord").alias(f"{end}_ord"), F.explode("prefix").alias("gram")
-    )
+        *bucket, F.col("id").alias(end), F.col("ord").alias(f"{end}_ord"), F.explode("prefix").alias("at")
+    ).select(*bucket, end, f"{end}_ord", "at.code", F.col("at.left").alias(f"{end}_left"))
 
 
 def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float) -> DataFrame:
     """(bucket..., a, a_ord, b, b_ord, similarity): ``a`` of heads before ``b`` of rest, verified."""
-    keys, pair = [*bucket, "gram"], ["a", "a_ord", "b", "b_ord"]
-    earlier, later = _postings(heads, bucket, "a"), _postings(rest, bucket, "b")
+    pair = ["a", "a_ord", "b", "b_ord"]
+    earlier, later = _postings(heads, bucket, "a").drop(*bucket), _postings(rest, bucket, "b")
+    # The rarest gram that two texts share starts all of their product.
+    bound = F.col("a_left") * F.col("b_left") >= threshold * threshold * (1 - _SLACK)
     candidates = stage(
-        salted_join(later, earlier, keys, hot_keys(_gram_counts(rest, bucket), keys, "rows"), F.col("b"))
-        .where(F.col("a_ord") < F.col("b_ord"))
+        salted_join(later, earlier, ["code"], hot_keys(_gram_counts(rest, []), ["code"], "rows"), F.col("b"))
+        .where((F.col("a_ord") < F.col("b_ord")) & bound)
         .select(*bucket, *pair)
         .distinct(),
         "candidates",
@@ -242,29 +252,41 @@ def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshol
 
 def _similarities(candidates: DataFrame, heads: DataFrame, rest: DataFrame, bucket: list[str]) -> DataFrame:
     """Adds the similarity to pairs (bucket..., a, a_ord, b, b_ord)."""
-    pair = ["a", "a_ord", "b", "b_ord"]
+    names = [*bucket, "a", "a_ord", "b", "b_ord"]
     # One head may be a candidate for many later items; never the other way round by much.
     busy = hot_keys(candidates.groupBy("a").agg(F.count(F.lit(1)).alias("rows")), ["a"], "rows")
-    vectors_b = rest.select(F.col("id").alias("b"), F.col("vector").alias("vector_b"))
-    weights_b = candidates.join(vectors_b, "b").select(
-        *bucket, *pair, F.explode("vector_b").alias("g")
-    ).select(*bucket, *pair, "g.gram", F.col("g.w").alias("w_b"))
-    weights_a = (
-        heads.join(candidates.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
-        .select(F.col("id").alias("a"), F.explode("vector").alias("g"))
-        .select("a", "g.gram", F.col("g.w").alias("w_a"))
-    )
-    return (
-        salted_join(weights_b, weights_a, ["a", "gram"], busy, F.col("b"))
-        .groupBy(*bucket, *pair)
-        .agg(F.sum(F.col("w_a") * F.col("w_b")).alias("similarity"))
-    )
+    ends = [df.select(F.col("id").alias(end), F.col("codes").alias(f"{end}_codes"), F.col("weights").alias(f"{end}_weights"))
+            for df, end in ((heads, "a"), (rest, "b"))]
+    met = salted_join(candidates.join(ends[1], "b"), ends[0], ["a"], busy, F.col("b"))
+    met = met.select(*names, "a_codes", "a_weights", "b_codes", "b_weights")
+    schema = T.StructType([met.schema[name] for name in names]).add("similarity", T.DoubleType())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            products = pa.array(_products(*batch.columns[-4:]), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-4], products], [*names, "similarity"])
+
+    return met.mapInArrow(work, schema)
+
+
+def _products(a_codes: pa.ListArray, a_weights: pa.ListArray, b_codes: pa.ListArray, b_weights: pa.ListArray) -> np.ndarray:
+    """Of each row, the product of two sparse vectors sorted by code: both sides of all rows are merged at once."""
+    codes = [x.flatten().to_numpy() for x in (a_codes, b_codes)]
+    rows = [np.repeat(np.arange(len(x)), x.value_lengths().to_numpy()) for x in (a_codes, b_codes)]
+    span = max((int(x.max()) for x in codes if len(x)), default=0) + 1
+    a, b = (row * span + code for row, code in zip(rows, codes))
+    if not len(a):
+        return np.zeros(len(a_codes))
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    same = a[at] == b
+    products = a_weights.flatten().to_numpy()[at[same]] * b_weights.flatten().to_numpy()[same]
+    return np.bincount(rows[1][same], products, minlength=len(a_codes))
 
 
 def _gram_counts(vectors: DataFrame, bucket: list[str]) -> DataFrame:
     return (
-        vectors.select(*bucket, F.explode("prefix").alias("gram"))
-        .groupBy(*bucket, "gram")
+        vectors.select(*bucket, F.explode("prefix.code").alias("code"))
+        .groupBy(*bucket, "code")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
 
@@ -316,12 +338,12 @@ def _take_head(undecided: DataFrame, bucket: list[str], effort: Effort) -> tuple
     # Slices double in size, so a bucket has a few dozen at most.
     octave = F.greatest(F.ceil(F.log2(F.col("rank") / effort.head)), F.lit(0)).cast("int")
     sliced = stage(ranked.select("id", "budget", octave.alias("slice")), "sliced")
-    within = Window.partitionBy(*bucket, "gram").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*bucket, "code").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy(*bucket).orderBy("slice")
     loads = (
-        undecided.select(*bucket, "id", F.explode("prefix").alias("gram"))
+        undecided.select(*bucket, "id", F.explode("prefix.code").alias("code"))
         .join(sliced, "id")
-        .groupBy(*bucket, "budget", "slice", "gram")
+        .groupBy(*bucket, "budget", "slice", "code")
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("pairs", pairs + F.col("rows") * F.coalesce(F.sum("rows").over(within), F.lit(0)))
         .groupBy(*bucket, "budget", "slice")
@@ -346,36 +368,45 @@ def _followers(pairs: DataFrame, bucket: list[str], effort: Effort) -> DataFrame
     found, undecided = [], pairs.select(*bucket, "a", "b", "b_ord")
     while True:
         sizes = undecided.groupBy(*bucket).agg(F.count(F.lit(1)).alias("pairs"))
-        if sizes.where(F.col("pairs") > effort.pairs_in_one_row).isEmpty():
-            found.append(_settle_in_rows(undecided, bucket))
+        if sizes.where(F.col("pairs") > effort.pairs_in_one_fold).isEmpty():
+            found.append(_fold(undecided, bucket))
             return stage(reduce(DataFrame.union, found), "followers")
         sized = lookup_join(undecided, stage(sizes, "pair-counts"), bucket, F.col("b"))
-        found.append(_settle_in_rows(sized.where(F.col("pairs") <= effort.pairs_in_one_row), bucket))
-        # One round for the buckets with many pairs: an item no earlier undecided item is similar
-        # to leads, its neighbours follow, and both leave together with their pairs.
-        large = sized.where(F.col("pairs") > effort.pairs_in_one_row).drop("pairs")
+        found.append(_fold(sized.where(F.col("pairs") <= effort.pairs_in_one_fold), bucket))
+        large = sized.where(F.col("pairs") > effort.pairs_in_one_fold).drop("pairs")
+        # An item that no earlier undecided item is similar to leads, and its neighbours follow.
         waiting = large.select(F.col("b").alias("a")).distinct()
-        follow = stage(large.join(waiting, "a", "left_anti").select("b").distinct(), "follow")
+        follow = large.join(waiting, "a", "left_anti").select("b")
+        # The first pairs of a bucket only depend on each other.
+        ranked = number_rows(large.select(*bucket, "b_ord", "a", "b"), bucket, ["b_ord", "a"], "rank")
+        first = ranked.groupBy("b").agg(F.max("rank").alias("last")).where(F.col("last") <= effort.pairs_in_one_fold)
+        follow = follow.union(_fold(large.join(first, "b", "left_semi"), bucket))
+        follow = stage(follow.distinct(), "follow")
         found.append(follow)
         undecided = stage(
             large.join(follow, "b", "left_anti").join(follow.select(F.col("b").alias("a")), "a", "left_anti"), "open"
         )
 
 
-def _settle_in_rows(pairs: DataFrame, bucket: list[str]) -> DataFrame:
-    """The greedy rule for buckets with few pairs, folded over one short array per bucket."""
-    steps = (
-        pairs.groupBy(*bucket, "b_ord", "b")
-        .agg(F.collect_set("a").alias("earlier"))
-        .groupBy(*bucket)
-        .agg(F.sort_array(F.collect_list(F.struct("b_ord", "b", "earlier"))).alias("steps"))
-    )
-    followers = F.aggregate(
-        "steps",
-        F.array().cast("array<string>"),
-        # Every earlier end is decided by now: it leads unless it is among the followers.
-        lambda acc, step: F.when(
-            F.size(F.array_except(step["earlier"], acc)) > 0, F.concat(acc, F.array(step["b"]))
-        ).otherwise(acc),
-    )
-    return steps.select(F.explode(followers).alias("b"))
+def _fold(pairs: DataFrame, bucket: list[str]) -> DataFrame:
+    """(b): the followers among pairs that hold all that is undecided of their buckets before each ``b``.
+
+    Pairs stream by in the order of ``b``. Every earlier end is decided by then: it leads unless it is among the
+    followers of its bucket, which are all that is remembered.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, followers = None, set()
+        for batch in batches:
+            *groups, a, b = (column.to_pylist() for column in batch.columns)
+            out = []
+            for group, earlier, later in zip(zip(*groups), a, b):
+                if group != here:
+                    here, followers = group, set()
+                if earlier not in followers and later not in followers:
+                    followers.add(later)
+                    out.append(later)
+            yield pa.RecordBatch.from_arrays([pa.array(out, batch.column(len(groups) + 1).type)], ["b"])
+
+    ordered = pairs.repartition(*bucket).sortWithinPartitions(*bucket, "b_ord").select(*bucket, "a", "b")
+    return ordered.mapInArrow(work, T.StructType([pairs.schema["b"]]))

@@ -19,6 +19,8 @@ _SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Rows of an Arrow batch: arrays of some kB each make some MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 # Shuffled bytes that a task should get at most; AQE merges what is smaller.

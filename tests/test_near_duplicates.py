@@ -102,8 +102,8 @@ def _corpus(seed):
 
 
 _ONE_PASS = nd.Effort()
-_ROUNDS = nd.Effort(pairs_per_bucket=3000, pairs_per_item=0, head=16, pairs_in_one_row=10)
-_SPREAD = nd.Effort(pairs_in_one_row=1)
+_ROUNDS = nd.Effort(pairs_per_bucket=3000, pairs_per_item=0, head=16, pairs_in_one_fold=10)
+_SPREAD = nd.Effort(pairs_in_one_fold=1)
 
 
 @pytest.mark.parametrize("effort", [_ONE_PASS, _ROUNDS, _SPREAD], ids=["one pass", "rounds", "spread greedy"])
@@ -137,3 +137,52 @@ def test_followers_name_their_leader_once(spark):
     assert {r.member: r.leader for r in found} == led
     assert len(found) == len(led)
     assert all(0.75 <= r.similarity <= 1.0 + 1e-9 for r in found)
+
+
+def _greedy(pairs):
+    """Followers by the rule itself, over pairs (bucket, earlier, later)."""
+    earlier = {}
+    for bucket, a, b in pairs:
+        earlier.setdefault((bucket, b), set()).add((bucket, a))
+    out = set()
+    for b in sorted(earlier):
+        if earlier[b] - out:
+            out.add(b)
+    return {b for _, b in out}
+
+
+@pytest.mark.parametrize("bound, rounds", [(2_000_000, 0), (1000, 20)])
+def test_long_chains_end_in_few_rounds(spark, monkeypatch, bound, rounds):
+    """A drift of 10,000 texts, each similar to the two before it, beside a star and a short chain."""
+    def name(i):
+        return f"n{i:06d}"
+
+    pairs = [("drift", name(j), name(i)) for i in range(10_000) for j in (i - 2, i - 1) if j >= 0 and (j % 7 or i - j == 1)]
+    pairs += [("star", name(20_000), name(20_001 + i)) for i in range(3000)]
+    pairs += [("short", name(30_000 + i), name(30_001 + i)) for i in range(9)]
+    random.Random(3).shuffle(pairs)
+    table = spark.createDataFrame(pairs, "bucket string, a string, b string").withColumn("b_ord", F.struct("b"))
+    used = []
+    monkeypatch.setattr(nd, "stage", lambda df, label, real=nd.stage: used.append(label) or real(df, label))
+    got = nd._followers(table, ["bucket"], nd.Effort(pairs_in_one_fold=bound))
+    assert {r.b for r in got.collect()} == _greedy(pairs)
+    assert got.count() == len(_greedy(pairs))
+    assert used.count("follow") <= rounds
+
+
+def test_products_of_packed_vectors():
+    rng = random.Random(8)
+    rows = [[{c: rng.random() for c in rng.sample(range(40), rng.randint(0, 30))} for _ in range(2)] for _ in range(50)]
+    columns = []
+    for side in (0, 1):
+        columns.append(nd.pa.array([sorted(r[side]) for r in rows], nd.pa.list_(nd.pa.int64())))
+        columns.append(nd.pa.array([[r[side][c] for c in sorted(r[side])] for r in rows], nd.pa.list_(nd.pa.float64())))
+    want = [sum(w * b.get(c, 0) for c, w in a.items()) for a, b in rows]
+    assert nd._products(*columns).tolist() == pytest.approx(want)
+
+
+def test_grams_are_made_once_and_never_rows_again(spark):
+    items = spark.createDataFrame(_corpus(3), "bucket string, at string, id string, text string")
+    *_, vectors = nd._vectors(items, ["bucket"], ["at"], F.col("text"), "id", 0.75)
+    plan = nd.similar_pairs(vectors, vectors, ["bucket"], 0.75)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "explode" not in plan and "weights" in plan
