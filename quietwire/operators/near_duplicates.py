@@ -151,12 +151,13 @@ def _vectors(items, bucket, order, text, id_col, threshold):
     firsts = lookup_join(copies, sizes.drop("texts"), bucket, F.col("key")).select(
         *bucket, "n", "copies", F.col("first").alias("ord"), F.col("first.id").alias("id")
     )
-    # The text moves once, keyed by the unique id, and is cut into words and grams where it arrives.
+    # The text moves once, keyed by the unique id, and is cut into words and grams where it arrives. They
+    # are counted there as well, since a text is whole: no shuffle.
     texts = items.select(F.col(id_col).alias("id"), text.alias("text"))
-    texts = firsts.join(texts, "id").withColumn("tokens", tokens(F.col("text"))).drop("text").where(F.size("tokens") > 0)
-    texts = stage(_with_terms(texts).select(*bucket, "n", "copies", "id", "ord", "terms"), "texts")
+    cut = firsts.drop("ord").join(texts, "id").withColumn("tokens", tokens(F.col("text")))
+    rows = cut.select(*bucket, "n", "copies", "id", F.explode(grams(F.col("tokens"))).alias("gram"))
+    terms = stage(rows.groupBy(*bucket, "n", "copies", "id", "gram").agg(F.count(F.lit(1)).alias("tf")), "terms")
 
-    terms = texts.select(*bucket, "n", "copies", "id", F.inline("terms"))
     vocabulary = stage(
         terms.groupBy(*bucket, "gram")
         .agg(F.sum("copies").alias("df"), F.count(F.lit(1)).alias("texts"))
@@ -164,68 +165,62 @@ def _vectors(items, bucket, order, text, id_col, threshold):
         "vocabulary",
     )
     # Numbers tell buckets apart as well, and sort the rarest grams first.
-    numbered = number_rows(vocabulary, [], ["texts", *bucket, "gram"], "code").drop("texts")
-    # A gram outside the vocabulary occurs in one text only: it adds length, never a match.
-    weighted = salted_join(
-        terms, numbered, [*bucket, "gram"], hot_keys(vocabulary, [*bucket, "gram"], "texts"), F.col("id"), "left"
-    ).select("id", "code", (F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.coalesce("df", "copies"))) + 1)).alias("w"))
-    square = F.col("w") * F.col("w")
-    packed = weighted.groupBy("id").agg(
-        F.sum(square).alias("norm2"),
-        F.sum(F.when(F.col("code").isNotNull(), square)).alias("shared2"),
-        F.collect_list(F.when(F.col("code").isNotNull(), F.struct("code", "w"))).alias("shared"),
+    numbered = number_rows(vocabulary, [], ["texts", *bucket, "gram"], "code").drop("texts").hint("shuffle_hash")
+    weight = F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)
+    shared = stage(
+        salted_join(terms, numbered, [*bucket, "gram"], hot_keys(vocabulary, [*bucket, "gram"], "texts"), F.col("id"))
+        .select("id", "code", "tf", weight.alias("w")),
+        "shared",
     )
-    cut = _cut_prefix(packed, threshold).join(texts.select(*bucket, "id", "ord"), "id")
-    return keyed, copies, stage(cut.select(*bucket, "id", "ord", "codes", "weights", "prefix"), "vectors")
-
-
-def _with_terms(texts: DataFrame) -> DataFrame:
-    """Adds ``terms``, the (gram, count) of each text, made row by row: no shuffle."""
-    starts = texts.withColumn("grams", F.sort_array(grams(F.col("tokens")))).withColumn(
-        "starts",
-        F.filter(
-            F.sequence(F.lit(1), F.size("grams")),
-            lambda i: (i == 1) | (F.element_at("grams", i) != F.element_at("grams", F.greatest(i - 1, F.lit(1)))),
-        ),
+    # A gram outside the vocabulary occurs in one text only: it adds length, never a match. All of a
+    # text's have one factor, so what they add follows from its counts.
+    alone = F.log((1 + F.col("n")) / (1 + F.col("copies"))) + 1
+    lengths = (
+        terms.groupBy(*bucket, "id", "n", "copies").agg(F.sum(F.col("tf") * F.col("tf")).alias("tf2"))
+        .join(shared.groupBy("id").agg(
+            F.sum(F.col("tf") * F.col("tf")).alias("shared_tf2"), F.sum(F.col("w") * F.col("w")).alias("shared2")
+        ), "id")
+        .withColumn("norm2", F.col("shared2") + alone * alone * (F.col("tf2") - F.col("shared_tf2")))
     )
-    runs = F.transform(
-        "starts",
-        lambda start, at: F.struct(
-            F.element_at("grams", start).alias("gram"),
-            (F.coalesce(F.get("starts", at + 1), F.size("grams") + 1) - start).alias("tf"),
-        ),
+    # Most texts share too little with all others together, and need no vector.
+    least = threshold * threshold * (1 - _SLACK)
+    able = stage(lengths.where(F.col("shared2") >= least * F.col("norm2")).select(*bucket, "id", "norm2"), "able")
+    packed = lookup_join(shared.drop("tf"), able.select("id"), ["id"], F.col("code")).groupBy("id").agg(
+        F.collect_list(F.struct("code", "w")).alias("shared")
     )
-    return starts.withColumn("terms", runs)
+    orders = copies.select(F.col("first.id").alias("id"), F.col("first").alias("ord"))
+    vectors = _cut_prefix(packed.join(able, "id"), threshold, bucket).join(orders, "id")
+    return keyed, copies, stage(vectors.select(*bucket, "id", "ord", "codes", "weights", "prefix"), "vectors")
 
 
-def _cut_prefix(packed: DataFrame, threshold: float) -> DataFrame:
+def _cut_prefix(packed: DataFrame, threshold: float, bucket: list[str]) -> DataFrame:
     """Unit vector over the shared grams as two arrays, and the rarest of them that a match must touch, each
     with the squared length of the vector from there on."""
-    bound = F.lit(threshold * threshold * (1 - _SLACK)) * F.col("norm2")
-    ordered = packed.where(F.col("shared2") >= bound).withColumn("shared", F.sort_array("shared"))
-    # Keep grams while what is left, the current one included, could still reach the threshold.
-    none = F.array().cast("array<double>")
-    cut = F.aggregate(
-        "shared",
-        F.struct(F.col("shared2").alias("left"), none.alias("lefts")),
-        lambda acc, x: F.struct(
-            (acc["left"] - x["w"] * x["w"]).alias("left"),
-            F.when(acc["left"] >= bound, F.concat(acc["lefts"], F.array(acc["left"]))).otherwise(acc["lefts"]).alias("lefts"),
-        ),
-        lambda acc: acc["lefts"],
-    )
-    first = F.slice("shared", F.lit(1), F.size("lefts"))
-    prefix = F.zip_with(first, "lefts", lambda x, left: F.struct(x["code"].alias("code"), (left / F.col("norm2")).alias("left")))
-    return (
-        ordered.withColumn("lefts", cut)
-        .where(F.size("lefts") > 0)
-        .select(
-            "id",
-            F.transform("shared", lambda x: x["code"]).alias("codes"),
-            F.transform("shared", lambda x: x["w"] / F.sqrt("norm2")).alias("weights"),
-            prefix.alias("prefix"),
-        )
-    )
+    least = threshold * threshold * (1 - _SLACK)
+    names = [*bucket, "id"]
+    schema = T.StructType([packed.schema[name] for name in names])
+    schema = schema.add("codes", T.ArrayType(T.LongType())).add("weights", T.ArrayType(T.DoubleType()))
+    schema = schema.add("prefix", T.ArrayType(T.LongType())).add("lefts", T.ArrayType(T.DoubleType()))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shared, out = batch.column(batch.num_columns - 1), ([], [], [], [])
+            ends = np.concatenate([[0], np.cumsum(shared.value_lengths().to_numpy())])
+            codes, weights = (shared.flatten().field(k).to_numpy() for k in range(2))
+            for start, end, norm2 in zip(ends[:-1], ends[1:], batch.column(len(names)).to_numpy()):
+                by = np.argsort(codes[start:end])
+                code, weight = codes[start:end][by], weights[start:end][by] / np.sqrt(norm2)
+                # Keep grams while what is left, the current one included, could still reach the threshold.
+                left = np.cumsum((weight * weight)[::-1])[::-1]
+                kept = np.count_nonzero(left >= least)
+                for column, value in zip(out, (code, weight, code[:kept], left[:kept])):
+                    column.append(value)
+            arrays = [pa.array(column, pa.list_(t)) for column, t in zip(out, [pa.int64(), pa.float64()] * 2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *arrays], [*names, "codes", "weights", "prefix", "lefts"])
+
+    cut = packed.select(*names, "norm2", "shared").mapInArrow(work, schema).where(F.size("prefix") > 0)
+    both = F.zip_with("prefix", "lefts", lambda code, left: F.struct(code.alias("code"), left.alias("left")))
+    return cut.withColumn("prefix", both).drop("lefts")
 
 
 def _postings(vectors: DataFrame, bucket: list[str], end: str) -> DataFrame:
