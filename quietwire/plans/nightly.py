@@ -1,13 +1,16 @@
 """One run over any number of dates: from the stored tables to baselines, scores, digests, ledger and run log.
 
 All dates of a run are worked out together. Dates without trading are logged and nothing else; dates
-that the ledger holds were delivered before and are left alone, so a rerun changes nothing. A failure
-is logged for every open date and raised again.
+that the ledger holds were delivered before and are left alone, so a rerun changes nothing.
+
+A message waits in the outbox until ``confirm`` says that it is out; only then does the ledger hold its date. So a
+message that was lost on its way is offered again, word for word, by the next run or ``pending``. A failure
+is logged for every open date, leaves an alert in the outbox, and is raised again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
@@ -22,7 +25,7 @@ from quietwire.plans import funnel, report
 from quietwire.session import stage
 from quietwire.settings import DEFAULT_WATCHLIST, HOLIDAYS, LOOKBACK_DAYS, Thresholds
 from quietwire.sources.landed import lookback
-from quietwire.sources.tables import create_table, read_table, upsert, upsert_partitions
+from quietwire.sources.tables import create_table, read_table, replace_table, upsert, upsert_partitions
 from quietwire.streaming.arrivals import NEWS, PRICES
 
 
@@ -34,6 +37,8 @@ BASELINES = _with(schema.BASELINES, "year", T.IntegerType())
 SCORES = schema.ITEM_SCORES
 LEDGER = _with(schema.SENT_DIGESTS, "year", T.IntegerType())
 LOG = _with(schema.RUN_LOG, "year", T.IntegerType())
+OUTBOX = _with(schema.OUTBOX, "year", T.IntegerType())
+DIGEST, ALERT = "digest", "alert"
 
 
 @dataclass(frozen=True)
@@ -54,6 +59,7 @@ class Store:
             ("item_scores", SCORES, "run_date"),
             ("sent_digests", LEDGER, "year"),
             ("run_log", LOG, "year"),
+            ("outbox", OUTBOX, "year"),
         ):
             create_table(spark, self.path(name), kind, partition)
         self.seed(spark, watchlist)
@@ -61,9 +67,8 @@ class Store:
     def seed(self, spark: SparkSession, symbols: Iterable[str]) -> None:
         path = self.path("watchlist")
         rows = spark.createDataFrame([(s, None) for s in symbols], schema.WATCHLIST)
-        spark.createDataFrame([], schema.WATCHLIST).write.mode("append").parquet(path)
-        after = upsert(read_table(spark, path, schema.WATCHLIST), rows, ["symbol"], insert_only=True)
-        stage(after, "watchlist").write.mode("overwrite").parquet(path)
+        create_table(spark, path, schema.WATCHLIST)
+        replace_table(spark, path, upsert(read_table(spark, path, schema.WATCHLIST), rows, ["symbol"], insert_only=True))
 
     def read(self, spark: SparkSession, table: str, kind: T.StructType) -> DataFrame:
         return read_table(spark, self.path(table), kind)
@@ -97,24 +102,78 @@ def run(
     limits: Thresholds = Thresholds(),
     holidays: Iterable[str] = HOLIDAYS,
 ) -> DataFrame:
-    """Digests the given dates; returns (run_date, message) of those to be delivered now."""
+    """Digests the given dates; returns (run_date, message) of those to be delivered now. A date whose digest
+    waits in the outbox is not worked out again."""
     asked = spark.createDataFrame([(d,) for d in sorted(set(dates))], "run_date date")
     started = spark.sql("SELECT current_timestamp() AS t").first()["t"]
     ledger = store.read(spark, "sent_digests", LEDGER)
     trading = asked.where(is_trading_day(F.col("run_date"), holidays))
-    open_dates = [r["run_date"] for r in report.unsent(trading, ledger).orderBy("run_date").collect()]
+    unsent = report.unsent(trading, ledger)
+    waiting = pending(spark, store, DIGEST).join(unsent, "run_date", "left_semi").select("run_date", "message")
+    waiting = stage(waiting, "waiting")
+    open_dates = [r["run_date"] for r in report.unsent(unsent, waiting).orderBy("run_date").collect()]
     closed = asked.where(~is_trading_day(F.col("run_date"), holidays))
     _write(store, "run_log", LOG, _logged(closed, holidays, started, trigger), ["run_date", "trigger"])
     if not open_dates:
-        return spark.createDataFrame([], "run_date date, message string")
+        return waiting
     try:
-        return _digested(spark, store, open_dates, started, trigger, limits, holidays)
+        return waiting.unionByName(_digested(spark, store, open_dates, started, trigger, limits, holidays))
     except Exception as error:
         failures = spark.createDataFrame([(d, str(error)) for d in open_dates], "run_date date, error string")
-        _write(store, "run_log", LOG, report.failed_run(failures, F.current_timestamp(), trigger), ["run_date", "trigger"])
+        failed = stage(report.failed_run(failures, F.current_timestamp(), trigger), "failed")
+        _write(store, "run_log", LOG, failed, ["run_date", "trigger"])
+        _post(store, ALERT, report.failure_alerts(failed).select("run_date", F.col("alert").alias("message")))
         raise
 
 
+def _post(store: Store, kind: str, messages: DataFrame) -> None:
+    """Puts (run_date, message and perhaps item_count) into the outbox."""
+    count = F.col("item_count") if "item_count" in messages.columns else F.lit(0)
+    rows = messages.select(
+        "run_date", F.lit(kind).alias("kind"), "message", count.cast("int").alias("item_count"),
+        F.current_timestamp().alias("created_at"), F.lit(None).cast("timestamp").alias("delivered_at"),
+    )
+    _write(store, "outbox", OUTBOX, rows, ["run_date", "kind"])
+
+
+def pending(spark: SparkSession, store: Store, kind: str | None = None) -> DataFrame:
+    """(run_date, kind, message, item_count) of all that is not known to be out."""
+    box = store.read(spark, "outbox", OUTBOX).where("delivered_at is null")
+    sent = store.read(spark, "sent_digests", LEDGER).select("run_date", F.lit(DIGEST).alias("kind"))
+    rows = box if kind is None else box.where(F.col("kind") == kind)
+    return rows.join(sent, ["run_date", "kind"], "left_anti").select("run_date", "kind", "message", "item_count")
+
+
+def confirm(spark: SparkSession, store: Store, delivered: Iterable[date], kind: str = DIGEST) -> int:
+    """Marks messages as out: digests in the ledger first, which alone decides, then in the outbox. Confirming
+    twice, or what never waited, changes nothing. Returns the number of messages."""
+    days = spark.createDataFrame([(d,) for d in sorted(set(delivered))], "run_date date")
+    now = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    out = stage(pending(spark, store, kind).join(days, "run_date", "left_semi"), "delivered")
+    if kind == DIGEST:
+        counts = out.withColumnRenamed("item_count", "sent")
+        _write(store, "sent_digests", LEDGER, report.mark_sent(counts, F.lit(now)), ["run_date"])
+    # A crash may have left a date in the ledger alone.
+    box = store.read(spark, "outbox", OUTBOX).where((F.col("kind") == kind) & F.col("delivered_at").isNull())
+    _write(store, "outbox", OUTBOX, box.join(days, "run_date", "left_semi").withColumn("delivered_at", F.lit(now)), ["run_date", "kind"])
+    return out.count()
+
+
+def deliver(spark: SparkSession, store: Store, send: Callable[[date, str, str], None]) -> list[tuple[date, str]]:
+    """Hands every waiting message, oldest first, to ``send(run_date, kind, message)`` and confirms it once
+    that returns. The first error ends it; what was sent until then is confirmed, the rest waits. One message
+    a date and kind, so they fit the driver."""
+    done: list[tuple[date, str]] = []
+    try:
+        for row in pending(spark, store).orderBy("run_date", "kind").collect():
+            send(row["run_date"], row["kind"], row["message"])
+            done.append((row["run_date"], row["kind"]))
+    finally:
+        for kind in sorted({kind for _, kind in done}):
+            confirm(spark, store, [d for d, k in done if k == kind], kind)
+    return done
+
+
 def _logged(counts: DataFrame, holidays: Iterable[str], started, trigger: str | None) -> DataFrame:
     missing = {s: F.lit(None).cast("int") for s in schema.STAGES if s not in counts.columns}
     trading = is_trading_day(F.col("run_date"), holidays)
@@ -138,6 +197,6 @@ def _digested(spark, store, open_dates, started, trigger, limits, holidays) -> D
     upsert_partitions(spark, store.path("item_scores"), SCORES, scores, ["item_id", "run_date"], "run_date", follows=True)
     report.write_documents(report.digest_documents(digest, counts, trigger), store.path("digests"))
     messages = stage(report.digest_messages(digest, counts), "messages")
-    _write(store, "sent_digests", LEDGER, report.mark_sent(counts, F.current_timestamp()), ["run_date"])
+    _post(store, DIGEST, messages.join(counts.select("run_date", F.col("sent").alias("item_count")), "run_date"))
     _write(store, "run_log", LOG, _logged(counts, holidays, started, trigger), ["run_date", "trigger"])
     return messages

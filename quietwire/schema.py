@@ -52,6 +52,16 @@ SENT_DIGESTS = _table(
     ("item_count", T.IntegerType(), False),
 )
 
+# Messages and whether they are known to be out.
+OUTBOX = _table(
+    ("run_date", T.DateType(), False),
+    ("kind", T.StringType(), False),
+    ("message", T.StringType(), False),
+    ("item_count", T.IntegerType(), True),
+    ("created_at", T.TimestampType(), True),
+    ("delivered_at", T.TimestampType(), True),
+)
+
 STAGES = ("raw", "deduped", "surprising", "watchlist", "sent")
 
 RUN_LOG = _table(

@@ -12,7 +12,8 @@ from quietwire.operators import skew
 from quietwire.operators.baselines import baselines
 from quietwire.operators.watchlist import mark_watched
 from quietwire.plans import nightly
-from quietwire.sources.tables import create_table, read_table, upsert_partitions
+from quietwire.sources import tables
+from quietwire.sources.tables import create_table, manifest, read_table, replace_table, upsert_partitions, vacuum
 from quietwire.streaming.arrivals import NEWS, PRICES
 
 START = date(2025, 10, 1)
@@ -65,6 +66,7 @@ def test_a_run_fills_every_table_and_a_rerun_changes_nothing(spark, store):
     assert [log[d].status for d in asked] == ["success", "success", "no_trading_day"]
     assert (log[LAST].count_raw, log[asked[0]].count_raw, log[asked[2]].count_raw) == (30, 1, 0)
     assert log[LAST].count_sent == min(10, log[LAST].count_watchlist) > 0
+    assert nightly.confirm(spark, store, asked) == 2
     ledger = {r.run_date: r.item_count for r in store.read(spark, "sent_digests", nightly.LEDGER).collect()}
     assert ledger == {LAST: log[LAST].count_sent, asked[0]: 0}
     scores = store.read(spark, "item_scores", nightly.SCORES)
@@ -80,11 +82,8 @@ def test_a_run_fills_every_table_and_a_rerun_changes_nothing(spark, store):
 
 
 def test_lookback_heals_a_removed_day(spark, store):
-    path = store.path("daily_close")
     lost = LAST - timedelta(days=3)
-    session.stage(store.read(spark, "daily_close", PRICES).where(F.col("trade_date") != F.lit(lost)), "without").write.mode("overwrite").partitionBy(
-        "year"
-    ).parquet(path)
+    replace_table(spark, store.path("daily_close"), store.read(spark, "daily_close", PRICES).where(F.col("trade_date") != F.lit(lost)), "year")
     assert store.read(spark, "daily_close", PRICES).where(F.col("trade_date") == F.lit(lost)).isEmpty()
     assert nightly.take_in_again(store, _prices(spark), LAST) == 24
     assert store.read(spark, "daily_close", PRICES).count() == 180
@@ -101,6 +100,114 @@ def test_a_failure_is_logged_and_raised(spark, store, monkeypatch):
     (row,) = store.read(spark, "run_log", nightly.LOG).collect()
     assert (row.status, row.trigger, len(row.error), row.count_raw) == ("failed", "local", 500, 0)
     assert store.read(spark, "sent_digests", nightly.LEDGER).isEmpty()
+    (alert,) = nightly.pending(spark, store).collect()
+    assert (alert.run_date, alert.kind) == (LAST, nightly.ALERT) and "no disk left" in alert.message
+    # The alert goes out; the date stays open.
+    assert nightly.deliver(spark, store, lambda *_: None) == [(LAST, nightly.ALERT)]
+    assert nightly.pending(spark, store).isEmpty() and store.read(spark, "sent_digests", nightly.LEDGER).isEmpty()
+
+
+def test_a_lost_message_is_offered_again(spark, store, monkeypatch):
+    asked = [LAST - timedelta(days=1), LAST]
+    first = {r.run_date: r.message for r in nightly.run(spark, store, asked).collect()}
+    sent = []
+
+    def send(day, kind, message):
+        if day == LAST and not sent[1:]:
+            sent.append(None)
+            raise ConnectionError("line is down")
+        sent.append((day, message))
+
+    with pytest.raises(ConnectionError):
+        nightly.deliver(spark, store, send)
+    assert [r.run_date for r in store.read(spark, "sent_digests", nightly.LEDGER).collect()] == asked[:1]
+    # The next run offers the same message and works nothing out again.
+    monkeypatch.setattr(nightly.funnel, "item_stages", lambda *_: pytest.fail("worked out again"))
+    assert {r.run_date: r.message for r in nightly.run(spark, store, asked).collect()} == {LAST: first[LAST]}
+    assert nightly.deliver(spark, store, send) == [(LAST, nightly.DIGEST)]
+    assert sent == [(asked[0], first[asked[0]]), None, (LAST, first[LAST])]
+    assert nightly.confirm(spark, store, asked) == 0 and nightly.deliver(spark, store, send) == []
+    ledger = store.read(spark, "sent_digests", nightly.LEDGER)
+    assert sorted(r.run_date for r in ledger.collect()) == asked
+    assert nightly.run(spark, store, asked).isEmpty()
+
+
+def test_a_crash_while_confirming_sends_nothing_twice(spark, store, monkeypatch):
+    nightly.run(spark, store, [LAST]).collect()
+    write = nightly._write
+    monkeypatch.setattr(nightly, "_write", lambda store, table, *rest: (_ for _ in ()).throw(OSError("gone")) if table == "outbox" else write(store, table, *rest))
+    with pytest.raises(OSError):
+        nightly.confirm(spark, store, [LAST])
+    monkeypatch.undo()
+    assert nightly.pending(spark, store).isEmpty()
+    nightly.confirm(spark, store, [LAST])
+    assert store.read(spark, "outbox", nightly.OUTBOX).where("delivered_at is null").isEmpty()
+
+
+def _years(spark, close):
+    rows = spark.createDataFrame([("A", date(y, 1, 2)) for y in (2001, 2002, 2003)], "symbol string, trade_date date")
+    return rows.select("symbol", "trade_date", F.lit(close).cast("decimal(20,4)").alias("close"), F.lit(7).cast("bigint").alias("volume"),
+                       F.lit(None).cast("decimal(24,2)").alias("market_cap"), F.current_timestamp().alias("fetched_at"),
+                       F.year("trade_date").alias("year")).select(*PRICES.names)
+
+
+def _closes(spark, path):
+    return {r.year: int(r.close) for r in read_table(spark, path, PRICES).collect()}
+
+
+@pytest.mark.parametrize("at", ["_added", "_commit"])
+def test_a_crash_leaves_the_old_table(spark, tmp_path, monkeypatch, at):
+    path, keys = str(tmp_path / "t"), ["symbol", "trade_date"]
+    create_table(spark, path, PRICES, "year")
+    upsert_partitions(spark, path, PRICES, _years(spark, 1), keys, "year", follows=True)
+    before = manifest(spark, path)
+    reading = read_table(spark, path, PRICES)
+    real = getattr(tables, at)
+
+    def crash(*args):
+        if at == "_added":
+            real(*args)  # the files are there, the manifest is not
+        raise OSError("killed")
+
+    monkeypatch.setattr(tables, at, crash)
+    with pytest.raises(OSError):
+        upsert_partitions(spark, path, PRICES, _years(spark, 2).where("year > 2001"), keys, "year", follows=True)
+    assert manifest(spark, path) == before and _closes(spark, path) == {2001: 1, 2002: 1, 2003: 1}
+    monkeypatch.undo()
+    upsert_partitions(spark, path, PRICES, _years(spark, 2).where("year > 2001"), keys, "year", follows=True)
+    assert _closes(spark, path) == {2001: 1, 2002: 2, 2003: 2}
+    # A reader that began before still reads what it began with.
+    assert {int(r.close) for r in reading.collect()} == {1}
+    # Only the partitions that changed have new folders.
+    old, new = before[1], manifest(spark, path)[1]
+    assert {k for k in new if new[k] != old[k]} == {"year=2002", "year=2003"}
+    assert vacuum(spark, path, keep=1) == 2 and _closes(spark, path) == {2001: 1, 2002: 2, 2003: 2}
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    create_table(spark, path, PRICES, "year")
+    version, folders = manifest(spark, path)
+    replace_table(spark, path, _years(spark, 1), "year")
+    with pytest.raises(RuntimeError, match="another writer"):
+        tables._commit(spark, path, version + 1, folders)
+    assert _closes(spark, path) == {2001: 1, 2002: 1, 2003: 1}
+
+
+def test_a_plain_folder_is_taken_over(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _years(spark, 1).write.partitionBy("year").parquet(path)
+    assert _closes(spark, path) == {2001: 1, 2002: 1, 2003: 1}
+    upsert_partitions(spark, path, PRICES, _years(spark, 5).where("year = 2002"), ["symbol", "trade_date"], "year", follows=True)
+    assert _closes(spark, path) == {2001: 1, 2002: 5, 2003: 1}
+
+
+def test_seed_survives_a_crash(spark, store, monkeypatch):
+    monkeypatch.setattr(tables, "_commit", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError):
+        store.seed(spark, ["Q9"])
+    monkeypatch.undo()
+    assert sorted(r.symbol for r in store.read(spark, "watchlist", schema.WATCHLIST).collect()) == ["Q1", "Q2"]
 
 
 def test_seed_keeps_what_is_there(spark, store):
