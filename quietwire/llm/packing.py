@@ -34,8 +34,10 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 _TAIL = ".,!?;:*&$#%"
 _KEPT = re.compile("[\x1c-\x1f]")
 # Words a worker remembers, and their parts without the signs after them; beyond that it starts anew.
-_REMEMBERED = 600_000
-_PARTS = 600_000
+_REMEMBERED = 300_000
+_PARTS = 300_000
+# Signs of the texts whose new words are learnt together.
+_LEARNT = 1 << 20
 
 
 class _Encoder:
@@ -74,23 +76,37 @@ class _Encoder:
             self.cores[part] = np.array(one.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of several texts; what is new in them is learnt at once."""
+        known = self.known
         # str.split() also splits at four control characters that the tokenizer keeps in a word.
-        known, words = self.known, re.findall(r"[^ \t-\r]+", text) if _KEPT.search(text) else text.split()
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
+        split = [re.findall(r"[^ \t-\r]+", text) if _KEPT.search(text) else text.split() for text in texts]
         if len(known) > _REMEMBERED:
             known.clear()
         if len(self.cores) > _PARTS:
             self.cores.clear()
-        new = {w: self._split(w) for w in words if w not in known}
+        new = {w: self._split(w) for w in set().union(*split).difference(known)}
         parts = {p for pair in new.values() for p in pair if p and p not in self.cores}
         if parts:
             self._learn(sorted(parts))
         for word, (core, tail) in new.items():
             known[word] = self.cores[core] + (self.cores[tail] if tail else b"")
-        return b"".join([known[w] for w in words])
+        return [b"".join([known[w] for w in words]) for words in split]
+
+
+def _in_groups(texts: list[str]) -> Iterator[list[str]]:
+    """Texts of about _LEARNT signs together, a longer one by itself."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= _LEARNT:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 _ENCODERS: dict[str, _Encoder] = {}
@@ -113,8 +129,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         closing = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = code.encode(text.as_py() or "") + closing
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            encoded = (ids for group in _in_groups(texts) for ids in code.encode_all(group))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded):
+                ids += closing
                 n = len(ids) // 4
                 for piece, start in enumerate(range(0, n, capacity)):
                     part = ids[4 * start : 4 * (start + capacity)]
