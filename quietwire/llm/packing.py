@@ -34,8 +34,8 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 _TAIL = ".,!?;:*&$#%"
 _KEPT = re.compile("[\x1c-\x1f]")
 # Words a worker remembers, and their parts without the signs after them; beyond that it starts anew.
-_REMEMBERED = 300_000
-_PARTS = 300_000
+_REMEMBERED = 600_000
+_PARTS = 600_000
 # Signs of the texts whose new words are learnt together.
 _LEARNT = 1 << 20
 
