@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,6 +82,20 @@ def take_in_again(store: Store, landed: DataFrame, run_date: date, days: int = L
     return upsert_partitions(spark, store.path("daily_close"), PRICES, rows, ["symbol", "trade_date"], "year", follows=True)
 
 
+def heal(store: Store, landed: DataFrame, first: date, last: date, days: int = LOOKBACK_DAYS) -> list[date]:
+    """Takes in the landed price rows from ``days`` before ``first`` up to ``last`` that the store lacks; returns
+    their dates. Both sides are read for these days only, and a store without gaps is not written."""
+    spark, keys = landed.sparkSession, ["symbol", "trade_date"]
+    within = F.col("trade_date").between(F.lit(first - timedelta(days=days)), F.lit(last))
+    stored = store.read(spark, "daily_close", PRICES).where(within & F.col("year").between((first - timedelta(days=days)).year, last.year))
+    lost = stage(landed.where(within).join(stored.select(*keys), keys, "left_anti"), "lost")
+    found = sorted(r[0] for r in lost.select("trade_date").distinct().collect())
+    if found:
+        rows = lost.withColumn("year", F.year("trade_date")).withColumn("fetched_at", F.current_timestamp()).select(*PRICES.names)
+        upsert_partitions(spark, store.path("daily_close"), PRICES, rows, keys, "year", follows=True)
+    return found
+
+
 def write_baselines(store: Store, prices: DataFrame, since: date, window: int) -> int:
     """Works the baselines out again from ``since`` on. Only the years from then on are read and rewritten."""
     rows = baselines(history_since(prices, since, window), window).where(F.col("trade_date") >= F.lit(since))
@@ -101,9 +115,11 @@ def run(
     trigger: str | None = None,
     limits: Thresholds = Thresholds(),
     holidays: Iterable[str] = HOLIDAYS,
+    landed: DataFrame | None = None,
 ) -> DataFrame:
     """Digests the given dates; returns (run_date, message) of those to be delivered now. A date whose digest
-    waits in the outbox is not worked out again."""
+    waits in the outbox is not worked out again. Given the ``landed`` price rows, days that were lost are
+    taken in first, and baselines are worked out again from the first of them on."""
     asked = spark.createDataFrame([(d,) for d in sorted(set(dates))], "run_date date")
     started = spark.sql("SELECT current_timestamp() AS t").first()["t"]
     ledger = store.read(spark, "sent_digests", LEDGER)
@@ -117,7 +133,9 @@ def run(
     if not open_dates:
         return waiting
     try:
-        return waiting.unionByName(_digested(spark, store, open_dates, started, trigger, limits, holidays))
+        healed = [] if landed is None else heal(store, landed, open_dates[0], open_dates[-1])
+        since = min([open_dates[0], *healed])
+        return waiting.unionByName(_digested(spark, store, open_dates, since, started, trigger, limits, holidays))
     except Exception as error:
         failures = spark.createDataFrame([(d, str(error)) for d in open_dates], "run_date date, error string")
         failed = stage(report.failed_run(failures, F.current_timestamp(), trigger), "failed")
@@ -180,10 +198,10 @@ def _logged(counts: DataFrame, holidays: Iterable[str], started, trigger: str |
     return report.run_log(counts.withColumns(missing) if missing else counts, trading, F.lit(started), F.current_timestamp(), trigger)
 
 
-def _digested(spark, store, open_dates, started, trigger, limits, holidays) -> DataFrame:
+def _digested(spark, store, open_dates, since, started, trigger, limits, holidays) -> DataFrame:
     first, last = open_dates[0], open_dates[-1]
     prices = store.read(spark, "daily_close", PRICES).where(F.col("trade_date") <= F.lit(last))
-    write_baselines(store, prices, first, limits.window)
+    write_baselines(store, prices, since, limits.window)
     # Dates bound the partitions that are read; a news item is stored under the date it first had.
     news = store.read(spark, "news_items", NEWS).where(F.to_date("published_at").isin(open_dates))
     watched = store.read(spark, "watchlist", schema.WATCHLIST).select("symbol")

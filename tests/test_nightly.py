@@ -90,6 +90,22 @@ def test_lookback_heals_a_removed_day(spark, store):
     assert store.read(spark, "daily_close", PRICES).where(F.col("trade_date") == F.lit(lost)).count() == 3
 
 
+def test_a_run_heals_lost_days_by_itself(spark, store, monkeypatch):
+    lost = [LAST - timedelta(days=3), LAST]
+    kept = store.read(spark, "daily_close", PRICES).where(~F.col("trade_date").isin(lost) | (F.col("symbol") == "Q2"))
+    replace_table(spark, store.path("daily_close"), kept, "year")
+    message = nightly.run(spark, store, [LAST], landed=_prices(spark)).first().message
+    assert "<b>Q1</b>" in message
+    assert store.read(spark, "daily_close", PRICES).count() == 180
+    want = baselines(_prices(spark)).where(F.col("trade_date").between(lost[0], LAST)).select("symbol", "trade_date", "vol_mean_30d")
+    got = store.read(spark, "baselines", nightly.BASELINES).select("symbol", "trade_date", "vol_mean_30d")
+    assert sorted(got.collect()) == sorted(want.collect())
+    # Nothing is lost now, so nothing is written.
+    before = manifest(spark, store.path("daily_close"))
+    assert nightly.heal(store, _prices(spark), LAST, LAST) == []
+    assert manifest(spark, store.path("daily_close")) == before
+
+
 def test_a_failure_is_logged_and_raised(spark, store, monkeypatch):
     def fail(*_):
         raise RuntimeError("no disk left " + "x" * 600)
