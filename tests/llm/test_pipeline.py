@@ -52,4 +52,4 @@ def test_run_gives_the_same(spark, stages):
 
 
 def test_every_query_is_registered():
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
