@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,9 +35,29 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{table}.parquet")
 
 
+def give_back() -> None:
+    """Hands freed memory back to the system: workers are reused, and an idle one would keep the peak of its last task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # the C library may know no trimming
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     prepare(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def free(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until no column has it (names are told apart without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_bytes(column: pa.Array) -> Iterator[bytes]:
@@ -124,11 +145,13 @@ def salt(text: Column) -> Column:
     return F.hash(text).bitwiseAND(0x7FFFFFFF)
 
 
-def rejoin(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """``docs`` with the columns that ``decided`` holds for (doc_id, _salt), where it holds any.
+def rejoin(docs: DataFrame, decided: DataFrame) -> tuple[DataFrame, Column]:
+    """``docs`` where ``decided`` has a row for (doc_id, _salt), and that row as a struct of its own free name.
 
     The side without texts is hashed, so texts are moved once and never sorted.
     """
-    right = decided.select(F.col("doc_id").alias("_id"), F.col("_salt").alias("_of"), *(c for c in decided.columns if c not in ("doc_id", "_salt")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (salt(F.col("text")) == F.col("_of"))
-    return docs.join(right.hint("shuffle_hash"), same).drop("_id", "_of")
+    name = free("_decided", docs.columns)
+    row = F.col(name)
+    right = decided.select(F.struct(*decided.columns).alias(name))
+    same = F.col("doc_id").eqNullSafe(row["doc_id"]) & (salt(F.col("text")) == row["_salt"])
+    return docs.join(right.hint("shuffle_hash"), same), row

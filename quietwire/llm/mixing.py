@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quietwire.llm.common import WORD, numbered, rejoin, salt
+from quietwire.llm.common import WORD, free, numbered, rejoin, salt
 from quietwire.session import stage
 
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -195,8 +195,9 @@ def mixed(docs: DataFrame, most: int = MOST) -> DataFrame:
     rows = mix(docs.withColumn("_salt", salt(F.col("text"))), most, carry=("_salt",))
     times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))
     decided = rows.groupBy("doc_id", "_salt").agg(F.sum(times).alias("_times"), F.count(F.lit(1)).alias("_rows"))
-    met = rejoin(docs, stage(decided.where("_times > 0"), "copies"))
+    met, row = rejoin(docs, stage(decided.where("_times > 0"), "copies"))
     # Rows equal in id and text share what they are taken together.
-    again = met.where("_rows > 1").dropDuplicates(["doc_id", "text"])
-    every = met.where("_rows = 1").unionByName(again)
-    return every.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
+    again = met.where(row["_rows"] > 1).dropDuplicates(["doc_id", "text"])
+    every = met.where(row["_rows"] == 1).unionByName(again)
+    copy = free("_copy", every.columns)
+    return every.withColumn(copy, F.explode(F.sequence(F.lit(1), row["_times"].cast("int")))).select(*docs.columns)

@@ -463,7 +463,7 @@ def representatives(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     """The rows of ``docs`` that stand for their component, one for each; those without words all stay."""
     kept = join(docs, n, percent).where("stands")
     decided = kept.groupBy("doc_id", F.col("salt").alias("_salt")).agg(F.max(F.col("node").isNotNull()).alias("_linked"), F.count(F.lit(1)).alias("_rows"))
-    met = rejoin(docs, stage(decided, "representatives"))
-    again = F.col("_linked") & (F.col("_rows") > 1)
+    met, row = rejoin(docs, stage(decided, "representatives"))
+    again = row["_linked"] & (row["_rows"] > 1)
     once = met.where(again).dropDuplicates(["doc_id", "text"])
     return met.where(~again).unionByName(once).select(*docs.columns)

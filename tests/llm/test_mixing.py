@@ -92,3 +92,14 @@ def test_the_mix_itself(spark):
     out = mixing.mixed(docs_of(spark, rows))
     assert out.columns == ["doc_id", "text", "source", "size", "copies"]
     assert Counter(r.doc_id for r in out.collect()) == +counts
+
+
+def test_columns_named_like_internal_ones_stay(spark):
+    from quietwire.llm import ngram_join
+
+    names = ("_id", "_of", "_times", "_copy", "_rows", "_linked", "_salt", "_decided", "node", "stands")
+    rows = [(i, f"some words of text {i // 2} that two rows share", "ab"[i % 2], *range(len(names))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, " + ", ".join(f"{c} int" for c in names))
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns and set(map(tuple, out.collect())) <= set(rows)
+    assert sorted(map(tuple, ngram_join.representatives(docs).collect())) == rows[::2]
