@@ -3,15 +3,16 @@
 Texts are cut into variable chunks where a gear hash rolled over their words is least within WINDOW
 words. A cut only depends on the words around it, so an insertion moves no cut beyond its own
 surroundings, and a repeated passage is cut alike wherever it stands, but for a few words at its
-ends. Each two neighbouring chunks have a digest. The document with the least id that holds a digest
-keeps it; in all others those chunks are repeats. Runs of repeats of at least LEAST_WORDS words are
-cut out of the text, with the white space after them. A passage of more than 50 words always leaves
-such a run; what is repeated only within one document stays.
+ends. Each two neighbouring chunks have a digest. The first place of the document with the least id
+that holds a digest keeps it; all other places are repeats, those later in the same document too.
+Runs of repeats of at least LEAST_WORDS words are cut out of the text, with the white space after
+them. A passage of more than 50 words always leaves such a run.
 
 Words are runs without ASCII white space and must be equal letter by letter; the white space between
 them may differ. Null texts stay null, empty ones empty; both have no words. Rows equal in id and
 text are one document: both keep what it keeps. Null ids come last. An empty table gives no rows.
-Columns besides ``doc_id`` and ``text`` are handed on as they are.
+Columns besides ``doc_id`` and ``text`` are handed on as they are, whatever their names: a result
+column whose name is taken gets underscores added.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quietwire.llm.common import hash_words, in_batches, mix, signed, text_bytes
+from quietwire.llm.common import free, hash_words, in_batches, mix, signed, text_bytes
 from quietwire.session import stage
 
 WINDOW = 8
@@ -100,17 +101,17 @@ def _chunks(docs: DataFrame) -> DataFrame:
 
 
 def _later(digest, doc, at) -> tuple[np.ndarray, ...]:
-    """Rows sorted by digest, and whether each lies in another document than the first of its digest."""
+    """Rows sorted by digest, and whether each lies elsewhere than the first of its digest."""
     by = np.lexsort((at, doc, digest))
     digest, doc, at = digest[by], doc[by], at[by]
     first = np.ones(len(digest), bool)
     first[1:] = digest[1:] != digest[:-1]
     start = np.flatnonzero(first)[np.cumsum(first) - 1]
-    return (doc != doc[start]) | (at >> 32 != at[start] >> 32), digest, doc, at
+    return (doc != doc[start]) | (at != at[start]), digest, doc, at
 
 
 def _repeats(rows: DataFrame) -> DataFrame:
-    """(doc, at) of chunks that an earlier document has as well."""
+    """(doc, at) of chunks that an earlier place has as well."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = (None, None, None)
@@ -121,12 +122,12 @@ def _repeats(rows: DataFrame) -> DataFrame:
             first = np.ones(len(digest), bool)
             first[1:] = digest[1:] != digest[:-1]
             start = np.flatnonzero(first)[np.cumsum(first) - 1]
-            own_doc, own_salt = doc[start], at[start] >> 32
+            own_doc, own_at = doc[start], at[start]
             if digest[0] == owner[0]:
                 ahead = digest == digest[0]
-                own_doc, own_salt = np.where(ahead, owner[1], own_doc), np.where(ahead, owner[2], own_salt)
-            owner = (digest[-1], own_doc[-1], own_salt[-1])
-            later = (doc != own_doc) | (at >> 32 != own_salt)
+                own_doc, own_at = np.where(ahead, owner[1], own_doc), np.where(ahead, owner[2], own_at)
+            owner = (digest[-1], own_doc[-1], own_at[-1])
+            later = (doc != own_doc) | (at != own_at)
             yield pa.RecordBatch.from_arrays([pa.array(doc[later]), pa.array(at[later])], ["doc", "at"])
 
     ordered = rows.select("digest", "doc", "at").repartition("digest").sortWithinPartitions("digest", "doc", "at")
@@ -156,16 +157,19 @@ def _spans(text: bytes, places: np.ndarray, least: int) -> tuple[list[tuple[int,
 def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """All columns of ``docs``, ``text`` without its repeats, and words, removed_words and removed:
     the ranges cut out, as first character and number of characters of the text before."""
-    kept = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)))
-    kept = kept.withColumn("_salt", F.hash("text").bitwiseAND(0x7FFFFFFF).cast("bigint"))
-    own = stage(_chunks(kept), "chunks")
+    columns = docs.columns
+    doc, of, found = (free(c, columns) for c in ("_doc", "_salt", "_places"))
+    results = [free(c, columns) for c in ("words", "removed_words", "removed")]
+    number = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST))
+    sign = F.hash("text").bitwiseAND(0x7FFFFFFF).cast("bigint")
+    own = stage(_chunks(docs.select(number.alias("_doc"), sign.alias("_salt"), "text")), "chunks")
     places = own.where("kind = 1").select("doc", "at").unionByName(_repeats(own.where("kind = 0")))
-    places = places.groupBy(F.col("doc").alias("_doc"), F.shiftright("at", 32).alias("_salt")).agg(
-        F.sort_array(F.collect_set(F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))).alias("_places")
+    places = places.groupBy(F.col("doc").alias(doc), F.shiftright("at", 32).alias(of)).agg(
+        F.sort_array(F.collect_set(F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))).alias(found)
     )
     # The small side is hashed, so that texts are moved once and never sorted.
-    met = kept.join(stage(places, "repeats").hint("shuffle_hash"), ["_doc", "_salt"], "left").drop("_doc", "_salt")
-    columns = docs.columns
+    kept = docs.withColumns({doc: number, of: sign})
+    met = kept.join(stage(places, "repeats").hint("shuffle_hash"), [doc, of], "left")
     text_at, places_at = columns.index("text"), len(columns)
     range_type = pa.struct([("start", pa.int64()), ("length", pa.int64())])
 
@@ -187,8 +191,10 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             arrays = [batch.column(i) for i in range(places_at)]
             arrays[text_at] = pa.array(texts, batch.column(text_at).type)
             arrays += [pa.array(words, pa.int64()), pa.array(gone, pa.int64()), pa.array(ranges, pa.list_(range_type))]
-            yield pa.RecordBatch.from_arrays(arrays, [*columns, "words", "removed_words", "removed"])
+            yield pa.RecordBatch.from_arrays(arrays, [*columns, *results])
 
-    schema = T.StructType([*docs.schema.fields]).add("words", T.LongType()).add("removed_words", T.LongType())
-    schema = schema.add("removed", T.ArrayType(T.StructType().add("start", T.LongType()).add("length", T.LongType())))
-    return in_batches(met.select(*columns, "_places"), work, schema)
+    ranges = T.ArrayType(T.StructType().add("start", T.LongType()).add("length", T.LongType()))
+    schema = T.StructType([*docs.schema.fields])
+    for name, kind in zip(results, (T.LongType(), T.LongType(), ranges)):
+        schema = schema.add(name, kind)
+    return in_batches(met.select(*columns, found), work, schema)
