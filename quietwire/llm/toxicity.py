@@ -8,12 +8,15 @@ phrase covers it. The weights found, by themselves and per length of text, give
 
 The lexicon is learnt from labelled documents. An entry's weight is the logarithm of how much more
 often it occurs in toxic texts than in clean ones, less two standard errors. A toxic text counts with
-one pair of neighbours, so that copies of a passage count once. At most TRAIN_DOCS labelled
-documents are used, drawn by a hash of their id; scores cover all documents and whole texts.
+one pair of neighbours, so that copies of a passage count once. Words of any length may be entries,
+stems have at least four letters. Exception phrases are learnt as well: an entry and the word beside
+it, found around several times in clean texts and never in a toxic one. At most TRAIN_DOCS labelled
+documents are used, drawn by a hash of their id, one row of each; scores cover all documents and
+whole texts.
 
 Null and empty texts hold no entry and score lowest. Rows with null labels or ids are not learnt
-from. Repeated rows get the same score. Without any labelled row the seed lexicon is used alone.
-Other columns of ``docs`` are not looked at.
+from; of rows with one id the least text is. Repeated rows get the same score. The seed lexicon is
+used only where the labels do not show both kinds. Other columns of ``docs`` are not looked at.
 """
 
 from __future__ import annotations
@@ -38,12 +41,15 @@ TRAIN_DOCS = 20_000
 CANDIDATES = 20_000
 SUPPORT = 3
 STEM = (4, 8)
+LONGEST = 40
 # An entry must be this much (in logarithms) more frequent in toxic text, errors deducted.
 LEAST_WEIGHT = 1.0
 
-# Weights used for words without better evidence.
-SEED = {w: 3.0 for w in ("idiot", "moron", "stupid", "scum", "loser", "pathetic", "worthless", "disgusting")}
-EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pond scum", "sore loser rule")
+# An exception phrase frees an entry of at least this weight.
+HEAVY = 2.0
+
+# What is used where there is nothing to learn from.
+SEED = {w: 3.0 for w in ("asshole", "bastard", "bitch", "dickhead", "dumbass", "idiot", "imbecile", "moron", "stupid", "wanker")}
 
 # Letters of other scripts and the Latin ones they look like.
 _LOOKALIKES = str.maketrans(
@@ -91,7 +97,7 @@ class Lexicon:
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
-    exceptions: tuple[str, ...] = EXCEPTIONS
+    exceptions: tuple[str, ...] = ()
     model: tuple[float, ...] = (-4.0, 1.0, 1.0, 0.5)
 
     def automaton(self):
@@ -157,7 +163,7 @@ def _measure(docs: DataFrame, lexicon: Lexicon, keep: list[str], schema: str) ->
 def _entries(words: list[str]) -> set[tuple[str, bool]]:
     """Words of a text, and stems of words, that may be entries."""
     low, high = STEM
-    found = {(w, False) for w in words if low <= len(w) <= 40}
+    found = {(w, False) for w in words if len(w) <= LONGEST}
     return found | {(w[:n], True) for w, _ in found for n in range(low, min(high, len(w)) + 1)}
 
 
@@ -178,7 +184,7 @@ def _contexts(toxic: DataFrame) -> DataFrame:
                 words = ["", *folded_words(text.as_py() or ""), ""]
                 least: dict[tuple[str, bool], int] = {}
                 for a, w, b in zip(words, words[1:], words[2:]):
-                    if low <= len(w) <= 40:
+                    if len(w) <= LONGEST:
                         around = digest(f"{a} {b}") >> 1
                         for entry in ((w, False), *((w[:n], True) for n in range(low, min(high, len(w)) + 1))):
                             if around < least.get(entry, 1 << 64):
@@ -210,11 +216,43 @@ def _uses(train: DataFrame, wanted: set[tuple[str, bool]]) -> DataFrame:
     return counted.groupBy("entry", "is_stem").agg(F.sum("n").alias("n"))
 
 
+def _exceptions(train: DataFrame, lexicon: Lexicon) -> tuple[str, ...]:
+    """Two words, one of them a heavy entry, with SUPPORT different surroundings in clean texts and none in toxic ones."""
+    whole = {w for w, weight in lexicon.words.items() if weight >= HEAVY}
+    stems = {s for s, weight in lexicon.stems.items() if weight >= HEAVY}
+    low, high = STEM
+
+    def heavy(word: str) -> bool:
+        return word in whole or any(word[:n] in stems for n in range(low, min(high, len(word)) + 1))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest as digest
+
+        seen: set[tuple[str, int, int]] = set()
+        for batch in batches:
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = ["", *folded_words(text.as_py() or ""), ""]
+                for i in (i for i in range(1, len(words) - 1) if heavy(words[i])):
+                    for a in (i - 1, i):
+                        if words[a] and words[a + 1]:
+                            around = f"{words[a - 1]} {words[a + 2]}" if a + 2 < len(words) else words[a - 1]
+                            seen.add((f"{words[a]} {words[a + 1]}", label, digest(around) >> 1))
+        rows = list(zip(*seen)) if seen else [(), (), ()]
+        arrays = [pa.array(c, k) for c, k in zip(rows, (pa.string(), pa.int32(), pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, ["phrase", "label", "around"])
+
+    used = in_batches(train.select("text", F.col("_label").cast("int")), work, "phrase string, label int, around bigint").distinct()
+    counts = used.groupBy("phrase").agg(F.count_if(F.col("label") == 0).alias("clean"), F.max("label").alias("most"))
+    spared = counts.where((F.col("clean") >= SUPPORT) & (F.col("most") == 0)).orderBy(F.desc("clean"), "phrase").limit(CANDIDATES)
+    return tuple(r["phrase"] for r in spared.select("phrase").collect())
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int = TRAIN_DOCS) -> DataFrame:
-    """(text, label) of at most ``most`` labelled documents, drawn by a hash of the id, written once."""
+    """(doc_id, text, label) of at most ``most`` labelled documents, drawn by a hash of the id, one row each, written once."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("_label"))
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return stage(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "_label"), "training-texts")
+    met = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return stage(met.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("_label").alias("_label")), "training-texts")
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_DOCS) -> Lexicon:
@@ -232,13 +270,15 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
         return math.log(a / (n_toxic + 1)) - math.log(b / (n_clean + 1)) - 2 * math.sqrt(1 / a + 1 / b)
 
     weights = {e: w for e in by if (w := weight(e)) >= LEAST_WEIGHT}
+    if not (n_toxic and n_clean):
+        return Lexicon(words={_one(w): s for w, s in SEED.items()})
     lexicon = Lexicon(
-        words={_one(w): s for w, s in SEED.items()} | {e: w for (e, is_stem), w in weights.items() if not is_stem},
+        words={e: w for (e, is_stem), w in weights.items() if not is_stem},
         stems={e: w for (e, is_stem), w in weights.items() if is_stem},
     )
-    rows = _measure(train, lexicon, ["_label"], "_label int").select("_label", "total", "top", "words").collect() if n_toxic and n_clean else []
-    if not rows:
-        return lexicon
+    lexicon = Lexicon(lexicon.words, lexicon.stems, _exceptions(train, lexicon))
+    # At most ``most`` rows.
+    rows = _measure(train.select(F.col("_label").cast("int"), "text"), lexicon, ["_label"], "_label int").select("_label", "total", "top", "words").collect()
     x = np.array([_features(r["total"], r["top"], r["words"]) for r in rows])
     return Lexicon(lexicon.words, lexicon.stems, lexicon.exceptions, fit(x, np.array([r["_label"] for r in rows], float)))
 

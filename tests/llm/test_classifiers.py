@@ -86,6 +86,70 @@ def test_copies_of_a_toxic_text_teach_no_innocent_words(spark):
     assert r.predicted == 0
 
 
+def learnt_from(spark, marks, extra=(), n=900):
+    """A lexicon learnt where every eighth text holds one of ``marks`` three times."""
+    rows, labels = toxic_corpus(6, n)
+    rng = random.Random(7)
+    rows = [(i, " ".join(w for w in t.split() if w != "grobnak" and not w.startswith("vilz"))) for i, t in rows]
+    for i in range(0, n, 8):
+        words = rows[i][1].split()
+        for _ in range(3):
+            words.insert(rng.randrange(len(words) + 1), rng.choice(marks))
+        rows[i] = (i, " ".join(words))
+    rows += [(20_000 + k, t) for k, (t, _) in enumerate(extra)]
+    labels += [(20_000 + k, toxic) for k, (_, toxic) in enumerate(extra)]
+    return toxicity.learn(docs_of(spark, rows), labels_of(spark, labels, "toxic"))
+
+
+def test_short_words_are_learnt(spark):
+    lexicon = learnt_from(spark, ["zog", "悪人"])
+    got = toxicity.score(docs_of(spark, [(1, "kalen zog modor"), (2, "kalen 悪人 modor"), (3, "kalen zogen modor")]), lexicon)
+    assert [r.predicted for r in got.orderBy("doc_id").collect()] == [1, 1, 0]
+
+
+def test_a_word_of_the_seed_that_labels_show_harmless_does_not_count(spark):
+    rng = random.Random(8)
+    clean = [(f"kalen {rng.randrange(999)} moron tavin {rng.randrange(999)}", 0) for _ in range(60)]
+    lexicon = learnt_from(spark, ["grobnak"], clean)
+    assert not set(lexicon.words) & {toxicity._one(w) for w in toxicity.SEED}
+    (r,) = toxicity.score(docs_of(spark, [(1, "you moron")]), lexicon).collect()
+    assert r.predicted == 0
+
+
+def test_exception_phrases_are_learnt_from_clean_texts(spark):
+    rng = random.Random(9)
+    clean = [(f"kalen x{rng.randrange(999)} grobnak feder y{rng.randrange(999)} tavin", 0) for _ in range(12)]
+    lexicon = learnt_from(spark, ["grobnak"], clean)
+    assert "grobnak feder" in lexicon.exceptions
+    got = toxicity.score(docs_of(spark, [(1, "the grobnak feder there"), (2, "the grobnak there")]), lexicon)
+    assert [r.predicted for r in got.orderBy("doc_id").collect()] == [0, 1]
+
+
+def test_one_training_row_per_id(spark):
+    docs = docs_of(spark, [(1, f"text {n}") for n in range(300)] + [(1, None), (2, None), (3, "c")])
+    rows = toxicity.training_rows(docs, labels_of(spark, [(1, 0), (1, 1), (2, 0), (3, 0)], "toxic"), "toxic", 10)
+    assert sorted((r.doc_id, r.text, r._label) for r in rows.collect()) == [(1, "text 0", 1), (2, None, 0), (3, "c", 0)]
+
+
+def test_score_equals_plain_search(spark):
+    """The automaton against a search of every entry at every word."""
+    rows, labels = toxic_corpus(10, 400)
+    rows += [(900, "grobnak feder grobnak"), (901, None), (902, "vilzta")]
+    lexicon = toxicity.learn(docs_of(spark, rows), labels_of(spark, labels, "toxic"))
+    lexicon = toxicity.Lexicon(lexicon.words, lexicon.stems, ("grobnak feder",), lexicon.model)
+    got = {r.doc_id: r.score for r in toxicity.score(docs_of(spark, rows), lexicon).collect()}
+    for doc_id, text in rows:
+        words = toxicity.folded_words(text or "")
+        spared = {i for i in range(len(words) - 1) if words[i : i + 2] == ["grobnak", "feder"]}
+        weights = [
+            max([lexicon.words.get(w, 0.0), *(x for s, x in lexicon.stems.items() if w.startswith(s))])
+            for i, w in enumerate(words)
+            if i not in spared and i - 1 not in spared
+        ]
+        x = toxicity._features(sum(weights), max(weights, default=0.0), len(words))
+        assert got[doc_id] == pytest.approx(1 / (1 + np.exp(-np.dot(lexicon.model, x))), abs=1e-9)
+
+
 def shape_corpus(seed, n=1500):
     rng = random.Random(seed)
     rows, good = [], []
