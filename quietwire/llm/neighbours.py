@@ -4,10 +4,13 @@ Each shard's graph starts from random edges. Every vector is searched for in it,
 the nodes met on the way are pruned to its new out-edges: the nearest stays, and whatever is much
 nearer to it than to the vector goes, and so on, so edges point in different directions. Back-edges
 are added and pruned alike. A second pass relaxes the pruning by ALPHA, which keeps longer edges. A
-query walks every shard's graph with a beam of BEAM nodes; the shards' results are merged.
+query walks every shard's graph with a beam of BEAM nodes; the shards' results are merged. Where a
+walk meets fewer nodes than are asked for, since its part of the graph leads nowhere else, that query
+looks at every vector of the shard.
 
 All rows are indexed: equal vectors are one node with their least ids, and shards are dealt by hash.
-Nearness is the Euclidean distance in double precision, equal ones by the least id. Vectors that
+Nearness is the Euclidean distance in double precision, equal ones by the least id; walks use doubles
+too, so neither a large offset nor a large or small scale loses neighbours. Vectors that
 are null, empty, zero or hold null or non-finite components, and rows without an id, take no part;
 vectors only meet those of their own length. Repeated rows count once. An empty table gives no rows.
 """
@@ -29,14 +32,20 @@ BATCH = 256
 WIDTH = 4
 
 
+def _squared(gap: np.ndarray) -> np.ndarray:
+    """Squared lengths; what is beyond doubles is as far as they reach, so still a node to go on from."""
+    with np.errstate(over="ignore"):
+        return np.minimum(np.einsum("...j,...j->...", gap, gap), np.finfo(float).max)
+
+
 def walk(x: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """(node, squared distance) of the ``beam`` nearest met by each query, nearest first; node -1 where fewer."""
     n, m = len(queries), len(x)
     node = np.full((n, beam), -1, np.int64)
-    far = np.full((n, beam), np.inf, np.float32)
+    far = np.full((n, beam), np.inf)
     done = np.zeros((n, beam), bool)
     node[:, 0] = entry
-    far[:, 0] = ((queries - x[entry]) ** 2).sum(axis=1)
+    far[:, 0] = _squared(queries - x[entry])
     seen = np.zeros(n * m, bool)
     seen[np.arange(n) * m + entry] = True
     row = np.arange(n)[:, None]
@@ -56,12 +65,12 @@ def walk(x: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, beam
         seen[keys] = True
         owner, found = keys // m, keys % m
         gap = x[found] - queries[owner]
-        distance = np.einsum("ij,ij->i", gap, gap)
+        distance = _squared(gap)
         count = np.bincount(owner, minlength=n)
         place = np.arange(len(keys)) - np.repeat(np.cumsum(count) - count, count)
         wide = int(count.max())
         more_node = np.full((n, wide), -1, np.int64)
-        more_far = np.full((n, wide), np.inf, np.float32)
+        more_far = np.full((n, wide), np.inf)
         more_node[owner, place], more_far[owner, place] = found, distance
         node = np.concatenate([node, more_node], axis=1)
         far = np.concatenate([far, more_far], axis=1)
@@ -77,11 +86,13 @@ def prune(x: np.ndarray, own: np.ndarray, near: np.ndarray, alpha: float) -> np.
     by = np.argsort(near, axis=1)
     near = np.take_along_axis(near, by, 1)
     near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
-    points = x[near]
-    gap = points - x[own][:, None, :]
-    far = np.where(near >= 0, np.einsum("ijk,ijk->ij", gap, gap), np.inf)
-    norm = np.einsum("ijk,ijk->ij", points, points)
-    between = norm[:, :, None] + norm[:, None, :] - 2 * points @ points.transpose(0, 2, 1)
+    # Seen from the own node and in its scale, single precision tells what is needless whatever the offset.
+    gap = x[near] - x[own][:, None, :]
+    scale = np.abs(np.where(near[:, :, None] >= 0, gap, 0)).max(axis=(1, 2), initial=0)
+    gap = np.clip(gap / np.where(scale > 0, scale, 1)[:, None, None], -1, 1).astype(np.float32)
+    norm = np.einsum("ijk,ijk->ij", gap, gap)
+    far = np.where(near >= 0, norm, np.inf)
+    between = norm[:, :, None] + norm[:, None, :] - 2 * gap @ gap.transpose(0, 2, 1)
     edges = np.full((n, DEGREE), -1, np.int64)
     row = np.arange(n)
     for slot in range(DEGREE):
@@ -101,8 +112,7 @@ def _back(x: np.ndarray, edges: np.ndarray, own: np.ndarray, alpha: float) -> No
     target = edges[own].ravel()
     source = np.repeat(own, DEGREE)[target >= 0]
     target = target[target >= 0]
-    gap = x[target] - x[source]
-    by = np.lexsort((np.einsum("ij,ij->i", gap, gap), target))
+    by = np.lexsort((_squared(x[target] - x[source]), target))
     target, source = target[by], source[by]
     nodes, start, count = np.unique(target, return_index=True, return_counts=True)
     place = np.arange(len(target)) - np.repeat(start, count)
@@ -115,12 +125,12 @@ def _back(x: np.ndarray, edges: np.ndarray, own: np.ndarray, alpha: float) -> No
 
 
 def build(points: np.ndarray) -> dict:
-    """Edges of a shard's graph, and where walks begin: the node nearest to the mean."""
-    x, m = points.astype(np.float32), len(points)
+    """Edges of a shard's graph, and where walks begin: the node nearest to the median, which outliers do not move."""
+    x, m = points, len(points)
     random = np.random.default_rng(m)
     edges = random.integers(0, m, (m, DEGREE)) if m > 1 else np.full((1, DEGREE), -1)
     edges = np.where(edges == np.arange(m)[:, None], -1, edges).astype(np.int64)
-    entry = int(np.argmin(((x - x.mean(axis=0)) ** 2).sum(axis=1)))
+    entry = int(np.argmin(_squared(x - np.median(x, axis=0))))
     for alpha in (1.0, ALPHA):
         order = random.permutation(m)
         for a in range(0, m, BATCH):
@@ -134,13 +144,14 @@ def build(points: np.ndarray) -> dict:
 def _searcher(k: int, beam: int):
     def search(shard: dict, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         points = shard["points"]
-        if "x" not in shard:
-            shard["x"] = points.astype(np.float32)
         out = []
         for a in range(0, len(at), BATCH):
-            node, _ = walk(shard["x"], shard["edges"], int(shard["entry"]), at[a : a + BATCH].astype(np.float32), beam)
-            place, slot = np.nonzero(node >= 0)
+            node, _ = walk(points, shard["edges"], int(shard["entry"]), at[a : a + BATCH], max(beam, k + 1))
+            lost = (node >= 0).sum(axis=1) < min(k + 1, len(points))
+            place, slot = np.nonzero((node >= 0) & ~lost[:, None])
             found = node[place, slot]
+            for q in np.flatnonzero(lost):
+                place, found = np.append(place, np.full(len(points), q)), np.append(found, np.arange(len(points)))
             score = np.sqrt(((points[found] - at[a : a + BATCH][place]) ** 2).sum(axis=1))
             # One node may be the query itself, so k + 1 of them give k others; equal distances all stay.
             order = np.lexsort((score, place))

@@ -128,3 +128,40 @@ def test_folding_keeps_the_least_ids(spark):
     rows = [(i, [1.0, 0.0]) for i in random.Random(1).sample(range(1000), 300)]
     (r,) = vectors.folded(vectors.usable(rows_of(spark, rows), zero=False), 4).collect()
     assert r.ids == sorted(i for i, _ in rows)[:5]
+
+
+@pytest.mark.parametrize("kind", ["offset", "large", "small", "outlier", "two far groups", "clusters"])
+def test_neighbours_at_any_offset_and_scale(spark, kind):
+    rng = np.random.default_rng(11)
+    points = rng.normal(0, 1, (900, 8))
+    if kind == "offset":
+        points = 1e6 + 0.01 * points
+    elif kind == "large":
+        points *= 1e20
+    elif kind == "small":
+        points *= 1e-20
+    elif kind == "outlier":
+        points[5] = 1e30
+    elif kind == "two far groups":
+        points[::2] += 1e9
+    else:
+        points = 100 * points[rng.integers(0, 30, 900)] + 1e-6 * points
+    rows = [(i, v.tolist()) for i, v in enumerate(points)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = collected(neighbours.search(table, table.where("vec_id % 10 = 0"), shard_rows=400))
+    gap = np.linalg.norm(points[::10, None] - points[None], axis=2)
+    hits = 0
+    for q in range(0, 900, 10):
+        assert len(got[q]) == 10
+        others = [i for i in np.argsort(gap[q // 10], kind="stable") if i != q][:10]
+        hits += len({i for i, _ in got[q]} & set(others))
+    assert hits >= 0.9 * 900
+
+
+def test_a_walk_that_leads_nowhere_looks_at_all():
+    points = np.arange(40.0)[:, None]
+    edges = np.full((40, neighbours.DEGREE), -1, np.int32)
+    shard = {"points": points, "edges": edges, "entry": np.array(3), "starts": np.arange(41), "ids": np.arange(40)}
+    place, ids, score = neighbours._searcher(5, 64)(shard, np.array([0, 20]), points[[0, 20]])
+    assert set(ids[place == 0].tolist()) == {0, 1, 2, 3, 4, 5}
+    assert {18, 19, 20, 21, 22} <= set(ids[place == 1].tolist()) and score.min() == 0
