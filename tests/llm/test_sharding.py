@@ -76,3 +76,29 @@ def test_files_prune_by_several_dimensions(spark, tmp_path):
 def test_no_python_in_the_plan(spark):
     plan = sharding.shard(docs_of(spark, corpus()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_sources_and_ids_spread_over_their_cells(spark):
+    hosts = [f"https://host{i:02}.example.org/" for i in range(20)]
+    rows = [(1 << 61 if i == 0 else i, "text", hosts[i % 20] if i % 21 else None) for i in range(2000)]
+    sizes = sharding.measured(docs_of(spark, rows))
+    cuts = sharding.grid(sizes)
+    assert len(cuts.sources) == 14 and len(cuts.ids) == 14
+    cells = {r.source: r.cell for r in docs_of(spark, rows).select("source", sharding._cell(sharding.F.col("source"), cuts.sources).alias("cell")).distinct().collect()}
+    assert cells[None] == 0 and min(cells[h] for h in hosts) == 1 and len(set(cells.values())) == 16
+    assert [cells[h] for h in hosts] == sorted(cells[h] for h in hosts)
+    per = Counter(r.cell for r in sizes.select(sharding._cell(sharding.F.col("doc_id"), cuts.ids).alias("cell")).collect())
+    assert len(per) == 15 and max(per.values()) < 2 * min(per.values())
+
+
+def test_files_of_one_host(spark, tmp_path):
+    rows = [(i, "w " * (i * 53 % 700), f"https://host{i * 17 % 20:02}.example.org/") for i in range(4000)]
+    sharding.write_shards(docs_of(spark, rows), str(tmp_path / "out"), 40)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.where("shard = -2").count() == 4000 and back.select("shard_").distinct().count() == 40
+    files = list((tmp_path / "out").rglob("*.parquet"))
+    hit = 0
+    for f in files:
+        sources = pq.read_table(f, columns=["source"]).column(0).to_pylist()
+        hit += min(sources) <= "https://host07.example.org/" <= max(sources)
+    assert hit <= len(files) * 0.6
