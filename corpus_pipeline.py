@@ -28,7 +28,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = substring_dedup.dedup(docs)
     if "n_chars" in docs.columns:
-        now = F.when(F.col("removed_words") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        removed_words = F.col(cut.columns[-2])  # the name may have been taken
+        now = F.when(removed_words > 0, F.length("text")).otherwise(F.col("n_chars"))
         cut = cut.withColumn("n_chars", now.cast(docs.schema["n_chars"].dataType))
     return cut.select(*docs.columns)
 
