@@ -3,8 +3,10 @@
 Two sets that are similar enough share a token among the first few of each under ANY order of all
 tokens (the prefix). Order 0 puts tokens known to be common last, the most common at the very end, and
 generates candidates: documents that share a prefix token, of fitting lengths, with enough
-tokens left after it. The other orders are hash orders. A candidate must share a prefix token under
-each of them too; what remains is verified by counting the intersection.
+tokens left after it. Two further orders, by token hash upwards and downwards, filter the candidates before any set is
+moved: a candidate must share a prefix token under each of them as well, and the tokens in which the two prefixes
+differ must be few enough for a link. Every text's prefixes under them are written once, as a signature of two
+bytes a token. What passes all orders is verified by counting the intersection.
 
 * Equal sets are one node of the graph from the start, so copies cost nothing.
 * A token shared by more than a few nodes gives a star (each with the first) and a chain (each with
@@ -14,7 +16,7 @@ each of them too; what remains is verified by counting the intersection.
   needed for it may stay unverified; no component loses one.
 * Tasks make the stars and chains of their own rows first, so a token in a third of all documents
   sends a few rows per task.
-* Sets are made again from the texts for the nodes that need them; only prefixes are shuffled for all.
+* Sets are made again from the texts for the nodes of pairs that passed all orders; only prefixes are shuffled for all.
 
 Words are runs without ASCII white space, A-Z lower-cased. A set holds the different runs of
 ``n`` words, or the whole text where it is shorter. Texts without words, and null texts, have an
@@ -25,7 +27,7 @@ rows. Tokens and nodes are 64-bit hashes. Other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +45,6 @@ PERCENT = 80
 COMMON = 1 << 21
 # Tokens a task counts at a time.
 COUNTED = 4_000_000
-# Further orders a candidate is checked under.
-ORDERS = 2
 # A token shared by up to this many nodes gives all their pairs, else a star and a chain.
 SMALL = 4
 # Before all pairs across components of a group are checked, PIVOTS of its members meet all others, LOOKS times.
@@ -52,8 +52,8 @@ LOOKS = 3
 PIVOTS = 8
 # First tokens in the order that a node carries along, to tell where it meets another one first.
 FIRSTS = 32
-# Bits that tell which nodes need their sets: a fixed broadcast. More nodes than that only send more.
-NEEDED_BITS = 22
+# Bits that tell which texts are needed again: a fixed broadcast. More texts than that only cut more of them into words.
+NEEDED_BITS = 24
 # Prefix rows a task sorts at a time.
 BLOCK = 1_000_000
 
@@ -97,10 +97,50 @@ def _own_first(node: int, seen: set) -> bool:
     return True
 
 
-def shingled(docs: DataFrame, n: int) -> DataFrame:
-    """Written once. kind 0: (doc_id, node, size, salt); kind 1: (token as node, uses as size) of tokens
-    that a task met more than once. Copies within a task count once."""
-    names = ["kind", "doc_id", "node", "size", "salt"]
+def signature(tokens: np.ndarray, percent: int) -> bytes:
+    """The upper 16 bits of the prefixes of sorted tokens under the two hash orders, upwards and downwards."""
+    p = prefix_length(len(tokens), percent)
+    return (np.concatenate([tokens[:p], tokens[len(tokens) - p :]]) >> np.uint64(48)).astype(np.uint16).tobytes()
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """The most tokens that two lists of upper bits can have in common."""
+    a, of_a = np.unique(a, return_counts=True)
+    b, of_b = np.unique(b, return_counts=True)
+    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    return int(np.minimum(of_a[at_a], of_b[at_b]).sum())
+
+
+def may_link(n_a: int, a: np.ndarray, n_b: int, b: np.ndarray, percent: int) -> bool:
+    """False only for sets that cannot be linked, by their sizes and signatures.
+
+    Linked sets share a token of their prefixes under either order. Up to the lesser end of two prefixes both are
+    complete, so the tokens that only one of them holds there belong to the difference of the sets, which is bounded.
+    """
+    p_a, p_b = prefix_length(n_a, percent), prefix_length(n_b, percent)
+    low_a, low_b, high_a, high_b = a[:p_a], b[:p_b], a[p_a:], b[p_b:]
+    if not (np.isin(low_a, low_b).any() and np.isin(high_a, high_b).any()):
+        return False
+    most = n_a + n_b - 2 * -(-percent * (n_a + n_b) // (100 + percent))
+    # Tokens with the upper bits of the end itself may be cut off, so they do not count.
+    top, bottom = min(low_a[-1], low_b[-1]), max(high_a[0], high_b[0])
+    differ = []
+    for x, y in ((low_a[low_a < top], low_b[low_b < top]), (high_a[high_a > bottom], high_b[high_b > bottom])):
+        differ.append(len(x) + len(y) - 2 * _shared(x, y))
+    return max(differ) <= most and (top > bottom or sum(differ) <= most)
+
+
+def shingled(docs: DataFrame, n: int, percent: int = PERCENT) -> DataFrame:
+    """Written once. kind 0: (doc_id, node, size, salt, hash of the text); kind 1: (token as node, uses as size) of
+    tokens that a task met more than once; kind 2: (node, size, signature). Copies within a task count once."""
+    names = ["kind", "doc_id", "node", "size", "salt", "text_hash", "signature"]
+
+    def rows_of(kind: int, **given) -> pa.RecordBatch:
+        rows = len(given["node"])
+        types = dict(zip(names, (pa.int8(), *(pa.int64(),) * 5, pa.binary())))
+        given["kind"] = np.full(rows, kind, np.int8)
+        columns = [pa.array(given[c], types[c]) if c in given else pa.nulls(rows, types[c]) for c in names]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, seen = Shingles(n), set()
@@ -109,12 +149,10 @@ def shingled(docs: DataFrame, n: int) -> DataFrame:
 
         def common() -> pa.RecordBatch:
             tokens, uses = np.unique(np.concatenate(fresh), return_counts=True)
-            tokens, uses = signed(tokens[uses > 1]), uses[uses > 1]
-            kind, none = np.ones(len(tokens), np.int8), pa.nulls(len(tokens), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(kind), none, pa.array(tokens), pa.array(uses), none], names)
+            return rows_of(1, node=signed(tokens[uses > 1]), size=uses[uses > 1])
 
         for batch in batches:
-            nodes, sizes = [], []
+            nodes, sizes, first = [], [], []
             for text in text_bytes(batch.column(1)):
                 tokens = make.of(text)
                 node = _node(tokens) if len(tokens) else None
@@ -123,17 +161,20 @@ def shingled(docs: DataFrame, n: int) -> DataFrame:
                 if node is not None and _own_first(node, seen):
                     fresh.append(tokens)
                     held += len(tokens)
+                    first.append((node, len(tokens), signature(tokens, percent)))
             if held > COUNTED:
                 yield common()
                 fresh.clear()
                 held = 0
-            kind = pa.array(np.zeros(batch.num_rows, np.int8))
-            yield pa.RecordBatch.from_arrays([kind, batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), batch.column(2)], names)
+            yield rows_of(0, doc_id=batch.column(0), node=nodes, size=sizes, salt=batch.column(2), text_hash=batch.column(3))
+            if first:
+                yield rows_of(2, **dict(zip(("node", "size", "signature"), zip(*first))))
         if fresh:
             yield common()
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text", salt(F.col("text")).cast("bigint"))
-    return stage(in_batches(rows, work, "kind tinyint, doc_id bigint, node bigint, size bigint, salt bigint"), "shingled")
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", salt(F.col("text")).cast("bigint"), F.xxhash64("text"))
+    schema = "kind tinyint, doc_id bigint, node bigint, size bigint, salt bigint, text_hash bigint, signature binary"
+    return stage(in_batches(rows, work, schema), "shingled")
 
 
 def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -307,9 +348,9 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
     return stage(in_batches(ordered, work, _ROWS), "met-prefixes")
 
 
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """One bit per hash value of the given nodes: 2^NEEDED_BITS of them."""
-    at = nodes.select(F.pmod("node", F.lit(1 << NEEDED_BITS)).alias("at"))
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """One bit per value of the given hashes: 2^NEEDED_BITS of them."""
+    at = hashes.select(F.pmod("text_hash", F.lit(1 << NEEDED_BITS)).alias("at"))
     words = at.groupBy(F.expr("shiftright(at, 5)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 31 as int)))").alias("bits"))
     bits = np.zeros(1 << (NEEDED_BITS - 5), np.uint32)
     for r in words.toLocalIterator():
@@ -317,27 +358,28 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
     return bits
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, tokens) of the given nodes, made again from the texts."""
-    bits = _bitmap(nodes)
+def _sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(node, size, tokens) of the given nodes, made again from one of the texts of each."""
+    one = rows.where("kind = 0").join(_small(nodes), "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
+    one = stage(one, "needed-texts")
+    bits = _bitmap(one)
     mask = (1 << NEEDED_BITS) - 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, seen = Shingles(n), set()
         for batch in batches:
-            found: list[tuple[int, bytes]] = []
-            for text in text_bytes(batch.column(0)):
-                tokens = make.of(text)
-                if len(tokens):
-                    node = _node(tokens)
-                    at = node & mask
-                    if int(bits[at >> 5]) >> (at & 31) & 1 and _own_first(node, seen):
-                        found.append((node, shortened(tokens)))
-            arrays = [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["node", "tokens"])
-
-    made = in_batches(docs.select("text"), work, "node bigint, tokens binary")
-    wanted = made.join(nodes.hint("shuffle_hash"), "node", "left_semi")
+            at = batch.column(1).to_numpy() & mask
+            batch = batch.filter(pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)))
+            found: list[tuple[int, int, bytes]] = []
+            for value, text in zip(batch.column(1).to_pylist(), text_bytes(batch.column(0))):
+                if _own_first(value, seen) and len(tokens := make.of(text)):
+                    found.append((_node(tokens), len(tokens), shortened(tokens)))
+            columns = zip(*found) if found else [()] * 3
+            types = [pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["node", "size", "tokens"])
+
+    made = in_batches(docs.select("text", F.xxhash64("text")), work, "node bigint, size bigint, tokens binary")
+    wanted = made.join(_small(one.select("node")), "node", "left_semi")
     return stage(wanted.dropDuplicates(["node"]), "sets")
 
 
@@ -352,31 +394,47 @@ def lengthened(raw: memoryview | bytes) -> np.ndarray:
     return out.view(np.uint64)[:, 0]
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int, orders: int = ORDERS) -> bool:
-    """Whether two sorted sets are linked: first the prefixes under the other orders, then the count."""
-    for seed in range(1, orders + 1):
-        first_a = np.sort(mix(a, seed))[: prefix_length(len(a), percent)]
-        first_b = np.sort(mix(b, seed))[: prefix_length(len(b), percent)]
-        if not len(np.intersect1d(first_a, first_b, assume_unique=True)):
-            return False
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are linked."""
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar. A counted number of pairs goes to the sets, more are dealt by node."""
+def _small(staged: DataFrame) -> DataFrame:
+    """A staged table with a counted number of rows is broadcast; one with more is hashed where it meets the other side."""
+    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged.hint("shuffle_hash")
+
+
+def _passing(pairs: DataFrame, facts: DataFrame, test: Callable[[int, memoryview, int, memoryview], bool], label: str) -> DataFrame:
+    """The pairs (a, b) that pass ``test`` on (size, bytes) of both nodes, as ``facts`` (node, size, bytes) has them.
+    A counted number of pairs goes to the facts, more are dealt by node."""
     few = F.broadcast if pairs.count() <= BROADCAST_ROWS else (lambda df: df)
-    sets_a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a"))
-    sets_b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b"))
-    sets_b = sets_b.join(few(pairs.select("b").distinct()), "b", "left_semi")
-    with_b = sets_a.join(few(pairs), "a").join(sets_b, "b")
+    of_a, of_b = (facts.select(*(F.col(c).alias(f"{name}_{side}") for c, name in zip(facts.columns, ("node", "n", "held")))) for side in "ab")
+    of_a, of_b = of_a.withColumnRenamed("node_a", "a"), of_b.withColumnRenamed("node_b", "b")
+    of_b = of_b.join(few(pairs.select("b").distinct()), "b", "left_semi")
+    both = of_a.join(few(pairs), "a").join(of_b, "b")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stay = [similar(lengthened(x.as_buffer()), lengthened(y.as_buffer()), percent) for x, y in zip(batch.column(2), batch.column(3))]
+            n_a, n_b = batch.column(2).to_pylist(), batch.column(4).to_pylist()
+            stay = [test(i, x.as_buffer(), j, y.as_buffer()) for i, x, j, y in zip(n_a, batch.column(3), n_b, batch.column(5))]
             yield batch.select([0, 1]).filter(pa.array(stay, pa.bool_()))
 
-    return stage(in_batches(with_b.select("a", "b", "tokens_a", "tokens_b"), work, "a bigint, b bigint"), "links")
+    return stage(in_batches(both.select("a", "b", "n_a", "held_a", "n_b", "held_b"), work, "a bigint, b bigint"), label)
+
+
+def _verified(docs: DataFrame, rows: DataFrame, signatures: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar: those that pass the further orders meet their sets."""
+
+    def passes(n_a, a, n_b, b) -> bool:
+        return may_link(n_a, np.frombuffer(a, np.uint16), n_b, np.frombuffer(b, np.uint16), percent)
+
+    def links(n_a, a, n_b, b) -> bool:
+        return similar(lengthened(a), lengthened(b), percent)
+
+    left = _passing(pairs, signatures, passes, "pairs-left")
+    nodes = stage(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed-nodes")
+    return _passing(left, _sets(docs, rows, nodes, n), links, "links")
 
 
 def _mixed(open_rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -406,14 +464,16 @@ def _across(left: DataFrame, right: DataFrame, percent: int, every: bool) -> Dat
 
 def node_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node, size, salt) of every document, and (node, root) of every node that is linked."""
-    rows = shingled(docs, n)
+    rows = shingled(docs, n, percent)
     met = _meet(_prefixes(docs, n, percent, _common(rows)), percent)
     pairs = stage(met.where("kind = 1").select(F.col("node").alias("a"), F.col("info").alias("b")).where("a <> b").distinct(), "pairs")
     large = met.where("kind = 2").select("token", "node", F.expr("shiftright(info, 32)").alias("size"), F.col("info").bitwiseAND(F.lit(0x7FFFFFFF)).alias("place"))
     open_rows = stage(large.distinct(), "large-groups")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(open_rows.select("node")).distinct()
-    sets = _sets(docs, stage(needed, "needed-nodes"), n)
-    links = _verified(pairs, sets, percent)
+    signed_nodes = rows.where("kind = 2").select("node", "size", "signature")
+    signatures = signed_nodes.join(_small(stage(needed, "candidate-nodes")), "node", "left_semi").dropDuplicates(["node"])
+    signatures = stage(signatures, "signatures")
+    links = _verified(docs, rows, signatures, pairs, n, percent)
     roots = components(links)
     checked = pairs
     for look in range(LOOKS + 1):
@@ -429,7 +489,7 @@ def node_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tupl
             right = right.select(*left.columns)
         more = stage(_across(left, right, percent, every=look == LOOKS).join(checked, ["a", "b"], "left_anti"), "pairs-across")
         if not more.isEmpty():
-            links = links.unionByName(_verified(more, sets, percent))
+            links = links.unionByName(_verified(docs, rows, signatures, more, n, percent))
             checked = checked.unionByName(more)
             roots = components(links)
     return rows.where("kind = 0").select("doc_id", "node", "size", "salt"), roots

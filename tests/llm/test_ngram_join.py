@@ -131,10 +131,31 @@ def test_components(spark, monkeypatch, task_pairs):
 
 def test_prefix_orders_never_lose_a_link():
     rng = np.random.default_rng(6)
-    for _ in range(200):
+    dropped = 0
+    for _ in range(400):
         a = np.unique(rng.integers(0, 1 << 62, rng.integers(1, 80), dtype=np.uint64))
-        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 62, 3, dtype=np.uint64)]))
+        share = rng.choice([0.2, 0.9])
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < share], rng.integers(0, 1 << 62, 3, dtype=np.uint64)]))
         both = len(np.intersect1d(a, b))
         linked = 100 * both >= 80 * (len(a) + len(b) - both)
         assert ngram_join.similar(a, b, 80) == linked
         assert (ngram_join.lengthened(ngram_join.shortened(a)) >> np.uint64(16) == a >> np.uint64(16)).all()
+        held = [np.frombuffer(ngram_join.signature(x, 80), np.uint16) for x in (a, b)]
+        may = ngram_join.may_link(len(a), held[0], len(b), held[1], 80)
+        assert may or not linked
+        dropped += not may
+    assert dropped > 100
+
+
+def test_signatures_of_crowded_hashes_never_lose_a_link():
+    """Tokens whose upper bits are often equal, down to all of them."""
+    rng = np.random.default_rng(7)
+    for bits in (2, 5, 9):
+        for size in (1, 2, 3, 5, 30, 400):
+            for _ in range(30):
+                pool = np.unique(rng.integers(0, 1 << bits, 2 * size, dtype=np.uint64) << np.uint64(48) | rng.integers(0, 1 << 40, 2 * size, dtype=np.uint64))
+                a = np.sort(rng.choice(pool, max(1, int(len(pool) * 0.9)), replace=False))
+                b = np.sort(rng.choice(pool, max(1, int(len(pool) * 0.95)), replace=False))
+                if ngram_join.similar(a, b, 80):
+                    held = [np.frombuffer(ngram_join.signature(x, 80), np.uint16) for x in (a, b)]
+                    assert ngram_join.may_link(len(a), held[0], len(b), held[1], 80)
