@@ -6,7 +6,8 @@ generates candidates: documents that share a prefix token, of fitting lengths, w
 tokens left after it. Two further orders, by token hash upwards and downwards, filter the candidates before any set is
 moved: a candidate must share a prefix token under each of them as well, and the tokens in which the two prefixes
 differ must be few enough for a link. Every text's prefixes under them are written once, as a signature of two
-bytes a token. What passes all orders is verified by counting the intersection.
+bytes a token. What passes all orders is verified by counting the intersection. Candidates across components of large
+groups (below) are closer and nearly all pass, so they meet their sets at once and the further orders in the same task.
 
 * Equal sets are one node of the graph from the start, so copies cost nothing.
 * A token shared by more than a few nodes gives a star (each with the first) and a chain (each with
@@ -16,7 +17,7 @@ bytes a token. What passes all orders is verified by counting the intersection.
   needed for it may stay unverified; no component loses one.
 * Tasks make the stars and chains of their own rows first, so a token in a third of all documents
   sends a few rows per task.
-* Sets are made again from the texts for the nodes of pairs that passed all orders; only prefixes are shuffled for all.
+* Sets are made again from the texts for the nodes of pairs that are left; only prefixes are shuffled for all.
 
 Words are runs without ASCII white space, A-Z lower-cased. A set holds the different runs of
 ``n`` words, or the whole text where it is shorter. Texts without words, and null texts, have an
@@ -423,18 +424,25 @@ def _passing(pairs: DataFrame, facts: DataFrame, test: Callable[[int, memoryview
     return stage(in_batches(both.select("a", "b", "n_a", "held_a", "n_b", "held_b"), work, "a bigint, b bigint"), label)
 
 
-def _verified(docs: DataFrame, rows: DataFrame, signatures: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: those that pass the further orders meet their sets."""
+def _left(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that pass the further orders, by their signatures alone."""
 
     def passes(n_a, a, n_b, b) -> bool:
         return may_link(n_a, np.frombuffer(a, np.uint16), n_b, np.frombuffer(b, np.uint16), percent)
 
+    return _passing(pairs, signatures, passes, "pairs-left")
+
+
+def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar: first the further orders, then the count."""
+
     def links(n_a, a, n_b, b) -> bool:
-        return similar(lengthened(a), lengthened(b), percent)
+        a, b = lengthened(a), lengthened(b)
+        signed_a, signed_b = (np.frombuffer(signature(x, percent), np.uint16) for x in (a, b))
+        return may_link(n_a, signed_a, n_b, signed_b, percent) and similar(a, b, percent)
 
-    left = _passing(pairs, signatures, passes, "pairs-left")
-    nodes = stage(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed-nodes")
-    return _passing(left, _sets(docs, rows, nodes, n), links, "links")
+    nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed-nodes")
+    return _passing(pairs, _sets(docs, rows, nodes, n), links, "links")
 
 
 def _mixed(open_rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -469,11 +477,10 @@ def node_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tupl
     pairs = stage(met.where("kind = 1").select(F.col("node").alias("a"), F.col("info").alias("b")).where("a <> b").distinct(), "pairs")
     large = met.where("kind = 2").select("token", "node", F.expr("shiftright(info, 32)").alias("size"), F.col("info").bitwiseAND(F.lit(0x7FFFFFFF)).alias("place"))
     open_rows = stage(large.distinct(), "large-groups")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(open_rows.select("node")).distinct()
-    signed_nodes = rows.where("kind = 2").select("node", "size", "signature")
-    signatures = signed_nodes.join(_small(stage(needed, "candidate-nodes")), "node", "left_semi").dropDuplicates(["node"])
-    signatures = stage(signatures, "signatures")
-    links = _verified(docs, rows, signatures, pairs, n, percent)
+    needed = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-nodes")
+    signatures = rows.where("kind = 2").select("node", "size", "signature").join(_small(needed), "node", "left_semi")
+    signatures = stage(signatures.dropDuplicates(["node"]), "signatures")
+    links = _verified(docs, rows, _left(pairs, signatures, percent), n, percent)
     roots = components(links)
     checked = pairs
     for look in range(LOOKS + 1):
@@ -489,7 +496,7 @@ def node_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tupl
             right = right.select(*left.columns)
         more = stage(_across(left, right, percent, every=look == LOOKS).join(checked, ["a", "b"], "left_anti"), "pairs-across")
         if not more.isEmpty():
-            links = links.unionByName(_verified(docs, rows, signatures, more, n, percent))
+            links = links.unionByName(_verified(docs, rows, more, n, percent))
             checked = checked.unionByName(more)
             roots = components(links)
     return rows.where("kind = 0").select("doc_id", "node", "size", "salt"), roots
