@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # A word is two or more letters, digits or underscores in a row.
 WORD = r"[\p{L}\p{N}_]{2,}"
+# What lies between runs of them.
+GAP = r"[^\p{L}\p{N}_]+"
 
 _HANGUL_FIRST, _HANGUL_LAST = 0xAC00, 0xD7A3
 # Conjoining letters in code point order; a syllable number splits into (lead, vowel, tail).

@@ -9,8 +9,9 @@ How the work is spread:
 
 * Items that differ in ASCII spacing, punctuation or case only have equal vectors, so the later
   ones always follow the first. They are folded into one (keeping their count for ``n``, ``df``).
-* Texts are cut into grams once. A dictionary numbers the grams that several texts share, the rarest
-  first, and a text becomes two packed arrays, sorted by number: numbers and weights.
+* Words are folded once. Grams are 64-bit hashes that tell buckets apart as well. Blocks of texts send each of their
+  grams once, packed by ranges of hashes, and get back the counts of those that several texts share; a text becomes
+  two packed arrays, sorted by hash: hashes and weights.
 * Pairs are found by prefix filtering (Bayardo et al., WWW 2007): per item only the rarest
   grams are joined, up to the point where the remaining tail is shorter than the threshold. Where two
   items meet, the product of what is left of both bounds their cosine.
@@ -37,8 +38,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quietwire.functions.text import copy_key, grams, tokens
-from quietwire.operators.skew import hot_keys, lookup_join, number_rows, salted_join
+from quietwire.functions.text import GAP, copy_key, fold
+from quietwire.llm.common import hash_words, in_batches, mix, signed, text_bytes
+from quietwire.operators.skew import BROADCAST_ROWS, hot_keys, lookup_join, number_rows, salted_join
 from quietwire.session import stage
 from quietwire.settings import DEDUP_SIMILARITY
 
@@ -59,6 +61,12 @@ class Effort:
 
 # Cosines are sums of rounded products; prefixes are cut a little late to stay on the safe side.
 _SLACK = 1e-9
+# Texts whose grams are counted together, a power of two.
+TEXTS_IN_BLOCK = 4096
+# Shares of all codes that are counted apart, at least.
+LEAST_RANGES = 32
+
+_FACTOR = np.uint64(0x9FB21C651E98DF25)
 
 
 def near_duplicates(
@@ -131,7 +139,11 @@ def near_duplicate_followers(
 
 
 def _vectors(items, bucket, order, text, id_col, threshold):
-    """Staged (items with content key, copies per key, unit vectors with join prefix)."""
+    """Staged (items with content key, copies per key, unit vectors with join prefix).
+
+    Texts move twice, first to those of their bucket, then to the counts of their grams. Grams move as sorted hashes
+    in arrays, once per block of texts that has them, and come back with their counts if several texts have them.
+    """
     keyed = stage(
         items.select(
             *bucket,
@@ -148,79 +160,149 @@ def _vectors(items, bucket, order, text, id_col, threshold):
         copies.groupBy(*bucket).agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("texts")).where("texts > 1"),
         "sizes",
     )
-    firsts = lookup_join(copies, sizes.drop("texts"), bucket, F.col("key")).select(
-        *bucket, "n", "copies", F.col("first").alias("ord"), F.col("first.id").alias("id")
-    )
-    # The text moves once, keyed by the unique id, and is cut into words and grams where it arrives. They
-    # are counted there as well, since a text is whole: no shuffle.
-    texts = items.select(F.col(id_col).alias("id"), text.alias("text"))
-    cut = firsts.drop("ord").join(texts, "id").withColumn("tokens", tokens(F.col("text")))
-    rows = cut.select(*bucket, "n", "copies", "id", F.explode(grams(F.col("tokens"))).alias("gram"))
-    terms = stage(rows.groupBy(*bucket, "n", "copies", "id", "gram").agg(F.count(F.lit(1)).alias("tf")), "terms")
-
-    vocabulary = stage(
-        terms.groupBy(*bucket, "gram")
-        .agg(F.sum("copies").alias("df"), F.count(F.lit(1)).alias("texts"))
-        .where("texts > 1"),
-        "vocabulary",
-    )
-    # Numbers tell buckets apart as well, and sort the rarest grams first.
-    numbered = number_rows(vocabulary, [], ["texts", *bucket, "gram"], "code").drop("texts").hint("shuffle_hash")
-    weight = F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)
-    shared = stage(
-        salted_join(terms, numbered, [*bucket, "gram"], hot_keys(vocabulary, [*bucket, "gram"], "texts"), F.col("id"))
-        .select("id", "code", "tf", weight.alias("w")),
-        "shared",
-    )
-    # A gram outside the vocabulary occurs in one text only: it adds length, never a match. All of a
-    # text's have one factor, so what they add follows from its counts.
-    alone = F.log((1 + F.col("n")) / (1 + F.col("copies"))) + 1
-    lengths = (
-        terms.groupBy(*bucket, "id", "n", "copies").agg(F.sum(F.col("tf") * F.col("tf")).alias("tf2"))
-        .join(shared.groupBy("id").agg(
-            F.sum(F.col("tf") * F.col("tf")).alias("shared_tf2"), F.sum(F.col("w") * F.col("w")).alias("shared2")
-        ), "id")
-        .withColumn("norm2", F.col("shared2") + alone * alone * (F.col("tf2") - F.col("shared_tf2")))
-    )
-    # Most texts share too little with all others together, and need no vector.
-    least = threshold * threshold * (1 - _SLACK)
-    able = stage(lengths.where(F.col("shared2") >= least * F.col("norm2")).select(*bucket, "id", "norm2"), "able")
-    packed = lookup_join(shared.drop("tf"), able.select("id"), ["id"], F.col("code")).groupBy("id").agg(
-        F.collect_list(F.struct("code", "w")).alias("shared")
+    firsts = stage(
+        lookup_join(copies, sizes.drop("texts"), bucket, F.col("key")).select(
+            *bucket, "n", "copies", F.col("first").alias("ord"), F.col("first.id").alias("id")
+        ),
+        "firsts",
     )
-    orders = copies.select(F.col("first.id").alias("id"), F.col("first").alias("ord"))
-    vectors = _cut_prefix(packed.join(able, "id"), threshold, bucket).join(orders, "id")
-    return keyed, copies, stage(vectors.select(*bucket, "id", "ord", "codes", "weights", "prefix"), "vectors")
+    return keyed, copies, stage(_weighed(_worded(firsts, items, bucket, text, id_col), bucket, threshold), "vectors")
 
 
-def _cut_prefix(packed: DataFrame, threshold: float, bucket: list[str]) -> DataFrame:
-    """Unit vector over the shared grams as two arrays, and the rarest of them that a match must touch, each
-    with the squared length of the vector from there on."""
-    least = threshold * threshold * (1 - _SLACK)
-    names = [*bucket, "id"]
-    schema = T.StructType([packed.schema[name] for name in names])
-    schema = schema.add("codes", T.ArrayType(T.LongType())).add("weights", T.ArrayType(T.DoubleType()))
-    schema = schema.add("prefix", T.ArrayType(T.LongType())).add("lefts", T.ArrayType(T.DoubleType()))
+def _worded(firsts: DataFrame, items: DataFrame, bucket: list[str], text: Column, id_col: str) -> DataFrame:
+    """Staged: ``firsts`` with the words of their texts, folded and one blank apart, in blocks of TEXTS_IN_BLOCK."""
+    texts = items.select(F.col(id_col).alias("id"), text.alias("text"))
+    met = lookup_join(texts, firsts, ["id"], F.col("id"))
+    # Texts of a bucket side by side: a block then meets most of its grams more than once.
+    words = F.regexp_replace(fold(F.col("text")), GAP, " ")
+    block = F.shiftright(F.monotonically_increasing_id(), TEXTS_IN_BLOCK.bit_length() - 1)
+    dealt = met.repartitionByRange(*bucket, "id")
+    return stage(dealt.select(*firsts.columns, F.xxhash64(*bucket).alias("seed"), words.alias("words"), block.alias("block")), "worded")
+
+
+def _codes(words: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the different grams of a text in its bucket, sorted, and how often each occurs."""
+    hashes, starts = hash_words(words)
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    raw = np.frombuffer(words, np.uint8)
+    # A word has two characters at least; one may be several bytes.
+    characters = np.add.reduceat(((raw & 0xC0 != 0x80) & (raw != 32)).astype(np.int32), starts)
+    hashes = hashes[characters > 1]
+    with np.errstate(over="ignore"):
+        own = np.int64(seed).astype(np.uint64)
+        grams = np.concatenate([mix(hashes + own, 1), mix(hashes[:-1] * _FACTOR + hashes[1:] + own, 2)])
+    return np.unique(signed(grams), return_counts=True)
+
+
+def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
+    """(block, codes, df, texts): of each block the codes that several texts have, wherever these are."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, int]] = []
+        here = None
+
+        def block() -> Iterator[pa.RecordBatch]:
+            codes = np.concatenate([c for c, _ in held])
+            copies = np.repeat([n for _, n in held], [len(c) for c, _ in held])
+            by = np.argsort(codes)
+            codes = codes[by]
+            starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+            if not len(starts):
+                return
+            texts = np.diff(np.concatenate([starts, [len(codes)]]))
+            df, codes = np.add.reduceat(copies[by], starts), codes[starts]
+            place = _range_of(codes, ranges)
+            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            ends = pa.array(np.concatenate([first, [len(codes)]]), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(c, t)) for c, t in ((codes, pa.int64()), (df, pa.int64()), (texts, pa.int32()))]
+            columns = [pa.array(place[first], pa.int32()), pa.array(np.full(len(first), here, np.int64)), *lists]
+            yield pa.RecordBatch.from_arrays(columns, ["range", "block", "codes", "df", "texts"])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared, out = batch.column(batch.num_columns - 1), ([], [], [], [])
-            ends = np.concatenate([[0], np.cumsum(shared.value_lengths().to_numpy())])
-            codes, weights = (shared.flatten().field(k).to_numpy() for k in range(2))
-            for start, end, norm2 in zip(ends[:-1], ends[1:], batch.column(len(names)).to_numpy()):
-                by = np.argsort(codes[start:end])
-                code, weight = codes[start:end][by], weights[start:end][by] / np.sqrt(norm2)
-                # Keep grams while what is left, the current one included, could still reach the threshold.
-                left = np.cumsum((weight * weight)[::-1])[::-1]
-                kept = np.count_nonzero(left >= least)
-                for column, value in zip(out, (code, weight, code[:kept], left[:kept])):
+            for words, seed, copies, at in zip(text_bytes(batch.column(0)), *(c.to_pylist() for c in batch.columns[1:])):
+                if at != here and held:
+                    yield from block()
+                    held.clear()
+                here = at
+                held.append((_codes(words, seed)[0], copies))
+        if held:
+            yield from block()
+
+    def count(table: pa.Table) -> pa.Table:
+        columns = [table.column(c).combine_chunks() for c in ("codes", "df", "texts")]
+        row = np.repeat(np.arange(table.num_rows), columns[0].value_lengths().to_numpy())
+        codes, df, texts = (c.flatten().to_numpy() for c in columns)
+        by = np.argsort(codes, kind="stable")
+        first = np.concatenate([[True], codes[by[1:]] != codes[by[:-1]]])
+        starts, group = np.flatnonzero(first), np.cumsum(first) - 1
+        all_df, all_texts = (np.empty(len(codes), np.int64) for _ in range(2))
+        all_df[by], all_texts[by] = np.add.reduceat(df[by], starts)[group], np.add.reduceat(texts[by], starts)[group]
+        kept = all_texts > 1
+        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=table.num_rows))]), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(c[kept], pa.int64())) for c in (codes, all_df, all_texts)]
+        return pa.table([table.column("block"), *lists], ["block", "codes", "df", "texts"])
+
+    schema = "range int, block bigint, codes array<bigint>, df array<bigint>, texts array<int>"
+    partial = in_batches(worded.select("words", "seed", "copies", "block"), cut, schema)
+    return partial.groupBy("range").applyInArrow(count, "block bigint, codes array<bigint>, df array<bigint>, texts array<bigint>")
+
+
+def _range_of(codes: np.ndarray, ranges: int) -> np.ndarray:
+    """The equal share of all 64-bit numbers that a code lies in; ascending with the codes."""
+    return ((codes >> 32) + (1 << 31)) * ranges >> 32
+
+
+def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFrame:
+    """(bucket..., id, ord, codes, weights, norm, prefix) of the texts that share enough with all others together: the
+    vector over the shared grams as two arrays and its length over all grams, and the rarest of them that a match must
+    touch, each with the squared length of the unit vector from there on. Few weights are different, so they pack well."""
+    least = threshold * threshold * (1 - _SLACK)
+    names = [*bucket, "id", "ord"]
+    schema = T.StructType([worded.schema[name] for name in names])
+    schema = schema.add("codes", T.ArrayType(T.LongType())).add("weights", T.ArrayType(T.DoubleType())).add("norm", T.DoubleType())
+    schema = schema.add("prefix", T.ArrayType(T.StructType().add("code", T.LongType()).add("left", T.DoubleType())))
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        known, df, texts = (np.concatenate([np.zeros(0, np.int64), *(x.flatten().to_numpy() for x in right.column(c).chunks)]) for c in ("codes", "df", "texts"))
+        by = np.argsort(known, kind="stable")
+        known, df, texts = known[by], df[by], texts[by]
+        able, norms, out = [], [], ([], [], [], [])
+        left = left.combine_chunks()
+        rows = zip(*(left.column(c).to_pylist() for c in ("seed", "n", "copies")))
+        for i, (words, (seed, n, copies)) in enumerate(zip((w for x in left.column("words").chunks for w in text_bytes(x)), rows)):
+            codes, tf = _codes(words, seed)
+            at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+            shared = known[at] == codes if len(known) else np.zeros(len(codes), bool)
+            at, own = at[shared], tf[~shared]
+            weight = tf[shared] * (np.log((1 + n) / (1 + df[at])) + 1)
+            # A gram of this text alone adds length, never a match.
+            alone = np.log((1 + n) / (1 + copies)) + 1
+            shared2 = (weight * weight).sum()
+            norm2 = shared2 + alone * alone * (own * own).sum()
+            if not len(at) or shared2 < least * norm2:
+                continue
+            code, unit = codes[shared], weight / np.sqrt(norm2)
+            # Keep the rarest grams while what is left, the current one included, could still reach the threshold.
+            order = np.lexsort((code, texts[at]))
+            rest = np.cumsum((unit[order] * unit[order])[::-1])[::-1]
+            kept = np.count_nonzero(rest >= least)
+            if kept:
+                able.append(i)
+                norms.append(np.sqrt(norm2))
+                for column, value in zip(out, (code, weight, code[order[:kept]], rest[:kept])):
                     column.append(value)
-            arrays = [pa.array(column, pa.list_(t)) for column, t in zip(out, [pa.int64(), pa.float64()] * 2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *arrays], [*names, "codes", "weights", "prefix", "lefts"])
+        ends = [pa.array(np.cumsum([0, *map(len, column)]), pa.int32()) for column in out[1:3]]
+        flat = [pa.array(np.concatenate([np.zeros(0), *column]) if k % 2 else np.concatenate([np.zeros(0, np.int64), *column])) for k, column in enumerate(out)]
+        prefix = pa.StructArray.from_arrays(flat[2:], ["code", "left"])
+        lists = [pa.ListArray.from_arrays(ends[0], x) for x in flat[:2]]
+        lists += [pa.array(norms, pa.float64()), pa.ListArray.from_arrays(ends[1], prefix)]
+        rows = left.select(names).take(pa.array(able, pa.int64()))
+        return pa.table([*rows.columns, *lists], [*names, "codes", "weights", "norm", "prefix"])
 
-    cut = packed.select(*names, "norm2", "shared").mapInArrow(work, schema).where(F.size("prefix") > 0)
-    both = F.zip_with("prefix", "lefts", lambda code, left: F.struct(code.alias("code"), left.alias("left")))
-    return cut.withColumn("prefix", both).drop("lefts")
+    ranges = max(LEAST_RANGES, -(-worded.count() // (2 * TEXTS_IN_BLOCK)))
+    met = _met_codes(worded, ranges)
+    return worded.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(work, schema)
 
 
 def _postings(vectors: DataFrame, bucket: list[str], end: str) -> DataFrame:
@@ -229,8 +311,9 @@ def _postings(vectors: DataFrame, bucket: list[str], end: str) -> DataFrame:
     ).select(*bucket, end, f"{end}_ord", "at.code", F.col("at.left").alias(f"{end}_left"))
 
 
-def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float) -> DataFrame:
-    """(bucket..., a, a_ord, b, b_ord, similarity): ``a`` of heads before ``b`` of rest, verified."""
+def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float, vectors: DataFrame | None = None) -> DataFrame:
+    """(bucket..., a, a_ord, b, b_ord, similarity): ``a`` of heads before ``b`` of rest, verified by the staged
+    ``vectors`` of both (None: heads and rest hold them)."""
     pair = ["a", "a_ord", "b", "b_ord"]
     earlier, later = _postings(heads, bucket, "a").drop(*bucket), _postings(rest, bucket, "b")
     # The rarest gram that two texts share starts all of their product.
@@ -242,7 +325,8 @@ def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshol
         .distinct(),
         "candidates",
     )
-    return _similarities(candidates, heads, rest, bucket).where(F.col("similarity") >= threshold)
+    ends = (heads, rest) if vectors is None else (vectors, vectors)
+    return _similarities(candidates, *ends, bucket).where(F.col("similarity") >= threshold)
 
 
 def _similarities(candidates: DataFrame, heads: DataFrame, rest: DataFrame, bucket: list[str]) -> DataFrame:
@@ -250,16 +334,23 @@ def _similarities(candidates: DataFrame, heads: DataFrame, rest: DataFrame, buck
     names = [*bucket, "a", "a_ord", "b", "b_ord"]
     # One head may be a candidate for many later items; never the other way round by much.
     busy = hot_keys(candidates.groupBy("a").agg(F.count(F.lit(1)).alias("rows")), ["a"], "rows")
-    ends = [df.select(F.col("id").alias(end), F.col("codes").alias(f"{end}_codes"), F.col("weights").alias(f"{end}_weights"))
-            for df, end in ((heads, "a"), (rest, "b"))]
+    ends = []
+    for df, end in ((heads, "a"), (rest, "b")):
+        held = df.select(F.col("id").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("codes", "weights", "norm")))
+        # Only vectors of pairs move.
+        needed = stage(candidates.select(end).distinct(), "needed")
+        if needed.count() <= BROADCAST_ROWS:
+            held = held.join(F.broadcast(needed), end, "left_semi")
+        ends.append(held)
     met = salted_join(candidates.join(ends[1], "b"), ends[0], ["a"], busy, F.col("b"))
-    met = met.select(*names, "a_codes", "a_weights", "b_codes", "b_weights")
+    met = met.select(*names, "a_norm", "b_norm", "a_codes", "a_weights", "b_codes", "b_weights")
     schema = T.StructType([met.schema[name] for name in names]).add("similarity", T.DoubleType())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            products = pa.array(_products(*batch.columns[-4:]), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-4], products], [*names, "similarity"])
+            norms = [c.to_numpy() for c in batch.columns[-6:-4]]
+            products = pa.array(_products(*batch.columns[-4:]) / norms[0] / norms[1], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-6], products], [*names, "similarity"])
 
     return met.mapInArrow(work, schema)
 
@@ -268,8 +359,12 @@ def _products(a_codes: pa.ListArray, a_weights: pa.ListArray, b_codes: pa.ListAr
     """Of each row, the product of two sparse vectors sorted by code: both sides of all rows are merged at once."""
     codes = [x.flatten().to_numpy() for x in (a_codes, b_codes)]
     rows = [np.repeat(np.arange(len(x)), x.value_lengths().to_numpy()) for x in (a_codes, b_codes)]
-    span = max((int(x.max()) for x in codes if len(x)), default=0) + 1
-    a, b = (row * span + code for row, code in zip(rows, codes))
+    # Codes are hashes: their places among all that are here keep row and code within one number.
+    seen = np.unique(codes[0])
+    at = [np.minimum(np.searchsorted(seen, x), max(len(seen) - 1, 0)) for x in codes]
+    a = rows[0] * len(seen) + at[0]
+    # What the other side never has is one place further than any row.
+    b = np.where(seen[at[1]] == codes[1], rows[1] * len(seen) + at[1], len(a_codes) * len(seen)) if len(seen) else at[1]
     if not len(a):
         return np.zeros(len(a_codes))
     at = np.minimum(np.searchsorted(a, b), len(a) - 1)
@@ -288,17 +383,18 @@ def _gram_counts(vectors: DataFrame, bucket: list[str]) -> DataFrame:
 
 def _greedy(vectors: DataFrame, bucket: list[str], threshold: float, effort: Effort) -> DataFrame:
     """(id, leader_id) of every item that joins an earlier leader."""
-    joined, undecided = [], vectors
+    # Rounds copy prefixes only.
+    joined, undecided = [], vectors.select(*bucket, "id", "ord", "prefix")
     while True:
         head, rest = _take_head(undecided, bucket, effort)
-        pairs = stage(similar_pairs(head, head, bucket, threshold), "pairs")
+        pairs = stage(similar_pairs(head, head, bucket, threshold, vectors), "pairs")
         followers = _followers(pairs, bucket, effort)
         led = followers.select(F.col("b").alias("a"))
         joined.append(pairs.join(led, "a", "left_anti"))
         if rest is None:
             break
         leaders = head.join(followers.select(F.col("b").alias("id")), "id", "left_anti")
-        hits = stage(similar_pairs(leaders, rest, bucket, threshold), "hits")
+        hits = stage(similar_pairs(leaders, rest, bucket, threshold, vectors), "hits")
         joined.append(hits)
         undecided = stage(rest.join(hits.select(F.col("b").alias("id")).distinct(), "id", "left_anti"), "undecided")
     return (

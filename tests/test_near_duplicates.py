@@ -186,3 +186,13 @@ def test_grams_are_made_once_and_never_rows_again(spark):
     *_, vectors = nd._vectors(items, ["bucket"], ["at"], F.col("text"), "id", 0.75)
     plan = nd.similar_pairs(vectors, vectors, ["bucket"], 0.75)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "explode" not in plan and "weights" in plan
+
+
+def test_rounds_copy_prefixes_and_grams_stay_packed(spark, monkeypatch):
+    items = spark.createDataFrame(_corpus(5), "bucket string, at string, id string, text string")
+    staged = {}
+    monkeypatch.setattr(nd, "stage", lambda df, label, real=nd.stage: staged.setdefault(label, real(df, label)) if label not in staged else real(df, label))
+    *_, vectors = nd._vectors(items, ["bucket"], ["at"], F.col("text"), "id", 0.75)
+    nd._greedy(vectors, ["bucket"], 0.75, _ROUNDS)
+    assert not {"weights", "codes"} & {*staged["split"].columns, *staged["undecided"].columns}
+    assert not any("gram" in df.columns for df in staged.values())
