@@ -4,8 +4,9 @@ A text is lower-cased (A to Z), split into pieces at ``.,;:!?`` and line ends an
 tabs. Prefix polynomials over the words of a block give the fingerprint of every n-gram at once. Everything is
 counted per language (null: ``und``).
 
-1. Words, then pairs of frequent words, are counted by fingerprint; a bitmap of fixed size says which are frequent.
-2. N-grams of 1 to 5 words without an infrequent pair are counted by block and told apart by the words themselves
+1. Words, then pairs of frequent words, then triples of frequent pairs are counted by fingerprint; a bitmap of fixed
+   size says which are frequent.
+2. N-grams of 1 to 5 words without an infrequent pair or triple are counted by block and told apart by the words themselves
    there. Each adds (fingerprint, check, uses, a document that holds it); the shuffle adds up the uses.
 3. Of fingerprints with enough uses the document is looked up. The phrase is what its text holds under that fingerprint
    and check. So only frequent phrases ever become text.
@@ -176,18 +177,21 @@ def _bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _counts(rows: DataFrame, words: np.ndarray | None, mask: int, size: int) -> DataFrame:
+def _counts(rows: DataFrame, words: np.ndarray | None, pairs: np.ndarray | None, mask: int, size: int) -> DataFrame:
     """(print, uses, lang) by block: of words, and per language of all words (print null); or, given the
-    frequent words, of pairs of them."""
+    frequent words, of pairs of them; or, given the frequent pairs, of triples of both."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _ in _blocks(batches, mask, size):
             prints, lang, uses = [], [], []
-            if words is None:
+            if words is None and pairs is None:
                 totals = np.bincount(block.lang, minlength=len(block.names))
                 lang += [x for x, n in zip(block.names, totals) if n]
                 uses.append(totals[totals > 0])
                 every = block.fingerprints(1)
+            elif pairs is not None:
+                paired = block.within(2) & _has(pairs, block.fingerprints(2))
+                every = block.fingerprints(3)[paired[:-1] & paired[1:]]
             else:
                 known = _has(words, block.fingerprints(1))
                 every = block.fingerprints(2)[block.within(2) & known[:-1] & known[1:]]
@@ -201,22 +205,24 @@ def _counts(rows: DataFrame, words: np.ndarray | None, mask: int, size: int) ->
     return in_batches(rows.select("text", "lang"), work, "print bigint, uses bigint, lang string")
 
 
-def _grams(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int, mask: int, size: int) -> DataFrame:
-    """(print, tag, uses, doc) by block, of n-grams without an infrequent word or pair."""
+def _grams(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, longest: int, mask: int, size: int) -> DataFrame:
+    """(print, tag, uses, doc) by block, of n-grams without an infrequent word, pair or triple."""
     names = ["print", "tag", "uses", "doc"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, others in _blocks(batches, mask, size):
             doc = np.array([x for (x,) in others], np.int64)
-            paired = np.zeros(0, bool)
+            paired = tripled = np.zeros(0, bool)
             for n in range(1, longest + 1):
                 prints = block.fingerprints(n)
                 if n == 1:
                     fit = _has(words, prints)
                 elif n == 2:
                     paired = fit = block.within(2) & _has(pairs, prints)
+                elif n == 3:
+                    tripled = fit = paired[:-1] & paired[1:] & _has(triples, prints)
                 else:
-                    fit = fit[:-1] & paired[n - 2 :]
+                    fit = fit[:-1] & tripled[n - 3 :]
                 for first, uses in block.groups(n, np.flatnonzero(fit), prints):
                     arrays = [signed(prints[first]), block.tags(n, first), uses, doc[block.doc[first]]]
                     yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names)
@@ -266,12 +272,14 @@ def counted(docs: DataFrame, least: int = LEAST_USES, longest: int = LONGEST, bi
     doc = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
     rows = docs.select("text", lang.alias("lang"), doc.alias("doc"))
     often = F.col("uses") >= least
-    words = _counts(rows, None, mask, block).groupBy("lang", "print").agg(F.sum("uses").alias("uses"))
+    words = _counts(rows, None, None, mask, block).groupBy("lang", "print").agg(F.sum("uses").alias("uses"))
     words = stage(words.where(F.col("lang").isNotNull() | often), "words")
     known = _bitmap(words.where("lang is null"), bits)
-    pairs = _counts(rows, known, mask, block).groupBy("print").agg(F.sum("uses").alias("uses"))
+    pairs = _counts(rows, known, None, mask, block).groupBy("print").agg(F.sum("uses").alias("uses"))
     pairs = _bitmap(pairs.where(often), bits)
-    grams = _grams(rows, known, pairs, longest, mask, block)
+    triples = _counts(rows, None, pairs, mask, block).groupBy("print").agg(F.sum("uses").alias("uses")) if longest > 2 else None
+    triples = pairs if triples is None else _bitmap(triples.where(often), bits)
+    grams = _grams(rows, known, pairs, triples, longest, mask, block)
     frequent = grams.groupBy("print", "tag").agg(F.sum("uses").alias("uses"), F.min("doc").alias("doc")).where(often)
     phrases = stage(_looked_up(rows, stage(frequent, "frequent"), mask), "phrases")
     return phrases, words.where("lang is not null").select("lang", F.col("uses").alias("words"))

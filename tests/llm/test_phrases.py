@@ -83,3 +83,15 @@ def test_empty_table(spark):
     empty = docs_of(spark, [(1, "a", "en")]).where("false")
     assert ph.collocations(empty).count() == 0
     assert ph.collocations(docs_of(spark, [(1, None, None)])).count() == 0
+
+
+def test_phrases_with_an_infrequent_triple_are_not_counted(spark, monkeypatch):
+    """Both pairs of a triple are frequent, the triple itself is not: no longer phrase with it is counted."""
+    rows = [(i, "a b", "en") for i in range(9)] + [(10 + i, "b c", "en") for i in range(9)]
+    rows += [(20 + i, "d e f g h", "en") for i in range(9)] + [(30, "a b c", "en")]
+    made = []
+    monkeypatch.setattr(ph, "_grams", lambda *a, real=ph._grams: made.append(real(*a)) or made[0])
+    found = {(r.phrase, r.uses) for r in ph.counted(docs_of(spark, rows), least=9)[0].collect()}
+    sizes = Counter(r.tag & 7 for r in made[0].dropDuplicates(["print"]).collect())
+    assert sizes == {1: 8, 2: 6, 3: 3, 4: 2, 5: 1}
+    assert ("d e f g h", 9) in found and not any(p == "a b c" for p, _ in found)
