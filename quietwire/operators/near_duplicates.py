@@ -166,33 +166,42 @@ def _vectors(items, bucket, order, text, id_col, threshold):
         ),
         "firsts",
     )
-    return keyed, copies, stage(_weighed(_worded(firsts, items, bucket, text, id_col), bucket, threshold), "vectors")
+    again = stage(keyed.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("id"), "repeated-ids")
+    return keyed, copies, stage(_weighed(_worded(firsts, again, items, bucket, text, id_col), bucket, threshold), "vectors")
 
 
-def _worded(firsts: DataFrame, items: DataFrame, bucket: list[str], text: Column, id_col: str) -> DataFrame:
-    """Staged: ``firsts`` with the words of their texts, folded and one blank apart, in blocks of TEXTS_IN_BLOCK."""
+def _worded(firsts: DataFrame, again: DataFrame, items: DataFrame, bucket: list[str], text: Column, id_col: str) -> DataFrame:
+    """Staged: ``firsts`` with the words of their texts, folded and one blank apart, in blocks of TEXTS_IN_BLOCK.
+    The rows of an id of ``again`` are one text, a line for each."""
     texts = items.select(F.col(id_col).alias("id"), text.alias("text"))
     met = lookup_join(texts, firsts, ["id"], F.col("id"))
     # Texts of a bucket side by side: a block then meets most of its grams more than once.
-    words = F.regexp_replace(fold(F.col("text")), GAP, " ")
+    words = F.regexp_replace(fold(F.col("text")), GAP, " ").alias("words")
     block = F.shiftright(F.monotonically_increasing_id(), TEXTS_IN_BLOCK.bit_length() - 1)
-    dealt = met.repartitionByRange(*bucket, "id")
-    return stage(dealt.select(*firsts.columns, F.xxhash64(*bucket).alias("seed"), words.alias("words"), block.alias("block")), "worded")
+    if again.isEmpty():
+        dealt = met.repartitionByRange(*bucket, "id").select(*firsts.columns, words)
+    else:
+        marked = lookup_join(met, again.withColumn("again", F.lit(True)), ["id"], F.col("id"), "left")
+        lines = F.array_join(F.collect_list("words"), "\n").alias("words")
+        one = marked.where("again").select(*firsts.columns, words).groupBy(*bucket, "n", "copies", "id").agg(F.min("ord").alias("ord"), lines)
+        dealt = marked.where("again IS NULL").select(*firsts.columns, words).unionByName(one).repartitionByRange(*bucket, "id")
+    return stage(dealt.select(*firsts.columns, F.xxhash64(*bucket).alias("seed"), "words", block.alias("block")), "worded")
 
 
 def _codes(words: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the different grams of a text in its bucket, sorted, and how often each occurs."""
-    hashes, starts = hash_words(words)
-    if not len(hashes):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    raw = np.frombuffer(words, np.uint8)
-    # A word has two characters at least; one may be several bytes.
-    characters = np.add.reduceat(((raw & 0xC0 != 0x80) & (raw != 32)).astype(np.int32), starts)
-    hashes = hashes[characters > 1]
+    grams = []
     with np.errstate(over="ignore"):
         own = np.int64(seed).astype(np.uint64)
-        grams = np.concatenate([mix(hashes + own, 1), mix(hashes[:-1] * _FACTOR + hashes[1:] + own, 2)])
-    return np.unique(signed(grams), return_counts=True)
+        for line in words.split(b"\n"):
+            hashes, starts = hash_words(line)
+            if len(hashes):
+                raw = np.frombuffer(line, np.uint8)
+                # A word has two characters at least; one may be several bytes.
+                characters = np.add.reduceat(((raw & 0xC0 != 0x80) & (raw != 32)).astype(np.int32), starts)
+                hashes = hashes[characters > 1]
+                grams += [mix(hashes + own, 1), mix(hashes[:-1] * _FACTOR + hashes[1:] + own, 2)]
+    return np.unique(signed(np.concatenate([np.zeros(0, np.uint64), *grams])), return_counts=True)
 
 
 def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:

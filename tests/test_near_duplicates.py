@@ -196,3 +196,14 @@ def test_rounds_copy_prefixes_and_grams_stay_packed(spark, monkeypatch):
     nd._greedy(vectors, ["bucket"], 0.75, _ROUNDS)
     assert not {"weights", "codes"} & {*staged["split"].columns, *staged["undecided"].columns}
     assert not any("gram" in df.columns for df in staged.values())
+
+
+def test_rows_of_one_id_are_one_text(spark):
+    """A table that repeats a row gives the same edges as one without, but for the copies themselves."""
+    rows = [("x", str(i), f"n{i}", f"p{i} q1 q2 q3 q4 q5 q6 q7 q8 q9") for i in range(4)] + [("x", "9", "far", "r1 r2 r3 r4")]
+    schema = "bucket string, at string, id string, text string"
+    vectors = []
+    for given in (rows, [*rows, rows[-1]]):
+        *_, found = nd._vectors(spark.createDataFrame(given, schema), ["bucket"], ["at"], F.col("text"), "id", 0.4)
+        vectors.append({r.id: len(r.codes) for r in found.collect()})
+    assert vectors[0] == vectors[1] and "far" not in vectors[1]
