@@ -10,12 +10,13 @@ How the work is spread:
 * Items that differ in ASCII spacing, punctuation or case only have equal vectors, so the later
   ones always follow the first. They are folded into one (keeping their count for ``n``, ``df``).
 * Words are folded once. Grams are 64-bit hashes that tell buckets apart as well. Blocks of texts send each of their
-  grams once, packed by ranges of hashes, and get back the counts of those that several texts share; a text becomes
+  grams once, packed by ranges of hashes, and get back the counts alone, in the order of the hashes; a text becomes
   two packed arrays, sorted by hash: hashes and weights.
 * Pairs are found by prefix filtering (Bayardo et al., WWW 2007): per item only the rarest
   grams are joined, up to the point where the remaining tail is shorter than the threshold. Where two
   items meet, the product of what is left of both bounds their cosine.
-* A pair is verified by merging its two arrays; no gram becomes a row again.
+* A pair is verified by merging its two arrays; no gram becomes a row again. Pairs are dealt by the first item that their
+  later end may be similar to, so the vectors of a group of near copies move once, not once a pair.
 * The greedy pass runs on the similar pairs, not on items. When a bucket has too many
   candidate pairs, only the head of its order is settled first, the rest is compared with
   the leaders found there, and only what is still open goes on. A large group of near
@@ -40,6 +41,7 @@ from pyspark.sql import types as T
 
 from quietwire.functions.text import GAP, copy_key, fold
 from quietwire.llm.common import hash_words, in_batches, mix, signed, text_bytes
+from quietwire.operators import skew
 from quietwire.operators.skew import BROADCAST_ROWS, hot_keys, lookup_join, number_rows, salted_join
 from quietwire.session import stage
 from quietwire.settings import DEDUP_SIMILARITY
@@ -51,8 +53,8 @@ class Effort:
 
     # Candidate pairs a bucket may form at once: the larger of a constant and a multiple of
     # its items, which keeps the total linear in the data.
-    pairs_per_bucket: int = 2_000_000
-    pairs_per_item: int = 64
+    pairs_per_bucket: int = 20_000_000
+    pairs_per_item: int = 1024
     # Items a round always takes from the head of an overfull bucket.
     head: int = 1024
     # Similar pairs of one bucket that a single fold may settle; it holds the ids of their followers.
@@ -65,6 +67,9 @@ _SLACK = 1e-9
 TEXTS_IN_BLOCK = 4096
 # Shares of all codes that are counted apart, at least.
 LEAST_RANGES = 32
+# Candidate pairs whose vectors go to the same place, and those that are verified at a time.
+PAIRS_TOGETHER = 4096
+PAIRS_AT_ONCE = 128
 
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
 
@@ -120,11 +125,7 @@ def near_duplicate_followers(
     """
     keyed, copies, vectors = _vectors(items, bucket, order, text, id_col, threshold)
     led = _greedy(vectors, bucket, threshold, effort).where("id <> leader_id")
-    heads = vectors.select(F.col("id").alias("a"), F.col("ord").alias("a_ord"))
-    tails = vectors.select(*bucket, F.col("id").alias("b"), F.col("ord").alias("b_ord"))
-    pairs = led.select(F.col("leader_id").alias("a"), F.col("id").alias("b")).join(heads, "a").join(tails, "b")
-    pairs = stage(pairs, "led-pairs")
-    scored = stage(_similarities(pairs, vectors, vectors, bucket).select(F.col("b").alias("first_id"), "a", "similarity"), "led")
+    scored = stage(led.select(F.col("id").alias("first_id"), F.col("leader_id").alias("a"), "similarity"), "led")
     # Later copies follow the leader of the first one, or the first one itself.
     repeated = copies.select(*bucket, "key", F.col("first.id").alias("first_id"), "copies")
     firsts = salted_join(keyed, repeated.drop("copies"), [*bucket, "key"], hot_keys(repeated, [*bucket, "key"], "copies"), F.col("id"))
@@ -142,7 +143,7 @@ def _vectors(items, bucket, order, text, id_col, threshold):
     """Staged (items with content key, copies per key, unit vectors with join prefix).
 
     Texts move twice, first to those of their bucket, then to the counts of their grams. Grams move as sorted hashes
-    in arrays, once per block of texts that has them, and come back with their counts if several texts have them.
+    in arrays, once per block of texts that has them; only their counts come back.
     """
     keyed = stage(
         items.select(
@@ -205,7 +206,8 @@ def _codes(words: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
-    """(block, codes, df, texts): of each block the codes that several texts have, wherever these are."""
+    """(block, range, df, texts): the counts of all codes of a block, in their order, over all texts wherever these are;
+    0 for a code that one text alone has."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, int]] = []
@@ -224,7 +226,7 @@ def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
             place = _range_of(codes, ranges)
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
             ends = pa.array(np.concatenate([first, [len(codes)]]), pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(c, t)) for c, t in ((codes, pa.int64()), (df, pa.int64()), (texts, pa.int32()))]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(c, t)) for c, t in ((codes, pa.int64()), (df, pa.int32()), (texts, pa.int32()))]
             columns = [pa.array(place[first], pa.int32()), pa.array(np.full(len(first), here, np.int64)), *lists]
             yield pa.RecordBatch.from_arrays(columns, ["range", "block", "codes", "df", "texts"])
 
@@ -240,21 +242,20 @@ def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
 
     def count(table: pa.Table) -> pa.Table:
         columns = [table.column(c).combine_chunks() for c in ("codes", "df", "texts")]
-        row = np.repeat(np.arange(table.num_rows), columns[0].value_lengths().to_numpy())
         codes, df, texts = (c.flatten().to_numpy() for c in columns)
         by = np.argsort(codes, kind="stable")
         first = np.concatenate([[True], codes[by[1:]] != codes[by[:-1]]])
         starts, group = np.flatnonzero(first), np.cumsum(first) - 1
         all_df, all_texts = (np.empty(len(codes), np.int64) for _ in range(2))
         all_df[by], all_texts[by] = np.add.reduceat(df[by], starts)[group], np.add.reduceat(texts[by], starts)[group]
-        kept = all_texts > 1
-        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=table.num_rows))]), pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, pa.array(c[kept], pa.int64())) for c in (codes, all_df, all_texts)]
-        return pa.table([table.column("block"), *lists], ["block", "codes", "df", "texts"])
+        all_df[all_texts == 1] = all_texts[all_texts == 1] = 0
+        ends = pa.array(np.concatenate([[0], np.cumsum(columns[0].value_lengths().to_numpy())]), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(c, pa.int32())) for c in (all_df, all_texts)]
+        return pa.table([table.column("block"), table.column("range"), *lists], ["block", "range", "df", "texts"])
 
-    schema = "range int, block bigint, codes array<bigint>, df array<bigint>, texts array<int>"
+    schema = "range int, block bigint, codes array<bigint>, df array<int>, texts array<int>"
     partial = in_batches(worded.select("words", "seed", "copies", "block"), cut, schema)
-    return partial.groupBy("range").applyInArrow(count, "block bigint, codes array<bigint>, df array<bigint>, texts array<bigint>")
+    return partial.groupBy("range").applyInArrow(count, "block bigint, range int, df array<int>, texts array<int>")
 
 
 def _range_of(codes: np.ndarray, ranges: int) -> np.ndarray:
@@ -262,6 +263,12 @@ def _range_of(codes: np.ndarray, ranges: int) -> np.ndarray:
     return ((codes >> 32) + (1 << 31)) * ranges >> 32
 
 
+def _rounded_up(values: np.ndarray) -> np.ndarray:
+    """In single precision, never less."""
+    near = values.astype(np.float32)
+    return np.where(near < values, np.nextafter(near, np.float32(np.inf)), near)
+
+
 def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFrame:
     """(bucket..., id, ord, codes, weights, norm, prefix) of the texts that share enough with all others together: the
     vector over the shared grams as two arrays and its length over all grams, and the rarest of them that a match must
@@ -270,17 +277,21 @@ def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFram
     names = [*bucket, "id", "ord"]
     schema = T.StructType([worded.schema[name] for name in names])
     schema = schema.add("codes", T.ArrayType(T.LongType())).add("weights", T.ArrayType(T.DoubleType())).add("norm", T.DoubleType())
-    schema = schema.add("prefix", T.ArrayType(T.StructType().add("code", T.LongType()).add("left", T.DoubleType())))
+    schema = schema.add("prefix", T.ArrayType(T.StructType().add("code", T.LongType()).add("left", T.FloatType())))
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        known, df, texts = (np.concatenate([np.zeros(0, np.int64), *(x.flatten().to_numpy() for x in right.column(c).chunks)]) for c in ("codes", "df", "texts"))
-        by = np.argsort(known, kind="stable")
-        known, df, texts = known[by], df[by], texts[by]
+        right = right.sort_by("range")
+        df, texts = (np.concatenate([np.zeros(0, np.int64), *(x.flatten().to_numpy() for x in right.column(c).chunks)]) for c in ("df", "texts"))
         able, norms, out = [], [], ([], [], [], [])
         left = left.combine_chunks()
-        rows = zip(*(left.column(c).to_pylist() for c in ("seed", "n", "copies")))
-        for i, (words, (seed, n, copies)) in enumerate(zip((w for x in left.column("words").chunks for w in text_bytes(x)), rows)):
-            codes, tf = _codes(words, seed)
+        rows = list(zip(*(left.column(c).to_pylist() for c in ("seed", "n", "copies"))))
+        made = [_codes(words, seed) for words, (seed, _, _) in zip((w for x in left.column("words").chunks for w in text_bytes(x)), rows)]
+        # The counts are those of these codes, one for each.
+        known = np.unique(np.concatenate([np.zeros(0, np.int64), *(codes for codes, _ in made)]))
+        if len(known) != len(df):
+            raise RuntimeError(f"{len(df)} counts for {len(known)} grams")
+        known, df, texts = known[texts > 0], df[texts > 0], texts[texts > 0]
+        for i, ((codes, tf), (_, n, copies)) in enumerate(zip(made, rows)):
             at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
             shared = known[at] == codes if len(known) else np.zeros(len(codes), bool)
             at, own = at[shared], tf[~shared]
@@ -299,10 +310,11 @@ def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFram
             if kept:
                 able.append(i)
                 norms.append(np.sqrt(norm2))
-                for column, value in zip(out, (code, weight, code[order[:kept]], rest[:kept])):
+                for column, value in zip(out, (code, weight, code[order[:kept]], _rounded_up(rest[:kept]))):
                     column.append(value)
         ends = [pa.array(np.cumsum([0, *map(len, column)]), pa.int32()) for column in out[1:3]]
-        flat = [pa.array(np.concatenate([np.zeros(0), *column]) if k % 2 else np.concatenate([np.zeros(0, np.int64), *column])) for k, column in enumerate(out)]
+        kinds = (np.int64, np.float64, np.int64, np.float32)
+        flat = [pa.array(np.concatenate([np.zeros(0, kind), *column])) for kind, column in zip(kinds, out)]
         prefix = pa.StructArray.from_arrays(flat[2:], ["code", "left"])
         lists = [pa.ListArray.from_arrays(ends[0], x) for x in flat[:2]]
         lists += [pa.array(norms, pa.float64()), pa.ListArray.from_arrays(ends[1], prefix)]
@@ -320,48 +332,81 @@ def _postings(vectors: DataFrame, bucket: list[str], end: str) -> DataFrame:
     ).select(*bucket, end, f"{end}_ord", "at.code", F.col("at.left").alias(f"{end}_left"))
 
 
-def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float, vectors: DataFrame | None = None) -> DataFrame:
+def similar_pairs(
+    heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float, vectors: DataFrame | None = None, long: bool = True
+) -> DataFrame:
     """(bucket..., a, a_ord, b, b_ord, similarity): ``a`` of heads before ``b`` of rest, verified by the staged
-    ``vectors`` of both (None: heads and rest hold them)."""
-    pair = ["a", "a_ord", "b", "b_ord"]
-    earlier, later = _postings(heads, bucket, "a").drop(*bucket), _postings(rest, bucket, "b")
+    ``vectors`` of both (None: rest holds them). Not ``long``: no gram is in too many prefixes for one task."""
+    # Both sides have the same columns, so a table that meets itself is shuffled once.
+    earlier, later = _postings(heads, bucket, "a"), _postings(rest, bucket, "b")
     # The rarest gram that two texts share starts all of their product.
-    bound = F.col("a_left") * F.col("b_left") >= threshold * threshold * (1 - _SLACK)
+    bound = F.col("a_left").cast("double") * F.col("b_left").cast("double") >= threshold * threshold * (1 - _SLACK)
+    hot = hot_keys(_gram_counts(rest, []), ["code"], "rows") if long else None
     candidates = stage(
-        salted_join(later, earlier, ["code"], hot_keys(_gram_counts(rest, []), ["code"], "rows"), F.col("b"))
+        salted_join(later, earlier, [*bucket, "code"], hot, F.col("b"))
         .where((F.col("a_ord") < F.col("b_ord")) & bound)
-        .select(*bucket, *pair)
+        .select(*bucket, "a", "a_ord", "b", "b_ord")
         .distinct(),
         "candidates",
     )
-    ends = (heads, rest) if vectors is None else (vectors, vectors)
-    return _similarities(candidates, *ends, bucket).where(F.col("similarity") >= threshold)
+    return _similarities(candidates, rest if vectors is None else vectors, bucket).where(F.col("similarity") >= threshold)
+
 
+def _similarities(candidates: DataFrame, vectors: DataFrame, bucket: list[str]) -> DataFrame:
+    """Adds the similarity to staged pairs (bucket..., a, a_ord, b, b_ord).
 
-def _similarities(candidates: DataFrame, heads: DataFrame, rest: DataFrame, bucket: list[str]) -> DataFrame:
-    """Adds the similarity to pairs (bucket..., a, a_ord, b, b_ord)."""
+    The pairs of an item ``b`` stay together, beside those of all items with the same first ``a``. A group of items that
+    are candidates of each other so moves each vector once. Larger groups are cut into parts.
+    """
     names = [*bucket, "a", "a_ord", "b", "b_ord"]
-    # One head may be a candidate for many later items; never the other way round by much.
-    busy = hot_keys(candidates.groupBy("a").agg(F.count(F.lit(1)).alias("rows")), ["a"], "rows")
-    ends = []
-    for df, end in ((heads, "a"), (rest, "b")):
-        held = df.select(F.col("id").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("codes", "weights", "norm")))
-        # Only vectors of pairs move.
-        needed = stage(candidates.select(end).distinct(), "needed")
-        if needed.count() <= BROADCAST_ROWS:
-            held = held.join(F.broadcast(needed), end, "left_semi")
-        ends.append(held)
-    met = salted_join(candidates.join(ends[1], "b"), ends[0], ["a"], busy, F.col("b"))
-    met = met.select(*names, "a_norm", "b_norm", "a_codes", "a_weights", "b_codes", "b_weights")
-    schema = T.StructType([met.schema[name] for name in names]).add("similarity", T.DoubleType())
+    of_b = candidates.groupBy(*bucket, "b").agg(F.min("a_ord")["id"].alias("home"), F.count(F.lit(1)).alias("pairs"))
+    homes = stage(of_b, "homes")
+    loads = homes.groupBy(*bucket, "home").agg(F.sum("pairs").alias("load")).where(F.col("load") > PAIRS_TOGETHER)
+    parts = stage(loads.select(*bucket, "home", F.ceil(F.col("load") / PAIRS_TOGETHER).alias("parts")), "parts")
+    groups = max(1, -(-candidates.count() // PAIRS_TOGETHER))
+    part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1)))
+    # A few neighbouring groups share a number; they are only told apart by it.
+    placed = lookup_join(homes, parts, [*bucket, "home"], F.col("b"), "left")
+    placed = stage(placed.select(*bucket, "b", F.pmod(F.xxhash64(*bucket, "home", part), F.lit(groups)).alias("group")), "homes-placed")
+    dealt = stage(lookup_join(candidates, placed, [*bucket, "b"], F.col("a")).select("group", *names), "dealt")
+    ends = [dealt.select("group", *bucket, F.col(end).alias("id")) for end in ("a", "b")]
+    needed = stage(ends[0].unionByName(ends[1]).distinct(), "needed")
+    held = vectors.select(*bucket, "id", "codes", "weights", "norm")
+    # Only vectors of pairs move.
+    held = held.join(F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed, [*bucket, "id"])
+    rows = held.withColumn("pair", F.lit(False)).unionByName(dealt.withColumn("pair", F.lit(True)), allowMissingColumns=True)
+    rows = rows.repartition("group").sortWithinPartitions("group", "pair")
+    rows = rows.select("group", "pair", "id", "codes", "weights", "norm", *names)
+    schema = T.StructType([candidates.schema[name] for name in names]).add("similarity", T.DoubleType())
+
+    def lists(found: list[tuple]) -> list[pa.ListArray]:
+        ends = pa.array(np.cumsum([0, *(len(codes) for codes, _, _ in found)]), pa.int32())
+        return [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x[k] for x in found]))) for k in (0, 1)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, known = None, {}
         for batch in batches:
-            norms = [c.to_numpy() for c in batch.columns[-6:-4]]
-            products = pa.array(_products(*batch.columns[-4:]) / norms[0] / norms[1], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-6], products], [*names, "similarity"])
-
-    return met.mapInArrow(work, schema)
+            group, pair = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            buckets = list(zip(*(batch.column(k).to_pylist() for k in range(6, 6 + len(bucket)))))
+            ids, earlier, later = (batch.column(k).to_pylist() for k in (2, 6 + len(bucket), 8 + len(bucket)))
+            cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (pair[1:] != pair[:-1])]))
+            for start, end in zip(cuts, [*cuts[1:], len(group)]):
+                if group[start] != here:
+                    here, known = group[start], {}
+                if not pair[start]:
+                    codes, weights = (batch.column(k) for k in (3, 4))
+                    for i in range(start, end):
+                        known[buckets[i], ids[i]] = (codes[i].values.to_numpy(), weights[i].values.to_numpy(), batch.column(5)[i].as_py())
+                    continue
+                for i in range(start, end, PAIRS_AT_ONCE):
+                    at = range(i, min(i + PAIRS_AT_ONCE, end))
+                    found = [[known[buckets[j], x[j]] for j in at] for x in (earlier, later)]
+                    norms = [np.array([norm for _, _, norm in x]) for x in found]
+                    products = _products(*lists(found[0]), *lists(found[1])) / norms[0] / norms[1]
+                    columns = [c.slice(i, len(at)) for c in batch.columns[6:]]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(products, pa.float64())], [*names, "similarity"])
+
+    return rows.mapInArrow(work, schema)
 
 
 def _products(a_codes: pa.ListArray, a_weights: pa.ListArray, b_codes: pa.ListArray, b_weights: pa.ListArray) -> np.ndarray:
@@ -395,72 +440,71 @@ def _greedy(vectors: DataFrame, bucket: list[str], threshold: float, effort: Eff
     # Rounds copy prefixes only.
     joined, undecided = [], vectors.select(*bucket, "id", "ord", "prefix")
     while True:
-        head, rest = _take_head(undecided, bucket, effort)
-        pairs = stage(similar_pairs(head, head, bucket, threshold, vectors), "pairs")
+        head, rest, long = _take_head(undecided, bucket, effort)
+        pairs = stage(similar_pairs(head, head, bucket, threshold, vectors, long), "pairs")
         followers = _followers(pairs, bucket, effort)
         led = followers.select(F.col("b").alias("a"))
         joined.append(pairs.join(led, "a", "left_anti"))
         if rest is None:
             break
-        leaders = head.join(followers.select(F.col("b").alias("id")), "id", "left_anti")
-        hits = stage(similar_pairs(leaders, rest, bucket, threshold, vectors), "hits")
+        leaders = lookup_join(head, followers.select(F.col("b").alias("id")), ["id"], F.col("id"), "left_anti")
+        hits = stage(similar_pairs(leaders, rest, bucket, threshold, vectors, long), "hits")
         joined.append(hits)
-        undecided = stage(rest.join(hits.select(F.col("b").alias("id")).distinct(), "id", "left_anti"), "undecided")
+        decided = stage(hits.select(F.col("b").alias("id")).distinct(), "decided")
+        undecided = stage(lookup_join(rest, decided, ["id"], F.col("id"), "left_anti"), "undecided")
     return (
         reduce(DataFrame.unionByName, joined)
         .groupBy(F.col("b").alias("id"))
-        .agg(F.min("a_ord")["id"].alias("leader_id"))
+        .agg(F.min(F.struct("a_ord", "similarity")).alias("first"))
+        .select("id", F.col("first.a_ord.id").alias("leader_id"), "first.similarity")
     )
 
 
-def _take_head(undecided: DataFrame, bucket: list[str], effort: Effort) -> tuple[DataFrame, DataFrame | None]:
+def _take_head(undecided: DataFrame, bucket: list[str], effort: Effort) -> tuple[DataFrame, DataFrame | None, bool]:
     """Split off what can be settled now: whole buckets, or the head of an overfull one.
 
-    ``rest`` is None when every bucket fits.
+    ``rest`` is None when every bucket fits. The last value tells whether any gram is in too many prefixes for one task.
     """
     pairs = F.col("rows") * (F.col("rows") - 1) / 2
     items = undecided.groupBy(*bucket).agg(F.count(F.lit(1)).alias("items"))
     budget = F.greatest(F.lit(effort.pairs_per_bucket), F.col("items") * effort.pairs_per_item)
-    overfull = stage(
-        _gram_counts(undecided, bucket)
-        .groupBy(*bucket)
-        .agg(F.sum(pairs).alias("pairs"))
-        .join(items, bucket)
-        .select(*bucket, "pairs", budget.alias("budget"))
-        .where(F.col("pairs") > F.col("budget")),
-        "overfull",
-    )
+    loads = _gram_counts(undecided, bucket).groupBy(*bucket).agg(F.sum(pairs).alias("pairs"), F.max("rows").alias("most"))
+    large = (F.col("pairs") > F.col("budget")) | (F.col("most") > skew.HOT_ROWS)
+    overfull = stage(loads.join(items, bucket).select(*bucket, "pairs", "most", budget.alias("budget")).where(large), "overfull")
+    long = not overfull.where(F.col("most") > skew.HOT_ROWS).isEmpty()
+    overfull = overfull.where(F.col("pairs") > F.col("budget")).select(*bucket, "budget")
     if overfull.isEmpty():
-        return undecided, None
+        return undecided, None, long
 
-    full = lookup_join(undecided, overfull.drop("pairs"), bucket, F.col("id"))
-    ranked = number_rows(full.select(*bucket, "budget", "id", "ord"), bucket, ["ord"], "rank")
-    # Slices double in size, so a bucket has a few dozen at most.
+    full = lookup_join(undecided.select(*bucket, "id", "ord"), overfull, bucket, F.col("id"))
+    ranked = number_rows(full, bucket, ["ord"], "rank")
+    # Slices double in size, so a bucket has a few dozen at most, each known by its last item.
     octave = F.greatest(F.ceil(F.log2(F.col("rank") / effort.head)), F.lit(0)).cast("int")
-    sliced = stage(ranked.select("id", "budget", octave.alias("slice")), "sliced")
+    ends = ranked.groupBy(*bucket, "budget", octave.alias("slice")).agg(F.max("ord").alias("last"))
+    sliced = stage(ends.groupBy(*bucket, "budget").agg(F.sort_array(F.collect_list("last")).alias("ends")), "sliced")
+    place = F.size(F.filter("ends", lambda last: last < F.col("ord")))
     within = Window.partitionBy(*bucket, "code").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy(*bucket).orderBy("slice")
+    # All that is counted by gram is so in one shuffle.
+    placed = lookup_join(undecided, sliced.drop("budget"), bucket, F.col("id")).select(*bucket, place.alias("slice"), "prefix.code")
     loads = (
-        undecided.select(*bucket, "id", F.explode("prefix.code").alias("code"))
-        .join(sliced, "id")
-        .groupBy(*bucket, "budget", "slice", "code")
+        placed.select(*bucket, "slice", F.explode("code").alias("code"))
+        .repartition("code")
+        .groupBy(*bucket, "slice", "code")
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("pairs", pairs + F.col("rows") * F.coalesce(F.sum("rows").over(within), F.lit(0)))
-        .groupBy(*bucket, "budget", "slice")
+        .groupBy(*bucket, "slice")
         .agg(F.sum("pairs").alias("pairs"))
         .withColumn("total", F.sum("pairs").over(upto))
     )
-    cuts = stage(
-        loads.where((F.col("slice") == 0) | (F.col("total") <= F.col("budget")))
-        .groupBy(*bucket)
-        .agg(F.max("slice").alias("cut")),
-        "cuts",
-    )
-    marked = lookup_join(undecided.join(sliced.drop("budget"), "id", "left"), cuts, bucket, F.col("id"), "left")
-    marked = stage(marked.withColumn("later", F.coalesce(F.col("slice") > F.col("cut"), F.lit(False))), "split")
+    cuts = loads.join(F.broadcast(overfull) if overfull.count() <= BROADCAST_ROWS else overfull, bucket)
+    cuts = cuts.where((F.col("slice") == 0) | (F.col("total") <= F.col("budget"))).groupBy(*bucket).agg(F.max("slice").alias("cut"))
+    cuts = stage(cuts.join(sliced, bucket).select(*bucket, F.expr("ends[cut]").alias("cut")), "split")
+    marked = lookup_join(undecided, cuts, bucket, F.col("id"), "left")
+    marked = marked.withColumn("later", F.coalesce(F.col("ord") > F.col("cut"), F.lit(False)))
     columns = undecided.columns
     rest = marked.where("later").select(*columns)
-    return marked.where(~F.col("later")).select(*columns), None if rest.isEmpty() else rest
+    return marked.where(~F.col("later")).select(*columns), None if rest.isEmpty() else rest, long
 
 
 def _followers(pairs: DataFrame, bucket: list[str], effort: Effort) -> DataFrame:

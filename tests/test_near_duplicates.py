@@ -207,3 +207,37 @@ def test_rows_of_one_id_are_one_text(spark):
         *_, found = nd._vectors(spark.createDataFrame(given, schema), ["bucket"], ["at"], F.col("text"), "id", 0.4)
         vectors.append({r.id: len(r.codes) for r in found.collect()})
     assert vectors[0] == vectors[1] and "far" not in vectors[1]
+
+
+def test_vectors_of_a_group_move_once_and_are_compared_once(spark, monkeypatch):
+    words_ = [f"w{i}" for i in range(30)]
+    rows = [("x", f"{i:03d}", f"n{i:03d}", " ".join([*words_, f"u{i % 7}"])) for i in range(80)]
+    items = spark.createDataFrame([*rows, ("y", "1", "lone", "some other text")], "bucket string, at string, id string, text string")
+    staged = {}
+
+    def kept(df, label, real=nd.stage):
+        staged.setdefault(label, []).append(out := real(df, label))
+        return out
+
+    monkeypatch.setattr(nd, "stage", kept)
+    found = nd.near_duplicate_followers(items, bucket=["bucket"], order=["at"], text=F.col("text")).collect()
+    assert {r.member: r.leader for r in found} == {f"n{i:03d}": "n000" for i in range(1, 80)}
+    # Seven texts are different: 21 pairs, whose vectors lie in one place, once each; no pair is met again for its similarity.
+    assert [df.count() for df in staged["dealt"]] == [21]
+    assert [df.count() for df in staged["needed"]] == [7]
+
+
+def test_groups_in_parts_and_long_grams_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(nd, "PAIRS_TOGETHER", 7)
+    monkeypatch.setattr(nd, "PAIRS_AT_ONCE", 3)
+    monkeypatch.setattr(nd, "TEXTS_IN_BLOCK", 16)
+    rows = _corpus(13)
+    items = spark.createDataFrame(rows, "bucket string, at string, id string, text string")
+    found = nd.near_duplicates(items, bucket=["bucket"], order=["at"], text=F.col("text"))
+    assert {r["id"]: r["leader_id"] for r in found.collect()} == cluster(rows, 0.75)
+
+
+def test_what_is_left_is_never_rounded_down():
+    values = nd.np.random.default_rng(4).random(1000)
+    near = nd._rounded_up(values)
+    assert near.dtype == nd.np.float32 and (near >= values).all() and nd.np.abs(near - values).max() < 1e-6
