@@ -22,7 +22,11 @@ def normalise_symbol(raw: Column) -> Column:
 
 def number(raw: Column) -> Column:
     """A double, or null for anything that is not a finite decimal number."""
-    text = strip(raw)
+    return stripped_number(strip(raw))
+
+
+def stripped_number(text: Column) -> Column:
+    """The same of a text without white space at its ends."""
     return F.when(F.rlike(text, F.lit(_NUMBER)), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
 

@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quietwire.functions.text import strip
-from quietwire.functions.values import filled, normalise_symbol, number, stable_id
+from quietwire.functions.values import filled, normalise_symbol, stable_id, stripped_number
+from quietwire.session import stage
 from quietwire.settings import BROADCAST_WATCHLIST, LOOKBACK_DAYS
 
 # Every value of a record as text; nested values keep their JSON form.
 _RECORD = "map<string,string>"
 _ENVELOPE_KEYS = ("results", "data")
+_NUMBERS = ("close", "volume", "market_cap")
 
 
 @dataclass(frozen=True)
@@ -54,23 +56,29 @@ def records(landing: DataFrame) -> DataFrame:
 
     A payload without a readable list gives one row, with its whole text as ``raw`` and no position.
     """
-    payload = F.regexp_replace(F.col("payload"), "^\ufeff", "")
-    envelope = F.from_json(payload, "struct<" + ",".join(f"{key}:string" for key in _ENVELOPE_KEYS) + ">")
-    inner = F.coalesce(*(filled(envelope[key]) for key in _ENVELOPE_KEYS))
-    listed = F.when(F.rlike(payload, F.lit(r"^\s*\[")), payload).otherwise(inner)
-    elements = F.from_json(listed, "array<string>")
     carried = [c for c in landing.columns if c != "payload"]
-    split = landing.select(*carried, payload.alias("_payload"), elements.alias("_elements"))
-    split = split.where(F.coalesce(F.size("_elements") != 0, F.lit(True)))  # an empty list holds nothing to keep
-    rows = split.select(*carried, "_payload", F.posexplode_outer("_elements").alias("position", "_element"))
+    # One step after the other, so that no payload is read twice; conditions on the lists wait until they are split for that.
+    opened = landing.select(*carried, F.regexp_replace("payload", "^\ufeff", "").alias("_payload"))
+    bare = F.rlike("_payload", F.lit(r"^\s*\["))
+    envelope = F.from_json("_payload", "struct<" + ",".join(f"{key}:string" for key in _ENVELOPE_KEYS) + ">")
+    opened = opened.withColumn("_envelope", F.when(~bare, envelope))
+    listed = F.when(bare, F.col("_payload")).otherwise(F.coalesce(*(filled(F.col("_envelope")[key]) for key in _ENVELOPE_KEYS)))
+    split = opened.select(*carried, "_payload", F.from_json(listed, "array<string>").alias("_elements"))
+    split = split.withColumn("_unreadable", F.col("_elements").isNull())
+    rows = split.select(*carried, "_payload", "_unreadable", F.posexplode_outer("_elements").alias("position", "_element"))
+    rows = rows.where(F.col("position").isNotNull() | F.col("_unreadable"))  # an empty list holds nothing to keep
     raw = F.when(F.col("position").isNull(), F.col("_payload")).otherwise(F.coalesce("_element", F.lit("null")))
     return rows.select(*carried, "position", raw.alias("raw"), F.from_json("_element", _RECORD).alias("record"))
 
 
+def _first(reasons: dict[str, Column]) -> Column:
+    """The first of these conditions that holds, by name."""
+    return F.coalesce(*(F.when(condition, name) for name, condition in reasons.items()))
+
+
 def _rejects(parsed: DataFrame, reasons: dict[str, Column]) -> DataFrame:
     """The rows that fail any of the conditions, under the first one they fail."""
-    found = F.coalesce(*(F.when(condition, name) for name, condition in reasons.items()))
-    return parsed.select("ordinal", "position", "raw", found.alias("reason")).where(F.col("reason").isNotNull())
+    return parsed.select("ordinal", "position", "raw", _first(reasons).alias("reason")).where(F.col("reason").isNotNull())
 
 
 def _unreadable() -> dict[str, Column]:
@@ -92,24 +100,31 @@ def price_rows(landing: DataFrame) -> Cleaned:
     """
     record = F.col("record")
     asked = F.col("symbol") if "symbol" in landing.columns else F.lit(None).cast("string")
-    parsed = records(landing).select(
-        F.coalesce(
-            filled(normalise_symbol(record["symbol"])), filled(normalise_symbol(record["ticker"])), normalise_symbol(asked)
-        ).alias("symbol"),
+    # Texts are cleaned in a step of their own, as what follows names each of them more than once.
+    cleaned = {f"_{c}": normalise_symbol(record[c]) for c in ("symbol", "ticker")} | {f"_{c}": strip(record[c]) for c in _NUMBERS}
+    numbers = {f"_{c}": stripped_number(F.col(f"_{c}")) for c in _NUMBERS}
+    parsed = records(landing).withColumns(cleaned).withColumns(numbers).select(
+        F.coalesce(filled(F.col("_symbol")), filled(F.col("_ticker")), normalise_symbol(asked)).alias("symbol"),
         filled(record["date"]).try_cast("date").alias("trade_date"),
-        number(record["close"]).try_cast("decimal(20,4)").alias("close"),
-        F.rint(number(record["volume"])).try_cast("bigint").alias("volume"),
-        number(record["market_cap"]).try_cast("decimal(24,2)").alias("market_cap"),
+        F.col("_close").try_cast("decimal(20,4)").alias("close"),
+        F.rint("_volume").try_cast("bigint").alias("volume"),
+        F.col("_market_cap").try_cast("decimal(24,2)").alias("market_cap"),
+        *(F.col(f"_{c}").isNotNull().alias(f"_has_{c}") for c in _NUMBERS),
         "ordinal",
         "position",
         "record",
         "raw",
     )
     rejects = _unreadable() | {f"no {c}": F.col(c).isNull() for c in ("symbol", "trade_date", "close")}
-    whole = F.col("symbol").isNotNull() & F.col("trade_date").isNotNull() & F.col("close").isNotNull() & record.isNotNull()
-    rows = last_per_key(parsed.where(whole).drop("record", "raw"), ["symbol", "trade_date"], ["ordinal", "position"])
-    lost = {f"{c} out of range": number(record[c]).isNotNull() & F.col(c).isNull() for c in ("volume", "market_cap")}
-    return Cleaned(rows.drop("ordinal", "position"), _rejects(parsed, rejects), _rejects(parsed.where(whole), lost))
+    lost = {f"{c} out of range": F.col(f"_has_{c}") & F.col(c).isNull() for c in ("volume", "market_cap")}
+    # Written once: every record is parsed a single time, whichever of the three are read, and only texts that were left out are kept.
+    judged = parsed.withColumns({"rejected": _first(rejects), "noted": _first(lost)})
+    left_out = F.col("rejected").isNotNull() | F.col("noted").isNotNull()
+    judged = stage(judged.withColumn("raw", F.when(left_out, F.col("raw"))).drop("record", *(f"_has_{c}" for c in _NUMBERS)), "parsed-prices")
+    whole = judged.where("rejected IS NULL")
+    rows = last_per_key(whole.drop("raw", "rejected", "noted"), ["symbol", "trade_date"], ["ordinal", "position"])
+    found = (df.select("ordinal", "position", "raw", F.col(c).alias("reason")).where(F.col("reason").isNotNull()) for df, c in ((judged, "rejected"), (whole, "noted")))
+    return Cleaned(rows.drop("ordinal", "position"), *found)
 
 
 def news_rows(landing: DataFrame, watchlist: DataFrame) -> Cleaned:

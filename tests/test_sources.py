@@ -182,3 +182,21 @@ def test_news_keeps_its_partition(spark, tmp_path):
         arrivals.take_in_news(spark, landing, table, seen, watch)
     rows = read_table(spark, table, arrivals.NEWS).collect()
     assert [(r.body, str(r.published_date), r.published_at.hour) for r in rows] == [("new", "2026-09-14", 1)]
+
+
+def test_payloads_and_records_are_read_once(spark, monkeypatch):
+    from quietwire.sources import landed
+
+    plans = []
+
+    def kept(df, label, real=landed.stage):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(landed, "stage", kept)
+    pages = ['{"results":[{"symbol":"ab","date":"2025-01-02","close":"1.5"},7]}', "[]", "[{", '[{"ticker":"cd","date":"2025-01-02","close":"1","volume":1e30}]']
+    cleaned = price_rows(spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "ordinal int, payload string"))
+    assert {r.symbol for r in cleaned.rows.collect()} == {"AB", "CD"}
+    assert {(r.ordinal, r.position, r.raw, r.reason) for r in cleaned.quarantine.collect()} == {(0, 1, "7", "no record"), (2, None, "[{", "no list")}
+    assert [(r.ordinal, r.position, r.reason) for r in cleaned.notes.collect()] == [(3, 0, "volume out of range")]
+    assert [(p.count("from_json(ArrayType"), p.count("from_json(StructField"), p.count("from_json(MapType")) for p in plans] == [(1, 1, 1)]
