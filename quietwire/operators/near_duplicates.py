@@ -359,16 +359,9 @@ def _similarities(candidates: DataFrame, vectors: DataFrame, bucket: list[str])
     are candidates of each other so moves each vector once. Larger groups are cut into parts.
     """
     names = [*bucket, "a", "a_ord", "b", "b_ord"]
-    of_b = candidates.groupBy(*bucket, "b").agg(F.min("a_ord")["id"].alias("home"), F.count(F.lit(1)).alias("pairs"))
-    homes = stage(of_b, "homes")
-    loads = homes.groupBy(*bucket, "home").agg(F.sum("pairs").alias("load")).where(F.col("load") > PAIRS_TOGETHER)
-    parts = stage(loads.select(*bucket, "home", F.ceil(F.col("load") / PAIRS_TOGETHER).alias("parts")), "parts")
-    groups = max(1, -(-candidates.count() // PAIRS_TOGETHER))
-    part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1)))
-    # A few neighbouring groups share a number; they are only told apart by it.
-    placed = lookup_join(homes, parts, [*bucket, "home"], F.col("b"), "left")
-    placed = stage(placed.select(*bucket, "b", F.pmod(F.xxhash64(*bucket, "home", part), F.lit(groups)).alias("group")), "homes-placed")
-    dealt = stage(lookup_join(candidates, placed, [*bucket, "b"], F.col("a")).select("group", *names), "dealt")
+    few = candidates.count() <= PAIRS_TOGETHER
+    dealt = candidates.withColumn("group", F.lit(0).cast("long")) if few else _dealt(candidates, bucket)
+    dealt = dealt.select("group", *names)
     ends = [dealt.select("group", *bucket, F.col(end).alias("id")) for end in ("a", "b")]
     needed = stage(ends[0].unionByName(ends[1]).distinct(), "needed")
     held = vectors.select(*bucket, "id", "codes", "weights", "norm")
@@ -409,6 +402,20 @@ def _similarities(candidates: DataFrame, vectors: DataFrame, bucket: list[str])
     return rows.mapInArrow(work, schema)
 
 
+def _dealt(candidates: DataFrame, bucket: list[str]) -> DataFrame:
+    """Staged: the pairs with the number of the group they are verified in."""
+    of_b = candidates.groupBy(*bucket, "b").agg(F.min("a_ord")["id"].alias("home"), F.count(F.lit(1)).alias("pairs"))
+    homes = stage(of_b, "homes")
+    loads = homes.groupBy(*bucket, "home").agg(F.sum("pairs").alias("load")).where(F.col("load") > PAIRS_TOGETHER)
+    parts = stage(loads.select(*bucket, "home", F.ceil(F.col("load") / PAIRS_TOGETHER).alias("parts")), "parts")
+    groups = -(-candidates.count() // PAIRS_TOGETHER)
+    part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1)))
+    # A few neighbouring groups share a number; they are only told apart by it.
+    placed = lookup_join(homes, parts, [*bucket, "home"], F.col("b"), "left")
+    placed = stage(placed.select(*bucket, "b", F.pmod(F.xxhash64(*bucket, "home", part), F.lit(groups)).alias("group")), "homes-placed")
+    return stage(lookup_join(candidates, placed, [*bucket, "b"], F.col("a")), "dealt")
+
+
 def _products(a_codes: pa.ListArray, a_weights: pa.ListArray, b_codes: pa.ListArray, b_weights: pa.ListArray) -> np.ndarray:
     """Of each row, the product of two sparse vectors sorted by code: both sides of all rows are merged at once."""
     codes = [x.flatten().to_numpy() for x in (a_codes, b_codes)]

@@ -223,7 +223,7 @@ def test_vectors_of_a_group_move_once_and_are_compared_once(spark, monkeypatch):
     found = nd.near_duplicate_followers(items, bucket=["bucket"], order=["at"], text=F.col("text")).collect()
     assert {r.member: r.leader for r in found} == {f"n{i:03d}": "n000" for i in range(1, 80)}
     # Seven texts are different: 21 pairs, whose vectors lie in one place, once each; no pair is met again for its similarity.
-    assert [df.count() for df in staged["dealt"]] == [21]
+    assert [df.count() for df in staged["candidates"]] == [21]
     assert [df.count() for df in staged["needed"]] == [7]
 
 
