@@ -10,13 +10,16 @@ How the work is spread:
 * Items that differ in ASCII spacing, punctuation or case only have equal vectors, so the later
   ones always follow the first. They are folded into one (keeping their count for ``n``, ``df``).
 * Words are folded once. Grams are 64-bit hashes that tell buckets apart as well. Blocks of texts send each of their
-  grams once, packed by ranges of hashes, and get back the counts alone, in the order of the hashes; a text becomes
-  two packed arrays, sorted by hash: hashes and weights.
+  grams once, packed by ranges of hashes, and get back the counts alone, in the order of the hashes. A text keeps the
+  packed counts of its grams; its hashes and weights are made again from the words where a pair needs them.
 * Pairs are found by prefix filtering (Bayardo et al., WWW 2007): per item only the rarest
   grams are joined, up to the point where the remaining tail is shorter than the threshold. Where two
   items meet, the product of what is left of both bounds their cosine.
-* A pair is verified by merging its two arrays; no gram becomes a row again. Pairs are dealt by the first item that their
-  later end may be similar to, so the vectors of a group of near copies move once, not once a pair.
+* A pair is verified by merging the vectors of both; no gram becomes a row again. Pairs are dealt by the first item that their
+  later end may be similar to, so the words of a group of near copies move once, not once a pair.
+* Items that may be similar to nothing before them lead. Pairs with these are verified first; what follows them drops
+  all its pairs with later items, unverified. So a group of near copies costs its items, not its pairs. Once that
+  no longer halves the pairs (long chains), all that are left are verified.
 * The greedy pass runs on the similar pairs, not on items. When a bucket has too many
   candidate pairs, only the head of its order is settled first, the rest is compared with
   the leaders found there, and only what is still open goes on. A large group of near
@@ -59,6 +62,8 @@ class Effort:
     head: int = 1024
     # Similar pairs of one bucket that a single fold may settle; it holds the ids of their followers.
     pairs_in_one_fold: int = 2_000_000
+    # Candidate pairs that are verified whole; of more, those with known leaders come first.
+    pairs_at_once: int = 4096
 
 
 # Cosines are sums of rounded products; prefixes are cut a little late to stay on the safe side.
@@ -68,7 +73,7 @@ TEXTS_IN_BLOCK = 4096
 # Shares of all codes that are counted apart, at least.
 LEAST_RANGES = 32
 # Candidate pairs whose vectors go to the same place, and those that are verified at a time.
-PAIRS_TOGETHER = 4096
+PAIRS_TOGETHER = 1024
 PAIRS_AT_ONCE = 128
 
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
@@ -172,7 +177,7 @@ def _vectors(items, bucket, order, text, id_col, threshold):
 
 
 def _worded(firsts: DataFrame, again: DataFrame, items: DataFrame, bucket: list[str], text: Column, id_col: str) -> DataFrame:
-    """Staged: ``firsts`` with the words of their texts, folded and one blank apart, in blocks of TEXTS_IN_BLOCK.
+    """Staged: ``firsts`` with the packed words of their texts, folded and one blank apart, in blocks of TEXTS_IN_BLOCK.
     The rows of an id of ``again`` are one text, a line for each."""
     texts = items.select(F.col(id_col).alias("id"), text.alias("text"))
     met = lookup_join(texts, firsts, ["id"], F.col("id"))
@@ -186,7 +191,19 @@ def _worded(firsts: DataFrame, again: DataFrame, items: DataFrame, bucket: list[
         lines = F.array_join(F.collect_list("words"), "\n").alias("words")
         one = marked.where("again").select(*firsts.columns, words).groupBy(*bucket, "n", "copies", "id").agg(F.min("ord").alias("ord"), lines)
         dealt = marked.where("again IS NULL").select(*firsts.columns, words).unionByName(one).repartitionByRange(*bucket, "id")
-    return stage(dealt.select(*firsts.columns, F.xxhash64(*bucket).alias("seed"), "words", block.alias("block")), "worded")
+    dealt = dealt.select(*firsts.columns, F.xxhash64(*bucket).alias("seed"), "words", block.alias("block"))
+    schema = T.StructType([T.StructField("words", T.BinaryType()) if f.name == "words" else f for f in dealt.schema])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packs = pa.array([pa.compress(words, "zstd", asbytes=True) for words in text_bytes(batch.column("words"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([packs if c == "words" else batch.column(c) for c in schema.names], schema.names)
+
+    return stage(in_batches(dealt, work, schema), "worded")
+
+
+def _plain(packed: bytes) -> bytes:
+    return pa.CompressedInputStream(pa.BufferReader(packed), "zstd").read()
 
 
 def _codes(words: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,9 +222,22 @@ def _codes(words: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(signed(np.concatenate([np.zeros(0, np.uint64), *grams])), return_counts=True)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers, the bytes of equal rank side by side: small or sorted ones so take little."""
+    return pa.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), "zstd", asbytes=True) if len(values) else b""
+
+
+def _unpacked(raw: bytes, n: int, kind: type) -> np.ndarray:
+    if not n:
+        return np.zeros(0, kind)
+    size = np.dtype(kind).itemsize
+    held = np.frombuffer(pa.decompress(raw, size * n, "zstd"), np.uint8)
+    return np.ascontiguousarray(held.reshape(size, n).T).view(kind)[:, 0]
+
+
 def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
-    """(block, range, df, texts): the counts of all codes of a block, in their order, over all texts wherever these are;
-    0 for a code that one text alone has."""
+    """(block, range, n, df, texts): the n packed counts of all codes of a block, in their order, over all texts wherever
+    these are; 0 for a code that one text alone has."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, int]] = []
@@ -225,37 +255,40 @@ def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
             df, codes = np.add.reduceat(copies[by], starts), codes[starts]
             place = _range_of(codes, ranges)
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            ends = pa.array(np.concatenate([first, [len(codes)]]), pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(c, t)) for c, t in ((codes, pa.int64()), (df, pa.int32()), (texts, pa.int32()))]
-            columns = [pa.array(place[first], pa.int32()), pa.array(np.full(len(first), here, np.int64)), *lists]
-            yield pa.RecordBatch.from_arrays(columns, ["range", "block", "codes", "df", "texts"])
+            ends = [*first[1:], len(codes)]
+            held_in = (codes, df.astype(np.int32), texts.astype(np.int32))
+            packs = [pa.array([_packed(c[i:j]) for i, j in zip(first, ends)], pa.binary()) for c in held_in]
+            columns = [pa.array(place[first], pa.int32()), pa.array(np.full(len(first), here, np.int64)), pa.array(np.array(ends) - first), *packs]
+            yield pa.RecordBatch.from_arrays(columns, ["range", "block", "n", "codes", "df", "texts"])
 
         for batch in batches:
-            for words, seed, copies, at in zip(text_bytes(batch.column(0)), *(c.to_pylist() for c in batch.columns[1:])):
+            for words, seed, copies, at in zip(*(c.to_pylist() for c in batch.columns)):
                 if at != here and held:
                     yield from block()
                     held.clear()
                 here = at
-                held.append((_codes(words, seed)[0], copies))
+                held.append((_codes(_plain(words), seed)[0], copies))
         if held:
             yield from block()
 
     def count(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).combine_chunks() for c in ("codes", "df", "texts")]
-        codes, df, texts = (c.flatten().to_numpy() for c in columns)
+        sizes = table.column("n").to_pylist()
+        kinds = (("codes", np.int64), ("df", np.int32), ("texts", np.int32))
+        codes, df, texts = (np.concatenate([_unpacked(x.as_py(), n, k) for x, n in zip(table.column(c), sizes)]) for c, k in kinds)
         by = np.argsort(codes, kind="stable")
         first = np.concatenate([[True], codes[by[1:]] != codes[by[:-1]]])
         starts, group = np.flatnonzero(first), np.cumsum(first) - 1
         all_df, all_texts = (np.empty(len(codes), np.int64) for _ in range(2))
         all_df[by], all_texts[by] = np.add.reduceat(df[by], starts)[group], np.add.reduceat(texts[by], starts)[group]
         all_df[all_texts == 1] = all_texts[all_texts == 1] = 0
-        ends = pa.array(np.concatenate([[0], np.cumsum(columns[0].value_lengths().to_numpy())]), pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, pa.array(c, pa.int32())) for c in (all_df, all_texts)]
-        return pa.table([table.column("block"), table.column("range"), *lists], ["block", "range", "df", "texts"])
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        packs = [pa.array([_packed(c[i:j]) for i, j in zip(at, at[1:])], pa.binary()) for c in (all_df.astype(np.int32), all_texts.astype(np.int32))]
+        columns = [table.column(c) for c in ("block", "range", "n")]
+        return pa.table([*columns, *packs], ["block", "range", "n", "df", "texts"])
 
-    schema = "range int, block bigint, codes array<bigint>, df array<int>, texts array<int>"
+    schema = "range int, block bigint, n bigint, codes binary, df binary, texts binary"
     partial = in_batches(worded.select("words", "seed", "copies", "block"), cut, schema)
-    return partial.groupBy("range").applyInArrow(count, "block bigint, range int, df array<int>, texts array<int>")
+    return partial.groupBy("range").applyInArrow(count, "block bigint, range int, n bigint, df binary, texts binary")
 
 
 def _range_of(codes: np.ndarray, ranges: int) -> np.ndarray:
@@ -270,22 +303,27 @@ def _rounded_up(values: np.ndarray) -> np.ndarray:
 
 
 def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFrame:
-    """(bucket..., id, ord, codes, weights, norm, prefix) of the texts that share enough with all others together: the
-    vector over the shared grams as two arrays and its length over all grams, and the rarest of them that a match must
-    touch, each with the squared length of the unit vector from there on. Few weights are different, so they pack well."""
+    """(bucket..., id, ord, seed, n, codes, weights, norm, prefix) of the texts that share enough with all others together:
+    the vector over the shared grams as packed words and counts (see _vector), its length over all grams, and the rarest
+    codes that a match must touch, each with the squared length of the unit vector from there on."""
     least = threshold * threshold * (1 - _SLACK)
-    names = [*bucket, "id", "ord"]
+    names = [*bucket, "id", "ord", "seed", "n"]
     schema = T.StructType([worded.schema[name] for name in names])
-    schema = schema.add("codes", T.ArrayType(T.LongType())).add("weights", T.ArrayType(T.DoubleType())).add("norm", T.DoubleType())
+    schema = schema.add("codes", T.BinaryType()).add("weights", T.BinaryType()).add("norm", T.DoubleType())
     schema = schema.add("prefix", T.ArrayType(T.StructType().add("code", T.LongType()).add("left", T.FloatType())))
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("range")
-        df, texts = (np.concatenate([np.zeros(0, np.int64), *(x.flatten().to_numpy() for x in right.column(c).chunks)]) for c in ("df", "texts"))
-        able, norms, out = [], [], ([], [], [], [])
+        sizes = right.column("n").to_pylist()
+        df, texts = (
+            np.concatenate([np.zeros(0, np.int64), *(_unpacked(x.as_py(), n, np.int32) for x, n in zip(right.column(c), sizes))])
+            for c in ("df", "texts")
+        )
+        able, norms, packs, out = [], [], ([], []), ([], [])
         left = left.combine_chunks()
         rows = list(zip(*(left.column(c).to_pylist() for c in ("seed", "n", "copies"))))
-        made = [_codes(words, seed) for words, (seed, _, _) in zip((w for x in left.column("words").chunks for w in text_bytes(x)), rows)]
+        packed = left.column("words").to_pylist()
+        made = [_codes(_plain(words), seed) for words, (seed, _, _) in zip(packed, rows)]
         # The counts are those of these codes, one for each.
         known = np.unique(np.concatenate([np.zeros(0, np.int64), *(codes for codes, _ in made)]))
         if len(known) != len(df):
@@ -310,46 +348,91 @@ def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFram
             if kept:
                 able.append(i)
                 norms.append(np.sqrt(norm2))
-                for column, value in zip(out, (code, weight, code[order[:kept]], _rounded_up(rest[:kept]))):
+                own = np.zeros(len(codes), np.int32)
+                own[shared] = df[at]
+                packs[0].append(packed[i])
+                packs[1].append(_packed(own))
+                for column, value in zip(out, (code[order[:kept]], _rounded_up(rest[:kept]))):
                     column.append(value)
-        ends = [pa.array(np.cumsum([0, *map(len, column)]), pa.int32()) for column in out[1:3]]
-        kinds = (np.int64, np.float64, np.int64, np.float32)
-        flat = [pa.array(np.concatenate([np.zeros(0, kind), *column])) for kind, column in zip(kinds, out)]
-        prefix = pa.StructArray.from_arrays(flat[2:], ["code", "left"])
-        lists = [pa.ListArray.from_arrays(ends[0], x) for x in flat[:2]]
-        lists += [pa.array(norms, pa.float64()), pa.ListArray.from_arrays(ends[1], prefix)]
+        ends = pa.array(np.cumsum([0, *map(len, out[0])]), pa.int32())
+        flat = [pa.array(np.concatenate([np.zeros(0, kind), *column])) for kind, column in zip((np.int64, np.float32), out)]
+        prefix = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(flat, ["code", "left"]))
         rows = left.select(names).take(pa.array(able, pa.int64()))
-        return pa.table([*rows.columns, *lists], [*names, "codes", "weights", "norm", "prefix"])
+        columns = [*rows.columns, *(pa.array(x, pa.binary()) for x in packs), pa.array(norms, pa.float64()), prefix]
+        return pa.table(columns, [*names, "codes", "weights", "norm", "prefix"])
 
     ranges = max(LEAST_RANGES, -(-worded.count() // (2 * TEXTS_IN_BLOCK)))
     met = _met_codes(worded, ranges)
     return worded.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(work, schema)
 
 
+def _vector(packed: bytes, counts: bytes, seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shared codes of a text and their weights, from its words and the df of all its codes in their order (0: in no
+    other text). Both together take a fraction of the hashes."""
+    codes, tf = _codes(_plain(packed), seed)
+    df = _unpacked(counts, len(codes), np.int32).astype(np.int64)
+    shared = df > 0
+    return codes[shared], tf[shared] * (np.log((1 + n) / (1 + df[shared])) + 1)
+
+
 def _postings(vectors: DataFrame, bucket: list[str], end: str) -> DataFrame:
     return vectors.select(
         *bucket, F.col("id").alias(end), F.col("ord").alias(f"{end}_ord"), F.explode("prefix").alias("at")
     ).select(*bucket, end, f"{end}_ord", "at.code", F.col("at.left").alias(f"{end}_left"))
 
 
-def similar_pairs(
-    heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float, vectors: DataFrame | None = None, long: bool = True
-) -> DataFrame:
-    """(bucket..., a, a_ord, b, b_ord, similarity): ``a`` of heads before ``b`` of rest, verified by the staged
-    ``vectors`` of both (None: rest holds them). Not ``long``: no gram is in too many prefixes for one task."""
+def candidate_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float, long: bool = True) -> DataFrame:
+    """Staged (bucket..., a, a_ord, b, b_ord): every ``a`` of heads before ``b`` of rest that may be similar.
+    Not ``long``: no gram is in too many prefixes for one task."""
     # Both sides have the same columns, so a table that meets itself is shuffled once.
     earlier, later = _postings(heads, bucket, "a"), _postings(rest, bucket, "b")
     # The rarest gram that two texts share starts all of their product.
     bound = F.col("a_left").cast("double") * F.col("b_left").cast("double") >= threshold * threshold * (1 - _SLACK)
     hot = hot_keys(_gram_counts(rest, []), ["code"], "rows") if long else None
-    candidates = stage(
+    return stage(
         salted_join(later, earlier, [*bucket, "code"], hot, F.col("b"))
         .where((F.col("a_ord") < F.col("b_ord")) & bound)
         .select(*bucket, "a", "a_ord", "b", "b_ord")
         .distinct(),
         "candidates",
     )
-    return _similarities(candidates, rest if vectors is None else vectors, bucket).where(F.col("similarity") >= threshold)
+
+
+def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float, long: bool = True) -> DataFrame:
+    """(bucket..., a, a_ord, b, b_ord, similarity): ``a`` of heads before ``b`` of rest, verified by the vectors rest holds."""
+    candidates = candidate_pairs(heads, rest, bucket, threshold, long)
+    return _similarities(candidates, rest, bucket).where(F.col("similarity") >= threshold)
+
+
+def _similar(candidates: DataFrame, vectors: DataFrame, bucket: list[str], threshold: float, label: str) -> DataFrame:
+    """Staged: the pairs that are similar, with their ``similarity``."""
+    return stage(_similarities(candidates, vectors, bucket).where(F.col("similarity") >= threshold), label)
+
+
+def _settled(candidates: DataFrame, vectors: DataFrame, bucket: list[str], threshold: float, effort: Effort) -> tuple[DataFrame, DataFrame]:
+    """(pairs of items with leaders they are similar to, (id) of all that follow), by the greedy rule on staged candidates.
+
+    The first leader of every follower is among its pairs. An item that is the later end of no open pair leads.
+    """
+    joined, led, before = [], [], None
+    while (left := candidates.count()) > effort.pairs_at_once and (before is None or 2 * left <= before):
+        before = left
+        waiting = stage(candidates.select(F.col("b").alias("a")).distinct(), "waiting")
+        with_leaders = stage(lookup_join(candidates, waiting, ["a"], F.col("b"), "left_anti"), "with-leaders")
+        hits = _similar(with_leaders, vectors, bucket, threshold, "with-leaders-hits")
+        joined.append(hits)
+        first = stage(hits.groupBy("b").agg(F.min("a_ord").alias("first")), "first-leaders")
+        led.append(first.select(F.col("b").alias("id")))
+        # What follows is no leader, and only what comes before its leader may still take it.
+        rest = lookup_join(candidates, waiting, ["a"], F.col("b"), "left_semi")
+        rest = lookup_join(rest, stage(first.select(F.col("b").alias("a")), "following"), ["a"], F.col("b"), "left_anti")
+        rest = lookup_join(rest, first, ["b"], F.col("a"), "left").where(F.col("first").isNull() | (F.col("a_ord") < F.col("first")))
+        candidates = stage(rest.select(*candidates.columns), "open-pairs")
+    pairs = _similar(candidates, vectors, bucket, threshold, "pairs")
+    followers = _followers(pairs, bucket, effort)
+    joined.append(pairs.join(followers.select(F.col("b").alias("a")), "a", "left_anti").select(*pairs.columns))
+    led.append(followers.select(F.col("b").alias("id")))
+    return reduce(DataFrame.unionByName, joined), reduce(DataFrame.union, led)
 
 
 def _similarities(candidates: DataFrame, vectors: DataFrame, bucket: list[str]) -> DataFrame:
@@ -364,12 +447,12 @@ def _similarities(candidates: DataFrame, vectors: DataFrame, bucket: list[str])
     dealt = dealt.select("group", *names)
     ends = [dealt.select("group", *bucket, F.col(end).alias("id")) for end in ("a", "b")]
     needed = stage(ends[0].unionByName(ends[1]).distinct(), "needed")
-    held = vectors.select(*bucket, "id", "codes", "weights", "norm")
+    held = vectors.select(*bucket, "id", "seed", "n", "codes", "weights", "norm")
     # Only vectors of pairs move.
     held = held.join(F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed, [*bucket, "id"])
     rows = held.withColumn("pair", F.lit(False)).unionByName(dealt.withColumn("pair", F.lit(True)), allowMissingColumns=True)
     rows = rows.repartition("group").sortWithinPartitions("group", "pair")
-    rows = rows.select("group", "pair", "id", "codes", "weights", "norm", *names)
+    rows = rows.select("group", "pair", "id", "seed", "n", "codes", "weights", "norm", *names)
     schema = T.StructType([candidates.schema[name] for name in names]).add("similarity", T.DoubleType())
 
     def lists(found: list[tuple]) -> list[pa.ListArray]:
@@ -380,23 +463,23 @@ def _similarities(candidates: DataFrame, vectors: DataFrame, bucket: list[str])
         here, known = None, {}
         for batch in batches:
             group, pair = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            buckets = list(zip(*(batch.column(k).to_pylist() for k in range(6, 6 + len(bucket)))))
-            ids, earlier, later = (batch.column(k).to_pylist() for k in (2, 6 + len(bucket), 8 + len(bucket)))
+            buckets = list(zip(*(batch.column(k).to_pylist() for k in range(8, 8 + len(bucket)))))
+            ids, earlier, later = (batch.column(k).to_pylist() for k in (2, 8 + len(bucket), 10 + len(bucket)))
             cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (pair[1:] != pair[:-1])]))
             for start, end in zip(cuts, [*cuts[1:], len(group)]):
                 if group[start] != here:
                     here, known = group[start], {}
                 if not pair[start]:
-                    codes, weights = (batch.column(k) for k in (3, 4))
                     for i in range(start, end):
-                        known[buckets[i], ids[i]] = (codes[i].values.to_numpy(), weights[i].values.to_numpy(), batch.column(5)[i].as_py())
+                        seed, n, packed, counts, norm = (batch.column(k)[i].as_py() for k in range(3, 8))
+                        known[buckets[i], ids[i]] = (*_vector(packed, counts, seed, n), norm)
                     continue
                 for i in range(start, end, PAIRS_AT_ONCE):
                     at = range(i, min(i + PAIRS_AT_ONCE, end))
                     found = [[known[buckets[j], x[j]] for j in at] for x in (earlier, later)]
                     norms = [np.array([norm for _, _, norm in x]) for x in found]
                     products = _products(*lists(found[0]), *lists(found[1])) / norms[0] / norms[1]
-                    columns = [c.slice(i, len(at)) for c in batch.columns[6:]]
+                    columns = [c.slice(i, len(at)) for c in batch.columns[8:]]
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(products, pa.float64())], [*names, "similarity"])
 
     return rows.mapInArrow(work, schema)
@@ -448,14 +531,12 @@ def _greedy(vectors: DataFrame, bucket: list[str], threshold: float, effort: Eff
     joined, undecided = [], vectors.select(*bucket, "id", "ord", "prefix")
     while True:
         head, rest, long = _take_head(undecided, bucket, effort)
-        pairs = stage(similar_pairs(head, head, bucket, threshold, vectors, long), "pairs")
-        followers = _followers(pairs, bucket, effort)
-        led = followers.select(F.col("b").alias("a"))
-        joined.append(pairs.join(led, "a", "left_anti"))
+        pairs, led = _settled(candidate_pairs(head, head, bucket, threshold, long), vectors, bucket, threshold, effort)
+        joined.append(pairs)
         if rest is None:
             break
-        leaders = lookup_join(head, followers.select(F.col("b").alias("id")), ["id"], F.col("id"), "left_anti")
-        hits = stage(similar_pairs(leaders, rest, bucket, threshold, vectors, long), "hits")
+        leaders = lookup_join(head, stage(led.distinct(), "led-ids"), ["id"], F.col("id"), "left_anti")
+        hits = _similar(candidate_pairs(leaders, rest, bucket, threshold, long), vectors, bucket, threshold, "hits")
         joined.append(hits)
         decided = stage(hits.select(F.col("b").alias("id")).distinct(), "decided")
         undecided = stage(lookup_join(rest, decided, ["id"], F.col("id"), "left_anti"), "undecided")

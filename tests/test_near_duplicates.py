@@ -237,6 +237,43 @@ def test_groups_in_parts_and_long_grams_equal_brute_force(spark, monkeypatch):
     assert {r["id"]: r["leader_id"] for r in found.collect()} == cluster(rows, 0.75)
 
 
+def _near_copies(spark, n):
+    """n different texts, all similar to the first."""
+    common = [f"w{i}" for i in range(400)]
+    rows = [("x", f"{i:03d}", f"n{i:03d}", " ".join([*common, f"u{i}", f"v{i % 9}"])) for i in range(n)]
+    return spark.createDataFrame(rows, "bucket string, at string, id string, text string")
+
+
+@pytest.mark.parametrize("n", [60, 120])
+def test_a_group_of_near_copies_costs_its_items_not_its_pairs(spark, monkeypatch, n):
+    staged = {}
+
+    def kept(df, label, real=nd.stage):
+        staged.setdefault(label, []).append(out := real(df, label))
+        return out
+
+    monkeypatch.setattr(nd, "stage", kept)
+    found = nd.near_duplicates(
+        _near_copies(spark, n), bucket=["bucket"], order=["at"], text=F.col("text"), effort=nd.Effort(pairs_at_once=100)
+    ).collect()
+    assert {r.leader_id for r in found} == {"n000"} and len(found) == n
+    assert sum(df.count() for df in staged["candidates"]) == n * (n - 1) // 2
+    assert sum(df.count() for df in staged["needed"]) <= n
+    assert sum(df.count() for label in ("with-leaders-hits", "pairs") for df in staged[label]) == n - 1
+
+
+@pytest.mark.parametrize("seed", [17, 19])
+def test_leaders_first_equals_brute_force(spark, seed):
+    rows = _corpus(seed)
+    items = spark.createDataFrame(rows, "bucket string, at string, id string, text string")
+    effort = nd.Effort(pairs_at_once=0)
+    found = nd.near_duplicates(items, bucket=["bucket"], order=["at"], text=F.col("text"), effort=effort)
+    assert {r["id"]: r["leader_id"] for r in found.collect()} == cluster(rows, 0.75)
+    led = {i: leader for i, leader in cluster(rows, 0.75).items() if i != leader}
+    found = nd.near_duplicate_followers(items, bucket=["bucket"], order=["at"], text=F.col("text"), effort=effort).collect()
+    assert {r.member: r.leader for r in found} == led and len(found) == len(led)
+
+
 def test_what_is_left_is_never_rounded_down():
     values = nd.np.random.default_rng(4).random(1000)
     near = nd._rounded_up(values)
