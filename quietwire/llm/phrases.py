@@ -7,7 +7,8 @@ counted per language (null: ``und``).
 1. Words, then pairs of frequent words, then triples of frequent pairs are counted by fingerprint; a bitmap of fixed
    size says which are frequent.
 2. N-grams of 1 to 5 words without an infrequent pair or triple are counted by block and told apart by the words themselves
-   there. Each adds (fingerprint, check, uses, a document that holds it); the shuffle adds up the uses.
+   there. Each adds (fingerprint, check, uses, a document that holds it); a task adds up the uses of its blocks, the
+   shuffle those of all tasks.
 3. Of fingerprints with enough uses the document is looked up. The phrase is what its text holds under that fingerprint
    and check. So only frequent phrases ever become text.
 
@@ -37,6 +38,8 @@ LEAST_USES = 100
 REPORTED = 2000
 # Words that a task counts at a time.
 BLOCK = 1_000_000
+# Different n-grams whose uses a task adds up before it hands them on.
+HELD = 2_000_000
 # Places of the bitmap of frequent fingerprints; 2^26 are 8 MB for every worker, whatever the input.
 BITS = 26
 
@@ -205,11 +208,23 @@ def _counts(rows: DataFrame, words: np.ndarray | None, pairs: np.ndarray | None,
     return in_batches(rows.select("text", "lang"), work, "print bigint, uses bigint, lang string")
 
 
+def _added_up(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """One row for each (print, tag): all its uses, and the least document."""
+    prints, tags, uses, docs = (np.concatenate(c) for c in zip(*held))
+    if not len(prints):
+        return [prints, tags, uses, docs]
+    by = np.lexsort((tags, prints))
+    prints, tags = prints[by], tags[by]
+    starts = np.flatnonzero(np.concatenate([[True], (prints[1:] != prints[:-1]) | (tags[1:] != tags[:-1])]))
+    return [prints[starts], tags[starts], np.add.reduceat(uses[by], starts), np.minimum.reduceat(docs[by], starts)]
+
+
 def _grams(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, longest: int, mask: int, size: int) -> DataFrame:
-    """(print, tag, uses, doc) by block, of n-grams without an infrequent word, pair or triple."""
+    """(print, tag, uses, doc) by task, of n-grams without an infrequent word, pair or triple."""
     names = ["print", "tag", "uses", "doc"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
         for block, others in _blocks(batches, mask, size):
             doc = np.array([x for (x,) in others], np.int64)
             paired = tripled = np.zeros(0, bool)
@@ -224,9 +239,13 @@ def _grams(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, triples: np.nd
                 else:
                     fit = fit[:-1] & tripled[n - 3 :]
                 for first, uses in block.groups(n, np.flatnonzero(fit), prints):
-                    arrays = [signed(prints[first]), block.tags(n, first), uses, doc[block.doc[first]]]
-                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names)
+                    held.append([signed(prints[first]), block.tags(n, first), uses, doc[block.doc[first]]])
             del block
+            held = [_added_up(held)] if held else []
+            if held and len(held[0][0]) > HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in held.pop()], names)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in held.pop()], names)
 
     return in_batches(rows.select("text", "lang", "doc"), work, "print bigint, tag int, uses bigint, doc bigint")
 

@@ -95,3 +95,14 @@ def test_phrases_with_an_infrequent_triple_are_not_counted(spark, monkeypatch):
     sizes = Counter(r.tag & 7 for r in made[0].dropDuplicates(["print"]).collect())
     assert sizes == {1: 8, 2: 6, 3: 3, 4: 2, 5: 1}
     assert ("d e f g h", 9) in found and not any(p == "a b c" for p, _ in found)
+
+
+@pytest.mark.parametrize("held, once", [(ph.HELD, True), (10, False)])
+def test_a_task_adds_up_the_uses_of_its_blocks(spark, monkeypatch, held, once):
+    monkeypatch.setattr(ph, "HELD", held)
+    rows = texts(random.Random(9), 200) + SPECIAL
+    made = []
+    monkeypatch.setattr(ph, "_grams", lambda *a, real=ph._grams: made.append(real(*a)) or made[0])
+    got = ph.collocations(docs_of(spark, rows).coalesce(1), least=20, top=30, block=40)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 20, 30)
+    assert (made[0].count() == made[0].select("print", "tag").distinct().count()) == once
