@@ -12,7 +12,7 @@ groups (below) are closer and nearly all pass, so they meet their sets at once a
 * Equal sets are one node of the graph from the start, so copies cost nothing.
 * A token shared by more than a few nodes gives a star (each with the first) and a chain (each with
   the next), not all pairs. After these are verified, only pairs of such a group that lie in
-  different components are left to check. A few of its members first meet all others, which joins
+  different components are left to check. A few of its members first meet all others, then more of them, which joins
   most components; then every pair still across components is checked. Links inside a component that are not
   needed for it may stay unverified; no component loses one.
 * Tasks make the stars and chains of their own rows first, so a token in a third of all documents
@@ -48,9 +48,11 @@ COMMON = 1 << 21
 COUNTED = 4_000_000
 # A token shared by up to this many nodes gives all their pairs, else a star and a chain.
 SMALL = 4
-# Before all pairs across components of a group are checked, PIVOTS of its members meet all others, LOOKS times.
+# Before all pairs across components of a group are checked, some of its members meet all others, LOOKS times:
+# PIVOTS of them, then WIDER times as many each time, as those still apart have few links.
 LOOKS = 3
 PIVOTS = 8
+WIDER = 4
 # First tokens in the order that a node carries along, to tell where it meets another one first.
 FIRSTS = 32
 # Bits that tell which texts are needed again: a fixed broadcast. More texts than that only cut more of them into words.
@@ -492,7 +494,7 @@ def node_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tupl
             # A few members of each group, the same in every group they share, meet all the others.
             number = F.xxhash64("node", F.lit(look))
             member = F.struct(number.alias("number"), *(F.col(c) for c in left.columns))
-            right = left.groupBy("token", F.pmod(number, F.lit(PIVOTS)).alias("of")).agg(F.min(member).alias("m")).select("m.*").drop("number")
+            right = left.groupBy("token", F.pmod(number, F.lit(PIVOTS * WIDER**look)).alias("of")).agg(F.min(member).alias("m")).select("m.*").drop("number")
             right = right.select(*left.columns)
         more = stage(_across(left, right, percent, every=look == LOOKS).join(checked, ["a", "b"], "left_anti"), "pairs-across")
         if not more.isEmpty():

@@ -159,3 +159,21 @@ def test_signatures_of_crowded_hashes_never_lose_a_link():
                 if ngram_join.similar(a, b, 80):
                     held = [np.frombuffer(ngram_join.signature(x, 80), np.uint16) for x in (a, b)]
                     assert ngram_join.may_link(len(a), held[0], len(b), held[1], 80)
+
+
+def test_what_is_apart_meets_more_and_more_of_a_large_group(spark, monkeypatch):
+    """Copies with few links each: most are joined before all pairs across components are checked."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(260):
+        copy = list(base)
+        for at in rng.sample(range(90), 1 + (i % 5 == 0)):
+            copy[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(copy)))
+    met = []
+    monkeypatch.setattr(ngram_join, "_across", lambda *a, real=ngram_join._across, **k: met.append(real(*a, **k)) or met[-1])
+    got = ngram_join.join(docs_of(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows))
+    assert len(met) == ngram_join.LOOKS + 1 and met[0].count() > 1000
+    assert met[-1].count() < 100
