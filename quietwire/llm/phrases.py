@@ -4,15 +4,15 @@ A text is lower-cased (A to Z), split into pieces at ``.,;:!?`` and line ends an
 tabs. Prefix polynomials over the words of a block give the fingerprint of every n-gram at once. Everything is
 counted per language (null: ``und``).
 
-1. Words, then pairs of frequent words, then triples of frequent pairs are counted by fingerprint; a bitmap of fixed
-   size says which are frequent.
-2. N-grams of 1 to 5 words without an infrequent pair or triple are counted by block and told apart by the words themselves
-   there. Each adds (fingerprint, check, uses, a document that holds it); a task adds up the uses of its blocks, the
-   shuffle those of all tasks.
+1. Words, then pairs of frequent words, then triples of frequent pairs, then all longer n-grams of frequent triples are
+   counted, each length once; a bitmap of fixed size says which of the last length are frequent.
+2. N-grams are counted by block and told apart by the words themselves there. Each adds (fingerprint, check, uses, a
+   document that holds it); a task adds up the uses of its blocks (of pairs, most of which are rare, the shuffle alone
+   does), the shuffle those of all tasks.
 3. Of fingerprints with enough uses the document is looked up. The phrase is what its text holds under that fingerprint
    and check. So only frequent phrases ever become text.
 
-Bitmaps and the first counts only let too much through, never too little. Phrases of different blocks are told apart by 64 bits
+Bitmaps only let too much through, never too little. Phrases of different blocks are told apart by 64 bits
 of fingerprint and 24 of an independent check.
 
 Scores are exact: products are decimals of 38 digits, enough for corpora of up to 10^15 words. Null and
@@ -23,6 +23,7 @@ like any other. Empty tables give no rows. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +50,6 @@ _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[list(_BREAKS)] = True
 _FACTOR = 0x9FB21C651E98DF25
 _CHECK_FACTOR = 0xD1342543DE82EF95
-# Enough bits for counts that only prune; the rest of a row then compresses well.
-_SHORT = np.uint64((1 << 40) - 1)
 
 
 def _powers(factor: int, n: int) -> np.ndarray:
@@ -180,34 +179,6 @@ def _bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _counts(rows: DataFrame, words: np.ndarray | None, pairs: np.ndarray | None, mask: int, size: int) -> DataFrame:
-    """(print, uses, lang) by block: of words, and per language of all words (print null); or, given the
-    frequent words, of pairs of them; or, given the frequent pairs, of triples of both."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _ in _blocks(batches, mask, size):
-            prints, lang, uses = [], [], []
-            if words is None and pairs is None:
-                totals = np.bincount(block.lang, minlength=len(block.names))
-                lang += [x for x, n in zip(block.names, totals) if n]
-                uses.append(totals[totals > 0])
-                every = block.fingerprints(1)
-            elif pairs is not None:
-                paired = block.within(2) & _has(pairs, block.fingerprints(2))
-                every = block.fingerprints(3)[paired[:-1] & paired[1:]]
-            else:
-                known = _has(words, block.fingerprints(1))
-                every = block.fingerprints(2)[block.within(2) & known[:-1] & known[1:]]
-            found, n = np.unique(every & _SHORT, return_counts=True)
-            prints = pa.array([None] * len(lang) + signed(found).tolist() if lang else signed(found), pa.int64())
-            uses = pa.array(np.concatenate([*uses, n]).astype(np.int64))
-            # One block at a time is held.
-            del block, every
-            yield pa.RecordBatch.from_arrays([prints, uses, pa.array(lang + [None] * len(found), pa.string())], ["print", "uses", "lang"])
-
-    return in_batches(rows.select("text", "lang"), work, "print bigint, uses bigint, lang string")
-
-
 def _added_up(held: list[list[np.ndarray]]) -> list[np.ndarray]:
     """One row for each (print, tag): all its uses, and the least document."""
     prints, tags, uses, docs = (np.concatenate(c) for c in zip(*held))
@@ -219,35 +190,62 @@ def _added_up(held: list[list[np.ndarray]]) -> list[np.ndarray]:
     return [prints[starts], tags[starts], np.add.reduceat(uses[by], starts), np.minimum.reduceat(docs[by], starts)]
 
 
-def _grams(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, longest: int, mask: int, size: int) -> DataFrame:
-    """(print, tag, uses, doc) by task, of n-grams without an infrequent word, pair or triple."""
-    names = ["print", "tag", "uses", "doc"]
+def _counts(rows: DataFrame, lengths: range, parts: np.ndarray | None, mask: int, size: int) -> DataFrame:
+    """(print, tag, uses, doc) by task, of n-grams of ``lengths`` whose parts of one word less than the shortest are all among
+    the frequent ``parts``; of all words without these, with the words per language besides (lang; print null)."""
+    names = ["print", "tag", "uses", "doc"] + ["lang"] * (parts is None)
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()][: len(names)]
+    # Most pairs of frequent words are rare: their uses are added up by the shuffle alone.
+    most = 0 if lengths[0] == 2 else HELD
+
+    def batch(columns: list) -> pa.RecordBatch:
+        columns += [[None] * len(columns[0])] * (len(names) - len(columns))
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds)], names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         for block, others in _blocks(batches, mask, size):
             doc = np.array([x for (x,) in others], np.int64)
-            paired = tripled = np.zeros(0, bool)
-            for n in range(1, longest + 1):
+            if parts is None:
+                totals = np.bincount(block.lang, minlength=len(block.names))
+                seen = np.flatnonzero(totals)
+                none = [None] * len(seen)
+                yield batch([none, none, totals[seen], none, block.names[seen].tolist()])
+                fit = block.within(1)
+            else:
+                part = lengths[0] - 1
+                fit = block.within(part) & _has(parts, block.fingerprints(part))
+            for n in lengths:
+                if n > 1:
+                    fit = fit[:-1] & fit[1:] & block.within(n)
                 prints = block.fingerprints(n)
-                if n == 1:
-                    fit = _has(words, prints)
-                elif n == 2:
-                    paired = fit = block.within(2) & _has(pairs, prints)
-                elif n == 3:
-                    tripled = fit = paired[:-1] & paired[1:] & _has(triples, prints)
-                else:
-                    fit = fit[:-1] & tripled[n - 3 :]
                 for first, uses in block.groups(n, np.flatnonzero(fit), prints):
                     held.append([signed(prints[first]), block.tags(n, first), uses, doc[block.doc[first]]])
+            # One block at a time is held.
             del block
-            held = [_added_up(held)] if held else []
-            if held and len(held[0][0]) > HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in held.pop()], names)
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in held.pop()], names)
+            if held and most:
+                held = [_added_up(held)]
+            if sum(len(x[0]) for x in held) > most:
+                for found in held:
+                    yield batch(found)
+                held = []
+        for found in held:
+            yield batch(found)
+
+    schema = "print bigint, tag int, uses bigint, doc bigint" + ", lang string" * (parts is None)
+    return in_batches(rows.select("text", "lang", "doc"), work, schema)
+
+
+def _added(counts: DataFrame, *by: str) -> DataFrame:
+    return counts.groupBy(*by, "print", "tag").agg(F.sum("uses").alias("uses"), F.min("doc").alias("doc"))
+
 
-    return in_batches(rows.select("text", "lang", "doc"), work, "print bigint, tag int, uses bigint, doc bigint")
+def _grams(rows: DataFrame, frequent: list[DataFrame], longest: int, bits: int, mask: int, size: int) -> DataFrame:
+    """(print, tag, uses, doc) of the ``frequent`` n-grams of 1, 2... words, counted before, and by task of the longer ones
+    up to ``longest`` words that hold none but frequent ones of the last of these lengths."""
+    lengths = range(len(frequent) + 1, longest + 1)
+    longer = [_counts(rows, lengths, _bitmap(frequent[-1], bits), mask, size)] if lengths else []
+    return reduce(DataFrame.unionByName, [*frequent, *longer])
 
 
 def _looked_up(rows: DataFrame, frequent: DataFrame, mask: int) -> DataFrame:
@@ -291,15 +289,14 @@ def counted(docs: DataFrame, least: int = LEAST_USES, longest: int = LONGEST, bi
     doc = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
     rows = docs.select("text", lang.alias("lang"), doc.alias("doc"))
     often = F.col("uses") >= least
-    words = _counts(rows, None, None, mask, block).groupBy("lang", "print").agg(F.sum("uses").alias("uses"))
+    words = _added(_counts(rows, range(1, 2), None, mask, block), "lang")
     words = stage(words.where(F.col("lang").isNotNull() | often), "words")
-    known = _bitmap(words.where("lang is null"), bits)
-    pairs = _counts(rows, known, None, mask, block).groupBy("print").agg(F.sum("uses").alias("uses"))
-    pairs = _bitmap(pairs.where(often), bits)
-    triples = _counts(rows, None, pairs, mask, block).groupBy("print").agg(F.sum("uses").alias("uses")) if longest > 2 else None
-    triples = pairs if triples is None else _bitmap(triples.where(often), bits)
-    grams = _grams(rows, known, pairs, triples, longest, mask, block)
-    frequent = grams.groupBy("print", "tag").agg(F.sum("uses").alias("uses"), F.min("doc").alias("doc")).where(often)
+    # Every length is counted once; what is frequent of it keeps its uses and its document.
+    known = [words.where("lang is null").drop("lang")]
+    for n in range(2, min(longest, 3) + 1):
+        counts = _counts(rows, range(n, n + 1), _bitmap(known[-1], bits), mask, block)
+        known.append(stage(_added(counts).where(often), f"frequent-{n}"))
+    frequent = _added(_grams(rows, known, longest, bits, mask, block)).where(often)
     phrases = stage(_looked_up(rows, stage(frequent, "frequent"), mask), "phrases")
     return phrases, words.where("lang is not null").select("lang", F.col("uses").alias("words"))
 

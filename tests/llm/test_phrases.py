@@ -106,3 +106,14 @@ def test_a_task_adds_up_the_uses_of_its_blocks(spark, monkeypatch, held, once):
     got = ph.collocations(docs_of(spark, rows).coalesce(1), least=20, top=30, block=40)
     assert sorted(map(tuple, got.collect())) == brute(rows, 20, 30)
     assert (made[0].count() == made[0].select("print", "tag").distinct().count()) == once
+
+
+def test_every_length_is_counted_once(spark, monkeypatch):
+    """Of one task that finds every n-gram frequent, all passes together make one row for each."""
+    text = "a b c d e f"
+    made = []
+    monkeypatch.setattr(ph, "in_batches", lambda *a, real=ph.in_batches: made.append(real(*a)) or made[-1])
+    found = ph.counted(docs_of(spark, [(i, text, "en") for i in range(9)]).coalesce(1), least=9)[0]
+    assert {(r.phrase, r.uses) for r in found.collect()} == {(" ".join(text.split()[i : i + n]), 9) for n in range(1, 6) for i in range(7 - n)}
+    counts = [df.where("print IS NOT NULL").count() for df in made if "phrase" not in df.columns]
+    assert sum(counts) == 6 + 5 + 4 + 3 + 2
