@@ -1,4 +1,4 @@
-"""Text normalisation and tokens, as JVM column expressions only."""
+"""Text normalisation and tokens, as JVM column expressions; for the letters of most texts by Python as well."""
 
 from __future__ import annotations
 
@@ -85,23 +85,45 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(fold(text), F.lit(WORD), F.lit(0))
 
 
-# ASCII characters that no word contains. Folding leaves them alone and creates none inside a word.
-_ASCII_GAP = r"[\x00-/:-@\[-^`{-\x7F]+"
-# Two neighbours that stay word characters when folded, so the text has at least one word.
-# The letters left out fold to something with a blank, a sign or nothing.
-_SURE_WORD = (
-    r"[0-9_\p{L}&&[^\u013F\u0140\u037A\u0B94\u0E33\u0EB3\u0F00-\u0FFF\u1026\u1B00-\u1B7F"
-    r"\uFC5E-\uFC63\uFE70-\uFE7F\uFF9E\uFF9F]]{2}"
-)
+# What is none of these is left to the JVM, whose Unicode version may differ from that of Python.
+_COMMON = [*range(0x180), *range(0x2010, 0x2028), 0x20AC]
+# A class of several ranges is slow: what is in none of the further ones is looked at by itself.
+_RARE = r"[^\x00-\x{17F}](?<![\x{2010}-\x{2027}\x{20AC}])"
+_ASCII_GAP = bytes(c if c > 127 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
 
 
-def copy_key(text: Column, own: Column) -> Column:
-    """Equal keys mean equal words. Cheap: no accent folding, no word list.
+def common_words(text: Column) -> tuple[Column, Column]:
+    """(text, whether its words are made): words one blank apart for a text with rare characters, else the text itself,
+    of which ``words_apart`` makes the same words at a fraction of the time."""
+    rare = F.coalesce(F.rlike(text, F.lit(_RARE)), F.lit(False))
+    return F.when(rare, spaced_words(text)).otherwise(text), rare
 
-    Texts that may hold no word at all get a key of their own, as they are similar to nothing.
-    """
-    squeezed = F.trim(F.regexp_replace(F.lower(text), _ASCII_GAP, " "))
-    return F.when(F.rlike(text, F.lit(_SURE_WORD)), F.md5(squeezed)).otherwise(F.concat(F.lit("item "), own))
+
+def spaced_words(text: Column) -> Column:
+    """The folded text, with a blank for all that is between words."""
+    return F.regexp_replace(fold(text), GAP, " ")
+
+
+@lru_cache(maxsize=1)
+def _common_folding() -> dict[str, str]:
+    """What each common character beyond ASCII becomes in a word."""
+    folded = {}
+    # The dot above is what lower case makes of a capital i with one.
+    for char in map(chr, [*_COMMON[128:], 0x307]):
+        plain = (c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        folded[char] = "".join(c if c == "_" or unicodedata.category(c)[0] in "LN" else " " for c in plain)
+    return folded
+
+
+def words_apart(text: bytes) -> bytes:
+    """Folded words, single letters included, one blank apart, of a text with common characters only."""
+    lowered = text.lower()
+    if not text.isascii():
+        signs = text.decode().lower()
+        for char in {c for c in set(signs) if c > "\x7f"}:
+            signs = signs.replace(char, _common_folding()[char])
+        lowered = signs.encode()
+    return b" ".join(lowered.translate(_ASCII_GAP).split())
 
 
 def grams(words: Column) -> Column:

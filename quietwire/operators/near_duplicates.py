@@ -35,6 +35,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from hashlib import blake2b
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quietwire.functions.text import GAP, copy_key, fold
+from quietwire.functions.text import common_words, spaced_words, words_apart
 from quietwire.llm.common import hash_words, in_batches, mix, signed, text_bytes
 from quietwire.operators import skew
 from quietwire.operators.skew import BROADCAST_ROWS, hot_keys, lookup_join, number_rows, salted_join
@@ -76,7 +78,12 @@ LEAST_RANGES = 32
 PAIRS_TOGETHER = 1024
 PAIRS_AT_ONCE = 128
 
+# Bytes of texts that are hashed together.
+BYTES_AT_ONCE = 1 << 17
+
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
+# Bytes of a UTF-8 character by its first one.
+_SIGN_BYTES = np.repeat([1, 2, 3, 4], [0xC0, 0x20, 0x10, 0x10])
 
 
 def near_duplicates(
@@ -150,15 +157,11 @@ def _vectors(items, bucket, order, text, id_col, threshold):
     Texts move twice, first to those of their bucket, then to the counts of their grams. Grams move as sorted hashes
     in arrays, once per block of texts that has them; only their counts come back.
     """
-    keyed = stage(
-        items.select(
-            *bucket,
-            F.struct(*order, F.col(id_col).alias("id")).alias("ord"),
-            F.col(id_col).alias("id"),
-            copy_key(text, F.col(id_col)).alias("key"),
-        ),
-        "keyed",
+    words, made = common_words(text)
+    given = items.select(
+        *bucket, F.struct(*order, F.col(id_col).alias("id")).alias("ord"), F.col(id_col).alias("id"), words.alias("key"), made.alias("made")
     )
+    keyed = stage(_keyed(given).withColumn("key", F.coalesce("key", F.concat(F.lit("item "), "id"))), "keyed")
     copies = stage(
         keyed.groupBy(*bucket, "key").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("copies")), "copies"
     )
@@ -176,27 +179,54 @@ def _vectors(items, bucket, order, text, id_col, threshold):
     return keyed, copies, stage(_weighed(_worded(firsts, again, items, bucket, text, id_col), bucket, threshold), "vectors")
 
 
+def _keyed(given: DataFrame) -> DataFrame:
+    """``given`` with a digest of the words in place of its ``key``, null where there is none of two characters."""
+    schema = T.StructType([field for field in given.schema if field.name != "made"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for text, made in zip(text_bytes(batch.column("key")), batch.column("made").to_pylist()):
+                words = (text if made else words_apart(text)).split()
+                some = any(len(word.decode()) > 1 for word in words)
+                keys.append(blake2b(b" ".join(words), digest_size=16).hexdigest() if some else None)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()) if c == "key" else batch.column(c) for c in schema.names], schema.names)
+
+    return in_batches(given, work, schema)
+
+
 def _worded(firsts: DataFrame, again: DataFrame, items: DataFrame, bucket: list[str], text: Column, id_col: str) -> DataFrame:
-    """Staged: ``firsts`` with the packed words of their texts, folded and one blank apart, in blocks of TEXTS_IN_BLOCK.
-    The rows of an id of ``again`` are one text, a line for each."""
+    """Staged: ``firsts`` with the packed words of their texts, folded and one blank apart, in blocks of TEXTS_IN_BLOCK,
+    and ``at``, a number that ascends in their order. The rows of an id of ``again`` are one text, a line for each."""
     texts = items.select(F.col(id_col).alias("id"), text.alias("text"))
     met = lookup_join(texts, firsts, ["id"], F.col("id"))
-    # Texts of a bucket side by side: a block then meets most of its grams more than once.
-    words = F.regexp_replace(fold(F.col("text")), GAP, " ").alias("words")
-    block = F.shiftright(F.monotonically_increasing_id(), TEXTS_IN_BLOCK.bit_length() - 1)
     if again.isEmpty():
-        dealt = met.repartitionByRange(*bucket, "id").select(*firsts.columns, words)
+        dealt = met.select(*firsts.columns, "text", F.lit(False).alias("lines"))
     else:
         marked = lookup_join(met, again.withColumn("again", F.lit(True)), ["id"], F.col("id"), "left")
-        lines = F.array_join(F.collect_list("words"), "\n").alias("words")
-        one = marked.where("again").select(*firsts.columns, words).groupBy(*bucket, "n", "copies", "id").agg(F.min("ord").alias("ord"), lines)
-        dealt = marked.where("again IS NULL").select(*firsts.columns, words).unionByName(one).repartitionByRange(*bucket, "id")
-    dealt = dealt.select(*firsts.columns, F.xxhash64(*bucket).alias("seed"), "words", block.alias("block"))
-    schema = T.StructType([T.StructField("words", T.BinaryType()) if f.name == "words" else f for f in dealt.schema])
+        lines = F.array_join(F.collect_list(spaced_words(F.col("text"))), "\n").alias("text")
+        one = marked.where("again").groupBy(*bucket, "n", "copies", "id").agg(F.min("ord").alias("ord"), lines)
+        dealt = marked.where("again IS NULL").select(*firsts.columns, "text", F.lit(False).alias("lines"))
+        dealt = dealt.unionByName(one.withColumn("lines", F.lit(True)))
+    # Texts of a bucket side by side: a block then meets most of its grams more than once.
+    dealt = dealt.repartitionByRange(*bucket, "ord").sortWithinPartitions(*bucket, "ord")
+    words, made = common_words(F.col("text"))
+    dealt = dealt.select(
+        *firsts.columns,
+        F.xxhash64(*bucket).alias("seed"),
+        F.when(F.col("lines"), F.col("text")).otherwise(words).alias("words"),
+        (F.col("lines") | made).alias("made"),
+        F.monotonically_increasing_id().alias("at"),
+    ).withColumn("block", F.shiftright("at", TEXTS_IN_BLOCK.bit_length() - 1))
+    schema = T.StructType([T.StructField("words", T.BinaryType()) if f.name == "words" else f for f in dealt.schema if f.name != "made"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packs = pa.array([pa.compress(words, "zstd", asbytes=True) for words in text_bytes(batch.column("words"))], pa.binary())
+            folded = (
+                text if made else words_apart(text)
+                for text, made in zip(text_bytes(batch.column("words")), batch.column("made").to_pylist())
+            )
+            packs = pa.array([pa.compress(words, "zstd", asbytes=True) for words in folded], pa.binary())
             yield pa.RecordBatch.from_arrays([packs if c == "words" else batch.column(c) for c in schema.names], schema.names)
 
     return stage(in_batches(dealt, work, schema), "worded")
@@ -206,20 +236,50 @@ def _plain(packed: bytes) -> bytes:
     return pa.CompressedInputStream(pa.BufferReader(packed), "zstd").read()
 
 
-def _codes(words: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the different grams of a text in its bucket, sorted, and how often each occurs."""
-    grams = []
+def _codes(texts: list[bytes], seeds: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the 64-bit hashes of its different grams in its bucket, sorted, and how often each occurs."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= BYTES_AT_ONCE):
+            size += len(texts[end])
+            end += 1
+        yield from _codes_at_once(texts[at:end], seeds[at:end])
+        at = end
+
+
+def _codes_at_once(texts: list[bytes], seeds: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    hashes, starts = hash_words(b"\n".join(texts))
+    raw = np.frombuffer(b"\n".join(texts) + b"    ", np.uint8)
+    # A word has two characters at least; one may be several bytes.
+    after = raw[starts + _SIGN_BYTES[raw[starts]]]
+    long = (after != 32) & (after != 10)
+    hashes, starts = hashes[long], starts[long]
+    upto = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in texts]))
+    # Words of different lines are no neighbours.
+    paired = np.ones(len(starts), bool)
+    last = np.searchsorted(starts, np.append(np.flatnonzero(raw == 10), len(raw))) - 1
+    paired[last[last >= 0]] = False
+    first = np.flatnonzero(paired)
     with np.errstate(over="ignore"):
-        own = np.int64(seed).astype(np.uint64)
-        for line in words.split(b"\n"):
-            hashes, starts = hash_words(line)
-            if len(hashes):
-                raw = np.frombuffer(line, np.uint8)
-                # A word has two characters at least; one may be several bytes.
-                characters = np.add.reduceat(((raw & 0xC0 != 0x80) & (raw != 32)).astype(np.int32), starts)
-                hashes = hashes[characters > 1]
-                grams += [mix(hashes + own, 1), mix(hashes[:-1] * _FACTOR + hashes[1:] + own, 2)]
-    return np.unique(signed(np.concatenate([np.zeros(0, np.uint64), *grams])), return_counts=True)
+        own = np.repeat(np.array(seeds, np.int64).astype(np.uint64), np.diff(upto, prepend=0))
+        words = signed(mix(hashes + own, 1))
+        pairs = signed(mix(hashes[first] * _FACTOR + hashes[first + 1] + own[first], 2))
+    codes, cuts = np.empty(len(words) + len(pairs), np.int64), [0]
+    i = j = 0
+    for k, m in zip(upto.tolist(), np.searchsorted(first, upto).tolist()):
+        of_text = codes[cuts[-1] : cuts[-1] + k - i + m - j]
+        of_text[: k - i], of_text[k - i :] = words[i:k], pairs[j:m]
+        of_text.sort()
+        cuts.append(cuts[-1] + len(of_text))
+        i, j = k, m
+    new = np.ones(len(codes) + 1, bool)
+    new[1:-1] = codes[1:] != codes[:-1]
+    new[cuts] = True
+    places = np.flatnonzero(new)
+    codes, counts = codes[places[:-1]], np.diff(places)
+    cuts = np.searchsorted(places, cuts).tolist()
+    return [(codes[i:j], counts[i:j]) for i, j in zip(cuts, cuts[1:])]
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -240,12 +300,13 @@ def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
     these are; 0 for a code that one text alone has."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, int]] = []
+        held: list[tuple[bytes, int, int]] = []
         here = None
 
         def block() -> Iterator[pa.RecordBatch]:
-            codes = np.concatenate([c for c, _ in held])
-            copies = np.repeat([n for _, n in held], [len(c) for c, _ in held])
+            texts, seeds, copies = ([x[k] for x in held] for k in range(3))
+            made = [codes for codes, _ in _codes([_plain(words) for words in texts], seeds)]
+            codes, copies = np.concatenate(made), np.repeat(copies, [len(c) for c in made])
             by = np.argsort(codes)
             codes = codes[by]
             starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
@@ -267,7 +328,7 @@ def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
                     yield from block()
                     held.clear()
                 here = at
-                held.append((_codes(_plain(words), seed)[0], copies))
+                held.append((words, seed, copies))
         if held:
             yield from block()
 
@@ -275,7 +336,7 @@ def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
         sizes = table.column("n").to_pylist()
         kinds = (("codes", np.int64), ("df", np.int32), ("texts", np.int32))
         codes, df, texts = (np.concatenate([_unpacked(x.as_py(), n, k) for x, n in zip(table.column(c), sizes)]) for c, k in kinds)
-        by = np.argsort(codes, kind="stable")
+        by = np.argsort(codes)
         first = np.concatenate([[True], codes[by[1:]] != codes[by[:-1]]])
         starts, group = np.flatnonzero(first), np.cumsum(first) - 1
         all_df, all_texts = (np.empty(len(codes), np.int64) for _ in range(2))
@@ -288,7 +349,7 @@ def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
 
     schema = "range int, block bigint, n bigint, codes binary, df binary, texts binary"
     partial = in_batches(worded.select("words", "seed", "copies", "block"), cut, schema)
-    return partial.groupBy("range").applyInArrow(count, "block bigint, range int, n bigint, df binary, texts binary")
+    return partial.repartition(ranges, "range").groupBy("range").applyInArrow(count, "block bigint, range int, n bigint, df binary, texts binary")
 
 
 def _range_of(codes: np.ndarray, ranges: int) -> np.ndarray:
@@ -303,11 +364,11 @@ def _rounded_up(values: np.ndarray) -> np.ndarray:
 
 
 def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFrame:
-    """(bucket..., id, ord, seed, n, codes, weights, norm, prefix) of the texts that share enough with all others together:
-    the vector over the shared grams as packed words and counts (see _vector), its length over all grams, and the rarest
+    """(bucket..., id, ord, seed, n, at, codes, weights, norm, prefix) of the texts that share enough with all others together:
+    the vector over the shared grams as packed words and counts (see _vectors_of), its length over all grams, and the rarest
     codes that a match must touch, each with the squared length of the unit vector from there on."""
     least = threshold * threshold * (1 - _SLACK)
-    names = [*bucket, "id", "ord", "seed", "n"]
+    names = [*bucket, "id", "ord", "seed", "n", "at"]
     schema = T.StructType([worded.schema[name] for name in names])
     schema = schema.add("codes", T.BinaryType()).add("weights", T.BinaryType()).add("norm", T.DoubleType())
     schema = schema.add("prefix", T.ArrayType(T.StructType().add("code", T.LongType()).add("left", T.FloatType())))
@@ -321,37 +382,44 @@ def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFram
         )
         able, norms, packs, out = [], [], ([], []), ([], [])
         left = left.combine_chunks()
-        rows = list(zip(*(left.column(c).to_pylist() for c in ("seed", "n", "copies"))))
+        seeds, ns, repeats = (left.column(c).to_pylist() for c in ("seed", "n", "copies"))
         packed = left.column("words").to_pylist()
-        made = [_codes(_plain(words), seed) for words, (seed, _, _) in zip(packed, rows)]
+        made = list(_codes([_plain(words) for words in packed], seeds))
+        flat = np.concatenate([np.zeros(0, np.int64), *(codes for codes, _ in made)])
+        by = np.argsort(flat)
+        rank = flat[by]
+        rank = np.cumsum(np.concatenate([[True], rank[1:] != rank[:-1]])[: len(rank)]) - 1
         # The counts are those of these codes, one for each.
-        known = np.unique(np.concatenate([np.zeros(0, np.int64), *(codes for codes, _ in made)]))
-        if len(known) != len(df):
-            raise RuntimeError(f"{len(df)} counts for {len(known)} grams")
-        known, df, texts = known[texts > 0], df[texts > 0], texts[texts > 0]
-        for i, ((codes, tf), (_, n, copies)) in enumerate(zip(made, rows)):
-            at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
-            shared = known[at] == codes if len(known) else np.zeros(len(codes), bool)
-            at, own = at[shared], tf[~shared]
-            weight = tf[shared] * (np.log((1 + n) / (1 + df[at])) + 1)
+        if len(df) != (rank[-1] + 1 if len(rank) else 0):
+            raise RuntimeError(f"{len(df)} counts for {rank[-1] + 1 if len(rank) else 0} grams")
+        place = np.empty(len(by), np.int32)
+        place[by] = rank
+        del flat, by, rank
+        end = 0
+        for i, ((codes, tf), n, copies) in enumerate(zip(made, ns, repeats)):
+            at = place[end : end + len(codes)]
+            end += len(codes)
+            own = df[at]
+            shared = own > 0
+            at = at[shared]
+            weight = tf[shared] * (np.log((1 + n) / (1 + own[shared])) + 1)
             # A gram of this text alone adds length, never a match.
             alone = np.log((1 + n) / (1 + copies)) + 1
+            single = tf[~shared]
             shared2 = (weight * weight).sum()
-            norm2 = shared2 + alone * alone * (own * own).sum()
+            norm2 = shared2 + alone * alone * (single * single).sum()
             if not len(at) or shared2 < least * norm2:
                 continue
             code, unit = codes[shared], weight / np.sqrt(norm2)
             # Keep the rarest grams while what is left, the current one included, could still reach the threshold.
-            order = np.lexsort((code, texts[at]))
+            order = np.argsort(texts[at], kind="stable")  # the codes ascend
             rest = np.cumsum((unit[order] * unit[order])[::-1])[::-1]
             kept = np.count_nonzero(rest >= least)
             if kept:
                 able.append(i)
                 norms.append(np.sqrt(norm2))
-                own = np.zeros(len(codes), np.int32)
-                own[shared] = df[at]
                 packs[0].append(packed[i])
-                packs[1].append(_packed(own))
+                packs[1].append(_packed(own.astype(np.int32)))
                 for column, value in zip(out, (code[order[:kept]], _rounded_up(rest[:kept]))):
                     column.append(value)
         ends = pa.array(np.cumsum([0, *map(len, out[0])]), pa.int32())
@@ -363,39 +431,48 @@ def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFram
 
     ranges = max(LEAST_RANGES, -(-worded.count() // (2 * TEXTS_IN_BLOCK)))
     met = _met_codes(worded, ranges)
-    return worded.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(work, schema)
+    # About a block a task, whatever AQE would merge: their loads differ.
+    blocks = [x.repartition(ranges, "block").groupBy("block") for x in (worded, met)]
+    return blocks[0].cogroup(blocks[1]).applyInArrow(work, schema)
 
 
-def _vector(packed: bytes, counts: bytes, seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shared codes of a text and their weights, from its words and the df of all its codes in their order (0: in no
+def _vectors_of(packed: list[bytes], counts: list[bytes], seeds: list[int], ns: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The shared codes of texts and their weights, from their words and the df of all their codes in their order (0: in no
     other text). Both together take a fraction of the hashes."""
-    codes, tf = _codes(_plain(packed), seed)
-    df = _unpacked(counts, len(codes), np.int32).astype(np.int64)
-    shared = df > 0
-    return codes[shared], tf[shared] * (np.log((1 + n) / (1 + df[shared])) + 1)
+    for (codes, tf), raw, n in zip(_codes([_plain(words) for words in packed], seeds), counts, ns):
+        df = _unpacked(raw, len(codes), np.int32).astype(np.int64)
+        shared = df > 0
+        yield codes[shared], tf[shared] * (np.log((1 + n) / (1 + df[shared])) + 1)
 
 
-def _postings(vectors: DataFrame, bucket: list[str], end: str) -> DataFrame:
-    return vectors.select(
-        *bucket, F.col("id").alias(end), F.col("ord").alias(f"{end}_ord"), F.explode("prefix").alias("at")
-    ).select(*bucket, end, f"{end}_ord", "at.code", F.col("at.left").alias(f"{end}_left"))
+def _postings(vectors: DataFrame, end: str) -> DataFrame:
+    return vectors.select(F.col("at").alias(f"{end}_at"), F.explode("prefix").alias("gram")).select(
+        f"{end}_at", "gram.code", F.col("gram.left").alias(f"{end}_left")
+    )
 
 
 def candidate_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float, long: bool = True) -> DataFrame:
     """Staged (bucket..., a, a_ord, b, b_ord): every ``a`` of heads before ``b`` of rest that may be similar.
     Not ``long``: no gram is in too many prefixes for one task."""
+    # Numbers meet, as there are far more postings than pairs. A hash tells the buckets of a gram apart.
     # Both sides have the same columns, so a table that meets itself is shuffled once.
-    earlier, later = _postings(heads, bucket, "a"), _postings(rest, bucket, "b")
+    earlier, later = _postings(heads, "a"), _postings(rest, "b")
     # The rarest gram that two texts share starts all of their product.
     bound = F.col("a_left").cast("double") * F.col("b_left").cast("double") >= threshold * threshold * (1 - _SLACK)
     hot = hot_keys(_gram_counts(rest, []), ["code"], "rows") if long else None
-    return stage(
-        salted_join(later, earlier, [*bucket, "code"], hot, F.col("b"))
-        .where((F.col("a_ord") < F.col("b_ord")) & bound)
-        .select(*bucket, "a", "a_ord", "b", "b_ord")
-        .distinct(),
-        "candidates",
+    met = stage(
+        salted_join(later, earlier, ["code"], hot, F.col("b_at")).where((F.col("a_at") < F.col("b_at")) & bound).select("a_at", "b_at").distinct(),
+        "met",
     )
+    ends = [
+        stage(x.join(met.select(F.col(f"{end}_at").alias("at")).distinct(), "at", "left_semi").select(
+            F.col("at").alias(f"{end}_at"), *(F.col(c).alias(f"{end}_{c}") for c in bucket), F.col("id").alias(end), F.col("ord").alias(f"{end}_ord")
+        ), "ends")
+        for end, x in (("a", heads), ("b", rest))
+    ]
+    pairs = lookup_join(lookup_join(met, ends[0], ["a_at"], F.col("b_at")), ends[1], ["b_at"], F.col("a_at"))
+    same = reduce(and_, (F.col(f"a_{c}") == F.col(f"b_{c}") for c in bucket), F.lit(True))
+    return stage(pairs.where(same).select(*(F.col(f"a_{c}").alias(c) for c in bucket), "a", "a_ord", "b", "b_ord"), "candidates")
 
 
 def similar_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], threshold: float, long: bool = True) -> DataFrame:
@@ -451,7 +528,9 @@ def _similarities(candidates: DataFrame, vectors: DataFrame, bucket: list[str])
     # Only vectors of pairs move.
     held = held.join(F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed, [*bucket, "id"])
     rows = held.withColumn("pair", F.lit(False)).unionByName(dealt.withColumn("pair", F.lit(True)), allowMissingColumns=True)
-    rows = rows.repartition("group").sortWithinPartitions("group", "pair")
+    # Loads differ by the lengths of texts, so AQE is not left to merge groups by their sizes.
+    tasks = 1 if few else -(-2 * candidates.count() // PAIRS_TOGETHER)
+    rows = rows.repartition(tasks, "group").sortWithinPartitions("group", "pair")
     rows = rows.select("group", "pair", "id", "seed", "n", "codes", "weights", "norm", *names)
     schema = T.StructType([candidates.schema[name] for name in names]).add("similarity", T.DoubleType())
 
@@ -470,9 +549,9 @@ def _similarities(candidates: DataFrame, vectors: DataFrame, bucket: list[str])
                 if group[start] != here:
                     here, known = group[start], {}
                 if not pair[start]:
-                    for i in range(start, end):
-                        seed, n, packed, counts, norm = (batch.column(k)[i].as_py() for k in range(3, 8))
-                        known[buckets[i], ids[i]] = (*_vector(packed, counts, seed, n), norm)
+                    seeds, ns, packed, counts, norms = (batch.column(k).slice(start, end - start).to_pylist() for k in range(3, 8))
+                    for i, vector, norm in zip(range(start, end), _vectors_of(packed, counts, seeds, ns), norms):
+                        known[buckets[i], ids[i]] = (*vector, norm)
                     continue
                 for i in range(start, end, PAIRS_AT_ONCE):
                     at = range(i, min(i + PAIRS_AT_ONCE, end))
@@ -500,21 +579,20 @@ def _dealt(candidates: DataFrame, bucket: list[str]) -> DataFrame:
 
 
 def _products(a_codes: pa.ListArray, a_weights: pa.ListArray, b_codes: pa.ListArray, b_weights: pa.ListArray) -> np.ndarray:
-    """Of each row, the product of two sparse vectors sorted by code: both sides of all rows are merged at once."""
+    """Of each row, the product of two sparse vectors sorted by code: the shorter is looked up in the longer."""
     codes = [x.flatten().to_numpy() for x in (a_codes, b_codes)]
-    rows = [np.repeat(np.arange(len(x)), x.value_lengths().to_numpy()) for x in (a_codes, b_codes)]
-    # Codes are hashes: their places among all that are here keep row and code within one number.
-    seen = np.unique(codes[0])
-    at = [np.minimum(np.searchsorted(seen, x), max(len(seen) - 1, 0)) for x in codes]
-    a = rows[0] * len(seen) + at[0]
-    # What the other side never has is one place further than any row.
-    b = np.where(seen[at[1]] == codes[1], rows[1] * len(seen) + at[1], len(a_codes) * len(seen)) if len(seen) else at[1]
-    if not len(a):
-        return np.zeros(len(a_codes))
-    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
-    same = a[at] == b
-    products = a_weights.flatten().to_numpy()[at[same]] * b_weights.flatten().to_numpy()[same]
-    return np.bincount(rows[1][same], products, minlength=len(a_codes))
+    weights = [x.flatten().to_numpy() for x in (a_weights, b_weights)]
+    cuts = [np.cumsum([0, *x.value_lengths().to_pylist()]).tolist() for x in (a_codes, b_codes)]
+    out = np.zeros(len(a_codes))
+    for row, (i, j, k, m) in enumerate(zip(cuts[0], cuts[0][1:], cuts[1], cuts[1][1:])):
+        short, long = (codes[0][i:j], weights[0][i:j]), (codes[1][k:m], weights[1][k:m])
+        if len(short[0]) > len(long[0]):
+            short, long = long, short
+        if len(short[0]):
+            at = np.minimum(np.searchsorted(long[0], short[0]), len(long[0]) - 1)
+            same = long[0][at] == short[0]
+            out[row] = (short[1][same] * long[1][at[same]]).sum()
+    return out
 
 
 def _gram_counts(vectors: DataFrame, bucket: list[str]) -> DataFrame:
@@ -528,7 +606,7 @@ def _gram_counts(vectors: DataFrame, bucket: list[str]) -> DataFrame:
 def _greedy(vectors: DataFrame, bucket: list[str], threshold: float, effort: Effort) -> DataFrame:
     """(id, leader_id) of every item that joins an earlier leader."""
     # Rounds copy prefixes only.
-    joined, undecided = [], vectors.select(*bucket, "id", "ord", "prefix")
+    joined, undecided = [], vectors.select(*bucket, "id", "ord", "seed", "at", "prefix")
     while True:
         head, rest, long = _take_head(undecided, bucket, effort)
         pairs, led = _settled(candidate_pairs(head, head, bucket, threshold, long), vectors, bucket, threshold, effort)
@@ -554,42 +632,43 @@ def _take_head(undecided: DataFrame, bucket: list[str], effort: Effort) -> tuple
     ``rest`` is None when every bucket fits. The last value tells whether any gram is in too many prefixes for one task.
     """
     pairs = F.col("rows") * (F.col("rows") - 1) / 2
-    items = undecided.groupBy(*bucket).agg(F.count(F.lit(1)).alias("items"))
+    items = undecided.groupBy(*bucket, "seed").agg(F.count(F.lit(1)).alias("items"))
     budget = F.greatest(F.lit(effort.pairs_per_bucket), F.col("items") * effort.pairs_per_item)
-    loads = _gram_counts(undecided, bucket).groupBy(*bucket).agg(F.sum(pairs).alias("pairs"), F.max("rows").alias("most"))
+    loads = _gram_counts(undecided, ["seed"]).groupBy("seed").agg(F.sum(pairs).alias("pairs"), F.max("rows").alias("most"))
     large = (F.col("pairs") > F.col("budget")) | (F.col("most") > skew.HOT_ROWS)
-    overfull = stage(loads.join(items, bucket).select(*bucket, "pairs", "most", budget.alias("budget")).where(large), "overfull")
+    overfull = stage(loads.join(items, "seed").select(*bucket, "pairs", "most", budget.alias("budget")).where(large), "overfull")
     long = not overfull.where(F.col("most") > skew.HOT_ROWS).isEmpty()
     overfull = overfull.where(F.col("pairs") > F.col("budget")).select(*bucket, "budget")
     if overfull.isEmpty():
         return undecided, None, long
 
-    full = lookup_join(undecided.select(*bucket, "id", "ord"), overfull, bucket, F.col("id"))
-    ranked = number_rows(full, bucket, ["ord"], "rank")
+    full = lookup_join(undecided.select(*bucket, "at"), overfull, bucket, F.col("at"))
+    ranked = number_rows(full, bucket, ["at"], "rank")
     # Slices double in size, so a bucket has a few dozen at most, each known by its last item.
     octave = F.greatest(F.ceil(F.log2(F.col("rank") / effort.head)), F.lit(0)).cast("int")
-    ends = ranked.groupBy(*bucket, "budget", octave.alias("slice")).agg(F.max("ord").alias("last"))
+    ends = ranked.groupBy(*bucket, "budget", octave.alias("slice")).agg(F.max("at").alias("last"))
     sliced = stage(ends.groupBy(*bucket, "budget").agg(F.sort_array(F.collect_list("last")).alias("ends")), "sliced")
-    place = F.size(F.filter("ends", lambda last: last < F.col("ord")))
-    within = Window.partitionBy(*bucket, "code").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*bucket).orderBy("slice")
-    # All that is counted by gram is so in one shuffle.
-    placed = lookup_join(undecided, sliced.drop("budget"), bucket, F.col("id")).select(*bucket, place.alias("slice"), "prefix.code")
+    place = F.size(F.filter("ends", lambda last: last < F.col("at")))
+    within = Window.partitionBy("code").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("seed").orderBy("slice")
+    # All that is counted by gram is so in one shuffle. Its hash tells buckets apart.
+    placed = lookup_join(undecided, sliced.drop("budget"), bucket, F.col("id")).select("seed", place.alias("slice"), "prefix.code")
     loads = (
-        placed.select(*bucket, "slice", F.explode("code").alias("code"))
+        placed.select("seed", "slice", F.explode("code").alias("code"))
         .repartition("code")
-        .groupBy(*bucket, "slice", "code")
+        .groupBy("code", "seed", "slice")
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("pairs", pairs + F.col("rows") * F.coalesce(F.sum("rows").over(within), F.lit(0)))
-        .groupBy(*bucket, "slice")
+        .groupBy("seed", "slice")
         .agg(F.sum("pairs").alias("pairs"))
         .withColumn("total", F.sum("pairs").over(upto))
     )
-    cuts = loads.join(F.broadcast(overfull) if overfull.count() <= BROADCAST_ROWS else overfull, bucket)
-    cuts = cuts.where((F.col("slice") == 0) | (F.col("total") <= F.col("budget"))).groupBy(*bucket).agg(F.max("slice").alias("cut"))
-    cuts = stage(cuts.join(sliced, bucket).select(*bucket, F.expr("ends[cut]").alias("cut")), "split")
+    sliced = sliced.withColumn("seed", F.xxhash64(*bucket))
+    cuts = loads.join(F.broadcast(sliced) if sliced.count() <= BROADCAST_ROWS else sliced, "seed")
+    cuts = cuts.where((F.col("slice") == 0) | (F.col("total") <= F.col("budget"))).groupBy(*bucket, "ends").agg(F.max("slice").alias("cut"))
+    cuts = stage(cuts.select(*bucket, F.expr("ends[cut]").alias("cut")), "split")
     marked = lookup_join(undecided, cuts, bucket, F.col("id"), "left")
-    marked = marked.withColumn("later", F.coalesce(F.col("ord") > F.col("cut"), F.lit(False)))
+    marked = marked.withColumn("later", F.coalesce(F.col("at") > F.col("cut"), F.lit(False)))
     columns = undecided.columns
     rest = marked.where("later").select(*columns)
     return marked.where(~F.col("later")).select(*columns), None if rest.isEmpty() else rest, long

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute_force import cluster, words
+from quietwire.functions import text
 from quietwire.functions.text import article_text, tokens
 from quietwire.operators import near_duplicates as nd
 from quietwire.operators import skew
@@ -278,3 +279,57 @@ def test_what_is_left_is_never_rounded_down():
     values = nd.np.random.default_rng(4).random(1000)
     near = nd._rounded_up(values)
     assert near.dtype == nd.np.float32 and (near >= values).all() and nd.np.abs(near - values).max() < 1e-6
+
+
+def test_words_made_by_python_are_those_of_the_jvm(spark):
+    common = [chr(point) for point in text._COMMON]
+    rng = random.Random(6)
+    rows = [(f"{a}{c}{b}",) for c in common for a, b in (("", ""), ("a", "b"), ("I", " "), (c, "S"))]
+    rows += [("".join(rng.choices(common, k=40)),) for _ in range(500)]
+    rows += [(t,) for t in ("ΣΊΣΥΦΟΣ x", "ＡＢＣ", "中文 新闻", "ȧb", None, "")]
+    words_, made = text.common_words(F.col("t"))
+    table = spark.createDataFrame(rows, "t string")
+    got = table.select("t", words_.alias("words"), made.alias("made"), text.spaced_words(F.col("t")).alias("jvm")).collect()
+    assert sum(r.made for r in got) == 4
+    for r in got:
+        if r.made:
+            assert r.words == r.jvm
+        elif r.t is not None:
+            assert text.words_apart(r.words.encode()).decode() == r.jvm.strip(" "), r.t
+
+
+def test_grams_of_many_texts_at_once(monkeypatch):
+    texts = ["", "a", "a b c", "one two three two one two", "one two\nthree x four\n\ntwo one", " é éé üü ü 中 中文 𝒳 𝒳𝒳 𝒳", "\n", "last"] * 3
+    seeds = [*range(-4, len(texts) - 4)]
+    for size in (1, 20, 1 << 17):
+        monkeypatch.setattr(nd, "BYTES_AT_ONCE", size)
+        for line, seed, (codes, counts) in zip(texts, seeds, nd._codes([t.encode() for t in texts], seeds), strict=True):
+            grams = {}
+            for part in line.split("\n"):
+                long = [w for w in part.split(" ") if len(w) > 1]
+                for gram in [*long, *(f"{a} {b}" for a, b in zip(long, long[1:]))]:
+                    grams[gram] = grams.get(gram, 0) + 1
+            assert (codes[1:] > codes[:-1]).all()
+
+            def own(gram):
+                ((found, _),) = nd._codes([gram.encode()], [seed])
+                parts = {int(c) for word in gram.split(" ") if " " in gram for c in next(nd._codes([word.encode()], [seed]))[0]}
+                return next(int(c) for c in found if int(c) not in parts)
+
+            assert dict(zip(codes.tolist(), counts.tolist(), strict=True)) == {own(gram): n for gram, n in grams.items()}
+
+
+def test_equal_words_are_one_copy_and_only_numbers_meet(spark, monkeypatch):
+    """Spelling with accents or signs makes no text of its own; postings carry neither ids nor buckets."""
+    body = [f"w{i}" for i in range(12)]
+    spelt = ["café " + " ".join(body), "CAFÉ - " + "…".join(body), "cafe\n" + ", ".join(body), "cafe " + " ".join([*body, "more"])]
+    rows = [("x", f"{9 - i}", f"n{i}", t) for i, t in enumerate(spelt)] + [("x", "1", "none", "a … b")]
+    staged = {}
+    monkeypatch.setattr(nd, "stage", lambda df, label, real=nd.stage: staged.setdefault(label, real(df, label)))
+    items = spark.createDataFrame(rows, "bucket string, at string, id string, text string")
+    found = nd.near_duplicates(items, bucket=["bucket"], order=["at"], text=F.col("text"))
+    assert {r["id"]: r["leader_id"] for r in found.collect()} == cluster(rows, 0.75) == {**{f"n{i}": "n3" for i in range(4)}, "none": "none"}
+    assert sorted(r.copies for r in staged["copies"].collect()) == [1, 1, 3]
+    assert staged["met"].columns == ["a_at", "b_at"] and staged["met"].count() == 1
+    worded = [(r.at, r.ord) for r in staged["worded"].collect()]
+    assert [o for _, o in sorted(worded)] == sorted(o for _, o in worded)
