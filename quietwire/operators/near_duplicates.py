@@ -7,15 +7,15 @@ weights are ``tf * (ln((1 + n) / (1 + df)) + 1)``, scaled to unit length, with `
 
 How the work is spread:
 
-* Items that differ in ASCII spacing, punctuation or case only have equal vectors, so the later
-  ones always follow the first. They are folded into one (keeping their count for ``n``, ``df``).
+* Items with equal words have equal vectors, so the later ones always follow the first. They are
+  folded into one (keeping their count for ``n``, ``df``).
 * Words are folded once. Grams are 64-bit hashes that tell buckets apart as well. Blocks of texts send each of their
   grams once, packed by ranges of hashes, and get back the counts alone, in the order of the hashes. A text keeps the
   packed counts of its grams; its hashes and weights are made again from the words where a pair needs them.
 * Pairs are found by prefix filtering (Bayardo et al., WWW 2007): per item only the rarest
   grams are joined, up to the point where the remaining tail is shorter than the threshold. Where two
   items meet, the product of what is left of both bounds their cosine.
-* A pair is verified by merging the vectors of both; no gram becomes a row again. Pairs are dealt by the first item that their
+* A pair is verified by looking the shorter vector up in the longer; no gram becomes a row again. Pairs are dealt by the first item that their
   later end may be similar to, so the words of a group of near copies move once, not once a pair.
 * Items that may be similar to nothing before them lead. Pairs with these are verified first; what follows them drops
   all its pairs with later items, unverified. So a group of near copies costs its items, not its pairs. Once that
@@ -349,7 +349,7 @@ def _met_codes(worded: DataFrame, ranges: int) -> DataFrame:
 
     schema = "range int, block bigint, n bigint, codes binary, df binary, texts binary"
     partial = in_batches(worded.select("words", "seed", "copies", "block"), cut, schema)
-    return partial.repartition(ranges, "range").groupBy("range").applyInArrow(count, "block bigint, range int, n bigint, df binary, texts binary")
+    return partial.groupBy("range").applyInArrow(count, "block bigint, range int, n bigint, df binary, texts binary")
 
 
 def _range_of(codes: np.ndarray, ranges: int) -> np.ndarray:
@@ -429,11 +429,12 @@ def _weighed(worded: DataFrame, bucket: list[str], threshold: float) -> DataFram
         columns = [*rows.columns, *(pa.array(x, pa.binary()) for x in packs), pa.array(norms, pa.float64()), prefix]
         return pa.table(columns, [*names, "codes", "weights", "norm", "prefix"])
 
-    ranges = max(LEAST_RANGES, -(-worded.count() // (2 * TEXTS_IN_BLOCK)))
-    met = _met_codes(worded, ranges)
-    # About a block a task, whatever AQE would merge: their loads differ.
-    blocks = [x.repartition(ranges, "block").groupBy("block") for x in (worded, met)]
-    return blocks[0].cogroup(blocks[1]).applyInArrow(work, schema)
+    blocks = -(-worded.count() // TEXTS_IN_BLOCK)
+    met = _met_codes(worded, max(LEAST_RANGES, -(-blocks // 2)))
+    if blocks > 8:
+        # About a block a task, whatever AQE would merge, as their loads differ.
+        worded, met = (x.repartition(2 * blocks, "block") for x in (worded, met))
+    return worded.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(work, schema)
 
 
 def _vectors_of(packed: list[bytes], counts: list[bytes], seeds: list[int], ns: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -464,11 +465,13 @@ def candidate_pairs(heads: DataFrame, rest: DataFrame, bucket: list[str], thresh
         salted_join(later, earlier, ["code"], hot, F.col("b_at")).where((F.col("a_at") < F.col("b_at")) & bound).select("a_at", "b_at").distinct(),
         "met",
     )
+    ends = []
+    for sides, table in ((("a", "b"), heads),) if heads is rest else ((("a",), heads), (("b",), rest)):
+        ats = reduce(DataFrame.union, (met.select(F.col(f"{end}_at").alias("at")) for end in sides)).distinct()
+        ends += [stage(table.join(ats, "at", "left_semi").select("at", *bucket, "id", "ord"), "ends")]
     ends = [
-        stage(x.join(met.select(F.col(f"{end}_at").alias("at")).distinct(), "at", "left_semi").select(
-            F.col("at").alias(f"{end}_at"), *(F.col(c).alias(f"{end}_{c}") for c in bucket), F.col("id").alias(end), F.col("ord").alias(f"{end}_ord")
-        ), "ends")
-        for end, x in (("a", heads), ("b", rest))
+        x.select(F.col("at").alias(f"{end}_at"), *(F.col(c).alias(f"{end}_{c}") for c in bucket), F.col("id").alias(end), F.col("ord").alias(f"{end}_ord"))
+        for end, x in (("a", ends[0]), ("b", ends[-1]))
     ]
     pairs = lookup_join(lookup_join(met, ends[0], ["a_at"], F.col("b_at")), ends[1], ["b_at"], F.col("a_at"))
     same = reduce(and_, (F.col(f"a_{c}") == F.col(f"b_{c}") for c in bucket), F.lit(True))
